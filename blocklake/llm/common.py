@@ -61,6 +61,20 @@ def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
 
 
+#: What stands for a null id in ``id``, so that joins on it are plain ones.
+NO_ID = -(1 << 63)
+
+
+def identified(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``id, th, text`` as of :func:`keyed`, without nulls: a null ``doc_id`` is NO_ID there; :func:`doc_id_of` undoes it."""
+    rows = keyed(docs, text)
+    return rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "th", "text")
+
+
+def doc_id_of(id: Column) -> Column:
+    return F.nullif(id, F.lit(NO_ID)).alias("doc_id")
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets (first is 0) of a string column without nulls, with no copy."""
     if isinstance(column, pa.ChunkedArray):
