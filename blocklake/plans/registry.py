@@ -1,15 +1,565 @@
-"""Queries over the given tables, by name, with DuckDB SQL for the same results."""
+"""Queries over whole given tables, one for each operator, by name, and DuckDB SQL for the same results."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def flagship(spark, sf_dir):
-    return queries()["flagship"](spark, sf_dir)
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from blocklake.functions import project as P
+from blocklake.operators import assemble as A
+from blocklake.operators import audit, predicates, ranges
+from blocklake.operators import budget as B
+from blocklake.operators import ingest as I
+from blocklake.operators import relations as R
+from blocklake.sources import layout
+from blocklake.sources.adapter import Lake, with_lake
+from blocklake.streaming import stream as S
 
-def queries() -> dict:
-    return {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+TX, LOG, GROUP = ["transaction_index"], ["transaction_index", "log_index"], [("extrinsic_index", "extrinsic_index")]
+ADDRESS = ("address", "address")
+
+
+def query(sql: str | None = None, *needs: str):
+    """Registers ``f(lake)`` under its name, with SQL over the lake's expressions."""
+
+    def register(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Lake(spark, sf_dir))
+        if sql:
+            SQL[f.__name__] = with_lake(sql, *needs)
+        return f
+
+    return register
+
+
+def keys(df: DataFrame, *more: str) -> DataFrame:
+    return df.select("block_number", *more)
+
+
+def text(c: str):
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), ".")
+
+
+# scans and predicates
+
+
+@query("SELECT block_number, transaction_index, log_index FROM logs WHERE address = 7", "logs")
+def scan_in_one(lake):
+    return predicates.scan(lake.logs(), [predicates.field_in("address", [7])], LOG)
+
+
+@query("SELECT block_number, transaction_index, log_index FROM logs WHERE address IN (3, 5, 8, 13) AND topic0 IN ('A', 'R')", "logs")
+def scan_in_many(lake):
+    both = predicates.all_of([predicates.field_in("address", [3, 5, 8, 13]), predicates.field_in("topic0", ["A", "R"])])
+    return predicates.scan(lake.logs(), [both], LOG)
+
+
+@query("SELECT block_number, transaction_index, log_index FROM logs WHERE false", "logs")
+def scan_in_empty(lake):
+    return predicates.scan(lake.logs(), [predicates.field_in("address", [])], LOG)
+
+
+@query("SELECT block_number, transaction_index FROM txs WHERE nonce BETWEEN 100 AND 400 AND block_number BETWEEN 50 AND 1500", "txs")
+def scan_range_gte_lte(lake):
+    bounds = predicates.all_of([predicates.field_gte("nonce", 100), predicates.field_lte("nonce", 400)])
+    return predicates.scan(lake.transactions(), [bounds], TX, limits=predicates.block_range(50, 1500))
+
+
+@query("SELECT block_number, transaction_index FROM txs WHERE status = 'F'", "txs")
+def scan_eq_bool(lake):
+    return predicates.scan(lake.transactions().withColumn("final", F.col("status") == "F"), [predicates.field_eq("final", True)], TX)
+
+
+@query("SELECT block_number, transaction_index, log_index FROM logs WHERE address = 4 OR (topic0 = 'N' AND topic1 = 'F') OR (address = 9 AND topic0 = 'R')", "logs")
+def scan_or_requests(lake):
+    one, all_of = predicates.field_in, predicates.all_of
+    return predicates.scan(lake.logs(), [one("address", [4]), all_of([one("topic0", ["N"]), one("topic1", ["F"])]), all_of([one("address", [9]), one("topic0", ["R"])])], LOG)
+
+
+@query("SELECT block_number, transaction_index, \"from\" FROM txs", "txs")
+def scan_key_projection(lake):
+    return predicates.scan(lake.transactions(), [None], TX, ("from",))
+
+
+@query("SELECT block_number, transaction_index FROM txs WHERE nonce % 3 = 0 AND nonce < 6000", "txs")
+def scan_long_list(lake):
+    return predicates.where_in(lake.transactions(), "nonce", list(range(0, 6000, 3))).select("block_number", "transaction_index")
+
+
+# relations
+
+
+def some_logs(lake):
+    return predicates.scan(lake.logs(), [predicates.field_in("address", [7])], LOG)
+
+
+def some_txs(lake):
+    return predicates.scan(lake.transactions(), [predicates.field_in("type", ["1-URGENT"])], TX)
+
+
+def some_calls(lake, *names):
+    return predicates.scan(lake.calls(), [predicates.field_in("name", list(names))], ["extrinsic_index", "address"])
+
+
+@query("SELECT block_number, transaction_index, type FROM txs t WHERE EXISTS (SELECT 1 FROM logs l WHERE l.address = 7 AND l.block_number = t.block_number AND l.transaction_index = t.transaction_index)", "txs", "logs")
+def ref_parent(lake):
+    return R.select_items(lake.transactions(), [R.ref_parent(some_logs(lake), TX, TX)], TX).select("block_number", "transaction_index", "type")
+
+
+@query("SELECT block_number, transaction_index, log_index FROM logs l WHERE EXISTS (SELECT 1 FROM txs t WHERE t.type = '1-URGENT' AND l.block_number = t.block_number AND l.transaction_index = t.transaction_index)", "txs", "logs")
+def join_children(lake):
+    return keys(R.join_children(lake.logs(), some_txs(lake), [(TX[0], TX[0])]), *LOG)
+
+
+@query("SELECT block_number, transaction_index, log_index FROM logs l WHERE EXISTS (SELECT 1 FROM logs s WHERE s.address = 7 AND l.block_number = s.block_number AND l.transaction_index = s.transaction_index)", "logs")
+def join_same_parent(lake):
+    return keys(R.join_same_parent(lake.logs(), some_logs(lake), [(TX[0], TX[0])]), *LOG)
+
+
+_EVENTS = "SELECT \"index\" FROM call_events i WHERE EXISTS (SELECT 1 FROM calls s WHERE s.name = '{name}' AND i.extrinsic_index = s.extrinsic_index AND {test})"
+_CALLS = "SELECT extrinsic_index, array_to_string(address, '.') AS address FROM calls i WHERE EXISTS (SELECT 1 FROM {scan} s WHERE s.name = '{name}' AND i.extrinsic_index = s.extrinsic_index AND {test})"
+
+
+def shown(df):
+    return df.select("extrinsic_index", text("address").alias("address"))
+
+
+@query(_EVENTS.format(name="BUILDING", test="i.call_address = s.address"), "calls", "call_events")
+def join_exact_address(lake):
+    return R.join_at(lake.call_events(), some_calls(lake, "BUILDING"), GROUP, ("call_address", "address")).select("index")
+
+
+@query(_CALLS.format(scan="calls", name="nation", test="len(i.address) > len(s.address) AND i.address[1:len(s.address)] = s.address"), "calls")
+def descendants(lake):
+    return shown(R.descendants(lake.calls(), some_calls(lake, "nation"), GROUP, ADDRESS))
+
+
+@query(_EVENTS.format(name="nation", test="len(i.call_address) >= len(s.address) AND i.call_address[1:len(s.address)] = s.address"), "calls", "call_events")
+def descendants_or_self(lake):
+    return R.descendants(lake.call_events(), some_calls(lake, "nation"), GROUP, ("call_address", "address"), include_self=True).select("index")
+
+
+@query(_CALLS.format(scan="calls", name="region", test="len(i.address) > 0"), "calls")
+def subtree(lake):
+    return shown(R.subtree(lake.calls(), some_calls(lake, "region"), GROUP, ADDRESS))
+
+
+@query(_CALLS.format(scan="calls", name="MACHINERY", test="len(i.address) < len(s.address) AND s.address[1:len(i.address)] = i.address"), "calls")
+def ancestors(lake):
+    return shown(R.ancestors(lake.calls(), some_calls(lake, "MACHINERY"), GROUP, ADDRESS))
+
+
+@query(_CALLS.format(scan="call_events", name="1-URGENT", test="len(i.address) <= len(s.call_address) AND s.call_address[1:len(i.address)] = i.address"), "calls", "call_events")
+def ancestors_or_self(lake):
+    events = predicates.scan(lake.call_events(), [predicates.field_in("name", ["1-URGENT"])], ["index"], ("extrinsic_index", "call_address"))
+    return shown(R.ancestors(lake.calls(), events, GROUP, ("address", "call_address"), include_self=True))
+
+
+@query(", up AS (SELECT extrinsic_index, address[1:len(address) - 1] AS address FROM calls WHERE name = 'FURNITURE' AND len(address) > 0 UNION SELECT extrinsic_index, address[1:len(address) - 1] FROM up WHERE len(address) > 0) SELECT DISTINCT c.extrinsic_index, array_to_string(c.address, '.') AS address FROM calls c JOIN up USING (extrinsic_index, address)", "calls")
+def parents_recursive(lake):
+    return shown(R.ancestors(lake.calls(), some_calls(lake, "FURNITURE"), GROUP, ADDRESS))
+
+
+@query(_CALLS.format(scan="calls", name="nation", test="len(i.address) = len(s.address)"), "calls")
+def siblings(lake):
+    return shown(R.siblings(lake.calls(), some_calls(lake, "nation"), GROUP, ADDRESS))
+
+
+@query("SELECT block_number, transaction_index, log_index, address FROM logs WHERE address IN (7, 11) OR topic0 = 'A' AND topic1 = 'F' AND address < 20", "logs")
+def select_items_union(lake):
+    a = predicates.scan(lake.logs(), [predicates.field_in("address", [7, 11])], LOG)
+    b = predicates.scan(lake.logs(), [predicates.all_of([predicates.field_eq("topic0", "A"), predicates.field_eq("topic1", "F"), F.col("address") < 20])], LOG)
+    return R.select_items(lake.logs(), [R.scan_keys(a, LOG), b], LOG).select("block_number", *LOG, "address")
+
+
+@query("SELECT DISTINCT extrinsic_index, array_to_string(call_address, '.') AS address FROM call_events e WHERE call_address IS NOT NULL", "call_events")
+def null_keys(lake):
+    parents = R.ref_parent(lake.call_events(), ["extrinsic_index", "call_address"], ["extrinsic_index", "address"])
+    return shown(R.select_items(lake.calls(), [parents], ["extrinsic_index", "address"]))
+
+
+@query("SELECT block_number, transaction_index AS k FROM txs UNION ALL SELECT block_number, address FROM logs", "txs", "logs")
+def union_all_keys(lake):
+    return R.union_keys([lake.transactions().select("block_number", F.col("transaction_index").alias("k")), lake.logs().select("block_number", F.col("address").alias("k"))])
+
+
+@query("SELECT DISTINCT block_number, address FROM logs", "logs")
+def distinct_keys(lake):
+    return A.distinct_keys(lake.logs().select("block_number", "address"))
+
+
+@query("SELECT extrinsic_index, unnest(address) AS step FROM calls", "calls")
+def unnest_addresses(lake):
+    return A.unnest(lake.calls().select("extrinsic_index", F.col("address").alias("step")), "step")
+
+
+@query("SELECT t.transaction_index, t.type, l.n, l.q FROM txs t LEFT JOIN (SELECT l_orderkey, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS q FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) l ON t.transaction_index = l.l_orderkey", "txs")
+def attach_receipts(lake):
+    receipts = lake.table("lineitem").where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum("l_quantity").cast("long").alias("q"))
+    return R.attach_receipts(lake.transactions(), receipts, "transaction_index", "l_orderkey").select("transaction_index", "type", "n", "q")
+
+
+@query("SELECT e.event_id AS hash FROM events e ANTI JOIN orders ON event_id = o_orderkey * 2")
+def replay_assignment(lake):
+    tx = lake.table("orders").select((F.col("o_orderkey") * 2).alias("hash"))
+    return R.assign_replays(tx, lake.table("events").select(F.col("event_id").alias("hash")))[1]
+
+
+# weights, budgets, blocks
+
+_WEIGHT = "SELECT doc_id, CAST(coalesce(strlen(text), 0) + 512 + 32 AS BIGINT) AS weight FROM documents"
+
+
+@query(_WEIGHT)
+def row_weight(lake):
+    df = lake.table("documents").withColumn("text_size", P.byte_size(F.col("text")))
+    return df.select("doc_id", B.row_weight({"text": "text_size", "source": 512}, ["text", "source", "lang"]).alias("weight"))
+
+
+_SUMS = "SELECT block_number, CAST(sum(w) AS BIGINT) AS weight FROM (SELECT block_number, data_size + 32 AS w FROM logs WHERE address < 50 UNION ALL SELECT block_number, 64 FROM txs WHERE type = '1-URGENT' UNION ALL SELECT number, 0 FROM blocks) WHERE block_number BETWEEN 10 AND 2000 GROUP BY 1"
+
+
+def weights(lake):
+    logs = lake.logs().where("address < 50").select("block_number", B.row_weight({"data": "data_size"}, ["data", "address"]).alias("weight"))
+    txs = lake.transactions().where("type = '1-URGENT'").select("block_number", B.row_weight({}, ["from", "type"]).alias("weight"))
+    return B.block_weights([logs, txs], B.include_all(lake.blocks()), 10, 2000)
+
+
+@query(_SUMS, "logs", "txs", "blocks")
+def block_weights(lake):
+    return weights(lake)
+
+
+@query(f"SELECT block_number, CAST(weight + 32 * 3 + number % 7 AS BIGINT) AS weight FROM ({_SUMS}) JOIN blocks ON number = block_number", "logs", "txs", "blocks")
+def header_weight(lake):
+    return B.header_weight(weights(lake), lake.blocks().withColumn("extra", F.col("number") % 7), B.row_weight({"x": "extra"}, ["a", "b", "c", "x"]))
+
+
+_CUT = "SELECT block_number, weight FROM (SELECT block_number, weight, coalesce(sum(weight) OVER ({part} ORDER BY block_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM ({sums})) WHERE before <= {limit}"
+
+
+@query(_CUT.format(part="PARTITION BY block_number // 100", sums=_SUMS, limit=9000), "logs", "txs", "blocks")
+def budget_cut_per_chunk(lake):
+    return B.budget_cut(weights(lake).withColumn("chunk", F.floor(F.col("block_number") / 100)), 9000).select("block_number", "weight")
+
+
+@query(_CUT.format(part="", sums=_SUMS, limit=150_000), "logs", "txs", "blocks")
+def budget_cut_global(lake):
+    return B.budget_cut(weights(lake).withColumn("chunk", F.floor(F.col("block_number") / 100)), 150_000, per=None).select("block_number", "weight")
+
+
+@query("SELECT block_number, string_agg(transaction_index || ':' || log_index || ':' || address, ',' ORDER BY transaction_index, log_index) AS items FROM logs GROUP BY 1", "logs")
+def collect_items_ordered(lake):
+    item = F.concat_ws(":", "transaction_index", "log_index", "address")
+    return A.collect_items(lake.logs(), LOG, item).select("block_number", F.array_join("items", ",").alias("items"))
+
+
+_FLAGSHIP = """, hit AS (SELECT * FROM logs WHERE address = 7 AND block_number BETWEEN 100 AND 2200), tx AS (SELECT DISTINCT t.* FROM txs t JOIN hit USING (block_number, transaction_index)),
+shown AS (SELECT number, day FROM blocks WHERE number BETWEEN 100 AND 2200 AND (number IN (SELECT block_number FROM hit) OR number IN (SELECT unnest([min(number), max(number)]) FROM blocks WHERE number BETWEEN 100 AND 2200)))
+SELECT number AS block_number, CAST(day AS VARCHAR) AS day, coalesce((SELECT string_agg(transaction_index || ':' || log_index || ':' || topic0, ',' ORDER BY transaction_index, log_index) FROM hit WHERE block_number = number), '') AS logs,
+coalesce((SELECT string_agg(transaction_index || ':' || type, ',' ORDER BY transaction_index) FROM tx WHERE block_number = number), '') AS transactions FROM shown"""
+
+
+@query(_FLAGSHIP, "blocks", "txs", "logs")
+def flagship(lake):
+    """Logs of one address in a range of heights, with their transactions, grouped by block, and the range's ends."""
+    headers = predicates.where(lake.blocks(), predicates.block_range(100, 2200, "number"))
+    hits = predicates.where(lake.logs(), predicates.all_of([predicates.field_in("address", [7]), predicates.block_range(100, 2200)]))
+    txs = R.select_items(lake.transactions(), [R.ref_parent(hits, TX, TX)], TX)
+    log_lists = A.collect_items(hits, LOG, F.concat_ws(":", "transaction_index", "log_index", "topic0"), "logs")
+    tx_lists = A.collect_items(txs, TX, F.concat_ws(":", "transaction_index", "type"), "transactions")
+    wanted = R.union_keys([log_lists.select("block_number"), B.boundary_blocks(headers)]).distinct()
+    chosen = headers.join(wanted, headers["number"] == wanted["block_number"], "left_semi")
+    blocks = A.assemble_blocks(chosen, {"logs": log_lists, "transactions": tx_lists}, F.struct("day"))
+    return blocks.select("block_number", F.col("header.day").cast("string").alias("day"), F.array_join("logs", ",").alias("logs"), F.array_join("transactions", ",").alias("transactions"))
+
+
+@query("SELECT number AS block_number, (SELECT count(*) FROM txs WHERE block_number = number AND type = '2-HIGH') AS n_txs, (SELECT count(*) FROM logs WHERE block_number = number AND address = 3) AS n_logs FROM blocks", "blocks", "txs", "logs")
+def assemble_blocks(lake):
+    txs = A.collect_items(lake.transactions().where("type = '2-HIGH'"), TX, "transaction_index", "txs")
+    logs = A.collect_items(lake.logs().where("address = 3"), LOG, "log_index", "logs")
+    out = A.assemble_blocks(lake.blocks(), {"txs": txs, "logs": logs})
+    return out.select("block_number", F.size("txs").cast("long").alias("n_txs"), F.size("logs").cast("long").alias("n_logs"))
+
+
+@query("SELECT number AS block_number FROM blocks WHERE number BETWEEN 300 AND 900", "blocks")
+def include_all_blocks(lake):
+    return B.include_all(predicates.where(lake.blocks(), predicates.block_range(300, 900, "number")))
+
+
+@query("SELECT DISTINCT unnest([min(number), max(number)]) AS block_number FROM blocks GROUP BY chunk", "blocks")
+def boundary_blocks(lake):
+    return B.boundary_blocks(lake.blocks(), per="chunk")
+
+
+_PAGED = "SELECT doc_id // 100 AS chunk, doc_id AS block_number, coalesce(strlen(text), 0) AS size FROM documents"
+
+
+def sized_documents(lake):
+    return lake.table("documents").select(F.floor(F.col("doc_id") / 100).cast("long").alias("chunk"), F.col("doc_id").alias("block_number"), P.byte_size(F.col("text")).alias("size"))
+
+
+@query(f"SELECT block_number, CAST(floor(coalesce(sum(size) OVER (PARTITION BY chunk ORDER BY block_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 20000) AS BIGINT) AS page FROM ({_PAGED})")
+def paginate_bulk(lake):
+    return B.paginate(sized_documents(lake), 20_000, exact=False).select("block_number", "page")
+
+
+@query(f""", s AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY block_number) AS n FROM ({_PAGED})), g AS (
+SELECT chunk, block_number, n, 0 AS page, size AS total FROM s WHERE n = 1 UNION ALL
+SELECT s.chunk, s.block_number, s.n, g.page + CASE WHEN g.total > 20000 THEN 1 ELSE 0 END, CASE WHEN g.total > 20000 THEN 0 ELSE g.total END + s.size FROM g JOIN s ON s.chunk = g.chunk AND s.n = g.n + 1)
+SELECT block_number, CAST(page AS BIGINT) AS page FROM g""", "blocks")
+def paginate(lake):
+    return B.paginate(sized_documents(lake), 20_000).select("block_number", "page")
+
+
+@query(f"SELECT block_number, CAST(floor(coalesce(sum(size) OVER (ORDER BY block_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 200000) AS BIGINT) AS chunk FROM ({_PAGED})")
+def assign_chunks_bulk(lake):
+    return B.assign_chunks(sized_documents(lake).drop("chunk"), 200_000, bucket=100).select("block_number", "chunk")
+
+
+# projections
+
+
+@query("SELECT o_orderkey AS id, '{\"key\":' || o_orderkey || ',\"flag\":' || CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE '\"' || o_orderstatus || '\"' END || '}' AS j FROM orders")
+def json_object_nulls(lake):
+    flag = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), P.json_object(F.struct(F.col("o_orderkey").alias("key"), flag.alias("flag"))).alias("j"))
+
+
+@query("SELECT o_orderkey AS id, CAST(o_orderkey * 9007199254 AS VARCHAR) AS v FROM orders")
+def bigint_as_text(lake):
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), P.as_text(F.col("o_orderkey") * F.lit(9007199254)).alias("v"))
+
+
+@query("SELECT event_id AS id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def embedded_json(lake):
+    return lake.table("events").select(F.col("event_id").alias("id"), F.try_variant_get(P.embedded_json(F.col("props")), "$.k", "bigint").alias("k"))
+
+
+@query("SELECT event_id AS id, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS s FROM events")
+def epoch_seconds(lake):
+    return lake.table("events").select(F.col("event_id").alias("id"), P.epoch_seconds(F.col("ts")).alias("s"))
+
+
+@query("SELECT event_id AS id, CAST(floor(epoch_us(ts) / 1000.0) AS BIGINT) AS ms FROM events")
+def epoch_millis(lake):
+    return lake.table("events").select(F.col("event_id").alias("id"), P.epoch_millis(F.col("ts")).alias("ms"))
+
+
+@query("SELECT l_orderkey AS id, l_linenumber AS n, count(*) AS c, CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag || ',' END || l_linestatus AS v FROM lineitem GROUP BY ALL")
+def compact_list(lake):
+    v = P.compact_list(F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")), F.col("l_linestatus"), F.lit(None).cast("string"))
+    return lake.table("lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), F.array_join(v, ",").alias("v")).groupBy("id", "n", "v").agg(F.count("*").alias("c"))
+
+
+@query("SELECT doc_id AS id, array_to_string(CASE WHEN len(w) > 3 THEN w ELSE w[1:3] END, ' ') AS v FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents)")
+def concat_rest_list(lake):
+    w = F.split("text", "\n")
+    columns, rest = I.split_list(w, 3)
+    return lake.table("documents").select(F.col("doc_id").alias("id"), F.array_join(P.list_with_rest(columns, rest), " ").alias("v"))
+
+
+@query("SELECT doc_id AS id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n FROM documents")
+def byte_size(lake):
+    return lake.table("documents").select(F.col("doc_id").alias("id"), P.byte_size(F.col("text")).alias("n"))
+
+
+@query("SELECT extrinsic_index, array_to_string(address[1:1], '.') AS head, array_to_string(address[1:len(address) - 1], '.') AS parent, len(address) AS n FROM calls", "calls")
+def list_prefix(lake):
+    c = lake.calls().select("extrinsic_index", P.list_prefix(F.col("address"), 1).alias("h"), P.pop_back(F.col("address")).alias("p"), F.size("address").cast("long").alias("n"))
+    return c.select("extrinsic_index", text("h").alias("head"), text("p").alias("parent"), "n")
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'legacy' ELSE CAST(o_orderkey AS VARCHAR) END AS v FROM orders")
+def version_or_legacy(lake):
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), P.version_or_legacy(F.when(F.col("o_orderkey") % 5 == 0, -1).otherwise(F.col("o_orderkey"))).alias("v"))
+
+
+@query("SELECT event_id AS id, CASE event_type WHEN 'click' THEN '{\"user\":' || user_id || '}' WHEN 'view' THEN '{\"of\":\"' || user_id || '\"}' END AS v FROM events")
+def tagged_union(lake):
+    v = P.tagged(F.col("event_type"), {"click": {"user": F.col("user_id")}, "view": {"of": P.as_text(F.col("user_id"))}})
+    return lake.table("events").select(F.col("event_id").alias("id"), F.to_json(v).alias("v"))
+
+
+# layout and ranges
+
+
+@query("SELECT first_block, last_block FROM catalog WHERE last_block >= 250 AND first_block <= 1210", "catalog")
+def prune_chunks(lake):
+    return layout.prune_chunks(lake.catalog(), 250, 1210).select("first_block", "last_block")
+
+
+@query("SELECT dataset, first_block, last_block FROM catalog WHERE first_block <= 1210 ORDER BY first_block DESC LIMIT 1", "catalog")
+def last_chunk(lake):
+    return layout.last_chunk(lake.catalog(), None, 1210).select("dataset", "first_block", "last_block")
+
+
+_BAD = "SELECT dataset, top, CASE WHEN chunk % 4 = 1 THEN first_block - 30 WHEN chunk % 7 = 3 THEN last_block + 5 ELSE first_block END AS first_block, CASE WHEN chunk % 5 = 4 THEN last_block + 20 ELSE last_block END AS last_block FROM catalog"
+
+
+@query(f"""SELECT dataset, first_block, unnest(list_filter([CASE WHEN first_block > last_block THEN 'end_before_begin' END, CASE WHEN first_block < top THEN 'before_top' END, CASE WHEN first_block <= p THEN 'overlap' END, CASE WHEN nt > top AND last_block >= nt THEN 'crosses_top' END], lambda x: x IS NOT NULL)) AS error
+FROM (SELECT *, lag(last_block) OVER w AS p, lead(top) OVER w AS nt FROM ({_BAD}) WINDOW w AS (PARTITION BY dataset ORDER BY first_block, last_block))""", "catalog")
+def validate_layout(lake):
+    c = lake.catalog()
+    first = F.when(F.col("chunk") % 4 == 1, F.col("first_block") - 30).when(F.col("chunk") % 7 == 3, F.col("last_block") + 5).otherwise(F.col("first_block"))
+    last = F.when(F.col("chunk") % 5 == 4, F.col("last_block") + 20).otherwise(F.col("last_block"))
+    return layout.validate_layout(c.select("dataset", "top", first.alias("first_block"), last.alias("last_block")))
+
+
+@query("SELECT dataset, max(last_block) + 1 AS next_block FROM catalog GROUP BY 1", "catalog")
+def next_block(lake):
+    return layout.next_block(lake.catalog())
+
+
+@query("SELECT dataset, first_block, last_block FROM catalog WHERE chunk % 3 <> 0", "catalog")
+def incomplete_chunks(lake):
+    c = lake.catalog()
+    files = c.select("dataset", "first_block", F.when(F.col("chunk") % 3 == 0, "blocks.parquet").otherwise("logs.parquet").alias("name"))
+    return layout.incomplete_chunks(c, files).select("dataset", "first_block", "last_block")
+
+
+@query("SELECT dataset, unnest(list_filter([CASE WHEN min(first_block) <> 5 THEN 'begins_elsewhere' END, CASE WHEN max(last_block) > 1000 THEN 'ends_after' END], lambda x: x IS NOT NULL)) AS conflict FROM catalog GROUP BY 1", "catalog")
+def range_conflicts(lake):
+    return layout.range_conflicts(lake.catalog(), 5, 1000)
+
+
+_HEIGHTS = "SELECT DISTINCT dataset, unnest(range(beg, \"end\" + 1)) AS h FROM {}"
+_ISLANDS = "SELECT dataset, min(h) AS beg, max(h) AS \"end\" FROM (SELECT dataset, h, h - row_number() OVER (PARTITION BY dataset ORDER BY h) AS g FROM ({})) GROUP BY dataset, g"
+
+
+@query(_ISLANDS.format(_HEIGHTS.format("ra")), "ra")
+def merge_ranges(lake):
+    return ranges.merge_ranges(lake.ranges(3, 9))
+
+
+@query(_ISLANDS.format(f"{_HEIGHTS.format('ra')} EXCEPT {_HEIGHTS.format('rb')}"), "ra", "rb")
+def subtract_ranges(lake):
+    return ranges.subtract_ranges(lake.ranges(3, 9), lake.ranges(7, 40))
+
+
+@query(_ISLANDS.format(f"{_HEIGHTS.format('ra')} INTERSECT {_HEIGHTS.format('rb')}"), "ra", "rb")
+def intersect_ranges(lake):
+    return ranges.intersect_ranges(lake.ranges(3, 9), lake.ranges(7, 40), width=64)
+
+
+@query(" UNION ALL ".join(f"SELECT *, '{kind}' AS kind FROM ({_ISLANDS.format(f'{_HEIGHTS.format(a)} {op} {_HEIGHTS.format(b)}')})" for kind, a, op, b in (("new", "ra", "EXCEPT", "rb"), ("deletable", "rb", "EXCEPT", "ra"), ("needed", "ra", "INTERSECT", "rb"))), "ra", "rb")
+def coverage_report(lake):
+    return ranges.coverage(lake.ranges(3, 9), lake.ranges(7, 40))
+
+
+@query(f"SELECT p.dataset, p.n, m.beg, m.\"end\" FROM (SELECT c_mktsegment AS dataset, c_custkey AS n FROM customer) p JOIN ({_ISLANDS.format(_HEIGHTS.format('rb'))}) m ON p.dataset = m.dataset AND p.n BETWEEN m.beg AND m.\"end\"", "rb")
+def find_range(lake):
+    points = lake.table("customer").select(F.col("c_mktsegment").alias("dataset"), F.col("c_custkey").alias("n"))
+    return ranges.find_range(ranges.merge_ranges(lake.ranges(7, 40)), points, width=64).select("dataset", "n", "beg", "end")
+
+
+@query("SELECT unnest(range(min(number), max(number) + 1)) AS number FROM blocks EXCEPT SELECT number FROM blocks", "blocks")
+def missing_blocks(lake):
+    return ranges.missing_blocks(lake.blocks(), bucket=500)
+
+
+@query("SELECT * FROM (VALUES ('orders', 'o_orderkey', 'bigint', false), ('orders', 'call', 'int', true)) t(\"table\", \"column\", type, nullable) UNION ALL SELECT 'nation', 'n_name', 'string', false")
+def dataset_metadata(lake):
+    o = lake.table("orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", 1).alias("call"))
+    return layout.dataset_metadata({"orders": o, "nation": lake.table("nation").select("n_name")})
+
+
+# ingest and audits
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN length(o_orderpriority) >= 10 THEN substr(o_orderpriority, 1, 10) END AS s10, CASE WHEN length(o_orderpriority) >= 8 THEN substr(o_orderpriority, 1, 8) END AS s8 FROM orders")
+def sighash(lake):
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), I.sighash(F.col("o_orderpriority")).alias("s10"), I.sighash(F.col("o_orderpriority"), 8).alias("s8"))
+
+
+@query("SELECT doc_id AS id, w[1] AS c0, w[2] AS c1, CASE WHEN len(w) > 2 THEN array_to_string(w[3:], '|') END AS rest FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents)")
+def split_list(lake):
+    (c0, c1), rest = I.split_list(F.split("text", "\n"), 2)
+    return lake.table("documents").select(F.col("doc_id").alias("id"), c0.alias("c0"), c1.alias("c1"), F.array_join(rest, "|").alias("rest"))
+
+
+@query("SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS event_index FROM events")
+def event_index(lake):
+    return I.event_index(lake.table("events"), "user_id", "event_id").select("event_id", F.col("event_index").cast("long").alias("event_index"))
+
+
+@query("SELECT o_orderkey AS id, o_orderkey % 65536 AS v, CAST(o_custkey AS BIGINT) AS t FROM orders")
+def convert_quantities(lake):
+    hexed = F.concat(F.lit("0x"), F.lower(F.hex(F.col("o_orderkey") % 65536)))
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), I.hex_to_int(hexed).alias("v"), I.text_to_int(F.col("o_custkey").cast("string")).alias("t"))
+
+
+@query("SELECT doc_id AS id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS text_size, row_number() OVER (PARTITION BY source ORDER BY lang, doc_id) - 1 AS _idx FROM documents")
+def add_sizes(lake):
+    out = I.add_sizes(lake.table("documents"), ["text"], ["lang", "doc_id"], per="source")
+    return out.select(F.col("doc_id").alias("id"), "text_size", F.col("_idx").cast("long").alias("_idx"))
+
+
+def hashed(lake):
+    """Blocks that link to the height before, but for some that do not."""
+    h = lambda n: F.concat(F.lit("0x"), F.lpad(F.hex(n), 16, "0"))
+    parent = F.when(F.col("number") % 50 == 7, F.col("number") + 3).otherwise(F.col("number") - 1)
+    return lake.blocks().where("number < 2000").select("number", h(F.col("number")).alias("hash"), h(parent).alias("parent_hash"))
+
+
+@query("SELECT number AS block_number FROM (SELECT number, lag(number) OVER (ORDER BY number) AS p, CASE WHEN number % 50 = 7 THEN number + 3 ELSE number - 1 END AS q FROM blocks WHERE number < 2000) WHERE p IS NOT NULL AND p <> q", "blocks")
+def audit_continuity(lake):
+    return audit.audit_continuity(hashed(lake), "last5", bucket=100).select("block_number")
+
+
+@query("SELECT block_number, transaction_index || '-' || log_index AS key FROM logs WHERE transaction_index % 4 = 0", "logs")
+def audit_log_links(lake):
+    txs = lake.transactions().where("transaction_index % 4 <> 0").withColumn("hash", F.col("transaction_index").cast("string"))
+    return audit.audit_log_links(lake.logs().withColumn("transaction_hash", F.col("transaction_index").cast("string")), txs).select("block_number", "key")
+
+
+@query("SELECT block_number, CAST(transaction_index AS VARCHAR) AS key FROM txs WHERE status = 'P'", "txs")
+def audit_missing_type(lake):
+    return audit.audit_missing(lake.transactions().withColumn("type", F.when(F.col("status") != "P", F.col("type"))), "type", "transaction_index").select("block_number", "key")
+
+
+@query("SELECT l_orderkey || '-' || l_linenumber AS key, CAST(count(*) AS VARCHAR) AS actual FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+def audit_duplicates(lake):
+    return audit.audit_duplicates(lake.table("lineitem"), ["l_orderkey", "l_linenumber"]).select("key", "actual")
+
+
+@query("SELECT number AS block_number, CAST(coalesce(n, 0) AS VARCHAR) AS actual FROM blocks LEFT JOIN (SELECT block_number, count(*) AS n FROM txs GROUP BY 1) ON number = block_number WHERE coalesce(n, 0) <> number % 9", "blocks", "txs")
+def audit_counts(lake):
+    return audit.audit_counts(lake.blocks().withColumn("declared", F.col("number") % 9), lake.transactions(), "declared").select("block_number", "actual")
+
+
+# streams, as batches
+
+
+@query("SELECT event_id, event_type FROM (SELECT *, max(event_id) OVER (PARTITION BY event_type) AS tip FROM events) WHERE event_id <= tip - 10")
+def finalized_blocks(lake):
+    return S.finalized(lake.table("events").withColumnRenamed("event_id", "number"), 10, "event_type").select(F.col("number").alias("event_id"), "event_type")
+
+
+@query("""SELECT event_type AS chain, strftime(w, '%Y-%m-%d %H:%M:%S') AS start, CAST(round((max(event_id) - min(event_id)) / 600.0 * 1000) AS BIGINT) AS milli_rate FROM (
+SELECT event_type, event_id, unnest([time_bucket(INTERVAL 300 SECONDS, ts), time_bucket(INTERVAL 300 SECONDS, ts) - INTERVAL 300 SECONDS]) AS w FROM events) GROUP BY 1, w""")
+def progress_rate(lake):
+    rate = S.progress_rate(lake.table("events"), "event_id", "ts", "event_type", "600 seconds", "300 seconds", 600)
+    return rate.select("chain", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), F.round(F.col("rate") * 1000).cast("long").alias("milli_rate"))
+
+
+@query("SELECT event_type AS chain, max(event_id) AS latest, CAST(max(value * 1000) AS BIGINT) AS worst FROM events GROUP BY 1")
+def delivery_delay(lake):
+    e = lake.table("events").withColumn("seen", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.round(F.col("value") * 1_000_000).cast("long")))
+    out = S.delivery_delay(e, "event_id", "ts", "seen", "event_type")
+    return out.select("chain", "latest", F.round(F.col("worst_seconds") * 1000).cast("long").alias("worst"))
+
+
+def flagship_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["flagship"](spark, sf_dir)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
