@@ -1,0 +1,8 @@
+"""Analytics over lakes of block-structured ledger data, as DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+#: Functions that run in tasks travel with them, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 def collect_items(df: DataFrame, key: list[str], item: Column | str, name: str = "items") -> DataFrame:
     """``block_number`` and the list of its items in order of their key; array keys sort as lists do."""
     item = F.col(item) if isinstance(item, str) else item
-    pairs = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)], item.alias("item"))
-    return df.groupBy("block_number").agg(F.array_sort(F.collect_list(pairs)).alias("_all")).select("block_number", F.transform("_all", lambda x: x["item"]).alias(name))
+    pairs = F.struct(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)]).alias("k"), item.alias("item"))
+    if "variant" in df.select(item.alias("i")).dtypes[0][1]:  # which has no order, so keys alone are compared
+        ordered = F.array_sort("_all", lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+    else:
+        ordered = F.array_sort("_all")
+    return df.groupBy("block_number").agg(F.collect_list(pairs).alias("_all")).select("block_number", F.transform(ordered, lambda x: x["item"]).alias(name))
 
 
 def assemble_blocks(headers: DataFrame, lists: dict[str, DataFrame], header: Column | None = None) -> DataFrame:

@@ -168,11 +168,12 @@ def prestate_diff(pre: DataFrame, post: DataFrame) -> DataFrame:
 def parity_state_diff(df: DataFrame, diff: str = "diff") -> DataFrame:
     """Rows ``block_number, transaction_index, address, key, diff`` with JSON diffs: "=" is nothing, +, - and * as they say."""
     v = F.col(diff)
-    got = lambda path: F.get_json_object(v, path)
-    kind = F.when(got("$['+']").isNotNull(), "+").when(got("$['-']").isNotNull(), "-").when(got("$['*']").isNotNull(), "*")
-    prev = F.coalesce(got("$['-']"), got("$['*'].from"))
-    nxt = F.coalesce(got("$['+']"), got("$['*'].to"))
-    return df.where(v != '"=').select("block_number", "transaction_index", "address", "key", kind.alias("kind"), prev.alias("prev"), nxt.alias("next")).where("kind is not null")
+    m = F.from_json(v, "map<string,string>")
+    got = lambda sign, path=None: F.get_json_object(F.try_element_at(m, F.lit(sign)), path) if path else F.try_element_at(m, F.lit(sign))
+    kind = F.when(got("+").isNotNull(), "+").when(got("-").isNotNull(), "-").when(got("*").isNotNull(), "*")
+    prev = F.coalesce(got("-"), got("*", "$.from"))
+    nxt = F.coalesce(got("+"), got("*", "$.to"))
+    return df.where(F.trim(v) != '"="').select("block_number", "transaction_index", "address", "key", kind.alias("kind"), prev.alias("prev"), nxt.alias("next")).where("kind is not null")
 
 
 def explode_state_updates(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -43,7 +43,7 @@ class RelSpec:
     include_self: bool = False
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class ItemSpec:
     """An output collection: entity name in ``fields``, its table, the scans that select it, relations, mandatory fields."""
 
