@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blocklake.llm.common import doc_id_of, identified, slices, table, text_buffers
-from blocklake.llm.tokens import NOT_SPACE, anchors, prefix_sums, span_hash, words
+from blocklake.llm.tokens import NOT_SPACE, anchors, grouped, prefix_sums, span_hash, words
 
 WINDOW, GRAM = 35, 10
 #: Occurrences of a minimiser beyond which its windows travel one by one.
@@ -35,6 +35,8 @@ def _word_sums(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _minimisers(window: int, gram: int):
+    """A row for each text and minimiser: its super-k-mers as ``first << 32 | last`` window. A text that repeats itself has one row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
@@ -44,8 +46,9 @@ def _minimisers(window: int, gram: int):
                 first, last, at, h = anchors(sums, bounds, window, gram)
                 doc = np.searchsorted(bounds, first, "right") - 1
                 own = bounds[doc]
-                columns = [h.view(np.int64), ids[a + doc], ths[a + doc], (first - own).astype(np.int32), (last - own).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "id", "th", "first", "last"])
+                h, doc, lists = grouped(h, doc, (first - own) << 32 | (last - own))
+                columns = [pa.array(h.view(np.int64)), pa.array(ids[a + doc]), pa.array(ths[a + doc]), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "id", "th", "runs"])
 
     return run
 
@@ -54,37 +57,38 @@ def hash_of(packed: bytes) -> int:
     return xxhash.xxh3_64_intdigest(packed) - (1 << 63)
 
 
-def _pieces(text: bytes, runs: list[dict], window: int, hot: int) -> Iterator[tuple[int, int, bytes]]:
+def _pieces(text: bytes, found: list[dict], window: int, hot: int) -> Iterator[tuple[int, int, bytes]]:
     """``h, first, packed`` of a text's candidate super-k-mers; of hot minimisers, of each window by itself."""
     own = text.split()
-    for run in runs:
-        if run["n"] <= hot:
-            yield run["h"], run["first"], b" ".join(own[run["first"] : run["last"] + window])
-        else:
-            for i in range(run["first"], run["last"] + 1):
-                packed = b" ".join(own[i : i + window])
-                yield hash_of(packed), i, packed
+    for x in found:
+        for run in x["runs"]:
+            first, last = run >> 32, run & 0xFFFFFFFF
+            if x["n"] <= hot:
+                yield x["h"], first, b" ".join(own[first : last + window])
+            else:
+                for i in range(first, last + 1):
+                    packed = b" ".join(own[i : i + window])
+                    yield hash_of(packed), i, packed
 
 
 def _cut(window: int, hot: int, links: bool):
-    """Packed strings with how often each stands in the batch, or (links) where each stands."""
+    """Packed strings with how often each stands in the batch, or (links) where in each text each stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary() if pa.types.is_string(batch.column("text").type) else pa.large_binary())
-            runs, ids, ths = batch.column("runs"), batch.column("id").to_pylist(), batch.column("th").to_pylist()
+            found, ids, ths = batch.column("found"), batch.column("id").to_pylist(), batch.column("th").to_pylist()
             rows, sums = [], {}
-            for i, mine in enumerate(runs):
-                mine = mine.as_py()
-                if not mine:
-                    continue
-                for h, first, packed in _pieces(texts[i].as_py(), mine, window, hot):
+            for i, mine in enumerate(found):
+                places: dict[tuple[int, int], list[int]] = {}
+                for h, first, packed in _pieces(texts[i].as_py(), mine.as_py() or (), window, hot):
                     if links:
-                        rows.append((h, hash_of(packed), ids[i], ths[i], first))
+                        places.setdefault((h, hash_of(packed)), []).append(first)
                     else:
                         sums[h, packed] = sums.get((h, packed), 0) + 1
+                rows += [(h, sid, ids[i], ths[i], at) for (h, sid), at in places.items()]
             if links:
-                names, kinds = ["h", "sid", "id", "th", "first"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+                names, kinds = ["h", "sid", "id", "th", "at"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
             else:
                 rows = [(h, hash_of(packed), packed, n) for (h, packed), n in sums.items()]
                 names, kinds = ["h", "sid", "packed", "n"], [pa.int64(), pa.int64(), pa.binary(), pa.int64()]
@@ -167,7 +171,7 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, mine in enumerate(batch.column("spans")):
             own = texts[i].as_py().split()
             cut: list[list[int]] = []
-            for x in sorted((x["start"], x["end"]) for x in mine.as_py() or ()):
+            for x in sorted((x["start"], x["end"]) for part in mine.as_py() or () for x in part):
                 if cut and x[0] <= cut[-1][1]:
                     cut[-1][1] = max(cut[-1][1], x[1])
                 else:
@@ -192,16 +196,17 @@ def dedup_substrings(docs: DataFrame, text: str = "text", window: int = WINDOW,
     empty table gives an empty one; other columns are left out.
     """
     rows = identified(docs, text)
-    runs = rows.mapInArrow(_minimisers(window, gram), "h long, id long, th long, first int, last int").repartition("h")
-    again = runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    candidates = runs.join(again, "h").groupBy("id", "th").agg(F.collect_list(F.struct("h", "n", "first", "last")).alias("runs"))
+    runs = rows.mapInArrow(_minimisers(window, gram), "h long, id long, th long, runs array<long>").repartition("h")
+    again = runs.groupBy("h").agg(F.sum(F.size("runs")).alias("n")).where("n > 1")
+    candidates = runs.join(again, "h").groupBy("id", "th").agg(F.collect_list(F.struct("h", "n", "runs")).alias("found"))
     by_row = rows.repartition("id", "th")  # one exchange of the texts serves all three uses below
     found = by_row.join(candidates, ["id", "th"], "left")
     strings = found.mapInArrow(_cut(window, hot, False), "h long, sid long, packed binary, n long").repartition("h").sortWithinPartitions("h")
     twice = strings.mapInArrow(_count(window), "h long, sid long, twice array<struct<a:int,b:int>>")
-    places = found.mapInArrow(_cut(window, hot, True), "h long, sid long, id long, th long, first int")
-    spans = places.join(twice, ["h", "sid"]).select("id", "th", F.explode(F.transform("twice", lambda x: F.struct((F.col("first") + x["a"]).alias("start"), (F.col("first") + x["b"] + window).alias("end")))).alias("span"))
-    per_row = spans.groupBy("id", "th").agg(F.collect_list("span").alias("spans"))
+    places = found.mapInArrow(_cut(window, hot, True), "h long, sid long, id long, th long, at array<int>")
+    span = lambda at, x: F.struct((at + x["a"]).alias("start"), (at + x["b"] + window).alias("end"))
+    spans = places.join(twice, ["h", "sid"]).select("id", "th", F.flatten(F.transform("at", lambda at: F.transform("twice", lambda x: span(at, x)))).alias("spans"))
+    per_row = spans.groupBy("id", "th").agg(F.collect_list("spans").alias("spans"))
     cleaned = by_row.join(per_row, ["id", "th"], "left").mapInArrow(_clean, "id long, th long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, text string")
     return cleaned.select(doc_id_of(F.col("id")), "th", "n_words", "n_removed", "spans", "text")
 

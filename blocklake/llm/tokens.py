@@ -6,6 +6,7 @@ All functions take the bytes of several texts laid end to end with their offsets
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 #: Byte classes: true where a byte belongs to a word.
 NOT_SPACE = np.ones(256, bool)
@@ -97,3 +98,11 @@ def anchors(sums: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tup
     change = np.flatnonzero((at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)) + 1
     first, last = np.r_[0, change], np.r_[change, len(at)] - 1
     return starts[first], starts[last], at[first], h[at[first]]
+
+
+def grouped(h: np.ndarray, doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """Values of one hash in one text as a list: ``h, doc, lists``, in order of text and hash."""
+    order = np.lexsort((value, h, doc))
+    h, doc, value = h[order], doc[order], value[order]
+    first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])]) if len(h) else np.zeros(0, np.int64)
+    return h[first], doc[first], pa.ListArray.from_arrays(pa.array(np.r_[first, len(h)].astype(np.int32)), pa.array(value))
