@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blocklake.llm.common import doc_id_of, identified, slices, table, text_buffers
-from blocklake.llm.tokens import anchors, prefix_sums
+from blocklake.llm.tokens import anchors, grouped, prefix_sums
 
 LENGTH, GRAM = 200, 48
 SPANS = "array<struct<start:int,end:int>>"
@@ -46,8 +46,8 @@ def _anchors(length: int, gram: int):
                 new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else at
                 at, h = at[new], h[new]
                 doc = np.searchsorted(bounds, at, "right") - 1
-                columns = [h.view(np.int64), ids[a + doc], ths[a + doc], (at - bounds[doc]).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "id", "th", "at"])
+                h, doc, lists = grouped(h, doc, (at - bounds[doc]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[a + doc]), pa.array(ths[a + doc]), lists], ["h", "id", "th", "at"])
 
     return run
 
@@ -77,20 +77,21 @@ def _runs(length: int, buckets: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = pa.list_(pa.struct([("id", pa.int64()), ("th", pa.int64()), ("at", pa.int32())]))
+        place = pa.list_(pa.struct([("id", pa.int64()), ("th", pa.int64()), ("at", pa.list_(pa.int32()))]))
         for batch in batches:
             texts, all_at = _binary(batch.column("text")), batch.column("anchors")
             ids, ths = batch.column("id").to_pylist(), batch.column("th").to_pylist()
-            parts: dict[int, dict[tuple[bytes, bytes], list]] = {}
+            parts: dict[int, dict[tuple[bytes, bytes], dict]] = {}
             for i, mine in enumerate(all_at):
                 mine = mine.as_py()
                 if not mine:
                     continue
                 text = texts[i].as_py()
                 for x in mine:
-                    at = x["at"]
-                    key = (text[at : at + length], text[max(0, at - length + 1) : at][::-1])
-                    parts.setdefault(x["h"] % buckets, {}).setdefault(key, []).append({"id": ids[i], "th": ths[i], "at": at})
+                    found = parts.setdefault(x["h"] % buckets, {})
+                    for at in x["at"]:
+                        key = (text[at : at + length], text[max(0, at - length + 1) : at][::-1])
+                        found.setdefault(key, {}).setdefault(i, []).append(at)
             rows: list[list] = [[], [], [], [], []]
             for bucket, found in parts.items():
                 keys, last = sorted(found), b""
@@ -100,7 +101,7 @@ def _runs(length: int, buckets: int):
                     shared.append(n)
                     rest.append(suffix[n:])
                     last = suffix
-                for column, value in zip(rows, (bucket, shared, rest, [before for _, before in keys], [found[k] for k in keys]), strict=True):
+                for column, value in zip(rows, (bucket, shared, rest, [before for _, before in keys], [[{"id": ids[i], "th": ths[i], "at": at} for i, at in found[k].items()] for k in keys]), strict=True):
                     column.append(value)
             kinds = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(place)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], ["bucket", "shared", "rest", "before", "places"])
@@ -173,7 +174,7 @@ def matches(group: list[tuple[bytes, bytes, list]], shares: list[int], length: i
     """``item, l, r``: for each suffix of a group (sorted; ``shares`` with the one before) what it repeats around its anchor."""
     n = len(group)
     for i, (suffix, before, places) in enumerate(group):
-        if len(places) > 1 and len(suffix) + len(before) >= length:
+        if (len(places) > 1 or len(places[0]["at"]) > 1) and len(suffix) + len(before) >= length:
             yield i, len(before), len(suffix)
     if n < 2:
         return
@@ -212,7 +213,7 @@ def _merge(length: int, gram: int):
         out: dict[tuple[int, int], list] = {}
 
         def group_done(group: list, shares: list[int]) -> None:
-            if len(group) == 1 and len(group[0][2]) == 1:
+            if len(group) == 1 and len(group[0][2]) == 1 and len(group[0][2][0]["at"]) == 1:
                 return
             best: dict[int, list[tuple[int, int]]] = {}
             for i, left, right in matches(group, shares, length):
@@ -226,7 +227,7 @@ def _merge(length: int, gram: int):
                         far = right
                 for place in group[i][2]:
                     spans = out.setdefault((place["id"], place["th"]), [])
-                    spans += [{"start": place["at"] - left, "end": place["at"] + right} for left, right in kept]
+                    spans += [(at - left, at + right) for at in place["at"] for left, right in kept]
 
         def done() -> None:
             group: list = []
@@ -245,7 +246,7 @@ def _merge(length: int, gram: int):
             runs.clear()
 
         def batch_of() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), pa.array(list(out.values()), _SPANS)], ["id", "th", "spans"])
+            made = pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), pa.array([[{"start": a, "end": b} for a, b in united(x)] for x in out.values()], _SPANS)], ["id", "th", "spans"])
             out.clear()
             return made
 
@@ -304,11 +305,11 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
     spark = docs.sparkSession
     rows = identified(docs, text)
     buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = rows.mapInArrow(_anchors(length, gram), "h long, id long, th long, at int").repartition("h")
-    again = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    candidates = found.join(again, "h").groupBy("id", "th").agg(F.collect_set(F.struct("h", "at")).alias("anchors"))
+    found = rows.mapInArrow(_anchors(length, gram), "h long, id long, th long, at array<int>").repartition("h")
+    again = found.groupBy("h").agg(F.sum(F.size("at")).alias("n")).where("n > 1").select("h")
+    candidates = found.join(again, "h").groupBy("id", "th").agg(F.collect_list(F.struct("h", "at")).alias("anchors"))
     by_row = rows.repartition("id", "th")  # one exchange of the texts serves both uses below
-    runs = by_row.join(candidates, ["id", "th"], "left").mapInArrow(_runs(length, buckets), "bucket int, shared array<int>, rest array<binary>, before array<binary>, places array<array<struct<id:long,th:long,at:int>>>")
+    runs = by_row.join(candidates, ["id", "th"], "left").mapInArrow(_runs(length, buckets), "bucket int, shared array<int>, rest array<binary>, before array<binary>, places array<array<struct<id:long,th:long,at:array<int>>>>")
     merged = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(length, gram), f"id long, th long, spans {SPANS}")
     per_row = merged.groupBy("id", "th").agg(F.collect_list("spans").alias("spans"))
     cleaned = by_row.join(per_row, ["id", "th"], "left").mapInArrow(_clean, f"id long, th long, n_bytes long, n_removed long, spans {SPANS}, kept binary")
