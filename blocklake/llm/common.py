@@ -8,15 +8,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import blocklake
-
-#: Functions that run in tasks travel with them, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(blocklake)
-
 #: White space that separates words, as a regular expression class; words are maximal runs of anything else.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
