@@ -202,8 +202,21 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
     names = F.array_join(F.sort_array(F.transform("items", lambda x: x.cast("string"))), ",")
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "longest")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 QUERIES = {"op8_benchmark_decontamination": query}
-SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL = {
+    "op8_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS s FROM i, unnest(range(1, len(w) - n + 2)) t(k)),
+dw AS (SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS s FROM (SELECT d.*, l.n FROM d, (SELECT DISTINCT n FROM iw) l), unnest(range(1, len(w) - n + 2)) t(k)),
+hits AS (SELECT doc_id, k, n, item_id FROM dw JOIN iw USING (n, s)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(k, k + n)) t(p) GROUP BY 1),
+f AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN f USING (doc_id)"""
+}

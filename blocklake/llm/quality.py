@@ -110,4 +110,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_quality_rules": query}
-SQL: dict[str, str] = {}
+_PHRASES = " OR ".join(f"contains(low, '{p}')" for p in BOILERPLATE)
+
+SQL = {
+    "op3_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+tri AS (SELECT doc_id, k, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] AS s FROM d, unnest(range(1, len(w) - 1)) t(k)),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) AS p FROM tri SEMI JOIN (SELECT doc_id, s FROM tri GROUP BY ALL HAVING count(*) > 1) USING (doc_id, s)) GROUP BY 1),
+line AS (SELECT doc_id, x, lower(x) AS low, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+judged AS (SELECT *, (length(x) - length(translate(x, '#*$%&|<>{{}}\^~=', ''))) * 10 >= length(x) OR length(x) - length(translate(x, '|»›•·', '')) >= 3 OR (length(x) <= {SHORT_LINE} AND (
+  ((contains(low, 'http://') OR contains(low, 'https://') OR contains(low, 'www.')) AND n <= 6) OR {_PHRASES} OR (length(x) - length(translate(x, '|»›•·', '')) >= 1 AND n <= 12)
+  OR (n < 4 AND NOT regexp_matches(x, '[.!?…:;。！？]["''”’»)\]]*\s*$')))) AS bad FROM line),
+by_doc AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n_dup, CAST(coalesce(sum(n) FILTER (bad), 0) AS BIGINT) AS lost FROM judged GROUP BY 1),
+f AS (SELECT doc_id, len(w) AS n_words, length(translate(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS word_chars,
+  length(text) - length(translate(text, '{SYMBOLS}', '')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words, coalesce(lost, 0) AS lost_words FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN by_doc USING (doc_id))
+SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND lost_words * 100 <= n_words * 50 AS kept FROM f"""
+}

@@ -217,4 +217,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op5_substring_dedup": query}
-SQL: dict[str, str] = {}
+SQL = {
+    "op5_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, k, array_to_string(w[k:k + 34], ' ') AS s FROM d, unnest(range(1, len(w) - 33)) t(k)),
+twice AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, k FROM win SEMI JOIN twice USING (s)), unnest(range(k, k + 35)) t(p)),
+each_word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM each_word ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+}

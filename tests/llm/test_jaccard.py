@@ -43,8 +43,7 @@ def near(seed, copies, length, most):
         yield (10_000 * seed + k, " ".join(w), "en", "s", 0)
 
 
-@pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80), (1, 60)])
-@pytest.mark.parametrize("boundary", [None, 1, 10_000])
+@pytest.mark.parametrize(("n", "percent", "boundary"), [(4, 85, None), (5, 80, 1), (1, 60, 10_000), (4, 85, 60)])
 def test_components_against_brute_force(spark, monkeypatch, n, percent, boundary):
     monkeypatch.setattr(jaccard, "COMMON", 6)
     if boundary:

@@ -41,9 +41,9 @@ def test_tree_deals_every_quota_and_even_shards(spark):
 def test_draws_follow_the_hypergeometric_law(spark):
     """Left counts of 10 of 40 blocks over many seeds: mean 5, variance 20 * .25 * .75 * 20 / 39."""
     quotas = spark.createDataFrame([("a", 10), ("b", 30)], "source string, quota long")
-    left = [sum(r.n for r in split_quotas(quotas, 1, seed).where("source = 'a' and shard = 0").collect()) for seed in range(60)]
+    left = [sum(r.n for r in split_quotas(quotas, 1, seed).where("source = 'a' and shard = 0").collect()) for seed in range(24)]
     mean = sum(left) / len(left)
-    assert abs(mean - 5) < 0.7 and 0.8 < sum((x - mean) ** 2 for x in left) / len(left) < 3.5
+    assert abs(mean - 5) < 1.2 and 0.5 < sum((x - mean) ** 2 for x in left) / len(left) < 4.5
 
 
 def test_mix_meets_targets_and_repeats(spark):

@@ -23,7 +23,7 @@ def test_figures_are_those_of_brute_force(spark):
 
 
 def test_lines_fail_before_documents(spark):
-    prose = "\n".join(f"This is sentence number {i} of a text about rivers, lakes and the sea of the north number {i}." for i in range(12))
+    prose = "\n".join(f"Sentence{i} tells{i} of rivers{i}, lakes{i} and seas{i} in{i} the north{i}." for i in range(12))
     junk = "\n".join(["Home | About | Contact | Imprint"] * 3 + ["We use cookies to make this site better."])
     rows = [(1, prose, "en", "s", 0), (2, f"{prose}\n{junk}", "en", "s", 0), (3, "\n".join(f"Link{i} | Other{i} | More{i} | Last{i}" for i in range(30)), "en", "s", 0)]
     got = {r.doc_id: r for r in quality_rules(docs(spark, rows)).collect()}
