@@ -36,7 +36,8 @@ NO_ROLE = set("navigation banner contentinfo complementary search dialog alert a
 #: First or last parts of class names and ids of what surrounds an article.
 AROUND = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar footer comment comments respond reply replies disqus "
-    "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations widget toolbar pagination pager masthead skip header topbar".split()
+    "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations widget toolbar pagination pager masthead skip header topbar "
+    "adsbygoogle adsense adbox adslot adunit advertorial sidenav topnav subnav drawer crumbs copyright colophon notification announcement cookiebar cookiebanner commentlist commenters discussion".split()
 )
 HEADED = set("article entry post content story".split())
 NOT_IF_FIRST = set("has no with without is not hide show".split())
