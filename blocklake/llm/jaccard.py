@@ -242,4 +242,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_ngram_jaccard_join": query}
-SQL: dict[str, str] = {}
+SQL = {
+    "op2_ngram_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) t(k) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS v, doc_id AS r FROM d UNION SELECT both_ways.b, reach.r FROM reach JOIN both_ways ON both_ways.a = reach.v)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY 1) USING (doc_id)"""
+}

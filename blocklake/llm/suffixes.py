@@ -323,4 +323,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op6_suffix_array_dedup": query}
-SQL: dict[str, str] = {}
+SQL = {
+    "op6_suffix_array_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+win AS (SELECT doc_id, k, md5(substr(x, 2 * k + 1, 400)) AS h FROM d, unnest(range(0, n - 199)) t(k)),
+twice AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM win SEMI JOIN twice USING (h)),
+span AS (SELECT doc_id, min(k) AS a, max(k) + 200 AS b FROM (SELECT doc_id, k, sum(CASE WHEN before IS NULL OR k > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS g FROM hit) GROUP BY doc_id, g),
+gap AS (SELECT doc_id, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM span WINDOW w AS (PARTITION BY doc_id ORDER BY a) UNION ALL SELECT doc_id, max(b), NULL FROM span GROUP BY doc_id),
+cut AS (SELECT doc_id, string_agg(substr(x, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS kept FROM gap JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM span GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN sums USING (doc_id)"""
+}
