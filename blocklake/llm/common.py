@@ -16,12 +16,15 @@ SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, from ``spark.checkpoint.dir``; a folder of our own only where that is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="blocklake-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    if not path:  # a local session, as in tests
+        app = spark.sparkContext.applicationId
+        path = _own[app] = _own.get(app) or "file://" + tempfile.mkdtemp(prefix="blocklake-")
     return path.rstrip("/")
 
 
