@@ -19,16 +19,26 @@ LOWER[0x41:0x5B] += 32
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    """base ** i mod 2 ** 64 for i < n."""
-    if len(_powers.get(base, ())) < n:
-        table = np.full(max(n, 1 << 16), base, np.uint64)
-        table[0] = 1
-        _powers[base] = np.cumprod(table, dtype=np.uint64)
-    return _powers[base][:n]
+class _Powers:
+    """Tables of base ** i mod 2 ** 64, made as long as they are needed; copies that travel to tasks start empty."""
+
+    def __init__(self) -> None:
+        self.tables: dict[int, np.ndarray] = {}
+
+    def __reduce__(self):
+        return (_Powers, ())
+
+    def __call__(self, base: int, n: int) -> np.ndarray:
+        if base not in self.tables or len(self.tables[base]) < n:
+            table = np.full(max(n, 1 << 16), base, np.uint64)
+            table[0] = 1
+            self.tables[base] = np.cumprod(table, dtype=np.uint64)
+        return self.tables[base][:n]
+
+
+_power = _Powers()
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
