@@ -274,9 +274,9 @@ def apply_rules(transactions: DataFrame, rules: DataFrame, chain: str) -> DataFr
     A null hash stands for all transactions of the blocks. Actions: ``drop``; ``drop_type`` (transactions of type ``value``);
     ``fill_type`` (type ``value`` where it is null). Rules are a short table that people write.
     """
-    own = F.broadcast(rules.where(F.col("chain") == chain).drop("chain"))  # written by hand, a few rows
-    met = transactions.join(own, (F.col("block_number") >= F.col("from_block")) & (F.col("block_number") <= F.col("to_block")) & (F.col("tx_hash").isNull() | (F.col("tx_hash") == F.col("hash"))), "left")
-    drop = F.coalesce((F.col("action") == "drop") | ((F.col("action") == "drop_type") & (F.col("type") == F.col("value"))), F.lit(False))
+    mine = rules.where(F.col("chain") == chain).select(*[F.col(c).alias(f"_{c}") for c in ("from_block", "to_block", "tx_hash", "action", "value")])
+    met = transactions.join(F.broadcast(mine), F.col("block_number").between(F.col("_from_block"), F.col("_to_block")) & (F.col("_tx_hash").isNull() | (F.col("_tx_hash") == F.col("hash"))), "left")  # rules are written by hand
+    drop = F.coalesce((F.col("_action") == "drop") | ((F.col("_action") == "drop_type") & (F.col("type") == F.col("_value"))), F.lit(False))
     key = ["block_number", "transaction_index"]
-    verdict = met.groupBy(*key).agg(F.max(drop).alias("_drop"), F.max(F.when(F.col("action") == "fill_type", F.col("value"))).alias("_fill"))
+    verdict = met.groupBy(*key).agg(F.max(drop).alias("_drop"), F.max(F.when(F.col("_action") == "fill_type", F.col("_value"))).alias("_fill"))
     return transactions.join(verdict.where("not _drop"), key).withColumn("type", F.coalesce("type", "_fill")).drop("_drop", "_fill")

@@ -13,7 +13,7 @@ from blocklake.operators import audit, predicates, ranges
 from blocklake.operators import budget as B
 from blocklake.operators import ingest as I
 from blocklake.operators import relations as R
-from blocklake.sources import layout
+from blocklake.sources import layout, sinks
 from blocklake.sources.adapter import Lake, with_lake
 from blocklake.streaming import stream as S
 
@@ -531,9 +531,85 @@ def audit_counts(lake):
     return audit.audit_counts(lake.blocks().withColumn("declared", F.col("number") % 9), lake.transactions(), "declared").select("block_number", "actual")
 
 
+_STATE = "SELECT o_orderkey AS t, CASE WHEN o_custkey % 2 = 0 THEN 'balance' ELSE 'slot' END AS k, {value} AS v FROM orders WHERE {test}"
+
+
+@query(f"""SELECT coalesce(a.t, b.t) AS transaction_index, coalesce(a.k, b.k) AS "key", CASE WHEN a.v IS NULL THEN '+' WHEN b.v IS NULL THEN '-' ELSE '*' END AS kind, a.v AS prev, b.v AS next
+FROM ({_STATE.format(value="o_orderstatus", test="o_orderkey % 2 = 1")}) a FULL JOIN ({_STATE.format(value="CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus ELSE 'Z' END", test="o_orderkey % 3 <> 0")}) b ON a.t = b.t AND a.k = b.k
+WHERE NOT (coalesce(a.k, b.k) = 'balance' AND b.v IS NULL) AND a.v IS DISTINCT FROM b.v""")
+def prestate_diff(lake):
+    own = F.when(F.col("o_custkey") % 2 == 0, "balance").otherwise("slot")
+    state = lambda test, value: lake.table("orders").where(test).select(F.lit(0).alias("block_number"), F.col("o_orderkey").alias("transaction_index"), F.lit("a").alias("address"), own.alias("key"), value.alias("value"))
+    after = F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderstatus")).otherwise("Z")
+    out = I.prestate_diff(state("o_orderkey % 2 = 1", F.col("o_orderstatus")), state("o_orderkey % 3 <> 0", after))
+    return out.select("transaction_index", "key", "kind", "prev", "next")
+
+
+@query("SELECT block_number, row_number() OVER (PARTITION BY block_number ORDER BY transaction_index) - 1 AS pos, transaction_index, type FROM txs", "txs")
+def flatten_blocks(lake):
+    tx = F.sort_array(F.collect_list(F.struct("transaction_index", "type"))).alias("transactions")
+    raw = lake.transactions().groupBy(F.col("block_number").alias("number")).agg(tx)
+    return I.flatten_blocks(raw, {"transactions": "transactions"})["transactions"].withColumn("pos", F.col("pos").cast("long"))
+
+
+@query("SELECT block_number, transaction_index, type FROM txs WHERE NOT (block_number <= 500 AND type = '5-LOW') AND transaction_index <> 77", "txs")
+def correction_rules(lake):
+    rules = [("c", 0, 500, None, "drop_type", "5-LOW"), ("c", 0, 10_000, "77", "drop", None), ("d", 0, 10_000, None, "drop", None)]
+    table = lake.spark.createDataFrame(rules, "chain string, from_block long, to_block long, tx_hash string, action string, value string")
+    txs = lake.transactions().withColumn("hash", F.col("transaction_index").cast("string"))
+    return I.apply_rules(txs, table, "c").select("block_number", "transaction_index", "type")
+
+
+@query("SELECT event_id AS id, json_extract_string(props, '$.k') AS _k FROM events")
+def hidden_index(lake):
+    return I.hidden_index(lake.table("events"), {"_k": "$.k"}, "props").select(F.col("event_id").alias("id"), "_k")
+
+
+@query("SELECT event_id AS id, CASE event_type WHEN 'click' THEN json_extract_string(props, '$.k') END AS click_k, CASE event_type WHEN 'view' THEN json_extract_string(props, '$.k') END AS view_k FROM events")
+def unpack_union(lake):
+    tag = F.when(F.col("event_type").isin("click", "view"), F.col("event_type"))
+    columns = I.unpack_union(F.col("props"), tag, {"click": {"click_k": "$.k"}, "view": {"view_k": "$.k"}})
+    return lake.table("events").select(F.col("event_id").alias("id"), *[c.alias(k) for k, c in columns.items()])
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 1 END AS status FROM orders")
+def status_from_traces(lake):
+    receipt = F.when(F.col("o_orderstatus") == "F", 1)
+    error = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("reverted"))
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), I.status_from_traces(receipt, error).alias("status"))
+
+
+@query("SELECT o_orderkey AS id, '{\"v\":' || CASE WHEN o_orderkey * 9007199254740 <= 9007199254740991 THEN CAST(o_orderkey * 9007199254740 AS VARCHAR) ELSE '\"' || (o_orderkey * 9007199254740) || '\"' END || '}' AS j FROM orders")
+def safe_integer(lake):
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), F.to_json(F.struct(P.safe_integer(F.col("o_orderkey") * F.lit(9007199254740)).alias("v"))).alias("j"))
+
+
+@query("SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN '{\"from\":' || o_custkey || '}' WHEN 'O' THEN '{\"address\":\"' || o_orderpriority || '\"}' END AS action FROM orders")
+def trace_members(lake):
+    action, _ = P.trace_members(F.col("o_orderstatus"), {"F": {"from": F.col("o_custkey"), "to": F.lit(None).cast("string")}, "O": {"address": F.col("o_orderpriority")}}, {})
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), action.alias("action"))
+
+
+@query("SELECT doc_id AS id, CAST(length(replace(text, chr(10), '')) AS BIGINT) AS n FROM documents")
+def list_size(lake):
+    return lake.table("documents").select(F.col("doc_id").alias("id"), P.list_size(F.split("text", "\n")).alias("n"))
+
+
+@query("SELECT doc_id // 100 AS chunk, doc_id % 100 // 30 AS page, sha256(string_agg(source, chr(10) ORDER BY doc_id)) AS sha256 FROM documents GROUP BY 1, 2")
+def page_digests(lake):
+    d = lake.table("documents")
+    pages = d.select(F.floor(F.col("doc_id") / 100).alias("chunk"), F.floor(F.col("doc_id") % 100 / 30).alias("page"), F.col("doc_id").alias("block_number"), F.col("source").alias("value"))
+    return sinks.page_digests(pages)
+
+
 # streams, as batches
 
 
+@query("SELECT DISTINCT l_orderkey AS chain, l_linenumber AS number FROM lineitem")
+def dedupe_blocks(lake):
+    return S.dedupe_blocks(lake.table("lineitem").select(F.col("l_orderkey").alias("chain"), F.col("l_linenumber").alias("number")))
+
+
 @query("SELECT event_id, event_type FROM (SELECT *, max(event_id) OVER (PARTITION BY event_type) AS tip FROM events) WHERE event_id <= tip - 10")
 def finalized_blocks(lake):
     return S.finalized(lake.table("events").withColumnRenamed("event_id", "number"), 10, "event_type").select(F.col("number").alias("event_id"), "event_type")
