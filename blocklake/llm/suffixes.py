@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from blocklake.llm.common import doc_id_of, identified, slices, table, text_buffers
 from blocklake.llm.tokens import anchors, grouped, prefix_sums
 
-LENGTH, GRAM = 200, 48
+LENGTH, GRAM = 200, 32
 SPANS = "array<struct<start:int,end:int>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
