@@ -158,13 +158,14 @@ def _compatible(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, th, n_shingles, component_id``: a row for each row of ``docs``; ``th`` is the text's hash.
+    """``doc_id, th, n_shingles, component_id, component``: a row for each row of ``docs``; ``th`` is the text's hash.
 
     Words are runs of anything but the six ASCII white space signs, A-Z lower-cased; a set has the distinct runs of
     ``n_words`` words, or all words as one run if there are fewer. Two rows link when their sets share at least ``percent`` of
     their union; ``component_id`` is the least ``doc_id`` reachable by links. Null, empty and wordless texts have no shingles
     and stay by themselves, with their own id. Rows that repeat are in one component; ids that are null are left out of the
-    least unless there is no other; an empty table gives an empty one; other columns are left out.
+    least unless there is no other; an empty table gives an empty one; other columns are left out. ``component`` tells
+    components apart also where ids are null or repeat; it is null for texts without shingles.
     """
     spark = docs.sparkSession
     rows = identified(docs, text)
@@ -231,9 +232,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
     own_id = F.nullif(F.col("id"), F.lit(-(1 << 63)))
     of_set = stored(sets.where("sid is not null").groupBy("sid").agg(F.min(own_id).alias("least")).join(roots.select(F.col("v").alias("sid"), "root"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("root")), "set-roots")
     least = of_set.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of_set.join(least, "root").select("sid", "component_id")
+    named = of_set.join(least, "root").select("sid", "component_id", F.col("root").alias("component"))
     out = sets.select("id", "th", "sid", "n").join(named, "sid", "left")
-    return out.select(doc_id_of(F.col("id")), "th", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", own_id).alias("component_id"))
+    return out.select(doc_id_of(F.col("id")), "th", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", own_id).alias("component_id"), "component")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

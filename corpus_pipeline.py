@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blocklake.llm import decontaminate, jaccard, mixing, sharding, toxicity
-from blocklake.llm.common import stored, table
+from blocklake.llm.common import NO_ID, WORD, stored, table
 
 #: No SQL for a trained classifier; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
@@ -28,13 +28,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id; of rows that share it, the one of the least text hash."""
+    """Of each group of near duplicates the row of the least id (null last), then of the least text hash; texts without words all stay."""
     found = jaccard.jaccard_components(docs, n_words=NEAR_WORDS, percent=NEAR_PERCENT)
-    # rows alike in id and text are one here; a null id is its own group unless its text has a group
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("th").alias("_th"))
-    chosen = kept.select(F.coalesce("component_id", F.lit(-(1 << 63))).alias("_id"), "_th")
-    rows = _with_hash(docs).withColumn("_id", F.coalesce("doc_id", F.lit(-(1 << 63)))).dropDuplicates(["_id", "_th"])
-    return rows.join(chosen, ["_id", "_th"], "left_semi").select(*docs.columns)
+    # groups are told apart by their component: ids may be null or repeat
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("th").alias("th")))
+    kept = found.where(F.col("component").isNotNull()).groupBy("component").agg(first.alias("k"))
+    chosen = kept.select(F.coalesce("k.doc_id", F.lit(NO_ID)).alias("_id"), F.col("k.th").alias("_th"))
+    # rows alike in id and text are one here
+    worded = F.coalesce("text", F.lit("")).rlike(WORD)
+    rows = _with_hash(docs.where(worded)).withColumn("_id", F.coalesce("doc_id", F.lit(NO_ID))).dropDuplicates(["_id", "_th"])
+    return rows.join(chosen, ["_id", "_th"], "left_semi").select(*docs.columns).unionByName(docs.where(~worded))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

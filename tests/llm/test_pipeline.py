@@ -43,3 +43,25 @@ def test_each_stage_keeps_what_it_should(spark, sf_dir):
 def test_run_is_its_stages(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir).collect()
     assert out and {r.version for r in out} and all(r.text for r in out)
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    from tests.llm.fixtures import prose
+    from tests.llm.test_jaccard import brute
+
+    text = lambda k: " ".join(prose(500 + k, 60, 4000))
+    rows = [(None if i % 3 == 0 else i // 2, text(i), "en", "s", i) for i in range(24)]  # nobody's, and two texts to an id
+    rows += [(None, text(0) + " end", "en", "s", 90), (None, text(1), "en", "s", 91), (50, text(3), "en", "s", 92), (51, text(3) + " end", "en", "s", 93)]
+    rows += [(None, text(30), "en", "s", 95), (None, text(30), "en", "s", 95), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (None, None, "en", "s", 0), (None, " \n", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    hashes = [r.h for r in docs.selectExpr("xxhash64(coalesce(text, '')) AS h").collect()]
+    groups, want = [], [r for r in rows if not (r[1] or "").split()]
+    for r, h in sorted(zip(rows, hashes, strict=True), key=lambda x: (x[0][0] is None, x[0][0] or 0, x[1])):
+        if r not in want and not any(len({k[2] for k in brute([(0, r[1]), (1, other)], 5, 80)}) == 1 for other in groups):
+            want.append(r)
+            groups.append(r[1])
+        elif r not in want:
+            groups.append(r[1])
+    assert len(want) == 24 + 1 + 4
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in want)
