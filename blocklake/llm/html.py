@@ -1,18 +1,18 @@
 """HTML extraction with site template removal.
 
-Pass one hashes the block element subtrees of every page and Spark counts, per host, the pages that have each. Subtrees on
-many pages of their host are the site's template. Pass two reads each page again, deletes those subtrees and all that
+Pass one hashes the block element subtrees of every page and Spark counts, per host, the different pages that have each: pages
+of the same text count once. Subtrees on many pages of their host are the site's template. Pass two reads each page again, deletes those subtrees and all that
 its markup names as no article (menus, headers, footers, adverts, forms, comments), and joins the blocks that are left.
 
-The counts are keyed by (host, subtree), so a host with a third of all pages is spread over as many tasks as it has
-different subtrees, after a map-side sum. Python only parses: one page at a time, with a regular expression as lexer.
+The counts are keyed by (host, subtree, page's text), then by (host, subtree) after a map-side sum, so a host with a third of
+all pages is spread over many tasks. Python only parses: one page at a time, with a regular expression as lexer.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from blocklake.llm.common import stored, table
 
-#: A subtree is template if it is on at least so many pages of its host, and on this share of them.
+#: A subtree is template if it is on at least so many different pages of its host, and on this share of them.
 MIN_PAGES, MIN_SHARE = 10, 0.1
 #: Up to so many template subtrees (8 bytes each, and their host) are sent to all tasks; more meet their pages by a shuffle.
 MOST_SENT = 200_000
@@ -71,8 +71,12 @@ def _surrounds(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
+def _digest(parts: Iterable[str]) -> int:
+    return int.from_bytes(blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
 def parse(page: str, template: frozenset[int] | set[int] = frozenset(), want: str = "text"):
-    """``want="text"``: the main text. ``want="subtrees"``: hashes of the block subtrees outside article and main, and of containers."""
+    """``want="text"``: the main text. ``want="subtrees"``: hashes of all blocks' text, and of the block subtrees outside article and main, and of containers."""
     blocks: list[tuple[int, str]] = []  # where (2 article, 1 main, 0 else), text
     current: list[str] = []
     seen: set[int] = set()
@@ -91,7 +95,7 @@ def parse(page: str, template: frozenset[int] | set[int] = frozenset(), want: st
         if tag in BLOCK:
             flush()
         stack.pop()
-        digest = int.from_bytes(blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+        digest = _digest(parts)
         stack[-1][4].append(f"<{digest}>")
         stack[-1][5] |= holds or tag in ("article", "main")
         if tag in BLOCK and not holds and tag not in ("html", "body", "article", "main") and not skipped and (place == 0 or tag in CONTAINER):
@@ -168,19 +172,21 @@ def parse(page: str, template: frozenset[int] | set[int] = frozenset(), want: st
         close()
     flush()
     if want == "subtrees":
-        return seen
+        return _digest(t for _, t in blocks), seen
     best = max((w for w, _ in blocks), default=0)
     return "\n\n".join(t for w, t in blocks if w == best)
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, found = [], []
+        hosts, contents, found = [], [], []
         for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
-            for digest in parse(page, want="subtrees"):
+            content, subtrees = parse(page, want="subtrees")
+            for digest in [*subtrees, None]:  # the last one stands for the page itself
                 hosts.append(host)
+                contents.append(content)
                 found.append(digest)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.int64())], ["host", "subtree"])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(found, pa.int64())], ["host", "content", "subtree"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,13 +199,15 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     """``page_id, url, text``: a row for each row ``page_id, url, html``; repeated rows stay, other columns are left out.
 
     ``text`` is empty for a null or empty page. Pages without a host in their url (null too) count as one host. Where a page
-    has article elements their blocks alone are its text, else those of main, else all that is no template.
+    has article elements their blocks alone are its text, else those of main, else all that is no template. Pages of one host
+    that have the same text are one page to the counts, however often they are repeated.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1), F.lit("")))
     rows = pages.select("page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    pages_of = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = rows.select("host", "html").mapInArrow(_subtrees, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    template = stored(counts.join(pages_of, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree"), "template")
+    found = rows.select("host", "html").mapInArrow(_subtrees, "host string, content long, subtree long").distinct()
+    counts = stored(found.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages), "counts")
+    pages_of = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
+    template = stored(counts.where("subtree is not null").join(pages_of, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree"), "template")
     of_host = template.groupBy("host").agg(F.collect_list("subtree").alias("template"))
     if template.count() <= MOST_SENT:
         of_host = F.broadcast(of_host)

@@ -45,5 +45,13 @@ def test_many_templates_meet_by_a_shuffle(spark, monkeypatch):
     assert {r.text for r in extract(spark.createDataFrame(rows, PAGE)).collect()} == {f"Text {i}" for i in range(15)}
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    bodies = ["<article><div><p>The story</p><ul><li>One</ul></div></article>", "<div><p>The story</p><ul><li>One</ul></div>", "<main><section><table><tr><td>The story<td>One</table></section></main>"]
+    rows = [(k * 100 + i, f"https://{k}.example/{i}", f"<body><script>crawl({i})</script>{b}</body>", None) for k, b in enumerate(bodies) for i in range(20)]
+    rows += [(900 + i, f"https://1.example/{900 + i}", f"<div>Box</div><p>Other {i}</p>", None) for i in range(12)]
+    text = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert {t for i, t in text.items() if i < 900} == {"The story\n\nOne"} and all(text[900 + i] == f"Other {i}" for i in range(12))
+
+
 def test_empty(spark):
     assert extract(spark.createDataFrame([], PAGE)).select(F.col("text")).count() == 0
