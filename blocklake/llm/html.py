@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from blocklake.llm.common import stored, table
 
-#: A subtree is template if it is on at least so many different pages of its host, and on this share of them.
-MIN_PAGES, MIN_SHARE = 10, 0.1
-#: Up to so many template subtrees (8 bytes each, and their host) are sent to all tasks; more meet their pages by a shuffle.
+#: A subtree is template if it is on at least so many different pages of its host, whatever the host's size: outside article
+#: and main elements, and within them. Hosts with fewer pages have no template by recurrence; there only markup names tell.
+MIN_PAGES, MIN_INSIDE = 4, 10
+#: Up to so many template subtrees (8 bytes each, and their host), of hosts or of pages, are sent to all tasks; more meet pages by a shuffle.
 MOST_SENT = 200_000
 
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -75,8 +76,12 @@ def _digest(parts: Iterable[str]) -> int:
     return int.from_bytes(blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def parse(page: str, template: frozenset[int] | set[int] = frozenset(), want: str = "text"):
-    """``want="text"``: the main text. ``want="subtrees"``: hashes of all blocks' text, and of the block subtrees outside article and main, and of containers."""
+def parse(page: str, template: frozenset[int] | set[int] = frozenset(), want: str = "text", inside: frozenset[int] | set[int] | None = None):
+    """``want="text"``: the main text. ``want="subtrees"``: hashes of all blocks' text, and of the block subtrees outside article and main, and of containers.
+
+    ``inside``: what of ``template`` goes from articles and main too; all of it unless given.
+    """
+    inside = template if inside is None else inside
     blocks: list[tuple[int, str]] = []  # where (2 article, 1 main, 0 else), text
     current: list[str] = []
     seen: set[int] = set()
@@ -99,7 +104,7 @@ def parse(page: str, template: frozenset[int] | set[int] = frozenset(), want: st
         stack[-1][4].append(f"<{digest}>")
         stack[-1][5] |= holds or tag in ("article", "main")
         if tag in BLOCK and not holds and tag not in ("html", "body", "article", "main") and not skipped and (place == 0 or tag in CONTAINER):
-            if digest in template:
+            if digest in (inside if place else template):
                 del blocks[before:]
             elif want == "subtrees" and len(blocks) > before:
                 seen.add(digest)
@@ -179,23 +184,20 @@ def parse(page: str, template: frozenset[int] | set[int] = frozenset(), want: st
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, contents, found = [], [], []
-        for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True):
-            content, subtrees = parse(page, want="subtrees")
-            for digest in [*subtrees, None]:  # the last one stands for the page itself
-                hosts.append(host)
-                contents.append(content)
-                found.append(digest)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(found, pa.int64())], ["host", "content", "subtree"])
+        found = [(content, list(subtrees)) for content, subtrees in (parse(page, want="subtrees") for page in batch["html"].to_pylist())]
+        row = pa.array([k for k, (_, subtrees) in enumerate(found) for _ in subtrees], pa.int64())
+        content = pa.array([c for c, _ in found], pa.int64()).take(row)
+        yield pa.RecordBatch.from_arrays([batch["host"].take(row), batch["page"].take(row), content, pa.array([x for _, subtrees in found for x in subtrees], pa.int64())], ["host", "page", "content", "subtree"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [parse(page, set(template or ())) for page, template in zip(batch["html"].to_pylist(), batch["template"].to_pylist(), strict=True)]
+        columns = (batch[c].to_pylist() for c in ("html", "template", "inside"))
+        texts = [parse(page, set(template or ()), inside=set(inside or ())) for page, template, inside in zip(*columns, strict=True)]
         yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_inside: int = MIN_INSIDE) -> DataFrame:
     """``page_id, url, text``: a row for each row ``page_id, url, html``; repeated rows stay, other columns are left out.
 
     ``text`` is empty for a null or empty page. Pages without a host in their url (null too) count as one host. Where a page
@@ -203,15 +205,18 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     that have the same text are one page to the counts, however often they are repeated.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1), F.lit("")))
-    rows = pages.select("page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    found = rows.select("host", "html").mapInArrow(_subtrees, "host string, content long, subtree long").distinct()
-    counts = stored(found.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages), "counts")
-    pages_of = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
-    template = stored(counts.where("subtree is not null").join(pages_of, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree"), "template")
-    of_host = template.groupBy("host").agg(F.collect_list("subtree").alias("template"))
-    if template.count() <= MOST_SENT:
-        of_host = F.broadcast(of_host)
-    return rows.join(of_host, "host", "left").select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id long, url string, text string")
+    rows = pages.select("page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html")).withColumn("page", F.xxhash64("html"))
+    found = rows.select("host", "page", "html").mapInArrow(_subtrees, "host string, page long, content long, subtree long").distinct()
+    found = stored(found, "subtrees")
+    counts = found.select("host", "content", "subtree").distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    template = stored(counts.where(F.col("n") >= min_pages), "template")
+    small = F.broadcast if template.count() <= MOST_SENT else (lambda df: df)
+    # a page only meets what it has itself: a host may have many template subtrees
+    met = found.select("host", "page", "subtree").distinct().join(small(template), ["host", "subtree"])
+    of_page = stored(met.groupBy("host", "page").agg(F.collect_list("subtree").alias("template"), F.collect_list(F.when(F.col("n") >= min_inside, F.col("subtree"))).alias("inside")), "page-template")
+    if (of_page.agg(F.sum(F.size("template"))).first()[0] or 0) <= MOST_SENT:
+        of_page = F.broadcast(of_page)
+    return rows.join(of_page, ["host", "page"], "left").select("page_id", "url", "html", "template", "inside").mapInArrow(_texts, "page_id long, url string, text string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

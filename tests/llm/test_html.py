@@ -53,5 +53,18 @@ def test_copies_of_a_page_are_one_page(spark):
     assert {t for i, t in text.items() if i < 900} == {"The story\n\nOne"} and all(text[900 + i] == f"Other {i}" for i in range(12))
 
 
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    side, wide = "<div><p>Side of one layout</p></div>", "<div><p>Box inside articles</p></div>"
+    page = lambda host, i, box, within: (i, f"https://{host}.example/{i}", f"<body>{box}<article><p>Story {i}</p>{within}</article><p>Tail {i}</p></body>", None)
+    bare = lambda host, i, box: (i, f"https://{host}.example/{i}", f"<body>{box}<p>Text {i}</p></body>", None)
+    rows = [bare("small", i, side) for i in range(4)] + [bare("tiny", 10 + i, side) for i in range(2)]
+    rows += [bare("hot", 1000 + i, side if i % 50 == 0 else "") for i in range(600)]
+    rows += [page("few", 2000 + i, "", wide) for i in range(9)] + [page("many", 3000 + i, "", wide if i % 20 == 0 else "") for i in range(240)]
+    text = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert [text[i] for i in range(4)] == [f"Text {i}" for i in range(4)] and text[10] == "Side of one layout\n\nText 10"
+    assert all(text[1000 + i] == f"Text {1000 + i}" for i in range(600))
+    assert text[2000] == "Story 2000\n\nBox inside articles" and all(text[3000 + i] == f"Story {3000 + i}" for i in range(240))
+
+
 def test_empty(spark):
     assert extract(spark.createDataFrame([], PAGE)).select(F.col("text")).count() == 0
