@@ -84,6 +84,43 @@ def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
     return node.select("shard", F.explode("qs").alias("x")).where("x.q > 0").select(F.col("x.source").alias("source"), "shard", F.col("x.q").alias("n"))
 
 
+def _fill(placed: DataFrame, blocks: DataFrame, small) -> DataFrame:
+    """``sk, block, r``: what a source gives of the blocks it does not give in full.
+
+    Blocks follow each other in permuted order, documents in a block too, and each that fits the room left is taken. A round
+    looks at documents that fit at its start: blocks of them go by a running sum, the first that crosses is gone through
+    one by one, and the next round starts behind it with less room than a document that was left out.
+    """
+    opened = placed.where("size > 0").join(blocks.where(~F.col("full")).select("sk", "block", "rank"), ["sk", "block"]).select("sk", "block", "rank", "h", "r", "size")
+    opened = stored(opened, "mix-open")
+    zero = F.lit(0).cast("long")
+    full_size = F.sum(F.when(F.col("full"), F.col("block_size")).otherwise(zero))
+    state = blocks.groupBy("sk").agg((F.first("extra") - full_size).cast("double").alias("room"), F.sum(F.when(F.col("full"), zero + 1).otherwise(zero)).alias("from"))
+    state = stored(state.where("room > 0"), "mix-room")
+    taken, ended = placed.select("sk", "block", "r").where(F.lit(False)), state.select("sk", "room").where(F.lit(False))
+    while not state.isEmpty():
+        fitting = opened.join(small(state), "sk").where((F.col("rank") >= F.col("from")) & (F.col("size") <= F.col("room")))
+        order = Window.partitionBy("sk").orderBy("rank")
+        sums = fitting.groupBy("sk", "block", "rank").agg(F.sum("size").alias("n"), F.first("room").alias("room")).withColumn("upto", F.sum("n").over(order))
+        sums = stored(sums.withColumn("left", F.col("room") - F.col("upto") + F.col("n")).where("left > 0").select("sk", "block", "rank", "n", "left"), "mix-sums")
+        whole = fitting.join(sums.where("n <= left").select("sk", "block"), ["sk", "block"]).select("sk", "block", "r")
+        # a block has few words, so this is a short list
+        start = F.struct(F.first("left").cast("double").alias("room"), F.array().cast("array<int>").alias("rs"))
+        fits = lambda s, x: F.when(x["size"] <= s["room"], F.struct((s["room"] - x["size"]).cast("double").alias("room"), F.concat(s["rs"], F.array(x["r"])).alias("rs"))).otherwise(s)
+        crossing = fitting.join(small(sums.where("n > left").select("sk", "block", "left")), ["sk", "block"]).groupBy("sk", "block", "rank").agg(F.sort_array(F.collect_list(F.struct("h", "r", "size"))).alias("docs"), start.alias("start"))
+        crossing = stored(crossing.select("sk", "block", "rank", F.aggregate("docs", F.col("start"), fits).alias("end")), "mix-crossing")
+        taken = taken.unionByName(stored(whole.unionByName(crossing.select("sk", "block", F.explode("end.rs").alias("r"))), "mix-taken"))
+        # a source that no block crosses has taken all that fits
+        used = sums.groupBy("sk").agg(F.sum("n").alias("used"))
+        over = state.join(crossing.select("sk"), "sk", "left_anti").join(used, "sk", "left").select("sk", (F.col("room") - F.coalesce("used", zero)).alias("room"))
+        after = crossing.select("sk", F.col("end.room").alias("room"), (F.col("rank") + 1).cast("long").alias("from"))
+        ended = ended.unionByName(stored(over.unionByName(after.where("room <= 0").select("sk", "room")), "mix-ended"))
+        state = stored(after.where("room > 0"), "mix-room")
+    near = opened.join(small(ended), "sk").where((F.col("size") > F.col("room")) & (F.col("size") < 2 * F.col("room"))).join(taken, ["sk", "block", "r"], "left_anti")
+    last = near.groupBy("sk").agg(F.min(F.struct("size", "rank", "h", "block", "r")).alias("k")).select("sk", "k.block", "k.r")
+    return taken.unionByName(last)
+
+
 def mix(docs: DataFrame, size: Column | None = None, cycle: tuple[int, ...] = (1, 2, 3), max_repeat: int = 3, block_words: int = 100_000, shard_words: int = 4_000_000, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """``(draws, sizes)`` for rows ``doc_id, source``: what the mix takes, and every document's figures.
 
@@ -115,13 +152,14 @@ def mix(docs: DataFrame, size: Column | None = None, cycle: tuple[int, ...] = (1
     # the blocks of a source in permuted order: taken in full once more, in part, or not
     permuted = Window.partitionBy("sk").orderBy(F.xxhash64(F.lit(seed), "sk", "block"), "block")
     lined = placed.groupBy("sk", "block").agg(F.sum("size").alias("block_size")).withColumn("rank", F.row_number().over(permuted) - 1).withColumn("before", F.coalesce(F.sum("block_size").over(permuted.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    owed = F.col("target") - F.col("passes") * F.col("source_size") - F.col("before")
-    full = (owed >= F.col("block_size")) & (owed > 0)
-    blocks = lined.join(small(targets), "sk").select("sk", "block", "rank", "passes", full.alias("full"), F.when((owed > 0) & ~full, owed).otherwise(F.lit(0.0)).alias("part"))
+    extra = F.col("target") - F.col("passes") * F.col("source_size")
+    blocks = stored(lined.join(small(targets), "sk").withColumn("full", extra - F.col("before") >= F.col("block_size")).select("sk", "block", "rank", "passes", "block_size", extra.alias("extra"), "full"), "mix-blocks")
+    chosen = stored(_fill(placed, blocks, small), "mix-chosen")
+    blocks = blocks.join(chosen.select("sk", "block").distinct().withColumn("part", F.lit(True)), ["sk", "block"], "left")
 
     # what a source owes the mix: its blocks, pass by pass; each such item has a seat that the tree gives to a shard
     item_order = Window.partitionBy("sk").orderBy(F.xxhash64(F.lit(seed + 1), "sk", "block", "copy"), "block", "copy")
-    items = blocks.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes")))).where((F.col("copy") < F.col("passes")) | F.col("full") | (F.col("part") > 0))
+    items = blocks.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes")))).where((F.col("copy") < F.col("passes")) | F.col("full") | F.col("part"))
     items = stored(items.select("sk", "block", "copy", ((F.col("copy") == F.col("passes")) & ~F.col("full")).alias("partly"), (F.row_number().over(item_order) - 1).cast("long").alias("seat")), "mix-items")
     shards = split_quotas(items.groupBy("sk").agg(F.count("*").alias("quota")).select(F.col("sk").alias("source"), "quota"), depth, seed)
     by_shard = Window.partitionBy("source").orderBy("shard")
@@ -129,13 +167,7 @@ def mix(docs: DataFrame, size: Column | None = None, cycle: tuple[int, ...] = (1
     seats = starts.select(F.col("source").alias("sk"), "shard", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("seat"))
     dealt = items.join(seats, ["sk", "seat"]).select("sk", "block", "copy", "shard", "partly")
 
-    # of the one block that a source gives in part: documents in permuted order, each that still fits; a block has few words, so this is a short list
-    one = F.struct("h", "r", "size")
-    start = F.struct(F.first("part").cast("double").alias("room"), F.array().cast("array<int>").alias("rs"))
-    fits = lambda s, x: F.when(x["size"] <= s["room"], F.struct((s["room"] - x["size"]).cast("double").alias("room"), F.concat(s["rs"], F.array(x["r"])).alias("rs"))).otherwise(s)
-    listed = placed.where("size > 0").join(small(blocks.where("part > 0").select("sk", "block", "part")), ["sk", "block"]).groupBy("sk", "block").agg(F.sort_array(F.collect_list(one)).alias("docs"), start.alias("start"))
-    chosen = listed.select("sk", "block", F.explode(F.aggregate("docs", F.col("start"), fits, lambda s: s["rs"])).alias("r"), F.lit(True).alias("chosen"))
-
+    chosen = chosen.withColumn("chosen", F.lit(True))
     draws = placed.where("size > 0").join(chosen, ["sk", "block", "r"], "left").join(dealt, ["sk", "block"]).where(~F.col("partly") | F.col("chosen"))
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 2), "h", "r", "copy", "shard"), "doc_id", "r", "copy")
     mixed = draws.select("doc_id", "source", "th", "copy", "shard", (F.row_number().over(local) - 1).alias("position"))

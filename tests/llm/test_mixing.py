@@ -71,6 +71,20 @@ def test_mix_meets_targets_and_repeats(spark):
     assert len(seats) > 1 and all(r.n == r.d == r.m + 1 for r in seats)
 
 
+@pytest.mark.parametrize("long", [[5000], [3000, 2500]])
+def test_long_documents_leave_no_source_short(spark, long):
+    """Texts longer than a block and than the target: what fits is looked for in all blocks, whatever their order."""
+    rows = [(i, "w " * n, None, "a", 0) for i, n in enumerate([*long, *[20 + i % 7 for i in range(218)]])]
+    rows += [(1000 + i, "w " * n, None, "b", 0) for i, n in enumerate([*[17] * 5, *[40] * 73])]
+    for seed in range(2):
+        draws, sizes = mix(docs(spark, rows), block_words=300, cycle=(1, 2), seed=seed)
+        target, taken = {}, Counter()
+        for r in sizes.collect():
+            target[r.source] = r.target
+            taken[r.source] += r.taken
+        assert max(long) > 300 and all(abs(taken[s] - target[s]) <= 20 for s in target), (seed, target, taken)
+
+
 def test_empty(spark):
     draws, sizes = mix(docs(spark, []))
     assert draws.count() == 0 and sizes.count() == 0
