@@ -1,10 +1,19 @@
+import random
+import time
+from collections import defaultdict
+
 from pyspark.sql import functions as F
 
-from blocklake.llm.html import extract, parse
+from blocklake.llm import html
+from blocklake.llm.html import extract, main_text
 
 PAGE = "page_id long, url string, html string, host string"
 
 
+def parse(page):
+    return main_text(html.parse(page))
+
+
 def test_blocks_inline_markup_and_references():
     page = "<article><h1>A &amp; B</h1><p>One <b>bo</b>ld<i>!</i><br>next&nbsp;line\n two<p>Three &lt;p&gt; &#233; &unknown; &am</p><ul><li>x<li>y</ul><table><tr><td>1<td>2<tr><th>3</table></article>"
     assert parse(page).split("\n\n") == ["A & B", "One bold! next line two", "Three <p> é &unknown; &am", "x", "y", "1", "2", "3"]
@@ -38,8 +47,6 @@ def test_templates_go_and_articles_stay(spark):
 
 
 def test_many_templates_meet_by_a_shuffle(spark, monkeypatch):
-    from blocklake.llm import html
-
     monkeypatch.setattr(html, "MOST_SENT", 0)
     rows = [(i, "https://a.example/", f"<body><div>Box</div><p>Text {i}</p></body>", None) for i in range(15)]
     assert {r.text for r in extract(spark.createDataFrame(rows, PAGE)).collect()} == {f"Text {i}" for i in range(15)}
@@ -68,3 +75,105 @@ def test_templates_do_not_depend_on_the_size_of_the_host(spark):
 
 def test_empty(spark):
     assert extract(spark.createDataFrame([], PAGE)).select(F.col("text")).count() == 0
+
+
+def test_nothing_of_an_article_is_lost_to_its_names_or_to_a_teaser():
+    story = "<p>The first paragraph of the story.</p><p>And the second one.</p>"
+    assert parse(f'<main><div>{story}</div><article class="card"><p>Teaser</p></article></main>') == "The first paragraph of the story.\n\nAnd the second one."
+    assert parse(f"<div>{story}</div><article><p>Teaser</p></article>").startswith("The first paragraph")
+    inside = '<div class="story-share"><p>One</p></div><section id="related-work"><p>Two</p></section><ol class="footnotes"><li>Three</ol><div class="notice-period"><p>Four</p></div>'
+    assert parse(f"<article>{story}{inside}</article>").split("\n\n")[2:] == ["One", "Two", "Three", "Four"]
+    around = '<div class="share-buttons"><p>Share</p></div><ul class="related-posts"><li>Other</ul><div class="notice"><p>Note</p></div><section id="postComments"><p>Mine is a comment that is longer than the whole of the story by far, and goes on and on.</p></section>'
+    assert parse(f"<article>{story}{around}</article>").split("\n\n") == ["The first paragraph of the story.", "And the second one."]
+    assert parse(f'<form id="aspnetForm"><div class="widget"><article>{story}</article></div></form>').count("\n\n") == 1
+
+
+def test_steps_grow_with_the_length():
+    def seconds(n):
+        start = time.process_time()
+        for page in ("<div><span>" * n + "</b></p>" * n, "<ul><div>" + "<div>" * n + "<li>x</li>" * n, '<a "x ' * n, "<div>" + "<span>" * n + "<p>y</p>" * n, "<div><span>" * n + "</div>" * n):
+            parse(page)
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(16_000) < 40 * max(0.02, seconds(1000))
+
+
+def tree(r, depth, shared):
+    """A random well-formed tree: tag, attributes, children (trees or texts)."""
+    if depth == 0 or r.random() < 0.2:
+        return ("p", "", [f"Own {r.randrange(10**6)} words {r.randrange(9)}"])
+    tag, attributes = r.choice([("div", ""), ("section", ""), ("nav", ""), ("div", ' class="ad"'), ("ul", ""), ("div", ' class="share-links"'), ("aside", ""), ("div", ' id="x1"')])
+    children = [r.choice(shared) if r.random() < 0.35 else tree(r, depth - 1, shared) for _ in range(r.randrange(1, 4))]
+    return (tag, attributes, children)
+
+
+def written(node):
+    tag, attributes, children = node
+    return f"<{tag}{attributes}>" + "".join(c if isinstance(c, str) else written(c) for c in children) + f"</{tag}>"
+
+
+def shape(node):
+    return (node[0], tuple(c if isinstance(c, str) else shape(c) for c in node[2]))
+
+
+def walk(node, inside, dead, found):
+    """Blocks ``text, inside, the elements around``, from the tree itself."""
+    tag, attributes, children = node
+    dead = dead or tag in ("nav", "aside") or "ad" in attributes
+    inside = inside or tag == "article"
+    found.append((node, inside, dead))
+    if dead:
+        return []
+    out = []
+    for c in children:
+        out += [(c, inside, [node])] if isinstance(c, str) else [(t, i, [node, *around]) for t, i, around in walk(c, inside, dead, found)]
+    return out
+
+
+def holds_article(node):
+    return node[0] == "article" or any(holds_article(c) for c in node[2] if not isinstance(c, str))
+
+
+def test_against_the_tree(spark):
+    r = random.Random(5)
+    shared = [("div", "", [("p", "", [f"Box {k} of the site"])]) for k in range(3)] + [("p", "", ["A line of the site"]), ("div", "", [("p", "", ["Two"]), ("ul", "", [("li", "", ["items"])])])]
+    pages = [("body", "", [tree(r, 3, shared), ("article", "", [("h1", "", [f"Title {k // 2}"]), tree(r, 2, shared), tree(r, 2, shared)]), tree(r, 2, shared)]) for k in range(60)]
+    pages += [("body", "", [tree(r, 3, shared), tree(r, 2, shared)]) for k in range(60)]
+    rows = [(k, f"https://h{k % 3}.example/{k}", written(p), None) for k, p in enumerate(pages)]
+    seen = defaultdict(set)
+    plain = []
+    for k, p in enumerate(pages):
+        found = []
+        blocks = walk(p, False, False, found)
+        plain.append(blocks)
+        for node, inside, dead in found:
+            own = [i for i, b in enumerate(blocks) if any(x is node for x in b[2])]
+            if dead or not own or node[0] in ("body", "article") or holds_article(node) or inside and node[0] not in html.CONTAINER:
+                continue
+            lead = next((i for i, b in enumerate(blocks) if b[1]), 0)
+            lead = lead if lead not in own else own[-1] + 1
+            of = tuple(b[0] for b in blocks[lead : lead + 1]) if inside else tuple(b[0] for b in blocks)
+            seen[k % 3, inside, shape(node)].add(of)
+    template = {x for x, of in seen.items() if len(of) >= (10 if x[1] else 4)}
+    want, untouched = {}, 0
+    for k, blocks in enumerate(plain):
+        total = sum(len(b[0]) for b in blocks)
+        left = []
+        for text, inside, around in blocks:
+            gone = any((k % 3, in_article, shape(n)) in template for i, n in enumerate(around) for in_article in [any(x[0] == "article" for x in around[: i + 1])] if n[0] not in ("body", "article") and not holds_article(n) and (not in_article or n[0] in html.CONTAINER))
+            small = any("share" in n[1] and 2 * sum(len(b[0]) for b in blocks if any(x is n for x in b[2])) <= total for n in around)
+            if not gone and not small:
+                left.append((text, inside))
+        marked = [t for t, i in left if i]
+        whole = [t for t, _ in left]
+        want[k] = "\n\n".join(marked if marked and 4 * sum(map(len, marked)) >= sum(map(len, whole)) else whole)
+        untouched += want[k] == parse(rows[k][2])
+    got = {x.page_id: x.text for x in extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert got == want and len(template) > 8 and untouched < 100  # without the template set the results are others
+
+
+def test_ids_of_other_types(spark):
+    rows = spark.createDataFrame([(1, "u", "<p>a</p>"), (None, None, None)], "page_id int, url string, html string").withColumn("template", F.lit("clash")).withColumn("subtree", F.lit("clash"))
+    assert {(x.page_id, x.text) for x in extract(rows).collect()} == {(1, "a"), (None, "")}
+    assert [x.page_id for x in extract(rows.withColumn("page_id", F.lit("x"))).collect()] == ["x", "x"]
