@@ -2,10 +2,12 @@
 
 Documents are dealt into blocks of their source by a hash. Each source owes the mix an exact number of its blocks (its
 quota); a binary tree over the output shards splits these quotas: at each node the left half of the shards draws its
-number of blocks without replacement, so the sources' counts there follow the multivariate hypergeometric law, exactly.
+number of blocks without replacement, so the sources' counts there follow the multivariate hypergeometric law. A draw is
+one number, found by inversion from the mode in steps that grow with the standard deviation, never block by block.
 The leaves say how many blocks of each source a shard gets; these are then taken, disjoint, from the source's blocks in
 permuted order, and each shard is shuffled by itself. No global permutation of documents is ever made: the tree works
-on counts (sources x shards rows), the draw on blocks, and only the last step touches documents.
+on counts (a row a node, spread over tasks as it grows), the draw on blocks, and only the last step touches documents.
+Blocks of a source are numbered in stretches of bounded size, so a source with a third of all rows is many tasks' work.
 
 Spark functions alone; reruns agree, as every draw comes from a hash of the seed.
 """
@@ -46,21 +48,62 @@ def _unit(*parts: Column) -> Column:
 
 
 _QUOTAS = "array<struct<source:string,q:bigint>>"
+#: Levels of the tree after which its nodes are dealt out to tasks anew.
+LEVELS = 6
+#: Rows that are put in order by one task, about; more of one source are cut into stretches.
+STRETCH = 20_000
 
 
-def _draw(level: int, seed: int):
-    """A fold step: how many of a source's blocks are among the drawn, block by block, each with chance room / left."""
+def _log_factorial(n: Column) -> Column:
+    """ln n! by Stirling's series, shifted by eight so that it is right to the last digits of a double."""
+    x = n.cast("double") + 9
+    shift = F.log((x - 1) * (x - 2) * (x - 3) * (x - 4) * (x - 5) * (x - 6) * (x - 7) * (x - 8))
+    return let(x, lambda x: (x - 0.5) * F.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * F.pow(x, F.lit(5)))) - shift
 
-    def step(s: Column, x: Column) -> Column:
-        first = F.struct(s["room"].alias("room"), s["left"].alias("left"))
 
-        def one(t: Column, i: Column) -> Column:
-            hit = F.when(_unit(F.lit(seed), F.lit(level), F.col("shard"), x["source"], i) * t["left"] < t["room"], F.lit(1)).otherwise(F.lit(0))
-            return F.struct((t["room"] - hit).cast("long").alias("room"), (t["left"] - 1).cast("long").alias("left"))
+def hypergeometric(total: Column, good: Column, drawn: Column, u: Column) -> Column:
+    """How many of ``good`` out of ``total`` are among ``drawn`` without replacement, where ``u`` in [0, 1) decides.
+
+    From the mode outwards, one above and one below at a time, chances are added until they pass ``u``; nine standard
+    deviations hold all that a double can tell from one.
+    """
+
+    def found(a: Column) -> Column:
+        n, q, d = a["n"], a["q"], a["d"]
+        least, most = F.greatest(F.lit(0).cast("long"), d + q - n), F.least(q, d)
+        mode = F.greatest(least, F.least(most, F.floor((d + 1).cast("double") * (q + 1) / (n + 2)).cast("long")))
+        sd = F.sqrt(d.cast("double") * q / n * (n - q) / n * (n - d) / F.greatest(n - 1, F.lit(1)))
+        steps = F.least(most - least, F.ceil(sd * 9).cast("long") + 9)
+        return let(F.struct(n.alias("n"), q.alias("q"), d.alias("d"), mode.alias("m"), steps.alias("steps"), a["u"].alias("u")), walk)
+
+    def walk(a: Column) -> Column:
+        n, q, d, m = a["n"], a["q"], a["d"], a["m"]
+        ln = _log_factorial
+        at_mode = F.exp(ln(q) - ln(m) - ln(q - m) + ln(n - q) - ln(d - m) - ln(n - q - d + m) - ln(n) + ln(d) + ln(n - d))
+        none = F.lit(None).cast("long")
+        start = lambda p: F.struct((a["u"] - p).alias("rest"), p.alias("up"), p.alias("down"), F.when(a["u"] < p, m).otherwise(none).alias("k"))
+
+        def step(s: Column, i: Column) -> Column:
+            j, up_to, down_to = i.cast("double"), m + i, m - i
+            up = s["up"] * (q - m - j + 1) * (d - m - j + 1) / ((m + j) * (n - q - d + m + j))
+            down = s["down"] * (m - j + 1) * (n - q - d + m - j + 1) / ((q - m + j) * (d - m + j))
+            k = F.when(s["k"].isNotNull(), s["k"]).when(s["rest"] < up, up_to).when(s["rest"] < up + down, down_to)
+            return F.struct((s["rest"] - up - down).alias("rest"), F.greatest(up, F.lit(0.0)).alias("up"), F.greatest(down, F.lit(0.0)).alias("down"), k.alias("k"))
+
+        there = F.when(a["steps"] > 0, F.sequence(F.lit(1).cast("long"), F.greatest(a["steps"], F.lit(1).cast("long")))).otherwise(F.array().cast("array<bigint>"))
+        return let(at_mode, lambda p: F.aggregate(there, start(p), step, lambda s: F.coalesce(s["k"], m)))
+
+    sure = F.when((good <= 0) | (drawn <= 0), F.lit(0).cast("long")).when(drawn >= total, good).when(good >= total, drawn)
+    return F.when(sure.isNotNull(), sure).otherwise(let(F.struct(total.cast("long").alias("n"), good.cast("long").alias("q"), drawn.cast("long").alias("d"), u.alias("u")), found))
 
-        after = F.when(x["q"] > 0, F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(x["q"], F.lit(1).cast("long"))), first, one)).otherwise(first)
-        mine = lambda a: F.array(F.struct(x["source"].alias("source"), (s["room"] - a["room"]).cast("long").alias("q"))).cast(_QUOTAS)
-        return let(after, lambda a: F.struct(a["room"].alias("room"), a["left"].alias("left"), F.concat(s["out"], mine(a)).alias("out")))
+
+def _draw(level: int, seed: int):
+    """A fold step: how many of a source's blocks are among those that go left, given what sources before it took."""
+
+    def step(s: Column, x: Column) -> Column:
+        got = hypergeometric(s["left"], x["q"], s["room"], _unit(F.lit(seed), F.lit(level), F.col("shard"), x["source"]))
+        mine = lambda k: F.array(F.struct(x["source"].alias("source"), k.alias("q"))).cast(_QUOTAS)
+        return let(got, lambda k: F.struct((s["room"] - k).cast("long").alias("room"), (s["left"] - x["q"]).cast("long").alias("left"), F.concat(s["out"], mine(k)).alias("out")))
 
     return step
 
@@ -68,7 +111,8 @@ def _draw(level: int, seed: int):
 def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
     """``source, shard, n`` with ``n > 0`` for ``2 ** depth`` shards from rows ``source, quota``.
 
-    The quotas of all sources are one array (a value a source), as is each node's; a level of the tree is a narrow step.
+    The quotas of all sources are one array (a value a source), as is each node's; a level of the tree is a narrow step, and
+    every LEVELS levels its nodes are dealt out to tasks.
     """
     root = F.sort_array(F.collect_list(F.struct(F.col("source").alias("source"), F.col("quota").cast("long").alias("q")))).cast(_QUOTAS)
     node = quotas.groupBy().agg(root.alias("qs")).select(F.lit(0).cast("long").alias("shard"), "qs")
@@ -81,9 +125,28 @@ def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
         rights = F.zip_with("qs", "lefts", lambda a, b: F.struct(a["source"].alias("source"), (a["q"] - b["q"]).alias("q"))).cast(_QUOTAS)
         children = F.array(F.struct((F.col("shard") * 2).alias("shard"), F.col("lefts").alias("qs")), F.struct((F.col("shard") * 2 + 1).alias("shard"), rights.alias("qs")))
         node = drawn.select(F.explode(children).alias("c")).select("c.shard", "c.qs")
+        if (level + 1) % LEVELS == 0:
+            node = node.repartition("shard")
     return node.select("shard", F.explode("qs").alias("x")).where("x.q > 0").select(F.col("x.source").alias("source"), "shard", F.col("x.q").alias("n"))
 
 
+def lined_up(df: DataFrame, key: str, stretch: Column, order: list, name: str, size: str | None = None) -> DataFrame:
+    """``df`` with ``rank``, each row's place from 0 among those of its ``key``, and ``before``, the sum of ``size`` of the rows ahead.
+
+    ``stretch`` is a number that does not fall as ``order`` goes on, with few rows of each: a task orders rows of one stretch,
+    and their sums, a row each, put the stretches together.
+    """
+    inner, value = Window.partitionBy(key, "stretch"), F.col(size) if size else F.lit(0).cast("long")
+    cut = stored(df.withColumn("stretch", stretch), f"mix-{name}")
+    ahead = Window.partitionBy(key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    sums = cut.groupBy(key, "stretch").agg(F.count("*").alias("rows"), F.sum(value).alias("sizes"))
+    sums = sums.select(key, "stretch", F.coalesce(F.sum("rows").over(ahead), zero).alias("rows"), F.coalesce(F.sum("sizes").over(ahead), zero).alias("sizes"))
+    mine = cut.withColumn("rank", F.row_number().over(inner.orderBy(*order)) - 1).withColumn("before", F.coalesce(F.sum(value).over(inner.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), zero))
+    out = mine.join(sums, [key, "stretch"]).withColumn("rank", (F.col("rank") + F.col("rows")).cast("long")).withColumn("before", F.col("before") + F.col("sizes"))
+    return out.drop("stretch", "rows", "sizes")
+
+
 def _fill(placed: DataFrame, blocks: DataFrame, small) -> DataFrame:
     """``sk, block, r``: what a source gives of the blocks it does not give in full.
 
@@ -100,9 +163,9 @@ def _fill(placed: DataFrame, blocks: DataFrame, small) -> DataFrame:
     taken, ended = placed.select("sk", "block", "r").where(F.lit(False)), state.select("sk", "room").where(F.lit(False))
     while not state.isEmpty():
         fitting = opened.join(small(state), "sk").where((F.col("rank") >= F.col("from")) & (F.col("size") <= F.col("room")))
-        order = Window.partitionBy("sk").orderBy("rank")
-        sums = fitting.groupBy("sk", "block", "rank").agg(F.sum("size").alias("n"), F.first("room").alias("room")).withColumn("upto", F.sum("n").over(order))
-        sums = stored(sums.withColumn("left", F.col("room") - F.col("upto") + F.col("n")).where("left > 0").select("sk", "block", "rank", "n", "left"), "mix-sums")
+        sums = fitting.groupBy("sk", "block", "rank").agg(F.sum("size").alias("n"), F.first("room").alias("room")).withColumnRenamed("rank", "place")
+        sums = lined_up(sums, "sk", F.floor(F.col("place") / STRETCH), ["place"], "round", "n").withColumn("left", F.col("room") - F.col("before"))
+        sums = stored(sums.where("left > 0").select("sk", "block", F.col("place").alias("rank"), "n", "left"), "mix-sums")
         whole = fitting.join(sums.where("n <= left").select("sk", "block"), ["sk", "block"]).select("sk", "block", "r")
         # a block has few words, so this is a short list
         start = F.struct(F.first("left").cast("double").alias("room"), F.array().cast("array<int>").alias("rs"))
@@ -125,10 +188,12 @@ def mix(docs: DataFrame, size: Column | None = None, cycle: tuple[int, ...] = (1
     """``(draws, sizes)`` for rows ``doc_id, source``: what the mix takes, and every document's figures.
 
     ``draws``: ``doc_id, source, th, copy, shard, position``, a row for each copy of a document; ``th`` is the text's hash.
-    ``sizes``: ``doc_id, source, th, size, source_size, target, taken``, a row for each of ``docs``. ``size`` is the number
-    of words of ``text`` unless given; a null text has none and is never taken. A null source is a source of its own.
-    Whole documents are taken: a source gives ``floor(target / size)`` full passes and of one more pass its blocks in permuted
-    order until the target is met; in the last block the last document is the one whose taking comes nearest.
+    ``sizes``: ``doc_id, source, th, size, source_size, target, taken, places``, a row for each of ``docs``; ``places`` are the
+    shards and positions that it has in the mix. ``size`` is the number of words of ``text`` unless given; a null text has none
+    and is never taken. A null source is a source of its own.
+    Whole documents are taken: a source gives ``floor(target / size)`` full passes, and of one more pass its blocks in permuted
+    order, every document that fits what is left of the target; at last the smallest of those left out, if its taking comes
+    nearer to the target than its leaving.
     Rows alike in all columns are ranked and may be taken each; an empty table gives empty results; other columns are
     not looked at, so their names may be any.
     """
@@ -150,36 +215,38 @@ def mix(docs: DataFrame, size: Column | None = None, cycle: tuple[int, ...] = (1
     placed = stored(placed.select("doc_id", "source", "sk", "th", "h", "size", "block", F.row_number().over(inside).alias("r")), "mix-places")
 
     # the blocks of a source in permuted order: taken in full once more, in part, or not
-    permuted = Window.partitionBy("sk").orderBy(F.xxhash64(F.lit(seed), "sk", "block"), "block")
-    lined = placed.groupBy("sk", "block").agg(F.sum("size").alias("block_size")).withColumn("rank", F.row_number().over(permuted) - 1).withColumn("before", F.coalesce(F.sum("block_size").over(permuted.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    order = _unit(F.lit(seed), F.col("sk"), F.col("block"))
+    stretches = F.floor(F.col("order") * F.ceil(F.col("blocks") / STRETCH))
+    filled = placed.groupBy("sk", "block").agg(F.sum("size").alias("block_size")).join(small(targets), "sk").withColumn("order", order)
+    lined = lined_up(filled, "sk", stretches, ["order", "block"], "line", "block_size")
     extra = F.col("target") - F.col("passes") * F.col("source_size")
-    blocks = stored(lined.join(small(targets), "sk").withColumn("full", extra - F.col("before") >= F.col("block_size")).select("sk", "block", "rank", "passes", "block_size", extra.alias("extra"), "full"), "mix-blocks")
+    blocks = stored(lined.withColumn("full", extra - F.col("before") >= F.col("block_size")).select("sk", "block", "rank", "passes", "blocks", "block_size", extra.alias("extra"), "full"), "mix-blocks")
     chosen = stored(_fill(placed, blocks, small), "mix-chosen")
     blocks = blocks.join(chosen.select("sk", "block").distinct().withColumn("part", F.lit(True)), ["sk", "block"], "left")
 
     # what a source owes the mix: its blocks, pass by pass; each such item has a seat that the tree gives to a shard
-    item_order = Window.partitionBy("sk").orderBy(F.xxhash64(F.lit(seed + 1), "sk", "block", "copy"), "block", "copy")
     items = blocks.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes")))).where((F.col("copy") < F.col("passes")) | F.col("full") | F.col("part"))
-    items = stored(items.select("sk", "block", "copy", ((F.col("copy") == F.col("passes")) & ~F.col("full")).alias("partly"), (F.row_number().over(item_order) - 1).cast("long").alias("seat")), "mix-items")
-    shards = split_quotas(items.groupBy("sk").agg(F.count("*").alias("quota")).select(F.col("sk").alias("source"), "quota"), depth, seed)
-    by_shard = Window.partitionBy("source").orderBy("shard")
-    starts = shards.withColumn("start", F.coalesce(F.sum("n").over(by_shard.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
-    seats = starts.select(F.col("source").alias("sk"), "shard", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("seat"))
+    items = items.select("sk", "block", "copy", "blocks", ((F.col("copy") == F.col("passes")) & ~F.col("full")).alias("partly"), _unit(F.lit(seed + 1), F.col("sk"), F.col("block"), F.col("copy")).alias("order"))
+    items = stored(lined_up(items, "sk", stretches, ["order", "block", "copy"], "items").withColumnRenamed("rank", "seat"), "mix-seats")
+    shards = stored(split_quotas(items.groupBy("sk").agg(F.count("*").alias("quota")).select(F.col("sk").alias("source"), "quota"), depth, seed), "mix-tree")
+    starts = lined_up(shards, "source", F.floor(F.col("shard") / STRETCH), ["shard"], "leaves", "n")
+    seats = starts.select(F.col("source").alias("sk"), "shard", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("seat"))
     dealt = items.join(seats, ["sk", "seat"]).select("sk", "block", "copy", "shard", "partly")
 
     chosen = chosen.withColumn("chosen", F.lit(True))
     draws = placed.where("size > 0").join(chosen, ["sk", "block", "r"], "left").join(dealt, ["sk", "block"]).where(~F.col("partly") | F.col("chosen"))
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 2), "h", "r", "copy", "shard"), "doc_id", "r", "copy")
-    mixed = draws.select("doc_id", "source", "th", "copy", "shard", (F.row_number().over(local) - 1).alias("position"))
-    times = draws.groupBy("sk", "block", "r").agg(F.count("*").alias("times"))
-    sizes = placed.join(times, ["sk", "block", "r"], "left").join(small(targets.select("sk", "source_size", "target")), "sk")
-    return mixed, sizes.select("doc_id", "source", "th", "size", "source_size", F.col("target").cast("double").alias("target"), (F.coalesce("times", F.lit(0)) * F.col("size")).cast("long").alias("taken"))
+    mixed = stored(draws.select("doc_id", "source", "th", "sk", "block", "r", "copy", "shard", (F.row_number().over(local) - 1).cast("long").alias("position")), "mix-draws")
+    times = mixed.groupBy("sk", "block", "r").agg(F.sort_array(F.collect_list(F.struct("shard", "position"))).alias("places"))  # as many as the repeats allowed
+    sizes = placed.join(times, ["sk", "block", "r"], "left").join(small(targets.select("sk", "source_size", "target")), "sk").withColumn("places", F.coalesce("places", F.array().cast("array<struct<shard:bigint,position:bigint>>")))
+    return mixed.select("doc_id", "source", "th", "copy", "shard", "position"), sizes.select("doc_id", "source", "th", "size", "source_size", F.col("target").cast("double").alias("target"), (F.size("places") * F.col("size")).cast("long").alias("taken"), "places")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of all documents: each one's words, its source's words and target, and the words taken of it."""
+    """The mix of all documents: each one's words, its source's words and target, the words taken of it, and ``shard:position`` of each copy."""
     _, sizes = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return sizes.select("doc_id", "size", "source_size", "target", "taken")
+    places = F.array_join(F.transform("places", lambda p: F.concat_ws(":", p["shard"], p["position"])), ",")
+    return sizes.select("doc_id", "size", "source_size", "target", "taken", places.alias("places"))
 
 
 QUERIES = {"op1_mixing": query}

@@ -1,9 +1,11 @@
 from collections import Counter, defaultdict
+from fractions import Fraction
+from math import comb
 
 import pytest
 from pyspark.sql import functions as F
 
-from blocklake.llm.mixing import mix, split_quotas, with_targets
+from blocklake.llm.mixing import hypergeometric, lined_up, mix, split_quotas, with_targets
 from tests.llm.fixtures import corpus, docs, spaced
 
 
@@ -39,11 +41,52 @@ def test_tree_deals_every_quota_and_even_shards(spark):
 
 
 def test_draws_follow_the_hypergeometric_law(spark):
-    """Left counts of 10 of 40 blocks over many seeds: mean 5, variance 20 * .25 * .75 * 20 / 39."""
-    quotas = spark.createDataFrame([("a", 10), ("b", 30)], "source string, quota long")
-    left = [sum(r.n for r in split_quotas(quotas, 1, seed).where("source = 'a' and shard = 0").collect()) for seed in range(24)]
-    mean = sum(left) / len(left)
-    assert abs(mean - 5) < 1.2 and 0.5 < sum((x - mean) ** 2 for x in left) / len(left) < 4.5
+    """The number drawn is the one at which the exact distribution function passes u."""
+    cases = [(40, 10, 20), (7, 3, 5), (1000, 400, 10), (5000, 4990, 2500), (60, 1, 30), (9, 9, 4), (12, 0, 3), (30, 12, 0), (30, 12, 30)]
+    rows = [(n, q, d, (i + 0.5) / 37) for n, q, d in cases for i in range(37)]
+    table = spark.createDataFrame([*rows, (200_000_000, 70_000_000, 100_000_000, 0.37)], "n long, q long, d long, u double")
+    got = {(r.n, r.q, r.d, r.u): r.k for r in table.withColumn("k", hypergeometric(F.col("n"), F.col("q"), F.col("d"), F.col("u"))).collect()}
+    huge = got.pop((200_000_000, 70_000_000, 100_000_000, 0.37))
+    assert abs(huge - 35_000_000) < 5 * (100e6 * 0.35 * 0.65 * 0.5) ** 0.5
+    for n, q, d in cases:
+        chance = {k: Fraction(comb(q, k) * comb(n - q, d - k), comb(n, d)) for k in range(max(0, d + q - n), min(q, d) + 1)}
+        mode = max(chance, key=lambda k: (chance[k], -k))
+        for i in range(37):
+            k = got[n, q, d, (i + 0.5) / 37]
+            # outwards from the mode, one above, one below
+            order = [mode, *[mode + s * j for j in range(1, n + 1) for s in (1, -1)]]
+            sums, u = Fraction(0), Fraction((i + 0.5) / 37)
+            for x in order:
+                sums += chance.get(x, 0)
+                if u < sums:
+                    break
+            assert abs(k - x) <= (0 if chance[mode] != chance.get(mode + 1) else 1), (n, q, d, i, k, x)
+
+
+def test_every_node_of_the_tree_draws_by_the_law(spark):
+    """Means, variances and covariances of the sources' blocks over the nodes of three levels of one tree of 4096 blocks."""
+    quotas = {"a": 640, "b": 1536, "c": 1920}
+    rows = split_quotas(spark.createDataFrame(list(quotas.items()), "source string, quota long"), 8, 3).collect()
+    got = {(r.source, r.shard): r.n for r in rows}
+    for level in (8, 7, 6):
+        size = 4096 >> level
+        nodes = {s: [sum(got.get((s, leaf), 0) for leaf in range(k << 8 - level, k + 1 << 8 - level)) for k in range(1 << level)] for s in quotas}
+        assert all(sum(n[k] for n in nodes.values()) == size for k in range(1 << level))
+        for s, q in quotas.items():
+            p, left = q / 4096, (4096 - size) / 4095
+            variance = sum((x - size * p) ** 2 for x in nodes[s]) / len(nodes[s])
+            assert 0.6 < variance / (size * p * (1 - p) * left) < 1.5, (level, s)
+        both = sum((x - size * 640 / 4096) * (y - size * 1536 / 4096) for x, y in zip(nodes["a"], nodes["b"], strict=True)) / (1 << level)
+        assert -1.7 < both / (size * 640 / 4096 * 1536 / 4096 * left) < -0.4, level
+
+
+def test_ranks_over_stretches(spark):
+    rows = [(k, i // 7, (i * 37) % 100, i % 5) for k in "ab" for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, stretch0 long, x long, size long").withColumn("o", F.col("stretch0") * 1000 + F.col("x"))
+    out = lined_up(df, "k", F.col("stretch0"), ["o"], "test", "size").collect()
+    for key in "ab":
+        mine = sorted((r for r in out if r.k == key), key=lambda r: r.o)
+        assert [r["rank"] for r in mine] == list(range(60)) and [r.before for r in mine] == [sum(x["size"] for x in mine[:i]) for i in range(60)]
 
 
 def test_mix_meets_targets_and_repeats(spark):
@@ -66,7 +109,8 @@ def test_mix_meets_targets_and_repeats(spark):
     words = {(r.doc_id, r.th): r.size for r in got}
     assert sum(words[r.doc_id, r.th] for r in draws.collect()) == sum(taken.values())
     again = mix(table, block_words=300, shard_words=2000)[1].collect()
-    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+    assert Counter(map(str, again)) == Counter(map(str, got))
+    assert sorted((r.doc_id or 0, p.shard, p.position) for r in got for p in r.places) == sorted((r.doc_id or 0, r.shard, r.position) for r in draws.collect())
     seats = draws.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("position").alias("d"), F.max("position").alias("m")).collect()
     assert len(seats) > 1 and all(r.n == r.d == r.m + 1 for r in seats)
 
