@@ -20,9 +20,11 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read, from ``spark.checkpoint.dir``; a folder of our own only where that is unset."""
+    """The folder every executor can read, from ``spark.checkpoint.dir``; a folder of our own only in a local session without it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:  # a local session, as in tests
+    if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: tables need a folder that all executors share")
         app = spark.sparkContext.applicationId
         path = _own[app] = _own.get(app) or "file://" + tempfile.mkdtemp(prefix="blocklake-")
     return path.rstrip("/")
@@ -49,6 +51,18 @@ def space_count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def spare(columns: list[str], *names: str) -> list[str]:
+    """Names for columns of our own that none of ``columns`` has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, th, text``: a row is known by its id and a hash of its text, so ids that repeat with other texts stay apart.
 
@@ -58,18 +72,12 @@ def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
 
 
-#: What stands for a null id in ``id``, so that joins on it are plain ones.
-NO_ID = -(1 << 63)
-
-
 def identified(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``id, th, text`` as of :func:`keyed`, without nulls: a null ``doc_id`` is NO_ID there; :func:`doc_id_of` undoes it."""
-    rows = keyed(docs, text)
-    return rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "th", "text")
-
+    """``doc_id, id, th, text`` as of :func:`keyed`: ``id`` is a hash of ``doc_id``, which may be null and of any type that sorts.
 
-def doc_id_of(id: Column) -> Column:
-    return F.nullif(id, F.lit(NO_ID)).alias("doc_id")
+    Tables on the way are joined by ``id, th``. Two rows that have both in common have one text, and so the same result.
+    """
+    return keyed(docs, text).select("doc_id", F.xxhash64("doc_id").alias("id"), "th", "text")
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

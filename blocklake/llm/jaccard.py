@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from blocklake.llm.common import doc_id_of, identified, slices, stored, table, text_buffers
+from blocklake.llm.common import identified, slices, stored, table, text_buffers
 from blocklake.llm.components import connected_components
 from blocklake.llm.tokens import LOWER, NOT_SPACE, mixed, prefix_sums, span_hash, words
 
@@ -87,7 +88,7 @@ def least_size(n: np.ndarray | int, percent: int):
 
 
 def _sets(n_words: int, percent: int, sent, full: bool):
-    """``id, th, sid, n, prefix`` of every text, or (full) ``sid, tokens`` of texts that come with their ``sid``."""
+    """``doc_id, id, th, sid, n, prefix`` of every text, or (full) ``sid, tokens`` of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, level = sent.value
@@ -108,7 +109,8 @@ def _sets(n_words: int, percent: int, sent, full: bool):
                 at = np.r_[0, np.cumsum(length)]
                 pick = np.arange(at[-1]) - np.repeat(at[:-1], length) + np.repeat(bounds[:-1], length)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(token[pick].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b]), pa.array(ths[a:b]), pa.array(sid, mask=n == 0), pa.array(n.astype(np.int32)), lists], ["id", "th", "sid", "n", "prefix"])
+                own = batch.column("doc_id").slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([own, pa.array(ids[a:b]), pa.array(ths[a:b]), pa.array(sid, mask=n == 0), pa.array(n.astype(np.int32)), lists], ["doc_id", "id", "th", "sid", "n", "prefix"])
 
     return run
 
@@ -165,23 +167,25 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
     their union; ``component_id`` is the least ``doc_id`` reachable by links. Null, empty and wordless texts have no shingles
     and stay by themselves, with their own id. Rows that repeat are in one component; ids that are null are left out of the
     least unless there is no other; an empty table gives an empty one; other columns are left out. ``component`` tells
-    components apart also where ids are null or repeat; it is null for texts without shingles.
+    components apart also where ids are null or repeat; it is null for texts without shingles. ``doc_id`` may be of any type
+    that sorts.
     """
     spark = docs.sparkSession
     rows = identified(docs, text)
-    counted = rows.mapInArrow(_common(n_words), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
-    common = counted.orderBy(F.desc("n"), "token").limit(MOST_COMMON).toPandas()  # of bounded size
-    token, level = common["token"].to_numpy(np.int64).view(np.uint64), (1 + np.log2(common["n"].to_numpy(np.float64) + 1)).astype(np.uint8)
+    counted = rows.select("text").mapInArrow(_common(n_words), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+    common = counted.orderBy(F.desc("n"), "token").limit(MOST_COMMON).toArrow()  # of bounded size
+    token, level = common["token"].to_numpy().view(np.uint64), (1 + np.log2(common["n"].to_numpy().astype(np.float64) + 1)).astype(np.uint8)
     order = np.argsort(token)
     sent = spark.sparkContext.broadcast((token[order], level[order]))
 
-    sets = stored(rows.mapInArrow(_sets(n_words, percent, sent, False), "id long, th long, sid long, n int, prefix array<long>"), "sets")
-    distinct = sets.where("sid is not null").groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    boundary = choose_boundary(sets.where("sid is not null"), percent)
-    # the lists, without those of one set; one exchange, by key
-    keys = _keys(distinct, boundary, percent).repartition("key")
-    lists = keys.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
-    lists = stored(lists, "lists")
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("id long, th long, sid long, n int, prefix array<long>").fields])
+    sets = stored(rows.mapInArrow(_sets(n_words, percent, sent, False), schema), "sets")
+    distinct = stored(sets.where("sid is not null").groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "distinct")
+    boundary = choose_boundary(distinct, percent)
+    # the lists, without those of one set; a list that holds a great part of the rows is split among tasks
+    keys = _keys(distinct, boundary, percent)
+    sizes = stored(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "list-sizes")
+    lists = stored(keys.join(sizes, "key"), "lists")
     prefixes = distinct.join(lists.select("sid").distinct(), "sid", "left_semi")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -221,20 +225,22 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
     parts = labelled.groupBy("key", "root").agg(F.count("*").alias("m"))
     largest = parts.groupBy("key").agg(F.max(F.struct("m", "root"))["root"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
     open_lists = stored(labelled.join(largest.select("key", "main"), "key").select("key", "sid", "n", "pos", "root", (F.col("root") == F.col("main")).alias("in_main")), "open")
-    x = open_lists.where(~F.col("in_main")).select("key", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"))
-    y = open_lists.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"), "in_main")
-    meets = (x["key"] == y["key"]) & (F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _compatible(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)
+    # sets that link have sizes of one class or of the next: a list is met in stretches of sizes, not whole
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / min(percent, 99))) + 1e-9)
+    near = F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("class")
+    x = open_lists.where(~F.col("in_main")).select(F.col("key").alias("k"), F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"), near)
+    y = open_lists.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"), "in_main", size_class.alias("of"))
+    meets = (F.col("k") == F.col("key")) & (F.col("class") == F.col("of")) & (F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _compatible(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)
     pairs = x.join(y, meets).select("a", "b").distinct()
     more = verified(pairs)
     roots = connected_components(links.unionByName(more))
 
     # the least id of each component, summed up by set before components meet
-    own_id = F.nullif(F.col("id"), F.lit(-(1 << 63)))
-    of_set = stored(sets.where("sid is not null").groupBy("sid").agg(F.min(own_id).alias("least")).join(roots.select(F.col("v").alias("sid"), "root"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("root")), "set-roots")
+    of_set = stored(sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least")).join(roots.select(F.col("v").alias("sid"), "root"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("root")), "set-roots")
     least = of_set.groupBy("root").agg(F.min("least").alias("component_id"))
     named = of_set.join(least, "root").select("sid", "component_id", F.col("root").alias("component"))
-    out = sets.select("id", "th", "sid", "n").join(named, "sid", "left")
-    return out.select(doc_id_of(F.col("id")), "th", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", own_id).alias("component_id"), "component")
+    out = sets.select("doc_id", "th", "sid", "n").join(named, "sid", "left")
+    return out.select("doc_id", "th", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "component")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,8 +19,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from blocklake.llm.common import doc_id_of, identified, slices, table, text_buffers
+from blocklake.llm.common import identified, slices, stored, table, text_buffers
 from blocklake.llm.tokens import NOT_SPACE, anchors, grouped, prefix_sums, span_hash, words
 
 WINDOW, GRAM = 35, 10
@@ -34,6 +35,19 @@ def _word_sums(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return prefix_sums(span_hash(prefix_sums(data), starts, ends)), bounds
 
 
+def _counts(window: int, gram: int):
+    """Minimisers with their occurrences in a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffers(batch.column("text"))
+            parts = [anchors(*_word_sums(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), window, gram)[3] for a, b in slices(offsets)]
+            h, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    return run
+
+
 def _minimisers(window: int, gram: int):
     """A row for each text and minimiser: its super-k-mers as ``first << 32 | last`` window. A text that repeats itself has one row."""
 
@@ -183,7 +197,7 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(b" ".join(own))
             spans.append([{"start": a, "end": b} for a, b in cut])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("th"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()).cast(pa.string())], ["id", "th", "n_words", "n_removed", "spans", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "th", "n_words", "n_removed", "spans", "text"])
 
 
 def dedup_substrings(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -192,12 +206,14 @@ def dedup_substrings(docs: DataFrame, text: str = "text", window: int = WINDOW,
     Words are runs of anything but the six ASCII white space signs. A word goes if a window of ``window`` words that covers
     it also starts at any other place of any row, the same row included; all windows are judged on the input. ``spans``
     are the removed word ranges (end excluded), ``text`` the words left, joined by one blank, ``th`` the input text's hash.
-    Null and empty texts have no words; texts shorter than a window stay; rows that repeat are each other's copies; an
-    empty table gives an empty one; other columns are left out.
+    ``doc_id`` may be null and of any type. Null and empty texts have no words; texts shorter than a window stay; rows that
+    repeat are each other's copies; an empty table gives an empty one; other columns are left out.
     """
     rows = identified(docs, text)
-    runs = rows.mapInArrow(_minimisers(window, gram), "h long, id long, th long, runs array<long>").repartition("h")
-    again = runs.groupBy("h").agg(F.sum(F.size("runs")).alias("n")).where("n > 1")
+    counts = rows.select("text").mapInArrow(_counts(window, gram), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    again = stored(counts.where("n > 1"), "minimisers")
+    # both sides come straight from an exchange, so a minimiser with a great part of the rows is split among tasks
+    runs = rows.select("id", "th", "text").mapInArrow(_minimisers(window, gram), "h long, id long, th long, runs array<long>")
     candidates = runs.join(again, "h").groupBy("id", "th").agg(F.collect_list(F.struct("h", "n", "runs")).alias("found"))
     by_row = rows.repartition("id", "th")  # one exchange of the texts serves all three uses below
     found = by_row.join(candidates, ["id", "th"], "left")
@@ -207,8 +223,8 @@ def dedup_substrings(docs: DataFrame, text: str = "text", window: int = WINDOW,
     span = lambda at, x: F.struct((at + x["a"]).alias("start"), (at + x["b"] + window).alias("end"))
     spans = places.join(twice, ["h", "sid"]).select("id", "th", F.flatten(F.transform("at", lambda at: F.transform("twice", lambda x: span(at, x)))).alias("spans"))
     per_row = spans.groupBy("id", "th").agg(F.collect_list("spans").alias("spans"))
-    cleaned = by_row.join(per_row, ["id", "th"], "left").mapInArrow(_clean, "id long, th long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, text string")
-    return cleaned.select(doc_id_of(F.col("id")), "th", "n_words", "n_removed", "spans", "text")
+    kept = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("th long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, text string").fields])
+    return by_row.join(per_row, ["id", "th"], "left").mapInArrow(_clean, kept)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

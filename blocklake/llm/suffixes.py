@@ -3,30 +3,40 @@
 A string of ``length`` bytes that stands twice contains an anchor (its least-hashed gram) at the same place both times, so
 it is enough to sort the suffixes that start at anchors whose gram occurs again. Tasks cut these suffixes, with the bytes
 before them, from their texts, sort them and write them as front-coded runs: of each suffix only what it does not share
-with the one before. Runs are exchanged by their anchor's gram and merged by a loser tree that keeps, for each run, how
-much its head shares with the last winner; heads that share different amounts are ordered without a look at their bytes,
-and no known prefix is compared again. The merge yields the sorted order and all neighbours' common prefixes.
+with the one before. Runs are exchanged by ranges of suffixes, whose bounds come from a sample, and merged by a loser tree that
+keeps, for each run, how much its head shares with the last winner; heads that share different amounts are ordered without
+a look at their bytes, and no known prefix is compared again. Range after range, the merges yield the sorted order of all
+suffixes and the neighbours' common prefixes.
 
 Neighbours alone do not settle a match, as it reaches both ways from the anchor: two suffixes that share ``r`` bytes from it
 and ``l`` before it repeat ``l + r`` bytes. So each group of suffixes with one gram is united along falling common prefixes
 (the smaller part into the larger), and each suffix that joins meets its two neighbours in the order of the bytes before.
 That finds for each suffix the best ``l`` for every ``r`` in n log n steps, without going through all pairs.
+
+A gram with more than ``HOT`` places is no task's group: there each string of ``length`` bytes around it is counted by its own
+128-bit hash, which spreads over all tasks. Nothing is dropped.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from blocklake.llm.common import doc_id_of, identified, slices, table, text_buffers
+from blocklake.llm.common import identified, slices, stored, table, text_buffers
 from blocklake.llm.tokens import anchors, grouped, prefix_sums
 
 LENGTH, GRAM = 200, 32
+#: Places of a gram beyond which its strings are counted one by one.
+HOT = 50_000
+#: Suffixes of one range, about; at most so many grams are sampled to find the bounds, which decide balance alone.
+RANGE, SAMPLE, BATCH_SAMPLE = 50_000, 32_768, 256
 SPANS = "array<struct<start:int,end:int>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -35,6 +45,36 @@ def _binary(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
 
 
+def _distinct_anchors(sums: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    _, _, at, h = anchors(sums, bounds, length, gram)
+    new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else at
+    return at[new], h[new]
+
+
+def _counts(length: int, gram: int):
+    """Grams of anchors with their occurrences in a batch, and of those with the least hashes also their bytes, as numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = -(-gram // 8)
+        for batch in batches:
+            data, offsets = text_buffers(batch.column("text"))
+            hs, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for a, b in slices(offsets):
+                at, h = _distinct_anchors(prefix_sums(data[offsets[a] : offsets[b]]), offsets[a : b + 1] - offsets[a], length, gram)
+                hs.append(h)
+                places.append(at + offsets[a])
+            h, first, n = np.unique(np.concatenate(hs), return_index=True, return_counts=True)
+            at = np.concatenate(places)[first[:BATCH_SAMPLE]]
+            grams = np.zeros((len(at), 8 * parts), np.uint8)
+            grams[:, :gram] = data[at[:, None] + np.arange(gram)] if len(at) else 0
+            # bytes as big-endian numbers with the first bit turned, so that their order is that of the bytes
+            numbers = (grams.view(">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+            columns = [pa.array(np.r_[numbers[:, i], np.zeros(len(h) - len(at), np.int64)], mask=np.arange(len(h)) >= len(at)) for i in range(parts)]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n), *columns], ["h", "n", *(f"g{i}" for i in range(parts))])
+
+    return run
+
+
 def _anchors(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -42,9 +82,7 @@ def _anchors(length: int, gram: int):
             ids, ths = batch.column("id").to_numpy(), batch.column("th").to_numpy()
             for a, b in slices(offsets):
                 bounds = offsets[a : b + 1] - offsets[a]
-                _, _, at, h = anchors(prefix_sums(data[offsets[a] : offsets[b]]), bounds, length, gram)
-                new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else at
-                at, h = at[new], h[new]
+                at, h = _distinct_anchors(prefix_sums(data[offsets[a] : offsets[b]]), bounds, length, gram)
                 doc = np.searchsorted(bounds, at, "right") - 1
                 h, doc, lists = grouped(h, doc, (at - bounds[doc]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[a + doc]), pa.array(ths[a + doc]), lists], ["h", "id", "th", "at"])
@@ -52,6 +90,17 @@ def _anchors(length: int, gram: int):
     return run
 
 
+def bounds_of(sample: list[tuple[bytes, int]], ranges: int) -> list[bytes]:
+    """Grams that cut the order of suffixes into at most ``ranges`` ranges of about the same number of places."""
+    sample = sorted(sample)
+    share, seen, out = sum(n for _, n in sample) / ranges, 0, []
+    for gram, n in sample:
+        if seen >= share * (len(out) + 1):
+            out.append(gram)
+        seen += n
+    return out
+
+
 def common(a: bytes, b: bytes, at: int = 0) -> int:
     """Length of the common prefix of two strings that share their first ``at`` bytes."""
     most = min(len(a), len(b))
@@ -70,8 +119,8 @@ def common(a: bytes, b: bytes, at: int = 0) -> int:
     return min(at, most)
 
 
-def _runs(length: int, buckets: int):
-    """Front-coded sorted runs, one for each bucket and batch, of the candidate suffixes of a batch's texts.
+def _runs(length: int, gram: int, hot: int, cuts: list[bytes]):
+    """Front-coded sorted runs, one for each range and batch, of the candidate suffixes of a batch's texts.
 
     A row is a run: lists of shared prefix lengths, rest bytes, bytes before (reversed), and of each suffix's places.
     """
@@ -88,7 +137,9 @@ def _runs(length: int, buckets: int):
                     continue
                 text = texts[i].as_py()
                 for x in mine:
-                    found = parts.setdefault(x["h"] % buckets, {})
+                    if x["n"] > hot:
+                        continue  # its strings go one by one
+                    found = parts.setdefault(bisect_right(cuts, text[x["at"][0] : x["at"][0] + gram]), {})
                     for at in x["at"]:
                         key = (text[at : at + length], text[max(0, at - length + 1) : at][::-1])
                         found.setdefault(key, {}).setdefault(i, []).append(at)
@@ -109,6 +160,30 @@ def _runs(length: int, buckets: int):
     return run
 
 
+def _strings(length: int, gram: int, hot: int):
+    """``a, b, id, th, at``: hashes of all strings of a text that hold a hot gram, and where they start."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, all_at = _binary(batch.column("text")), batch.column("anchors")
+            ids, ths, rows = batch.column("id").to_pylist(), batch.column("th").to_pylist(), []
+            for i, mine in enumerate(all_at):
+                grams = sorted(at for x in mine.as_py() or () if x["n"] > hot for at in x["at"])
+                if not grams:
+                    continue
+                text, done, found = texts[i].as_py(), 0, {}
+                for at in grams:  # a string that holds several is counted once
+                    for start in range(max(done, at + gram - length), min(at, len(text) - length) + 1):
+                        found.setdefault(xxhash.xxh3_128_intdigest(text[start : start + length]), []).append(start)
+                        done = start + 1
+                rows += [((h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63), ids[i], ths[i], at) for h, at in found.items()]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "b", "id", "th", "at"])
+
+    return run
+
+
 class Run:
     """A front-coded run that is read from its start; ``suffix`` is its head, ``lcp`` what that shares with the last winner."""
 
@@ -290,30 +365,45 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 left.append(own[at:a])
                 at = b
             kept.append(b"".join([*left, own[at:]]))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("th"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(all_spans, _SPANS), pa.array(kept, pa.binary())], ["id", "th", "n_bytes", "n_removed", "spans", "kept"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(all_spans, _SPANS), pa.array(kept, pa.binary())], ["doc_id", "th", "n_bytes", "n_removed", "spans", "kept"])
 
 
-def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, buckets: int | None = None) -> DataFrame:
+def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, per_range: int = RANGE) -> DataFrame:
     """``doc_id, th, n_bytes, n_removed, spans, kept``: each row of ``docs`` without bytes of strings that stand elsewhere too.
 
     A byte of the UTF-8 text goes if a string of ``length`` bytes that covers it also starts at any other place of any row,
     the same row included; strings are judged on the input and never cross rows. ``spans`` are the maximal removed byte
     ranges (end excluded), ``kept`` the bytes left (a removed range may end inside a character), ``th`` the input text's
-    hash. A null text is an empty one; texts shorter than ``length`` stay; rows that repeat are each other's copies; an
-    empty table gives an empty one; other columns are left out. ``buckets``: how many merges share the work.
+    hash. ``doc_id`` may be null and of any type. A null text is an empty one; texts shorter than ``length`` stay; rows that
+    repeat are each other's copies; an empty table gives an empty one; other columns are left out. ``hot`` and ``per_range``
+    decide how the work is dealt out, never the result.
     """
     spark = docs.sparkSession
     rows = identified(docs, text)
-    buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = rows.mapInArrow(_anchors(length, gram), "h long, id long, th long, at array<int>").repartition("h")
-    again = found.groupBy("h").agg(F.sum(F.size("at")).alias("n")).where("n > 1").select("h")
-    candidates = found.join(again, "h").groupBy("id", "th").agg(F.collect_list(F.struct("h", "at")).alias("anchors"))
-    by_row = rows.repartition("id", "th")  # one exchange of the texts serves both uses below
-    runs = by_row.join(candidates, ["id", "th"], "left").mapInArrow(_runs(length, buckets), "bucket int, shared array<int>, rest array<binary>, before array<binary>, places array<array<struct<id:long,th:long,at:array<int>>>>")
-    merged = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(length, gram), f"id long, th long, spans {SPANS}")
-    per_row = merged.groupBy("id", "th").agg(F.collect_list("spans").alias("spans"))
-    cleaned = by_row.join(per_row, ["id", "th"], "left").mapInArrow(_clean, f"id long, th long, n_bytes long, n_removed long, spans {SPANS}, kept binary")
-    return cleaned.select(doc_id_of(F.col("id")), "th", "n_bytes", "n_removed", "spans", "kept")
+    parts = [f"g{i}" for i in range(-(-gram // 8))]
+    counts = rows.select("text").mapInArrow(_counts(length, gram), "h long, n long, " + ", ".join(f"{g} long" for g in parts)).groupBy("h").agg(F.sum("n").alias("n"), *[F.max(g).alias(g) for g in parts])
+    again = stored(counts.where("n > 1"), "grams")
+    total = again.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("n").alias("most")).first()  # two numbers
+    sample = again.where(F.col("g0").isNotNull() & (F.col("n") <= hot)).orderBy("h").limit(SAMPLE).collect()  # of bounded size
+    as_bytes = lambda r: b"".join((r[g] + (1 << 63)).to_bytes(8, "big") for g in parts)[:gram]
+    ranges = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), total["n"] // per_range)
+    cuts = bounds_of([(as_bytes(r), r["n"]) for r in sample], ranges)
+
+    # both sides come straight from an exchange, so a gram with a great part of the rows is split among tasks
+    found = rows.select("id", "th", "text").mapInArrow(_anchors(length, gram), "h long, id long, th long, at array<int>")
+    candidates = found.join(again.select("h", "n"), "h").groupBy("id", "th").agg(F.collect_list(F.struct("h", "n", "at")).alias("anchors"))
+    by_row = rows.repartition("id", "th")  # one exchange of the texts serves all uses below
+    met = by_row.join(candidates, ["id", "th"], "left")
+    runs = met.mapInArrow(_runs(length, gram, hot, cuts), "bucket int, shared array<int>, rest array<binary>, before array<binary>, places array<array<struct<id:long,th:long,at:array<int>>>>")
+    spans = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(length, gram), f"id long, th long, spans {SPANS}")
+    if (total["most"] or 0) > hot:
+        strings = stored(met.mapInArrow(_strings(length, gram, hot), "a long, b long, id long, th long, at array<int>"), "strings")
+        twice = stored(strings.groupBy("a", "b").agg(F.sum(F.size("at")).alias("n")).where("n > 1").select("a", "b"), "strings-twice")
+        of_hot = strings.join(twice, ["a", "b"]).select("id", "th", F.transform("at", lambda x: F.struct(x.alias("start"), (x + length).alias("end"))).alias("spans"))
+        spans = spans.unionByName(of_hot)
+    per_row = spans.groupBy("id", "th").agg(F.collect_list("spans").alias("spans"))
+    kept = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(f"th long, n_bytes long, n_removed long, spans {SPANS}, kept binary").fields])
+    return by_row.join(per_row, ["id", "th"], "left").mapInArrow(_clean, kept)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

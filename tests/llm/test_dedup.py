@@ -2,9 +2,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from blocklake.llm.substring import count_windows, dedup_substrings
-from blocklake.llm.suffixes import Run, common, dedup_bytes, merge, united
+from blocklake.llm.suffixes import GRAM, HOT, Run, bounds_of, common, dedup_bytes, merge, united
 from tests.llm.fixtures import DOCS, corpus, docs
 
 
@@ -35,28 +36,47 @@ def test_words_against_brute_force(spark, window, gram, hot):
     assert got == want
 
 
-@pytest.mark.parametrize(("length", "gram"), [(200, 48), (20, 6)])
-def test_bytes_against_brute_force(spark, length, gram):
+@pytest.mark.parametrize(("length", "gram", "hot"), [(200, GRAM, HOT), (200, GRAM, 4), (200, 48, 1), (20, 6, HOT), (20, 6, 3)])
+def test_bytes_against_brute_force(spark, length, gram, hot):
     rows = corpus()
     texts = [(r[1] or "").encode() for r in rows]
     want = Counter()
     for r, t, gone in zip(rows, texts, brute(texts, length), strict=True):
         spans = united([(i, i + 1) for i, g in enumerate(gone) if g])
         want[r[0], len(t), sum(gone), tuple(spans), bytes(b for b, g in zip(t, gone, strict=True) if not g)] += 1
-    found = dedup_bytes(docs(spark), length=length, gram=gram, buckets=5).collect()
+    found = dedup_bytes(docs(spark), length=length, gram=gram, hot=hot, per_range=100).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, tuple((s.start, s.end) for s in r.spans), bytes(r.kept)) for r in found) == want
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(4))
 def test_bytes_of_random_small_alphabets(spark, seed):
     r = random.Random(seed)
     rows = [(i, "".join(r.choices("ab", k=r.randrange(0, 90))), None, None, None) for i in range(40)]
     texts = [x[1].encode() for x in rows]
     want = {i: sum(g) for i, g in enumerate(brute(texts, 12))}
-    got = dedup_bytes(spark.createDataFrame(rows, DOCS), length=12, gram=5, buckets=3).collect()
+    got = dedup_bytes(spark.createDataFrame(rows, DOCS), length=12, gram=5, hot=[6, HOT][seed % 2], per_range=50).collect()
     assert {x.doc_id: x.n_removed for x in got} == want
 
 
+def test_ids_of_other_types_and_extremes(spark):
+    rows = corpus()
+    table = docs(spark, rows).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    want = Counter((None if r[0] is None else f"d{r[0]}", sum(g)) for r, g in zip(rows, brute(words(rows), 35), strict=True))
+    assert Counter((r.doc_id, r.n_removed) for r in dedup_substrings(table).collect()) == want
+    want = Counter((None if r[0] is None else f"d{r[0]}", sum(g)) for r, g in zip(rows, brute([(r[1] or "").encode() for r in rows], 200), strict=True))
+    assert Counter((r.doc_id, r.n_removed) for r in dedup_bytes(table).collect()) == want
+    least = spark.createDataFrame([(-(1 << 63), "a b", None, None, None), (None, "a b", None, None, None)], DOCS)
+    assert {r.doc_id for r in dedup_substrings(least).collect()} == {r.doc_id for r in dedup_bytes(least).collect()} == {-(1 << 63), None}
+
+
+def test_bounds_share_the_places():
+    sample = [(bytes([i]), 1 + i % 3) for i in range(200)]
+    cuts = bounds_of(sample[::-1], 10)
+    sums = Counter(sum(c <= g for c in cuts) for g, n in sample for _ in range(n))
+    assert cuts == sorted(cuts) and len(cuts) == 9 and max(sums.values()) <= 2 * min(sums.values())
+    assert bounds_of([], 5) == []
+
+
 def test_empty(spark):
     assert dedup_substrings(docs(spark, [])).count() == 0 and dedup_bytes(docs(spark, [])).count() == 0
 
