@@ -17,15 +17,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from blocklake.llm.common import keyed, slices, table, text_buffers
+from blocklake.llm.common import keyed, slices, spare, table, text_buffers
 from blocklake.llm.tokens import ALNUM, LOWER, prefix_sums, span_hash, words
 
 WINDOW = 10
 #: Bytes of benchmark text that tasks get at a time.
 BLOCK_BYTES = 16 << 20
 
-HITS = "doc_id long, th long, n_words long, spans array<struct<start:int,end:int>>, items array<long>, longest int"
+HITS = "th long, n_words long, spans array<struct<start:int,end:int>>, items array<long>, longest int"
 
 
 def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +172,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str =
                 columns = [batch.column("doc_id"), batch.column("th"), pa.array(count), pa.array(spans, kind), pa.array(found, pa.list_(pa.int64())), pa.array(longest, pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "th", "n_words", "spans", "items", "longest"])
 
-        parts.append(rows.mapInArrow(run, HITS))
+        parts.append(rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(HITS).fields])))
     if len(parts) == 1:
         return parts[0]
     every = parts[0]
@@ -192,9 +193,10 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str =
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) whose text has no window of any item; see :func:`matches` for words and windows."""
-    hit = matches(docs, items, window, text).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    own = F.xxhash64(F.coalesce(docs[text], F.lit("")))
-    return docs.join(hit, F.col("_id").eqNullSafe(docs["doc_id"]) & (F.col("_th") == own), "left_anti")
+    own_id, own_th = spare(docs.columns, "_id", "_th")
+    hit = matches(docs, items, window, text).where(F.size("spans") > 0).select(F.col("doc_id").alias(own_id), F.col("th").alias(own_th)).distinct()
+    th = F.xxhash64(F.coalesce(docs[text], F.lit("")))
+    return docs.join(hit, F.col(own_id).eqNullSafe(docs["doc_id"]) & (F.col(own_th) == th), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blocklake.llm.common import SPACE, let, table
+from blocklake.llm.common import SPACE, let, spare, table
 
 #: Fixed values of the base rules, as the query's contract states them.
 MIN_WORDS, MAX_REPEAT_PERCENT, SYMBOLS = 50, 50, "#*$%&|<>"
@@ -91,13 +91,14 @@ def quality_rules(docs: DataFrame, text: str = "text", max_lost_percent: int = 5
     )
     own = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_words", "base_failed", "kept", "clean_text"}
     rest = [c for c in docs.columns if c not in own]
+    (f,) = spare([*rest, *own], "_f")
     # explode of a one-item array keeps the figures from being computed again in every expression that reads them
-    one = docs.select(*[docs[f"`{c}`"] for c in rest], F.explode(F.array(figures)).alias("_f"))
-    n, repeated, each = F.col("_f.w.n"), F.col("_f.w.repeated"), F.col("_f.lines.each")
+    one = docs.select(*[docs[f"`{c}`"] for c in rest], F.explode(F.array(figures)).alias(f))
+    n, repeated, each = F.col(f"{f}.w.n"), F.col(f"{f}.w.repeated"), F.col(f"{f}.lines.each")
     lost = F.aggregate(F.filter(each, lambda x: x["bad"]), F.lit(0).cast("long"), lambda s, x: s + F.regexp_count(x["line"], F.lit(f"[^{SPACE}]+")))
     failed = (n < MIN_WORDS) | (repeated * 100 > n * MAX_REPEAT_PERCENT)
     return one.select(
-        *[F.col(f"`{c}`") for c in rest], n.alias("n_words"), F.col("_f.word_chars").alias("word_chars"), F.col("_f.n_symbols").alias("n_symbols"), F.col("_f.lines.n_dup").alias("n_dup_lines"),
+        *[F.col(f"`{c}`") for c in rest], n.alias("n_words"), F.col(f"{f}.word_chars").alias("word_chars"), F.col(f"{f}.n_symbols").alias("n_symbols"), F.col(f"{f}.lines.n_dup").alias("n_dup_lines"),
         repeated.alias("n_repeat_words"), lost.alias("lost_words"), failed.alias("base_failed"), (~failed & (lost * 100 <= n * max_lost_percent)).alias("kept"),
         F.array_join(F.transform(F.filter(each, lambda x: ~x["bad"]), lambda x: x["line"]), "\n").alias("clean_text"),
     )

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -65,3 +66,41 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
             groups.append(r[1])
     assert len(want) == 24 + 1 + 4
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in want)
+
+
+CLASHING = ("id", "th", "row", "shard", "version", "position", "score", "toxic", "_id", "_th", "_copy", "shard_id", "key", "run", "doc_id_", "sid", "component")
+
+
+def test_stages_keep_columns_whose_names_clash_and_rows_alike(spark, sf_dir):
+    """Null and repeated ids, rows alike in id, text and source but for another column, and our own names as columns."""
+    rows = [*corpus(), *[(5, "one text of some words", "en", "s1", k) for k in (1, 2, 2)], *[(None, "nobody's second text is here", "fr", None, k) for k in (1, 1, 4)]]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.concat(F.lit(f"{c}:"), F.col("n_chars").cast("string")) for c in CLASHING})
+    extra = lambda r: tuple(r[c] for c in CLASHING)
+    before = {(r.doc_id, r.text, r.source, r.n_chars, extra(r)) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        got = [(r.doc_id, r.text, r.source, r.n_chars, extra(r)) for r in out.collect()]
+        assert got and set(got) <= before, name
+        if name == "mixing":
+            assert out.columns == docs.columns
+            sizes = Counter()
+            for r in rows:
+                sizes[r[3]] += len((r[1] or "").split())
+            assert len([g for g in got if g[0] == 5 and g[3] == 1]) <= 3 and sum(len(g[1].split()) for g in got) <= sum(sizes.values()) * 1.05
+        elif name == "sharding":
+            assert Counter(got) == Counter((r.doc_id, r.text, r.source, r.n_chars, extra(r)) for r in docs.collect()) and len(out.columns) == len(docs.columns) + 3
+        else:
+            assert out.columns == docs.columns
+
+
+def test_stages_of_empty_tables(spark, sf_dir):
+    empty = spark.createDataFrame([], DOCS)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf_dir).count() == 0, name
+
+
+def test_the_mix_is_written_in_its_order(spark, sf_dir):
+    rows = [(i, "w " * 50, "en", f"s{i % 3}", 0) for i in range(400)]
+    out = corpus_pipeline.mix_sources(spark, spark.createDataFrame(rows, DOCS), sf_dir)
+    ids = [r.doc_id for part in out.rdd.glom().collect() for r in part]
+    assert ids != sorted(ids) and sum(a == b for a, b in zip(ids, ids[1:], strict=False)) < len(ids) / 10
