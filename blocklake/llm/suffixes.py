@@ -34,7 +34,7 @@ from blocklake.llm.tokens import anchors, grouped, prefix_sums
 
 LENGTH, GRAM = 200, 32
 #: Places of a gram beyond which its strings are counted one by one.
-HOT = 50_000
+HOT = 200_000
 #: Suffixes of one range, about; at most so many grams are sampled to find the bounds, which decide balance alone.
 RANGE, SAMPLE, BATCH_SAMPLE = 50_000, 32_768, 256
 SPANS = "array<struct<start:int,end:int>>"
@@ -397,8 +397,8 @@ def dedup_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, gram:
     runs = met.mapInArrow(_runs(length, gram, hot, cuts), "bucket int, shared array<int>, rest array<binary>, before array<binary>, places array<array<struct<id:long,th:long,at:array<int>>>>")
     spans = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge(length, gram), f"id long, th long, spans {SPANS}")
     if (total["most"] or 0) > hot:
-        strings = stored(met.mapInArrow(_strings(length, gram, hot), "a long, b long, id long, th long, at array<int>"), "strings")
-        twice = stored(strings.groupBy("a", "b").agg(F.sum(F.size("at")).alias("n")).where("n > 1").select("a", "b"), "strings-twice")
+        strings = met.mapInArrow(_strings(length, gram, hot), "a long, b long, id long, th long, at array<int>")
+        twice = strings.groupBy("a", "b").agg(F.sum(F.size("at")).alias("n")).where("n > 1").select("a", "b")
         of_hot = strings.join(twice, ["a", "b"]).select("id", "th", F.transform("at", lambda x: F.struct(x.alias("start"), (x + length).alias("end"))).alias("spans"))
         spans = spans.unionByName(of_hot)
     per_row = spans.groupBy("id", "th").agg(F.collect_list("spans").alias("spans"))
