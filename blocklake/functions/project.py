@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The greatest whole number that a double holds without loss.
@@ -71,10 +71,9 @@ def version_or_legacy(c: Column) -> Column:
     return F.when(c < 0, F.lit("legacy")).otherwise(c.cast("string"))
 
 
-def struct_or_null(columns: dict[str, Column], present: Column | None = None) -> Column:
-    """A struct of several columns, or null where ``present`` is null."""
-    own = F.struct(*[c.alias(k) for k, c in columns.items()])
-    return own if present is None else F.when(present.isNotNull(), own)
+def struct_of(columns: dict[str, Column]) -> Column:
+    """A struct of several columns; members may be null, the struct is always there."""
+    return F.struct(*[c.alias(k) for k, c in columns.items()])
 
 
 def rekeyed(c: Column, names: dict[str, str], text: tuple[str, ...] = ()) -> Column:
@@ -131,8 +130,3 @@ def list_prefix(c: Column, n: Column | int) -> Column:
 
 def pop_back(c: Column) -> Column:
     return F.slice(c, F.lit(1), F.greatest(F.size(c) - 1, F.lit(0)))
-
-
-def project(df: DataFrame, key: list[str], fields: dict[str, Column], name: str = "item") -> DataFrame:
-    """Key columns and one struct of the output fields; nothing else is read."""
-    return df.select("block_number", *key, F.struct(*[c.alias(k) for k, c in fields.items()]).alias(name))

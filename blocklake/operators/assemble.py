@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +40,3 @@ def distinct_keys(df: DataFrame, key: list[str] | None = None) -> DataFrame:
 def sort_for_storage(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of each partition ascending by keys, nulls last, so that file statistics prune."""
     return df.sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys])
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_WEIGHT, DEFAULT_LIMIT = 32, 40_000_000
+#: Heights that one task sums up in order, where sums run over a whole range.
+STRETCH = 100_000
 
 
 def row_weight(weights: dict[str, int | str], columns: list[str]) -> Column:
@@ -69,6 +71,25 @@ def boundary_blocks(headers: DataFrame, per: str | None = None) -> DataFrame:
     return ends.select(F.explode("_ends").alias("block_number")).where("block_number is not null")
 
 
+def chunk_ends(chunks: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
+    """First and last height of each chunk's part of the range, from rows ``first_block, last_block``; a height without a block may be among them."""
+    beg = F.greatest("first_block", F.lit(first if first is not None else 0))
+    end = F.least("last_block", F.lit(last)) if last is not None else F.col("last_block")
+    return chunks.select(beg.cast("long").alias("b"), end.cast("long").alias("e")).where("b <= e").select(F.explode(F.array_distinct(F.array("b", "e"))).alias("block_number"))
+
+
+def assign_tops(chunks: DataFrame, top_dir_size: int = 500, last: int | None = None) -> DataFrame:
+    """``chunks`` (``dataset, first_block, last_block``) with ``top``: a new top folder, named by its first height, every ``top_dir_size`` chunks.
+
+    The chunk that ends at ``last``, the end of what is written, opens no folder of its own.
+    """
+    order = Window.partitionBy("dataset").orderBy("first_block")
+    nth = F.row_number().over(order) - 1
+    nth = F.when((F.col("last_block") == last) & (nth > 0), nth - 1).otherwise(nth) if last is not None else nth
+    numbered = chunks.withColumn("_top", F.floor(nth / top_dir_size))
+    return numbered.withColumn("top", F.min("first_block").over(Window.partitionBy("dataset", "_top"))).drop("_top")
+
+
 def paginate(blocks: DataFrame, page_bytes: int, size: str = "size", per: str = "chunk", exact: bool = True) -> DataFrame:
     """``page`` numbers within a chunk: a page ends with the block at which its bytes exceed ``page_bytes``.
 

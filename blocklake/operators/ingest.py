@@ -25,9 +25,30 @@ def flatten_blocks(raw: DataFrame, children: dict[str, str], number: str = "numb
     return out
 
 
+def _digits(c: Column) -> Column:
+    """The digits of a 0x quantity that count; one zero for zero."""
+    return F.regexp_replace(c, "^0[xX]0*(?=.)", "")
+
+
+def _fails(c: Column, bits: int) -> Column:
+    return F.raise_error(F.concat(F.lit("quantity "), c, F.lit(f" has more than {bits} bits")))
+
+
 def hex_to_int(c: Column) -> Column:
-    """0x quantity of up to 64 bits; null stays null. Longer ones stay text elsewhere, as they have no number type."""
-    return F.conv(F.substring(c, 3, 16), 16, 10).cast("decimal(20,0)").cast("long")
+    """0x quantity of up to 63 bits; null stays null, a longer one stops the job (it stays text, or is a decimal)."""
+    digits = _digits(c)
+    value = F.conv(F.right(digits, F.lit(16)), 16, 10).cast("decimal(20,0)")
+    fits = (F.length(digits) <= 16) & (value <= F.lit((1 << 63) - 1).cast("decimal(20,0)"))
+    return F.when(c.isNull(), F.lit(None)).when(fits, value).otherwise(_fails(c, 63)).cast("long")
+
+
+def hex_to_decimal(c: Column) -> Column:
+    """0x quantity of up to 124 bits as ``decimal(38,0)``; null stays null, a longer one stops the job."""
+    digits = F.lpad(_digits(c), 32, "0")
+    part = lambda at, n: F.conv(F.substring(digits, at, n), 16, 10).cast("decimal(19,0)")
+    times = lambda n: F.lit(str(16**n)).cast("decimal(38,0)")
+    value = part(2, 1) * times(30) + part(3, 15) * times(15) + part(18, 15)
+    return F.when(c.isNull(), F.lit(None)).when(F.length(_digits(c)) <= 31, value.cast("decimal(38,0)")).otherwise(_fails(c, 124).cast("decimal(38,0)"))
 
 
 def text_to_int(c: Column) -> Column:
@@ -88,16 +109,52 @@ def walk_frames(frame: dict) -> Iterator[tuple]:
         stack += [([*at, i], c) for i, c in reversed(list(enumerate(children)))]
 
 
+def _walked(df: DataFrame, key: tuple[str, ...], source: str, walk, schema: str) -> DataFrame:
+    """``key`` and the rows that ``walk`` makes of each JSON text: batches go to Python and back as Arrow, null texts give none."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    own = T.StructType.fromDDL(schema)
+    kinds = to_arrow_schema(own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, rows = [], []
+            for i, text in enumerate(batch.column(len(key)).to_pylist()):
+                for row in walk(json.loads(text)) if text is not None else ():
+                    at.append(i)
+                    rows.append(row)
+            at = pa.array(at, pa.int64())
+            columns = [pa.array(c, kinds.field(k).type) for k, c in enumerate(zip(*rows, strict=True) if rows else [[]] * len(own))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in range(len(key))), *columns], [*key, *own.names])
+
+    rows = df.select(*key, F.col(source).alias("source"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], *own.fields]))
+
+
 def flatten_call_frames(df: DataFrame, frame: str = "frame", key: tuple[str, ...] = ("block_number", "transaction_index")) -> DataFrame:
     """Rows ``key`` and JSON of a nested frame to a row a call, with ``trace_address`` and ``subtraces``."""
-    kind = f"array<struct<{FRAMES.replace(' ', ':').replace(',:', ',')}>>"
-    names = [p.strip().split(" ")[0].strip("`") for p in FRAMES.split(", ")]
+    return _walked(df, key, frame, walk_frames, FRAMES)
+
 
-    @F.udf(kind)
-    def walk(text):
-        return None if text is None else [dict(zip(names, row, strict=True)) for row in walk_frames(json.loads(text))]
+INVOCATIONS = "invocation_type string, trace_address array<int>, call string, n_events int, first_event int"
 
-    return df.select(*key, F.explode(walk(frame)).alias("f")).select(*key, "f.*")
+
+def walk_invocations(trace: dict) -> Iterator[tuple]:
+    """Calls of all invocations in pre-order."""
+    calls, events = 0, 0
+    for name in ("validate", "constructor", "execute", "fee_transfer"):  # fixed names of the invocations, in their order
+        root = trace.get(f"{name}_invocation")
+        stack = [([], root)] if root else []
+        while stack:
+            parent, call = stack.pop()
+            at = [*parent, calls]
+            calls += 1
+            n = len(call.get("events") or [])
+            yield (name, at, json.dumps({k: v for k, v in call.items() if k != "calls"}), n, events)
+            events += n
+            stack += [(at, c) for c in reversed(call.get("calls") or [])]
 
 
 def unwrap_invocations(df: DataFrame, trace: str = "trace", key: tuple[str, ...] = ("block_number", "transaction_index")) -> DataFrame:
@@ -106,28 +163,7 @@ def unwrap_invocations(df: DataFrame, trace: str = "trace", key: tuple[str, ...]
     The last part of an address counts all calls of the transaction, and events are numbered on through invocations: each
     starts at the greatest number before it plus one.
     """
-    order = ("validate", "constructor", "execute", "fee_transfer")  # fixed names of the invocations, in their order
-    kind = "array<struct<invocation_type:string,trace_address:array<int>,call:string,n_events:int,first_event:int>>"
-
-    @F.udf(kind)
-    def walk(text):
-        if text is None:
-            return None
-        trace, out, calls, events = json.loads(text), [], 0, 0
-        for name in order:
-            root = trace.get(f"{name}_invocation")
-            stack = [([], root)] if root else []
-            while stack:
-                parent, call = stack.pop()
-                at = [*parent, calls]
-                calls += 1
-                n = len(call.get("events") or [])
-                out.append((name, at, json.dumps({k: v for k, v in call.items() if k != "calls"}), n, events))
-                events += n
-                stack += [(at, c) for c in reversed(call.get("calls") or [])]
-        return out
-
-    return df.select(*key, F.explode(walk(trace)).alias("f")).select(*key, "f.*")
+    return _walked(df, key, trace, walk_invocations, INVOCATIONS)
 
 
 def flatten_parity_traces(df: DataFrame, traces: str = "traces") -> DataFrame:
@@ -186,9 +222,38 @@ def explode_state_updates(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 # receipts, logs, rules
 
 
-def status_from_traces(receipt_status: Column, top_error: Column) -> Column:
-    """The receipt's status, or without one, 0 for a transaction whose top frame failed and else 1."""
-    return F.coalesce(receipt_status, F.when(top_error.isNotNull(), F.lit(0)).otherwise(F.lit(1)))
+def status_from_traces(frame: Column, trace: Column) -> Column:
+    """``status, contract_address`` of a transaction without a receipt, from its top call frame, else from its top trace.
+
+    ``frame``: a struct of type, error and to; ``trace``: a struct of type, error and address. Neither tells nothing: null.
+    A frame of type INVALID has failed like one with an error; what a call that went well created has an address.
+    """
+    ok = frame["error"].isNull() & (frame["type"] != "INVALID")
+    told = lambda ok, created, address: F.struct(ok.cast("int").alias("status"), F.when(ok & created, address).alias("contract_address"))
+    by_trace = told(trace["error"].isNull(), trace["type"] == "create", trace["address"])
+    return F.when(frame.isNotNull(), told(ok, frame["type"].isin("CREATE", "CREATE2"), frame["to"])).when(trace.isNotNull(), by_trace)
+
+
+#: Members of a receipt that become columns as they are, and those that become numbers.
+RECEIPT_TEXTS = {"gasUsed": "gas_used", "cumulativeGasUsed": "cumulative_gas_used", "effectiveGasPrice": "effective_gas_price", "l1Fee": "l1_fee", "l1FeeScalar": "l1_fee_scalar", "l1GasPrice": "l1_gas_price", "l1GasUsed": "l1_gas_used", "l1BlobBaseFee": "l1_blob_base_fee"}
+RECEIPT_NUMBERS = {"type": "type", "l1BlobBaseFeeScalar": "l1_blob_base_fee_scalar", "l1BaseFeeScalar": "l1_base_fee_scalar"}
+
+
+def with_receipts(transactions: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Transactions (``hash, block_hash``, and ``frame``, ``trace`` as of :func:`status_from_traces`) with the columns of their receipts.
+
+    ``receipts``: rows ``transactionHash, blockHash, status, contractAddress`` and what else of a receipt there is, as texts. A
+    receipt of another block with the same transaction is not its receipt. Without one, status and address come from traces.
+    """
+    have = set(receipts.columns)
+    member = lambda name: F.col(name) if name in have else F.lit(None).cast("string")
+    columns = {**{c: member(f) for f, c in RECEIPT_TEXTS.items()}, **{c: hex_to_int(member(f)).cast("int") for f, c in RECEIPT_NUMBERS.items()}}
+    told = F.struct(hex_to_int(F.col("status")).cast("int").alias("status"), member("contractAddress").alias("contract_address"))
+    own = receipts.select(F.col("transactionHash").alias("hash"), F.col("blockHash").alias("block_hash"), F.struct(*[c.alias(k) for k, c in columns.items()]).alias("_receipt"), told.alias("_told"))
+    rows = transactions.drop(*columns, "status", "contract_address").join(own, ["hash", "block_hash"], "left")
+    rows = rows.withColumn("_told", F.coalesce("_told", status_from_traces(F.col("frame"), F.col("trace"))))
+    kept = [c for c in rows.columns if c not in ("_receipt", "_told", "frame", "trace")]
+    return rows.select(*kept, "_receipt.*", "_told.status", "_told.contract_address")
 
 
 def choose_logs(block_logs: Column, receipt_logs: Column) -> Column:
@@ -268,15 +333,44 @@ def align_traces(transactions: DataFrame, traces: DataFrame) -> DataFrame:
     return both.groupBy("block_number").applyInPandas(align, "block_number long, transaction_index int, trace_index int")
 
 
+RULES = "chain string, from_block long, to_block long, tx_hash string, action string, value string"
+#: Rules are written by people; more than so many of one chain are taken for a mistake.
+MOST_RULES = 10_000
+ZERO_ADDRESS = "0x" + 40 * "0"
+
+
 def apply_rules(transactions: DataFrame, rules: DataFrame, chain: str) -> DataFrame:
-    """Corrections as data: ``rules`` has ``chain, from_block, to_block, tx_hash, action, value``.
+    """Corrections as data: ``rules`` has ``chain, from_block, to_block, tx_hash, action, value``; one scan, with no join.
+
+    A null hash stands for all transactions of the blocks; an action whose columns ``transactions`` lacks matches nothing. Actions:
 
-    A null hash stands for all transactions of the blocks. Actions: ``drop``; ``drop_type`` (transactions of type ``value``);
-    ``fill_type`` (type ``value`` where it is null). Rules are a short table that people write.
+    * ``drop``; ``drop_type``: those of type ``value``; ``drop_zero_address``: those from and to the zero address;
+    * ``drop_duplicated``: those whose receipt (``receipt_block_hash``) is of another block than their own (``block_hash``);
+    * ``slice``: those with an index below ``value``;
+    * ``set_type``: all get type ``value``; ``fill_type``: those without a type get ``value``; ``fill_type_by``: those without a type
+      get 0x2 if the column ``value`` is not null, else 0x0.
     """
-    mine = rules.where(F.col("chain") == chain).select(*[F.col(c).alias(f"_{c}") for c in ("from_block", "to_block", "tx_hash", "action", "value")])
-    met = transactions.join(F.broadcast(mine), F.col("block_number").between(F.col("_from_block"), F.col("_to_block")) & (F.col("_tx_hash").isNull() | (F.col("_tx_hash") == F.col("hash"))), "left")  # rules are written by hand
-    drop = F.coalesce((F.col("_action") == "drop") | ((F.col("_action") == "drop_type") & (F.col("type") == F.col("_value"))), F.lit(False))
-    key = ["block_number", "transaction_index"]
-    verdict = met.groupBy(*key).agg(F.max(drop).alias("_drop"), F.max(F.when(F.col("_action") == "fill_type", F.col("_value"))).alias("_fill"))
-    return transactions.join(verdict.where("not _drop"), key).withColumn("type", F.coalesce("type", "_fill")).drop("_drop", "_fill")
+    mine = rules.where(F.col("chain") == chain).limit(MOST_RULES + 1).collect()
+    if len(mine) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules for {chain}")
+    have = {c.lower() for c in transactions.columns}
+    col = lambda c: F.col(f"`{c}`") if c.lower() in have else F.lit(None).cast("string")
+
+    def holds(r) -> Column:
+        of_block = F.col("block_number").between(r["from_block"], r["to_block"])
+        return of_block if r["tx_hash"] is None else of_block & (col("hash") == r["tx_hash"])
+
+    dropped, kind = F.lit(False), col("type").cast("string")
+    for r in mine:
+        action, value = r["action"], r["value"]
+        if action.startswith("drop") or action == "slice":
+            test = {
+                "drop": F.lit(True), "drop_type": col("type") == value, "drop_zero_address": (col("from") == ZERO_ADDRESS) & (col("to") == ZERO_ADDRESS),
+                "drop_duplicated": col("receipt_block_hash") != col("block_hash"), "slice": col("transaction_index").cast("long") < F.lit(value).try_cast("long"),
+            }[action]
+            dropped = dropped | (holds(r) & F.coalesce(test, F.lit(False)))
+        else:
+            new = {"set_type": F.lit(value), "fill_type": F.coalesce(kind, F.lit(value)), "fill_type_by": F.coalesce(kind, F.when(col(value or "").isNotNull(), F.lit("0x2")).otherwise(F.lit("0x0")))}[action]
+            kind = F.when(holds(r), new).otherwise(kind)
+    kept = transactions.where(~F.coalesce(dropped, F.lit(False)))
+    return kept.withColumn("type", kind) if "type" in have else kept

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from blocklake.functions.project import snake
+from blocklake.functions.project import camel, snake
 from blocklake.plans.specs import RelSpec, ScanSpec
 
 
@@ -11,6 +11,11 @@ def columns(names: str, **renamed: str) -> dict[str, str]:
     return {n: renamed.get(n, snake(n)) for n in names.split()}
 
 
+def columns_to_names(names: str) -> dict[str, str]:
+    """Struct members to output names: camel case."""
+    return {n: camel(n) for n in names.split()}
+
+
 def scan(request: str, table: str | None = None, filters: str = "", fixed: dict[str, str] | None = None, at_least: dict | None = None, at_most: dict | None = None, equal: dict | None = None, **renamed: str) -> ScanSpec:
     return ScanSpec(request, table or snake(request), columns(filters, **renamed), fixed or {}, at_least or {}, at_most or {}, equal or {})
 

@@ -1,6 +1,6 @@
 """Fuel: transactions, receipts, inputs, outputs."""
 
-from blocklake.plans.chains.build import children, parents, scan
+from blocklake.plans.chains.build import children, columns_to_names, parents, scan
 from blocklake.plans.specs import ItemSpec, Model, TableSpec
 
 OF_TX = ("transaction_index", "index")
@@ -38,7 +38,11 @@ MODEL = Model(
     },
     projections={
         "block": {"time": "text", "height": "text", "daHeight": "text", "transactionsCount": "text", "messageReceiptCount": "text"},
-        "transaction": {**dict.fromkeys("scriptGasLimit maturity mintAmount mintGasPrice".split(), "text"), "status": "json", "upgradePurpose": "json"},
+        "transaction": {
+            **dict.fromkeys("scriptGasLimit maturity mintAmount mintGasPrice".split(), "text"), "status": "json", "upgradePurpose": "json",
+            "policies": {"tip": "tip:text", "witness_limit": "witnessLimit:text", "maturity": "maturity", "max_fee": "maxFee:text"},
+            "inputContract": columns_to_names("utxo_id balance_root state_root tx_pointer contract_id"), "outputContract": columns_to_names("input_index balance_root state_root"),
+        },
         "receipt": dict.fromkeys("pc is amount gas param1 param2 val ptr reason ra rb rc rd len result gasUsed".split(), "text"),
         "input": {"*": "variant"}, "output": {"*": "variant"},
     },

@@ -45,5 +45,5 @@ MODEL = Model(
         "stateUpdate": tuple("newRoot oldRoot deprecatedDeclaredClasses declaredClasses deployedContracts replacedClasses nonces".split()),
         "storageDiff": tuple("address key value".split()),
     },
-    projections={"block": {"timestamp": "seconds"}, "event": {"keys": "keys"}, "transaction": {"resourceBounds": "resource_bounds", "actualFee": "actual_fee"}},
+    projections={"block": {"timestamp": "seconds"}, "event": {"keys": "keys"}, "transaction": {"resourceBounds": "spread", "actualFee": "spread"}},
 )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blocklake.functions import project as P
-from blocklake.operators import assemble, budget, predicates, relations
+from blocklake.operators import assemble, budget, predicates, ranges, relations
 from blocklake.plans.specs import ItemSpec, Model, RelSpec, ScanSpec
 
 MAX_REQUESTS = 100
@@ -72,8 +72,6 @@ def _condition(scan: ScanSpec, r: dict) -> Column | None:
 def _related(items: DataFrame, keys: DataFrame, rel: RelSpec, item_key: list[str]) -> DataFrame:
     """Keys of the items that a relation adds for scanned rows."""
     on = list(rel.on)
-    if rel.kind == "parent":
-        return relations.ref_parent(keys, [b for _, b in on], [a for a, _ in on])
     if rel.kind == "children":
         found = relations.join_children(items, keys, on)
     elif rel.kind == "at":
@@ -116,22 +114,29 @@ def selected(model: Model, item: ItemSpec, tables: Callable[[str], DataFrame], r
 _TRACE_KINDS = ("create", "call", "suicide", "reward")
 
 
-def _trace(fields: list[str]) -> dict[str, Column]:
-    """Trace fields: common ones as they are, those of a kind inside ``action`` and ``result``."""
-    out: dict[str, Column] = {}
-    action: dict[str, dict[str, Column]] = {k: {} for k in _TRACE_KINDS}
-    result: dict[str, dict[str, Column]] = {k: {} for k in _TRACE_KINDS}
-    for f in fields:
-        kind = next((k for k in _TRACE_KINDS if f.startswith(k)), None)
-        if kind is None:
-            out[f] = F.col(P.snake(f))
-        elif f.startswith(f"{kind}Result"):
-            result[kind][P.without_prefix(f, (f"{kind}Result",))] = F.col(P.snake(f))
-        else:
-            action[kind][P.without_prefix(f, (kind,))] = F.col(P.snake(f))
-    if any(action.values()) or any(result.values()):
-        a, r = P.trace_members(F.col("type"), action, result)
-        out["action"], out["result"] = P.embedded_json(a), P.embedded_json(r)
+def _trace(fields: list[str]) -> Column:
+    """A trace as JSON text: common fields as they are, those of the row's own type inside ``action`` and ``result``.
+
+    Both are there only if fields of that type were asked for; members that are null are left out. An action without members is an
+    empty object, a result without members is left out. Rows of other types have common fields alone.
+    """
+    kind = lambda f: next((k for k in _TRACE_KINDS if f.startswith(k)), None)
+    common = [f for f in fields if kind(f) is None]
+    members = lambda names, prefix: F.to_json(F.struct(*[F.col(P.snake(f)).alias(P.without_prefix(f, (prefix,))) for f in names])) if names else None
+    head = F.to_json(F.struct(*[F.col(P.snake(f)).alias(f) for f in common]), {"ignoreNullFields": "false"})
+    open_head = F.substring(head, F.lit(1), F.length(head) - 1)
+    out = head
+    for k in _TRACE_KINDS:
+        action = members([f for f in fields if kind(f) == k and not f.startswith(f"{k}Result")], k)
+        result = members([f for f in fields if f.startswith(f"{k}Result")], f"{k}Result")
+        if action is None and result is None:
+            continue
+        parts = [open_head]
+        if action is not None:
+            parts += [F.lit(',"action":'), action]
+        if result is not None:
+            parts.append(F.when(result == "{}", F.lit("")).otherwise(F.concat(F.lit(',"result":'), result)))
+        out = F.when(F.col("type") == k, F.concat(*parts, F.lit("}"))).otherwise(out)
     return out
 
 
@@ -147,11 +152,28 @@ def _variant(fields: list[str]) -> dict[str, Column]:
     return {k: F.coalesce(*c) if len(c) > 1 else c[0] for k, c in groups.items()}
 
 
+#: Fields that several columns make up: the columns, and the names that they have inside.
+_SPREAD = {
+    "resourceBounds": {f"resource_bounds_{P.snake(n)}": n for n in ("l1GasMaxAmount", "l1GasMaxPricePerUnit", "l2GasMaxAmount", "l2GasMaxPricePerUnit")},
+    "actualFee": {"actual_fee_amount": "amount", "actual_fee_unit": "unit"},
+}
+
+
+def columns_of(field: str) -> list[str]:
+    """The columns that a field is made of, each with its weight."""
+    return list(_SPREAD[field]) if field in _SPREAD else [P.snake(field)]
+
+
+def item_of(model: Model, entity: str, wanted: list[str], df: DataFrame) -> Column:
+    """An item as it is put out: a struct of its fields, or an object whose members depend on the row's type."""
+    if model.projections.get(entity, {}).get("*") == "trace":
+        return P.embedded_json(_trace(wanted))
+    return F.struct(*[c.alias(k) for k, c in fields_of(model, entity, wanted, df).items()])
+
+
 def fields_of(model: Model, entity: str, wanted: list[str], df: DataFrame) -> dict[str, Column]:
     """Output fields of an entity as columns of its table."""
     rules, types = model.projections.get(entity, {}), dict(df.dtypes)
-    if rules.get("*") == "trace":
-        return _trace(wanted)
     if rules.get("*") == "variant":
         return _variant(wanted)
     out = {}
@@ -164,10 +186,10 @@ def fields_of(model: Model, entity: str, wanted: list[str], df: DataFrame) -> di
             out[f] = P.list_with_rest([F.col(f"a{i}") for i in range(16)], F.col("rest_accounts"))
         elif rule == "keys":
             out[f] = P.list_with_rest([F.col(f"key{i}") for i in range(4)], F.col("rest_keys"))
-        elif rule == "resource_bounds":
-            out[f] = P.struct_or_null({"l1Gas": F.struct(F.col("l1_gas_max_amount").alias("maxAmount"), F.col("l1_gas_max_price_per_unit").alias("maxPricePerUnit")), "l2Gas": F.struct(F.col("l2_gas_max_amount").alias("maxAmount"), F.col("l2_gas_max_price_per_unit").alias("maxPricePerUnit"))})
-        elif rule == "actual_fee":
-            out[f] = P.struct_or_null({"amount": F.col("actual_fee_amount"), "unit": F.col("actual_fee_unit")})
+        elif rule == "spread":
+            out[f] = P.struct_of({inner: F.col(c) for c, inner in _SPREAD[f].items()})
+        elif isinstance(rule, dict):
+            out[f] = P.rekeyed(F.col(name), {c: inner.removesuffix(":text") for c, inner in rule.items()}, tuple(c for c, inner in rule.items() if inner.endswith(":text")))
         else:
             c = F.col(name)
             apply = {"text": P.as_text, "json": P.embedded_json, "seconds": lambda c, k=types.get(name, ""): P.epoch_seconds(c, k), "millis": lambda c, k=types.get(name, ""): P.epoch_millis(c, k), "safe_integer": P.safe_integer, "legacy": P.version_or_legacy}
@@ -175,11 +197,12 @@ def fields_of(model: Model, entity: str, wanted: list[str], df: DataFrame) -> di
     return out
 
 
-def query(model: Model, tables: Callable[[str], DataFrame], request: dict, limit: int | None = None, chunk: Callable[[Column], Column] | None = None) -> DataFrame:
+def query(model: Model, tables: Callable[[str], DataFrame], request: dict, limit: int | None = None, chunk: Callable[[Column], Column] | None = None, chunks: DataFrame | None = None) -> DataFrame:
     """``block_number, header`` and a list for each item that the request asks for.
 
-    The first and last block of the range are always there. ``limit``: a budget of weights by which blocks are cut, within
-    chunks that ``chunk`` makes of heights, or over the whole range.
+    The first and last block of each chunk's part of the range are always there: ``chunks`` has ``first_block, last_block`` of the
+    lake's chunks, or ``chunk`` makes chunks of heights; without both, the range is one. ``limit``: a budget of weights by which
+    blocks are cut, within each chunk, or over the whole range.
     """
     validate(model, request)
     first, last = request.get("fromBlock", 0), request.get("toBlock")
@@ -187,26 +210,36 @@ def query(model: Model, tables: Callable[[str], DataFrame], request: dict, limit
     headers = predicates.where(tables("blocks"), predicates.block_range(first, last, "number"))
     rows = {item: found for item in model.items if (found := selected(model, item, tables, request, limits)) is not None}
     wanted = {item: P.selected_fields(item.mandatory, asked.get(item.entity, {})) for item in rows}
-    ends = budget.include_all(headers) if request.get("includeAllBlocks") else budget.boundary_blocks(headers)
     header_fields = P.selected_fields(model.block_mandatory, asked.get("block", {}))
+    if request.get("includeAllBlocks"):
+        ends = budget.include_all(headers)
+    elif chunks is not None:
+        ends = budget.chunk_ends(chunks, first, last)
+    else:
+        ends = budget.boundary_blocks(headers.withColumn("chunk", chunk(F.col("number"))), per="chunk") if chunk else budget.boundary_blocks(headers)
 
     def weight(table, df: DataFrame, fields: list[str]) -> Column:
         have = set(df.columns)
         known = {c: w for c, w in table.weights.items() if not isinstance(w, str) or w in have}
-        return budget.row_weight(known, [P.snake(f) for f in fields])
+        return budget.row_weight(known, [c for f in fields for c in columns_of(f)])
 
     if limit is None:
         kept = relations.union_keys([ends, *[df.select("block_number") for df in rows.values()]]).distinct()
     else:
         parts = [df.select("block_number", weight(model.tables[item.table], df, wanted[item]).alias("weight")) for item, df in rows.items()]
         sums = budget.header_weight(budget.block_weights(parts, ends), headers, weight(model.block, headers, header_fields))
-        place = chunk(F.col("block_number")) if chunk else F.lit(0)
-        kept = budget.budget_cut(sums.withColumn("chunk", place), limit).select("block_number")
+        if chunks is not None:
+            own = ranges.find_range(chunks.select(F.lit("").alias("dataset"), F.col("first_block").alias("beg"), F.col("last_block").alias("end")), sums.withColumn("dataset", F.lit("")).withColumnRenamed("block_number", "n"))
+            kept = budget.budget_cut(own.select(F.col("n").alias("block_number"), "weight", F.col("beg").alias("chunk")), limit).select("block_number")
+        elif chunk:
+            kept = budget.budget_cut(sums.withColumn("chunk", chunk(F.col("block_number"))), limit).select("block_number")
+        else:  # sums run by stretches of heights, a row a stretch puts them together
+            kept = budget.budget_cut(sums.withColumn("chunk", F.floor(F.col("block_number") / budget.STRETCH)), limit, per=None).select("block_number")
     lists = {}
     for item, df in rows.items():
         key = list(model.tables[item.table].key)
         cut = df.join(kept, "block_number", "left_semi")
-        lists[item.name] = assemble.collect_items(cut, key, F.struct(*[c.alias(k) for k, c in fields_of(model, item.entity, wanted[item], cut).items()]), item.name)
+        lists[item.name] = assemble.collect_items(cut, key, item_of(model, item.entity, wanted[item], cut), item.name)
     shown = headers.join(kept.select(F.col("block_number").alias("number")), "number", "left_semi")
     header = F.struct(*[c.alias(k) for k, c in fields_of(model, "block", header_fields, headers).items()])
     return assemble.assemble_blocks(shown, lists, header)

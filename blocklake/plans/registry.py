@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blocklake.functions import project as P
@@ -13,6 +14,7 @@ from blocklake.operators import audit, predicates, ranges
 from blocklake.operators import budget as B
 from blocklake.operators import ingest as I
 from blocklake.operators import relations as R
+from blocklake.plans.specs import TableSpec
 from blocklake.sources import layout, sinks
 from blocklake.sources.adapter import Lake, with_lake
 from blocklake.streaming import stream as S
@@ -219,13 +221,13 @@ def row_weight(lake):
     return df.select("doc_id", B.row_weight({"text": "text_size", "source": 512}, ["text", "source", "lang"]).alias("weight"))
 
 
-_SUMS = "SELECT block_number, CAST(sum(w) AS BIGINT) AS weight FROM (SELECT block_number, data_size + 32 AS w FROM logs WHERE address < 50 UNION ALL SELECT block_number, 64 FROM txs WHERE type = '1-URGENT' UNION ALL SELECT number, 0 FROM blocks) WHERE block_number BETWEEN 10 AND 2000 GROUP BY 1"
+_SUMS = "SELECT block_number, CAST(sum(w) AS BIGINT) AS weight FROM (SELECT block_number, data_size + 32 AS w FROM logs UNION ALL SELECT block_number, 64 FROM txs UNION ALL SELECT number, 0 FROM blocks) GROUP BY 1"
 
 
 def weights(lake):
-    logs = lake.logs().where("address < 50").select("block_number", B.row_weight({"data": "data_size"}, ["data", "address"]).alias("weight"))
-    txs = lake.transactions().where("type = '1-URGENT'").select("block_number", B.row_weight({}, ["from", "type"]).alias("weight"))
-    return B.block_weights([logs, txs], B.include_all(lake.blocks()), 10, 2000)
+    logs = lake.logs().select("block_number", B.row_weight({"data": "data_size"}, ["data", "address"]).alias("weight"))
+    txs = lake.transactions().select("block_number", B.row_weight({}, ["from", "type"]).alias("weight"))
+    return B.block_weights([logs, txs], B.include_all(lake.blocks()))
 
 
 @query(_SUMS, "logs", "txs", "blocks")
@@ -432,28 +434,28 @@ _ISLANDS = "SELECT dataset, min(h) AS beg, max(h) AS \"end\" FROM (SELECT datase
 
 @query(_ISLANDS.format(_HEIGHTS.format("ra")), "ra")
 def merge_ranges(lake):
-    return ranges.merge_ranges(lake.ranges(3, 9))
+    return ranges.merge_ranges(lake.ranges(0, 3, 50))
 
 
 @query(_ISLANDS.format(f"{_HEIGHTS.format('ra')} EXCEPT {_HEIGHTS.format('rb')}"), "ra", "rb")
 def subtract_ranges(lake):
-    return ranges.subtract_ranges(lake.ranges(3, 9), lake.ranges(7, 40))
+    return ranges.subtract_ranges(lake.ranges(0, 3, 50), lake.ranges(7, 7, 40))
 
 
 @query(_ISLANDS.format(f"{_HEIGHTS.format('ra')} INTERSECT {_HEIGHTS.format('rb')}"), "ra", "rb")
 def intersect_ranges(lake):
-    return ranges.intersect_ranges(lake.ranges(3, 9), lake.ranges(7, 40), width=64)
+    return ranges.intersect_ranges(lake.ranges(0, 3, 50), lake.ranges(7, 7, 40), width=64)
 
 
 @query(" UNION ALL ".join(f"SELECT *, '{kind}' AS kind FROM ({_ISLANDS.format(f'{_HEIGHTS.format(a)} {op} {_HEIGHTS.format(b)}')})" for kind, a, op, b in (("new", "ra", "EXCEPT", "rb"), ("deletable", "rb", "EXCEPT", "ra"), ("needed", "ra", "INTERSECT", "rb"))), "ra", "rb")
 def coverage_report(lake):
-    return ranges.coverage(lake.ranges(3, 9), lake.ranges(7, 40))
+    return ranges.coverage(lake.ranges(0, 3, 50), lake.ranges(7, 7, 40))
 
 
-@query(f"SELECT p.dataset, p.n, m.beg, m.\"end\" FROM (SELECT c_mktsegment AS dataset, c_custkey AS n FROM customer) p JOIN ({_ISLANDS.format(_HEIGHTS.format('rb'))}) m ON p.dataset = m.dataset AND p.n BETWEEN m.beg AND m.\"end\"", "rb")
+@query(f"SELECT p.dataset, p.n, m.beg, m.\"end\" FROM (SELECT c_mktsegment AS dataset, c_custkey * 11 + 15 AS n FROM customer) p JOIN ({_ISLANDS.format(_HEIGHTS.format('rb'))}) m ON p.dataset = m.dataset AND p.n BETWEEN m.beg AND m.\"end\"", "rb")
 def find_range(lake):
-    points = lake.table("customer").select(F.col("c_mktsegment").alias("dataset"), F.col("c_custkey").alias("n"))
-    return ranges.find_range(ranges.merge_ranges(lake.ranges(7, 40)), points, width=64).select("dataset", "n", "beg", "end")
+    points = lake.table("customer").select(F.col("c_mktsegment").alias("dataset"), (F.col("c_custkey") * 11 + 15).alias("n"))
+    return ranges.find_range(ranges.merge_ranges(lake.ranges(7, 7, 40)), points, width=64).select("dataset", "n", "beg", "end")
 
 
 @query("SELECT unnest(range(min(number), max(number) + 1)) AS number FROM blocks EXCEPT SELECT number FROM blocks", "blocks")
@@ -461,10 +463,41 @@ def missing_blocks(lake):
     return ranges.missing_blocks(lake.blocks(), bucket=500)
 
 
-@query("SELECT * FROM (VALUES ('orders', 'o_orderkey', 'bigint', false), ('orders', 'call', 'int', true)) t(\"table\", \"column\", type, nullable) UNION ALL SELECT 'nation', 'n_name', 'string', false")
+_COLUMNS = {"orders": {"o_orderkey": "bigint", "o_totalprice": "double", "call": "int"}, "documents": {"doc_id": "bigint", "text": "string", "lang": "string"}, "nation": {"n_name": "string"}}
+_EACH = {"call": "CASE WHEN o_orderstatus <> 'P' THEN 1 END"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", '{kind}' AS type, count(*) > count({_EACH.get(c, c)}) AS nullable, count(*) - count({_EACH.get(c, c)}) AS nulls FROM {t}" for t, columns in _COLUMNS.items() for c, kind in columns.items()))
 def dataset_metadata(lake):
-    o = lake.table("orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", 1).alias("call"))
-    return layout.dataset_metadata({"orders": o, "nation": lake.table("nation").select("n_name")})
+    o = lake.table("orders").withColumn("call", F.when(F.col("o_orderstatus") != "P", 1))
+    return layout.dataset_metadata({"orders": o.select(*_COLUMNS["orders"]), "documents": lake.table("documents").select(*_COLUMNS["documents"]), "nation": lake.table("nation").select("n_name")})
+
+
+@query("SELECT first_block, last_block, row_number() OVER (ORDER BY first_block DESC) AS place FROM catalog", "catalog")
+def chunks_desc(lake):
+    listed = layout.chunks_desc(lake.catalog()).select(F.collect_list(F.struct("first_block", "last_block")).alias("c"))
+    return listed.select(F.posexplode("c").alias("pos", "c")).select("c.first_block", "c.last_block", (F.col("pos") + 1).cast("long").alias("place"))
+
+
+@query("SELECT dataset, first_block, last_block, min(first_block) OVER (PARTITION BY dataset, n // 4) AS top FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY first_block) - 1 AS n FROM catalog)", "catalog")
+def assign_tops(lake):
+    return B.assign_tops(lake.catalog().drop("top"), 4).select("dataset", "first_block", "last_block", "top")
+
+
+@query("SELECT DISTINCT unnest([greatest(first_block, 120), least(last_block, 2010)]) AS block_number FROM catalog WHERE first_block <= 2010 AND last_block >= 120", "catalog")
+def chunk_ends(lake):
+    return B.chunk_ends(lake.catalog(), 120, 2010)
+
+
+@query("SELECT block_number, transaction_index, log_index, address FROM logs WHERE block_number BETWEEN 150 AND 1250", "logs")
+def lake_round_trip(lake):
+    """All three tables written in the layout of a lake, and a range of one read back through its catalog."""
+    root = f"{lake.shared()}/lake-{uuid.uuid4().hex}"
+    chunks = lake.catalog().withColumn("last_hash", F.lower(F.hex("last_block")))
+    by_height = lambda df, height: df.withColumn("chunk", F.floor(F.col(height) / 100).cast("long"))
+    specs = {"logs": TableSpec("logs", ("transaction_index", "log_index"), {}, ("address",))}
+    sinks.write_lake({"blocks": lake.blocks(), "transactions": by_height(lake.transactions(), "block_number"), "logs": by_height(lake.logs(), "block_number")}, specs, chunks, root)
+    return layout.read_table(lake.spark, root, "logs", 150, 1250, ["block_number", "transaction_index", "log_index", "address"])
 
 
 # ingest and audits
@@ -486,10 +519,11 @@ def event_index(lake):
     return I.event_index(lake.table("events"), "user_id", "event_id").select("event_id", F.col("event_index").cast("long").alias("event_index"))
 
 
-@query("SELECT o_orderkey AS id, o_orderkey % 65536 AS v, CAST(o_custkey AS BIGINT) AS t FROM orders")
+@query("SELECT o_orderkey AS id, o_orderkey * 1099511627776 AS v, o_orderkey % 17 AS small, CAST(o_custkey AS BIGINT) AS t, CAST(CAST(o_orderkey AS HUGEINT) * 1152921504606846976 AS VARCHAR) AS d FROM orders")
 def convert_quantities(lake):
-    hexed = F.concat(F.lit("0x"), F.lower(F.hex(F.col("o_orderkey") % 65536)))
-    return lake.table("orders").select(F.col("o_orderkey").alias("id"), I.hex_to_int(hexed).alias("v"), I.text_to_int(F.col("o_custkey").cast("string")).alias("t"))
+    hexed = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c)))
+    o = lake.table("orders").select(F.col("o_orderkey").alias("id"), hexed(F.col("o_orderkey") * F.lit(1 << 40)).alias("v"), F.concat(F.lit("0x000000000000000000"), F.hex(F.col("o_orderkey") % 17)).alias("small"), F.col("o_custkey").cast("string").alias("t"), F.concat(hexed(F.col("o_orderkey")), F.lit("0" * 15)).alias("d"))
+    return I.convert_quantities(o, hexes=["v", "small"], texts=["t"]).withColumn("d", I.hex_to_decimal(F.col("d")).cast("string"))
 
 
 @query("SELECT doc_id AS id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS text_size, row_number() OVER (PARTITION BY source ORDER BY lang, doc_id) - 1 AS _idx FROM documents")
@@ -502,10 +536,10 @@ def hashed(lake):
     """Blocks that link to the height before, but for some that do not."""
     h = lambda n: F.concat(F.lit("0x"), F.lpad(F.hex(n), 16, "0"))
     parent = F.when(F.col("number") % 50 == 7, F.col("number") + 3).otherwise(F.col("number") - 1)
-    return lake.blocks().where("number < 2000").select("number", h(F.col("number")).alias("hash"), h(parent).alias("parent_hash"))
+    return lake.blocks().select("number", h(F.col("number")).alias("hash"), h(parent).alias("parent_hash"))
 
 
-@query("SELECT number AS block_number FROM (SELECT number, lag(number) OVER (ORDER BY number) AS p, CASE WHEN number % 50 = 7 THEN number + 3 ELSE number - 1 END AS q FROM blocks WHERE number < 2000) WHERE p IS NOT NULL AND p <> q", "blocks")
+@query("SELECT number AS block_number FROM (SELECT number, lag(number) OVER (ORDER BY number) AS p, CASE WHEN number % 50 = 7 THEN number + 3 ELSE number - 1 END AS q FROM blocks) WHERE p IS NOT NULL AND p <> q", "blocks")
 def audit_continuity(lake):
     return audit.audit_continuity(hashed(lake), "last5", bucket=100).select("block_number")
 
@@ -552,12 +586,19 @@ def flatten_blocks(lake):
     return I.flatten_blocks(raw, {"transactions": "transactions"})["transactions"].withColumn("pos", F.col("pos").cast("long"))
 
 
-@query("SELECT block_number, transaction_index, type FROM txs WHERE NOT (block_number <= 500 AND type = '5-LOW') AND transaction_index <> 77", "txs")
+@query("""SELECT block_number, transaction_index, CASE WHEN block_number BETWEEN 1500 AND 1600 THEN '9-ALL' WHEN status = 'P' THEN CASE WHEN nonce % 2 = 0 THEN '0x2' ELSE '0x0' END ELSE type END AS type FROM txs
+WHERE NOT (block_number <= 500 AND type = '5-LOW' AND status <> 'P') AND transaction_index <> 77 AND NOT (block_number BETWEEN 600 AND 700 AND nonce % 7 = 0) AND NOT (block_number BETWEEN 800 AND 900 AND nonce % 3 = 0) AND NOT (block_number = 1000 AND transaction_index < 3000)""", "txs")
 def correction_rules(lake):
-    rules = [("c", 0, 500, None, "drop_type", "5-LOW"), ("c", 0, 10_000, "77", "drop", None), ("d", 0, 10_000, None, "drop", None)]
-    table = lake.spark.createDataFrame(rules, "chain string, from_block long, to_block long, tx_hash string, action string, value string")
-    txs = lake.transactions().withColumn("hash", F.col("transaction_index").cast("string"))
-    return I.apply_rules(txs, table, "c").select("block_number", "transaction_index", "type")
+    rules = [
+        ("c", 0, 500, None, "drop_type", "5-LOW"), ("c", 0, 10_000, "77", "drop", None), ("d", 0, 10_000, None, "drop", None), ("c", 600, 700, None, "drop_zero_address", None),
+        ("c", 800, 900, None, "drop_duplicated", None), ("c", 1000, 1000, None, "slice", "3000"), ("c", 0, 10_000, None, "fill_type_by", "fee"), ("c", 1500, 1600, None, "set_type", "9-ALL"),
+    ]
+    zero = F.when(F.col("nonce") % 7 == 0, I.ZERO_ADDRESS).otherwise("0x1")
+    txs = lake.transactions().withColumns({
+        "hash": F.col("transaction_index").cast("string"), "type": F.when(F.col("status") != "P", F.col("type")), "fee": F.when(F.col("nonce") % 2 == 0, 1), "from": zero, "to": zero,
+        "block_hash": F.lit("own"), "receipt_block_hash": F.when(F.col("nonce") % 3 == 0, "other").otherwise("own"),
+    })
+    return I.apply_rules(txs, lake.spark.createDataFrame(rules, I.RULES), "c").select("block_number", "transaction_index", "type")
 
 
 @query("SELECT event_id AS id, json_extract_string(props, '$.k') AS _k FROM events")
@@ -572,11 +613,154 @@ def unpack_union(lake):
     return lake.table("events").select(F.col("event_id").alias("id"), *[c.alias(k) for k, c in columns.items()])
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 1 END AS status FROM orders")
-def status_from_traces(lake):
-    receipt = F.when(F.col("o_orderstatus") == "F", 1)
-    error = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("reverted"))
-    return lake.table("orders").select(F.col("o_orderkey").alias("id"), I.status_from_traces(receipt, error).alias("status"))
+_RECEIPTS = """SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN o_orderkey * 16 END AS gas_used, CASE WHEN o_orderstatus = 'F' THEN o_custkey % 3 END AS type,
+CASE WHEN o_orderstatus = 'F' THEN o_custkey % 2 WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderkey % 2 = 0 THEN CASE WHEN o_custkey % 5 = 0 OR o_custkey % 4 = 3 THEN 0 ELSE 1 END ELSE CASE WHEN o_custkey % 5 = 0 THEN 0 ELSE 1 END END AS status,
+CASE WHEN o_orderstatus = 'F' THEN 'r' || o_orderkey WHEN o_orderstatus = 'O' AND o_custkey % 5 <> 0 AND (CASE WHEN o_orderkey % 2 = 0 THEN o_custkey % 4 IN (1, 2) ELSE o_custkey % 4 = 1 END) THEN 'n' || o_custkey END AS contract_address FROM orders"""
+
+
+@query(_RECEIPTS)
+def receipt_columns(lake):
+    """Orders of status F have a receipt of their own block, those of status P one of another; the rest has a frame or a trace."""
+    o, hexed = lake.table("orders"), lambda c: F.concat(F.lit("0x"), F.hex(c))
+    failed = F.when(F.col("o_custkey") % 5 == 0, F.lit("reverted"))
+    of = lambda *kinds: F.element_at(F.array(*map(F.lit, kinds)), (F.col("o_custkey") % 4 + 1).cast("int"))
+    new, traced = F.concat(F.lit("n"), F.col("o_custkey")), F.col("o_orderstatus") == "O"
+    frame = F.when(traced & (F.col("o_orderkey") % 2 == 0), F.struct(of("CALL", "CREATE", "CREATE2", "INVALID").alias("type"), failed.alias("error"), new.alias("to")))
+    trace = F.when(traced & (F.col("o_orderkey") % 2 == 1), F.struct(of("call", "create", "suicide", "reward").alias("type"), failed.alias("error"), new.alias("address")))
+    txs = o.select(F.col("o_orderkey").alias("hash"), F.to_date("o_orderdate").cast("string").alias("block_hash"), frame.alias("frame"), trace.alias("trace"))
+    block = F.when(F.col("o_orderstatus") == "P", F.lit("another")).otherwise(F.to_date("o_orderdate").cast("string"))
+    receipts = o.where("o_orderstatus <> 'O'").select(F.col("o_orderkey").alias("transactionHash"), block.alias("blockHash"), hexed(F.col("o_orderkey") * 16).alias("gasUsed"), hexed(F.col("o_custkey") % 3).alias("type"), hexed(F.col("o_custkey") % 2).alias("status"), F.concat(F.lit("r"), F.col("o_orderkey")).alias("contractAddress"))
+    got = I.with_receipts(txs, receipts)
+    return got.select(F.col("hash").alias("id"), I.hex_to_int(F.col("gas_used")).alias("gas_used"), F.col("type").cast("long").alias("type"), F.col("status").cast("long").alias("status"), "contract_address")
+
+
+def logs_of_tx(lake, item):
+    """A row a transaction with the list of its logs, in order."""
+    each = F.sort_array(F.collect_list(F.struct("log_index", *[c.alias(k) for k, c in item.items()])))
+    return lake.logs().groupBy("block_number", "transaction_index").agg(F.transform(each, lambda x: x.dropFields("log_index")).alias("each"))
+
+
+_FRAME_SQL = """SELECT transaction_index, '' AS at, CAST(count(*) FILTER (log_index <> 2) AS BIGINT) AS subtraces, 'call' AS type, 'call' AS call_type, 'top' AS "from" FROM logs GROUP BY 1
+UNION ALL SELECT transaction_index, CAST(log_index - CASE WHEN log_index > 2 THEN 1 ELSE 0 END AS VARCHAR), 0, CASE topic0 WHEN 'A' THEN 'create' WHEN 'R' THEN 'suicide' ELSE 'call' END, CASE topic0 WHEN 'N' THEN 'delegatecall' END, CAST(address AS VARCHAR) FROM logs WHERE log_index <> 2"""
+
+
+@query(_FRAME_SQL, "logs")
+def flatten_call_frames(lake):
+    kind = F.when(F.col("log_index") == 2, "STOP").when(F.col("topic0") == "A", "CREATE2").when(F.col("topic0") == "R", "SELFDESTRUCT").otherwise("DELEGATECALL")
+    calls = logs_of_tx(lake, {"type": kind, "from": F.col("address").cast("string")})
+    frames = calls.select("transaction_index", F.to_json(F.struct(F.lit("CALL").alias("type"), F.lit("top").alias("from"), F.col("each").alias("calls"))).alias("frame"))
+    out = I.flatten_call_frames(frames, key=("transaction_index",))
+    return out.select("transaction_index", text("trace_address").alias("at"), F.col("subtraces").cast("long").alias("subtraces"), "type", "call_type", "from")
+
+
+@query("""SELECT transaction_index, 'validate' AS kind, '0' AS at, 1 AS n_events, 0 AS first_event FROM logs GROUP BY 1 UNION ALL SELECT transaction_index, 'execute', '1', 0, 1 FROM logs GROUP BY 1
+UNION ALL SELECT transaction_index, 'execute', '1.' || (2 + log_index), data_size % 3, CAST(1 + coalesce(sum(data_size % 3) OVER (PARTITION BY transaction_index ORDER BY log_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) FROM logs""", "logs")
+def unwrap_invocations(lake):
+    calls = logs_of_tx(lake, {"events": F.array_repeat(F.lit("e"), (F.col("data_size") % 3).cast("int"))})
+    root = F.struct(F.struct(F.array(F.lit("e")).alias("events")).alias("validate_invocation"), F.struct(F.col("each").alias("calls")).alias("execute_invocation"))
+    out = I.unwrap_invocations(calls.select("transaction_index", F.to_json(root).alias("trace")), key=("transaction_index",))
+    return out.select("transaction_index", F.col("invocation_type").alias("kind"), text("trace_address").alias("at"), F.col("n_events").cast("long").alias("n_events"), F.col("first_event").cast("long").alias("first_event"))
+
+
+@query("""SELECT transaction_index, log_index, CASE topic0 WHEN 'A' THEN 'create' WHEN 'N' THEN 'call' ELSE 'suicide' END AS type, CASE topic0 WHEN 'A' THEN address END AS create_from, CASE topic0 WHEN 'N' THEN address END AS call_to,
+CASE topic0 WHEN 'N' THEN '0x' || lpad(CAST(address AS VARCHAR), 8, '0') END AS call_sighash, CASE topic0 WHEN 'A' THEN 'code' END AS create_result_code, CASE topic0 WHEN 'R' THEN data_size END AS suicide_balance FROM logs""", "logs")
+def flatten_parity_traces(lake):
+    members = {c: F.col("address").cast("string") for c in ("from", "to", "address", "refundAddress", "author")}
+    members |= {c: F.col("data_size").cast("string") for c in ("value", "gas", "balance")} | {"init": F.lit("i"), "rewardType": F.lit("r"), "input": F.concat(F.lit("0x"), F.lpad(F.col("address").cast("string"), 8, "0"), F.lit("ffff"))}
+    kind = F.when(F.col("topic0") == "A", "create").when(F.col("topic0") == "N", "call").otherwise("suicide")
+    result = F.struct(F.lit("a").alias("address"), F.lit("code").alias("code"), F.lit("1").alias("gasUsed"), F.lit("o").alias("output"))
+    trace = {"transactionPosition": F.col("transaction_index"), "traceAddress": F.array(F.col("log_index").cast("int")), "subtraces": F.lit(0), "type": kind, "error": F.lit(None).cast("string"), "action": F.struct(*[c.alias(k) for k, c in members.items()]), "result": result}
+    rows = lake.logs().groupBy("block_number").agg(F.collect_list(F.struct(*[c.alias(k) for k, c in trace.items()])).alias("traces"))
+    out = I.flatten_parity_traces(rows)
+    return out.select("transaction_index", F.col("trace_address")[0].cast("long").alias("log_index"), "type", F.col("create_from").cast("long").alias("create_from"), F.col("call_to").cast("long").alias("call_to"), "call_sighash", "create_result_code", F.col("suicide_balance").cast("long").alias("suicide_balance"))
+
+
+@query("""SELECT o_orderkey AS transaction_index, CASE o_orderstatus WHEN 'F' THEN '+' WHEN 'O' THEN '*' ELSE '-' END AS kind, CASE o_orderstatus WHEN 'O' THEN 'f' || o_custkey WHEN 'P' THEN 'p' || o_custkey END AS prev,
+CASE o_orderstatus WHEN 'F' THEN 'n' || o_custkey WHEN 'O' THEN 't' || o_custkey END AS next FROM orders WHERE o_orderkey % 3 <> 0""")
+def parity_state_diff(lake):
+    value = lambda p: F.concat(F.lit(p), F.col("o_custkey"))
+    one = lambda sign, c: F.to_json(F.struct(c.alias(sign)))
+    changed = one("*", F.struct(value("f").alias("from"), value("t").alias("to")))
+    diff = F.when(F.col("o_orderkey") % 3 == 0, F.lit('"="')).when(F.col("o_orderstatus") == "F", one("+", value("n"))).when(F.col("o_orderstatus") == "P", one("-", value("p"))).otherwise(changed)
+    rows = lake.table("orders").select(F.lit(0).alias("block_number"), F.col("o_orderkey").alias("transaction_index"), F.lit("a").alias("address"), F.lit("balance").alias("key"), diff.alias("diff"))
+    return I.parity_state_diff(rows).select("transaction_index", "kind", "prev", "next")
+
+
+@query("SELECT transaction_index, string_agg(lower(topic0) || address, ',' ORDER BY log_index) AS found FROM logs GROUP BY 1", "logs")
+def choose_logs(lake):
+    rows = logs_of_tx(lake, {"address": F.concat("topic0", F.col("address").cast("string"))})
+    own = F.when(F.col("transaction_index") % 2 == 0, F.col("each"))
+    found = I.choose_logs(own, F.array(F.slice("each", 1, 2), F.slice("each", 3, 1000)))
+    return rows.select("transaction_index", F.array_join(F.transform(found, lambda x: x["address"]), ",").alias("found"))
+
+
+@query("""SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'w' || o_custkey END AS owner, CASE WHEN o_orderstatus = 'F' THEN 'to' || o_orderkey END AS target, CASE WHEN o_orderstatus = 'O' THEN 'w' || o_custkey END AS caller,
+CASE WHEN o_orderstatus = 'O' AND length(o_orderpriority) >= 8 THEN substr(o_orderpriority, 1, 8) END AS sighash FROM orders""")
+def contract_parameters(lake):
+    value = F.struct(F.concat(F.lit("w"), F.col("o_custkey")).alias("owner_address"), F.concat(F.lit("to"), F.col("o_orderkey")).alias("to_address"), F.lit("c").alias("contract_address"), F.col("o_orderpriority").alias("data"))
+    kind = F.when(F.col("o_orderstatus") == "F", "TransferContract").when(F.col("o_orderstatus") == "O", "TriggerSmartContract").otherwise("VoteWitnessContract")
+    columns = I.contract_parameters(F.to_json(F.struct(value.alias("value"))), kind)
+    names = {"owner": "_transfer_contract_owner", "target": "_transfer_contract_to", "caller": "_trigger_smart_contract_owner", "sighash": "_trigger_smart_contract_sighash"}
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), *[columns[c].alias(k) for k, c in names.items()])
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS energy_fee, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS kind FROM orders")
+def normalise_struct(lake):
+    raw = F.when(F.col("o_orderstatus") != "P", F.to_json(F.struct(F.col("o_custkey").alias("energyFee"), F.col("o_orderpriority").alias("resultKind"))))
+    own = I.normalise_struct(raw, ("energyFee",), ("resultKind",), {"resultKind": "kind"})
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), own.alias("s")).select("id", "s.energy_fee", "s.kind")
+
+
+@query("SELECT l.transaction_index, l.log_index, l.address FROM logs l JOIN txs t ON l.transaction_index = t.transaction_index WHERE t.status <> 'P'", "logs", "txs")
+def trace_children(lake):
+    calls = logs_of_tx(lake, {"address": F.col("address")})
+    status = lake.transactions().select("transaction_index", F.when(F.col("status") == "P", "reverted").alias("revert_reason"))
+    traces = calls.join(status, "transaction_index").select("block_number", "transaction_index", F.array().cast("array<int>").alias("trace_address"), "revert_reason", F.col("each").alias("events"))
+    return I.trace_children(traces, "events").select("transaction_index", F.col("pos").cast("long").alias("log_index"), "address")
+
+
+@query("SELECT block_number, transaction_index, log_index, 'traced' AS origin FROM logs WHERE block_number % 2 = 0 UNION ALL SELECT block_number, transaction_index, log_index, 'flat' FROM logs WHERE block_number % 2 <> 0", "logs")
+def prefer_traced(lake):
+    rows = lake.logs().select("block_number", "transaction_index", "log_index")
+    return I.prefer_traced(rows.withColumn("origin", F.lit("flat")), rows.where("block_number % 2 = 0").withColumn("origin", F.lit("traced")))
+
+
+@query("SELECT block_number, CAST(transaction_index AS VARCHAR) AS address, log_index AS \"key\", address AS value FROM logs", "logs")
+def explode_state_updates(lake):
+    slots = logs_of_tx(lake, {"key": F.col("log_index"), "value": F.col("address")})
+    diffs = slots.groupBy(F.col("block_number").alias("number")).agg(F.collect_list(F.struct(F.col("transaction_index").cast("string").alias("address"), F.col("each").alias("storage_entries"))).alias("storage_diffs"))
+    return I.explode_state_updates(diffs.select("number", F.struct(F.lit("root").alias("new_root"), "storage_diffs").alias("state_update")))[1]
+
+
+@query("SELECT block_number, transaction_index, transaction_index * 10 AS trace FROM txs WHERE type <> '5-LOW'", "txs")
+def zip_traces(lake):
+    each = F.sort_array(F.collect_list(F.struct("transaction_index", "type")))
+    rows = lake.transactions().groupBy("block_number").agg(each.alias("transactions"))
+    traces = F.transform(F.filter("transactions", lambda t: t["type"] != "5-LOW"), lambda t: t["transaction_index"] * 10)
+    same, odd = I.zip_traces(rows.withColumn("traces", traces), special=lambda t: t["type"] == "5-LOW")
+    found = same.select("block_number", F.col("transaction.transaction_index").alias("transaction_index"), "trace")
+    return found.unionByName(odd.select("block_number", F.lit(-1).cast("long").alias("transaction_index"), F.col("traces").cast("long").alias("trace")))
+
+
+@query("SELECT block_number, transaction_index, 2 * transaction_index AS trace_index FROM (SELECT block_number, row_number() OVER (PARTITION BY block_number ORDER BY transaction_index) - 1 AS transaction_index FROM txs)", "txs")
+def align_traces(lake):
+    order = Window.partitionBy("block_number").orderBy("transaction_index")
+    tx = lake.transactions().select("block_number", (F.row_number().over(order) - 1).cast("int").alias("transaction_index"), F.col("from").cast("string").alias("from"), F.col("type").alias("to"), F.col("transaction_index").cast("string").alias("value"))
+    of_tx = tx.select("block_number", (F.col("transaction_index") * 2).alias("trace_index"), "from", "to", "value")
+    between = of_tx.withColumns({"trace_index": F.col("trace_index") + 1, "from": F.lit("nobody")})
+    return I.align_traces(tx, of_tx.unionByName(between)).select("block_number", F.col("transaction_index").cast("long").alias("transaction_index"), F.col("trace_index").cast("long").alias("trace_index"))
+
+
+@query("SELECT o_orderkey AS id, '{\"amount\":' || o_custkey || ',\"unit\":' || CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE '\"' || o_orderstatus || '\"' END || '}' AS fee FROM orders")
+def struct_of_columns(lake):
+    fee = P.struct_of({"amount": F.col("o_custkey"), "unit": F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))})
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), P.json_object(fee).alias("fee"))
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN '{\"tip\":\"' || o_custkey || '\",\"maturity\":' || o_orderkey || '}' END AS policies FROM orders")
+def rekeyed_struct(lake):
+    raw = F.when(F.col("o_orderstatus") != "P", F.struct(F.col("o_custkey").alias("tip_"), F.col("o_orderkey").alias("maturity_")))
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), raw.alias("raw")).select("id", P.json_object(P.rekeyed(F.col("raw"), {"tip_": "tip", "maturity_": "maturity"}, ("tip_",))).alias("policies"))
 
 
 @query("SELECT o_orderkey AS id, '{\"v\":' || CASE WHEN o_orderkey * 9007199254740 <= 9007199254740991 THEN CAST(o_orderkey * 9007199254740 AS VARCHAR) ELSE '\"' || (o_orderkey * 9007199254740) || '\"' END || '}' AS j FROM orders")

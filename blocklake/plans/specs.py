@@ -53,7 +53,6 @@ class ItemSpec:
     scans: tuple[str, ...]
     relations: tuple[RelSpec, ...] = ()
     mandatory: tuple[str, ...] = ()
-    projections: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -67,4 +66,5 @@ class Model:
     block_mandatory: tuple[str, ...] = ("number", "hash")
     #: Request list to items it selects, column names that differ from their snake-case field.
     renamed: dict[str, str] = field(default_factory=dict)
-    projections: dict[str, dict[str, str]] = field(default_factory=dict)
+    #: For an entity's field a rule by name, or the struct members that are renamed (``:text``: and are text).
+    projections: dict[str, dict[str, str | dict[str, str]]] = field(default_factory=dict)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EPOCH = "1995-01-01"
+_own: dict[str, str] = {}
 
 
 class Lake:
@@ -17,6 +20,15 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def shared(self) -> str:
+        """A folder that all executors share, for tables that a query writes on its way."""
+        path = self.spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            if not self.spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir is not set: tables need a folder that all executors share")
+            path = _own[self.spark.sparkContext.applicationId] = _own.get(self.spark.sparkContext.applicationId) or "file://" + tempfile.mkdtemp(prefix="blocklake-")
+        return path.rstrip("/")
+
     @staticmethod
     def _height():
         return F.datediff(F.to_date("o_orderdate"), F.lit(EPOCH).cast("date")).cast("long")
@@ -55,10 +67,10 @@ class Lake:
         b = self.blocks().groupBy("chunk").agg(F.min("number").alias("first_block"), F.max("number").alias("last_block"))
         return b.select(F.lit("orders").alias("dataset"), (F.floor(F.col("chunk") / 5) * 500).cast("long").alias("top"), "first_block", "last_block", "chunk")
 
-    def ranges(self, modulo: int, length: int) -> DataFrame:
-        """Ranges that overlap, touch and leave gaps: one from every ``modulo``-th customer key on, a dataset a segment."""
-        c = self.table("customer").where(F.col("c_custkey") % modulo == 0)
-        return c.select(F.col("c_mktsegment").alias("dataset"), F.col("c_custkey").alias("beg"), (F.col("c_custkey") + F.col("c_nationkey") % length).cast("long").alias("end"))
+    def ranges(self, offset: int, step: int, length: int) -> DataFrame:
+        """Ranges that overlap, touch and leave gaps, one of every customer, a dataset a segment."""
+        beg = F.col("c_custkey") * 11 + offset
+        return self.table("customer").select(F.col("c_mktsegment").alias("dataset"), beg.cast("long").alias("beg"), (beg + F.col("c_nationkey") * step % length).cast("long").alias("end"))
 
 
 #: The same lake for the SQL side, as common table expressions.
@@ -69,8 +81,8 @@ SQL = {
     "calls": "SELECT 0 AS block_number, r_regionkey AS extrinsic_index, CAST([] AS INT[]) AS address, 'region' AS name FROM region UNION ALL SELECT 0, n_regionkey, [n_nationkey]::INT[], 'nation' FROM nation UNION ALL SELECT 0, n_regionkey, [n_nationkey, c_custkey]::INT[], c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey",
     "call_events": "SELECT 0 AS block_number, n_regionkey AS extrinsic_index, o_orderkey AS \"index\", CASE WHEN o_orderstatus <> 'P' THEN [n_nationkey, c_custkey]::INT[] END AS call_address, o_orderpriority AS name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey",
     "catalog": "SELECT 'orders' AS dataset, (chunk // 5) * 500 AS top, min(number) AS first_block, max(number) AS last_block, chunk FROM blocks GROUP BY chunk",
-    "ra": "SELECT c_mktsegment AS dataset, c_custkey AS beg, c_custkey + c_nationkey % 9 AS \"end\" FROM customer WHERE c_custkey % 3 = 0",
-    "rb": "SELECT c_mktsegment AS dataset, c_custkey AS beg, c_custkey + c_nationkey % 40 AS \"end\" FROM customer WHERE c_custkey % 7 = 0",
+    "ra": "SELECT c_mktsegment AS dataset, c_custkey * 11 AS beg, c_custkey * 11 + c_nationkey * 3 % 50 AS \"end\" FROM customer",
+    "rb": "SELECT c_mktsegment AS dataset, c_custkey * 11 + 7 AS beg, c_custkey * 11 + 7 + c_nationkey * 7 % 40 AS \"end\" FROM customer",
 }
 NEEDS = {"catalog": ("blocks",)}
 

@@ -13,11 +13,23 @@ class MissingData(LookupError):
     """A table or column that a query needs is not in every chunk of its range."""
 
 
-def chunk_catalog(spark: SparkSession, root: str, dataset: str = "default") -> DataFrame:
-    """A row for each chunk folder below ``root``, found by a listing of names; nothing in files is read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/*")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    names = [(s.getPath().toString(),) for s in found if s.isDirectory()]
+def _listed(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a pattern, from a listing of names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [s.getPath().toString() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []]
+
+
+def tops_of(spark: SparkSession, root: str, first: int | None = None, last: int | None = None) -> list[str]:
+    """Names of the top folders, in order, that may have heights of a range: a top reaches up to where the next one begins."""
+    names = sorted(n for n in (p.rpartition("/")[2] for p in _listed(spark, f"{root}/*")) if len(n) == 10 and n.isdigit())
+    after = [*map(int, names[1:]), None]
+    return [n for n, end in zip(names, after, strict=True) if (last is None or int(n) <= last) and (first is None or end is None or end >= first)]
+
+
+def chunk_catalog(spark: SparkSession, root: str, dataset: str = "default", first: int | None = None, last: int | None = None) -> DataFrame:
+    """A row for each chunk folder below the tops that a range needs, found by listings of names; nothing in files is read."""
+    tops = tops_of(spark, root, first, last)
+    names = [(p,) for p in _listed(spark, f"{root}/{{{','.join(tops)}}}/*-*-*")] if tops else []
     part = lambda i: F.regexp_extract("path", f"/{CHUNK}$", i)
     rows = spark.createDataFrame(names, "path string").where(F.col("path").rlike(f"/{CHUNK}$"))
     return rows.select(F.lit(dataset).alias("dataset"), part(1).cast("long").alias("top"), part(2).cast("long").alias("first_block"), part(3).cast("long").alias("last_block"), part(4).alias("last_hash"), "path")
@@ -72,11 +84,12 @@ def range_conflicts(catalog: DataFrame, first: int, last: int | None = None) ->
 
 def read_table(spark: SparkSession, root: str, table: str, first: int | None = None, last: int | None = None, columns: list[str] | None = None) -> DataFrame:
     """A table over all chunks of a range of heights: only their folders are opened; filters and columns reach the scan."""
-    paths = [r.path for r in prune_chunks(chunk_catalog(spark, root), first, last).select("path").orderBy("path").collect()]  # names
+    paths = [r.path for r in prune_chunks(chunk_catalog(spark, root, first=first, last=last), first, last).select("path").orderBy("path").collect()]  # names
     if not paths:
         raise MissingData(f"no chunk of {root} has heights {first} to {last}")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    missing = [p for p in paths if not hadoop(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop(f"{p}/{table}.parquet"))]
+    tops = {p.split("/")[-2] for p in paths}
+    there = {p.rpartition("/")[0] for p in _listed(spark, f"{root}/{{{','.join(sorted(tops))}}}/*-*-*/{table}.parquet")}
+    missing = [p for p in paths if p not in there]
     if missing:
         raise MissingData(f"table {table} is missing in {len(missing)} chunks, the first is {missing[0]}")
     df = spark.read.option("mergeSchema", "false").parquet(*[f"{p}/{table}.parquet" for p in paths])
@@ -92,11 +105,11 @@ def read_table(spark: SparkSession, root: str, table: str, first: int | None = N
 
 
 def dataset_metadata(tables: dict[str, DataFrame]) -> DataFrame:
-    """``table, column, type, nullable``: nullable says whether a column has a null in any row."""
+    """``table, column, type, nullable, nulls``: how many rows have a null there, and whether any has."""
     parts = []
     for name, df in tables.items():
         counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in df.columns])
-        one = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kind).alias("type"), (F.col(c) > 0).alias("nullable")) for c, kind in df.dtypes])
+        one = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kind).alias("type"), (F.col(c) > 0).alias("nullable"), F.col(c).alias("nulls")) for c, kind in df.dtypes])
         parts.append(counts.select(F.lit(name).alias("table"), F.explode(one).alias("m")).select("table", "m.*"))
     out = parts[0]
     for p in parts[1:]:

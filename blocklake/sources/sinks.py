@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blocklake.operators.assemble import sort_for_storage
+from blocklake.operators.budget import assign_chunks
 from blocklake.plans.specs import TableSpec
 
 
@@ -26,8 +29,34 @@ def write_tables(tables: dict[str, DataFrame], specs: dict[str, TableSpec], dest
         ordered.write.partitionBy(chunk).option("compression", "zstd").option("parquet.page.size", str(128 << 10)).parquet(f"{dest}/{name}")
 
 
-def write_raw(blocks: DataFrame, dest: str, chunk: str = "chunk") -> None:
-    """Raw blocks as gzip JSON lines, a folder a chunk."""
+def write_lake(tables: dict[str, DataFrame], specs: dict[str, TableSpec], chunks: DataFrame, root: str, last_table: str = "blocks") -> None:
+    """Tables in the layout that :func:`layout.read_table` reads, a folder for each of ``chunks``.
+
+    ``chunks``: rows ``chunk, top, first_block, last_block, last_hash``; each table has a ``chunk`` column. Tables are written aside and
+    then moved to their folders, a rename for each chunk and table; ``last_table`` comes last and makes a chunk complete.
+    """
+    spark = chunks.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    aside = f"{root}/_new-{uuid.uuid4().hex}"
+    write_tables(tables, specs, aside)
+    for name in sorted(tables, key=lambda n: n == last_table):
+        for r in chunks.select("chunk", "top", "first_block", "last_block", "last_hash").toLocalIterator():  # names
+            source, folder = path(f"{aside}/{name}/chunk={r.chunk}"), f"{root}/{r.top:010d}/{r.first_block:010d}-{r.last_block:010d}-{r.last_hash}"
+            fs.mkdirs(path(folder))
+            if fs.exists(source):
+                fs.rename(source, path(f"{folder}/{name}.parquet"))
+            else:  # a chunk without rows of the table has an empty one
+                tables[name].drop("chunk").limit(0).write.parquet(f"{folder}/{name}.parquet")
+    fs.delete(path(aside), True)
+
+
+def write_raw(blocks: DataFrame, dest: str, chunk: str | None = None, chunk_mb: int = 1024) -> None:
+    """Raw blocks as gzip JSON lines, a folder a chunk: by the column ``chunk``, or by about ``chunk_mb`` megabytes of JSON each."""
+    if chunk is None:
+        chunk = "chunk"
+        sized = blocks.withColumns({"block_number": F.col("number"), "size": F.octet_length(F.to_json(F.struct(*blocks.columns)))})
+        blocks = assign_chunks(sized, chunk_mb << 20).drop("block_number", "size")
     blocks.repartition(chunk).sortWithinPartitions(chunk, "number").write.partitionBy(chunk).option("compression", "gzip").json(dest)
 
 

@@ -127,6 +127,30 @@ def test_invocations_count_on(spark):
     assert [(r.invocation_type, list(r.trace_address), r.n_events, r.first_event) for r in rows] == [("validate", [0], 2, 0), ("validate", [0, 1], 1, 2), ("execute", [2], 0, 3), ("execute", [2, 3], 0, 3), ("execute", [2, 4], 1, 3)]
 
 
+def test_quantities_of_all_lengths(spark):
+    values = [0, 1, 255, (1 << 63) - 1, 0x123456789ABCDEF]
+    hexes = spark.createDataFrame([(f"0x{'0' * (i % 3)}{v:x}",) for i, v in enumerate(values)] + [(None,), ("0x" + "0" * 60 + "7",)], "c string")
+    assert [r.v for r in hexes.select(ingest.hex_to_int(F.col("c")).alias("v")).collect()] == [*values, None, 7]
+    wide = [1 << 63, (1 << 64) - 1, (1 << 64) + 5, (1 << 123) + (1 << 70) + 3, 16**31 - 1]
+    big = spark.createDataFrame([(f"0x{v:x}",) for v in wide], "c string")
+    assert [int(r.v) for r in big.select(ingest.hex_to_decimal(F.col("c")).alias("v")).collect()] == wide
+    for v in (1 << 63, 0x123456789ABCDEF01, 1 << 200):
+        with pytest.raises(Exception, match="more than 63 bits"):
+            spark.createDataFrame([(f"0x{v:x}",)], "c string").select(ingest.hex_to_int(F.col("c"))).collect()
+    with pytest.raises(Exception, match="more than 124 bits"):
+        spark.createDataFrame([(f"0x{1 << 255:x}",)], "c string").select(ingest.hex_to_decimal(F.col("c"))).collect()
+
+
+def test_receipts_and_status_from_traces(spark):
+    frame, trace = "struct<type:string,error:string,to:string>", "struct<type:string,error:string,address:string>"
+    rows = [("h1", "b1", None, None), ("h2", "b1", None, None), ("h3", "b1", ("INVALID", None, "x"), None), ("h4", "b1", ("CREATE", None, "new"), ("create", None, "other")), ("h5", "b1", ("CREATE2", "bad", "new"), None), ("h6", "b1", None, ("create", None, "made")), ("h7", "b1", None, ("call", "bad", None)), ("h8", "b2", None, None)]
+    txs = spark.createDataFrame(rows, f"hash string, block_hash string, frame {frame}, trace {trace}")
+    receipts = spark.createDataFrame([("h1", "b1", "0x1", "0xc", "0x5208", "0x2"), ("h2", "b9", "0x1", None, "0x1", None), ("h4", "b9", "0x0", None, "0x1", None)], "transactionHash string, blockHash string, status string, contractAddress string, gasUsed string, type string")
+    got = {r.hash: (r.status, r.contract_address, r.gas_used, r.type) for r in ingest.with_receipts(txs, receipts).collect()}
+    none = (None, None, None, None)
+    assert got == {"h1": (1, "0xc", "0x5208", 2), "h2": none, "h3": (0, None, None, None), "h4": (1, "new", None, None), "h5": (0, None, None, None), "h6": (1, "made", None, None), "h7": (0, None, None, None), "h8": none}
+
+
 def test_state_diffs(spark):
     kind = "block_number long, transaction_index long, address string, key string, value string"
     pre = [(1, 0, "x", "balance", "1"), (1, 0, "x", "nonce", "2"), (1, 0, "x", "0xs1", "5"), (1, 0, "x", "0xs2", "6")]
@@ -144,6 +168,13 @@ def test_rules_discriminators_and_alignment(spark):
     rules = [("c", 0, 5, None, "drop_type", "0x7d"), ("c", 0, 5, None, "fill_type", "0x0"), ("c", 2, 2, "h2", "drop", None), ("other", 0, 9, None, "drop", None)]
     got = ingest.apply_rules(txs, spark.createDataFrame(rules, "chain string, from_block long, to_block long, tx_hash string, action string, value string"), "c").collect()
     assert [(r.hash, r.type) for r in got] == [("h0", "0x0")]
+    kinds = ingest.RULES
+    wide = spark.createDataFrame([(1, i, f"h{i}", None, ingest.ZERO_ADDRESS if i == 3 else "0x1", ingest.ZERO_ADDRESS, None if i % 2 else "0x9", "b1", "b2" if i == 4 else "b1") for i in range(6)], "block_number long, transaction_index long, hash string, type string, `from` string, `to` string, max_priority_fee_per_gas string, block_hash string, receipt_block_hash string")
+    run = lambda *rules: [(r.transaction_index, r.type) for r in ingest.apply_rules(wide, spark.createDataFrame([("c", 1, 1, *r) for r in rules], kinds), "c").orderBy("transaction_index").collect()]
+    assert run((None, "fill_type_by", "max_priority_fee_per_gas")) == [(i, "0x0" if i % 2 else "0x2") for i in range(6)]
+    assert [i for i, _ in run((None, "drop_zero_address", None))] == [0, 1, 2, 4, 5] and [i for i, _ in run((None, "drop_duplicated", None))] == [0, 1, 2, 3, 5]
+    assert run((None, "slice", "4"), ("h5", "set_type", "0x5")) == [(4, None), (5, "0x5")] and len(run()) == 6
+    assert "Join" not in ingest.apply_rules(wide, spark.createDataFrame([("c", 1, 1, None, "drop", None)], kinds), "c")._jdf.queryExecution().executedPlan().toString()
     d = ingest.discriminators(spark.createDataFrame([("2NEpo7TZRRrLZSi2U",), (None,)], "data string")).collect()
     assert d[0].d1 == "0x48" and d[0].d4 == "0x48656c6c" and d[1].d8 is None
     t = spark.createDataFrame([(1, 0, "a", "b", "1"), (1, 1, "c", "d", "2")], "block_number long, transaction_index int, from string, to string, value string")
@@ -176,5 +207,26 @@ def test_lake_layout_round_trip(spark, tmp_path):
     with pytest.raises(layout.MissingData):
         layout.read_table(spark, str(tmp_path), "logs", 100)
     blocks = spark.range(6).select(F.col("id").alias("number"), F.floor(F.col("id") / 3).alias("chunk"))
-    sinks.write_raw(blocks, f"{tmp_path}/raw")
+    sinks.write_raw(blocks, f"{tmp_path}/raw", "chunk")
     assert sorted(r.number for r in sinks.read_raw_blocks(spark, f"{tmp_path}/raw", "number long", 2, 4).collect()) == [2, 3, 4]
+    wide = spark.range(40).select(F.col("id").alias("number"), F.repeat(F.lit("x"), 60_000).alias("data"))
+    sinks.write_raw(wide, f"{tmp_path}/by_size", chunk_mb=1)
+    assert len(list((tmp_path / "by_size").glob("chunk=*"))) == 3 and sinks.read_raw_blocks(spark, f"{tmp_path}/by_size", "number long").count() == 40
+
+
+def test_only_the_tops_of_a_range_are_listed(spark, tmp_path):
+    chunks = [(0, 0, 4), (0, 5, 9), (10, 10, 14), (20, 20, 29)]
+    table = spark.range(30).select(F.col("id").alias("number"), F.when(F.col("id") < 20, F.floor(F.col("id") / 5)).otherwise(4).alias("chunk"))
+    frame = spark.createDataFrame([(f // 5, t, f, e, f"h{e}") for t, f, e in chunks], "chunk long, top long, first_block long, last_block long, last_hash string")
+    logs = table.where("number between 3 and 12").select(F.col("number").alias("block_number"), "chunk")
+    sinks.write_lake({"blocks": table, "logs": logs}, {}, frame, str(tmp_path))
+    assert layout.tops_of(spark, str(tmp_path), 12, 25) == ["0000000010", "0000000020"] and layout.tops_of(spark, str(tmp_path), None, 3) == ["0000000000"] and len(layout.tops_of(spark, str(tmp_path))) == 3
+    assert sorted(r.number for r in layout.read_table(spark, str(tmp_path), "blocks", 8, 21).collect()) == [8, 9, *range(10, 15), 20, 21]
+    assert sorted(r.block_number for r in layout.read_table(spark, str(tmp_path), "logs", 4, 25).collect()) == list(range(4, 13))
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("_")]
+
+
+def test_top_folders_roll(spark):
+    chunks = spark.createDataFrame([("a", 10 * i, 10 * i + 9) for i in range(7)], "dataset string, first_block long, last_block long")
+    assert [r.top for r in budget.assign_tops(chunks, 3).orderBy("first_block").collect()] == [0, 0, 0, 30, 30, 30, 60]
+    assert [r.top for r in budget.assign_tops(chunks, 3, last=69).orderBy("first_block").collect()] == [0, 0, 0, 30, 30, 30, 30]

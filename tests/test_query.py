@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from blocklake.plans.chains import MODELS
 from blocklake.plans.query import InvalidQuery, query, to_json, validate
@@ -44,12 +45,51 @@ def test_trace_relations(tables):
     request = lambda flag: {"fromBlock": 1, "traces": [{"type": ["create"], flag: True}], "fields": {"trace": {"callTo": True, "createResultAddress": True}}}
     sub = run(tables, request("subtraces"))[2]["traces"]
     assert [t["traceAddress"] for t in sub] == [[0], [0, 0]]
-    assert sub[0]["result"] == {"address": "new"} and sub[0]["action"] is None and sub[1]["action"] == {"to": "lib"}
+    # each row has what was asked for of its own type; a result without members is left out, an action is not
+    assert sub[0]["result"] == {"address": "new"} and "action" not in sub[0] and sub[1]["action"] == {"to": "lib"} and "result" not in sub[1]
     assert [t["traceAddress"] for t in run(tables, request("parents"))[2]["traces"]] == [[], [0]]
     logs = run(tables, {"fromBlock": 1, "logs": [{"topic0": ["T"], "address": ["token"], "transactionTraces": True}]})
     assert len(logs[2]["traces"]) == 4
 
 
+def test_traces_by_type(spark):
+    kind = "block_number long, transaction_index int, trace_address array<int>, type string, error string, call_from string, call_to string, call_result_output string, create_from string, create_result_address string, suicide_address string"
+    rows = [(1, 0, [], "call", None, "a", None, "0x1", None, None, None), (1, 0, [0], "call", "bad", None, None, None, None, None, None), (1, 0, [1], "create", None, None, None, None, "c", "d", None), (1, 0, [2], "suicide", None, None, None, None, None, None, "s"), (1, 0, [3], "reward", None, *[None] * 6)]
+    frames = {"traces": spark.createDataFrame(rows, kind), "blocks": spark.createDataFrame([(1, "h", "p")], "number long, hash string, parent_hash string")}
+    run_ = lambda *fields: [{k: v for k, v in t.items() if k not in ("transactionIndex", "traceAddress")} for t in json.loads(to_json(query(EVM, frames.get, {"traces": [{}], "fields": {"trace": dict.fromkeys(fields, True)}})).first().value)["traces"]]
+    assert run_("error", "callFrom", "callTo", "callResultOutput") == [
+        {"type": "call", "error": None, "action": {"from": "a"}, "result": {"output": "0x1"}}, {"type": "call", "error": "bad", "action": {}}, {"type": "create", "error": None}, {"type": "suicide", "error": None}, {"type": "reward", "error": None},
+    ]
+    assert run_("createResultAddress", "suicideAddress") == [{"type": "call"}, {"type": "call"}, {"type": "create", "result": {"address": "d"}}, {"type": "suicide", "action": {"address": "s"}}, {"type": "reward"}]
+    assert run_("error")[1] == {"type": "call", "error": "bad"}
+
+
+def test_ends_of_each_chunk(tables, spark):
+    chunks = spark.createDataFrame([(1, 2), (3, 4), (5, 9)], "first_block long, last_block long")
+    request = {"fromBlock": 2, "toBlock": 5, "logs": [{"address": []}]}
+    assert sorted(run(tables, request, chunks=chunks)) == [2, 3, 4, 5]
+    assert sorted(run(tables, request, chunk=lambda n: F.floor((n - 1) / 2))) == [2, 3, 4, 5]
+    assert sorted(run(tables, {**request, "fromBlock": 3}, chunks=spark.createDataFrame([(0, 50)], "first_block long, last_block long"))) == [3, 5]
+    # a budget counts within each chunk: the second block of a chunk goes only if the first is over it
+    got = run(tables, {"fromBlock": 1, "transactions": [{}]}, limit=100, chunks=chunks)
+    assert sorted(got) == [1, 3, 5]
+    assert sorted(run(tables, {"fromBlock": 1, "transactions": [{}]}, limit=200, chunks=chunks)) == [1, 2, 3, 4, 5]
+
+
+def test_structs_of_fuel_and_starknet(spark):
+    tx = spark.sql("SELECT 1L AS block_number, 0 AS index, named_struct('tip', 7L, 'witness_limit', null, 'maturity', 3, 'max_fee', 9L) AS policies, named_struct('utxo_id', 'u', 'balance_root', 'b', 'state_root', 's', 'tx_pointer', 't', 'contract_id', 'c') AS input_contract, cast(null as struct<input_index:int,balance_root:string,state_root:string>) AS output_contract")
+    frames = {"transactions": tx, "blocks": spark.createDataFrame([(1, "h", 5)], "number long, hash string, height long")}
+    asked = {"transactions": [{}], "fields": {"transaction": dict.fromkeys(("policies", "inputContract", "outputContract"), True)}}
+    got = json.loads(to_json(query(MODELS["fuel"], frames.get, asked)).first().value)["transactions"][0]
+    assert got["policies"] == {"tip": "7", "witnessLimit": None, "maturity": 3, "maxFee": "9"} and got["outputContract"] is None
+    assert got["inputContract"] == {"utxoId": "u", "balanceRoot": "b", "stateRoot": "s", "txPointer": "t", "contractId": "c"}
+    tx = spark.sql("SELECT 1L AS block_number, 0 AS transaction_index, '0x1' AS resource_bounds_l1_gas_max_amount, '0x2' AS resource_bounds_l1_gas_max_price_per_unit, '0x3' AS resource_bounds_l2_gas_max_amount, cast(null as string) AS resource_bounds_l2_gas_max_price_per_unit, '0x5' AS actual_fee_amount, 'WEI' AS actual_fee_unit")
+    frames = {"transactions": tx, "blocks": spark.createDataFrame([(1, "h", "p")], "number long, hash string, parent_hash string")}
+    asked = {"transactions": [{}], "fields": {"transaction": {"resourceBounds": True, "actualFee": True}}}
+    got = json.loads(to_json(query(MODELS["starknet"], frames.get, asked, limit=10**6)).first().value)["transactions"][0]
+    assert got["resourceBounds"] == {"l1GasMaxAmount": "0x1", "l1GasMaxPricePerUnit": "0x2", "l2GasMaxAmount": "0x3", "l2GasMaxPricePerUnit": None} and got["actualFee"] == {"amount": "0x5", "unit": "WEI"}
+
+
 def test_children_bounds_and_all_blocks(tables):
     got = run(tables, {"fromBlock": 1, "includeAllBlocks": True, "transactions": [{"firstNonce": 20, "lastNonce": 21, "logs": True}]})
     assert sorted(got) == [1, 2, 3, 4, 5] and [x["logIndex"] for x in got[2]["logs"]] == [0, 1] and len(got[2]["transactions"]) == 2 and got[3]["transactions"] == []
