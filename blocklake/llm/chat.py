@@ -1,8 +1,9 @@
 """Chat formatting: the turns of a conversation as one marked string with a loss mask, and the exact way back.
 
-Relational, in Spark expressions alone: windows over a conversation find where blocks of one role begin and end and where
-each text starts, sorted collected structs are merged by block with array aggregation, and the blocks are joined. All of
-it needs one shuffle, by conversation, and steps in proportion to the turns.
+Relational, in Spark expressions alone: the turns of a conversation are collected as structs and sorted, adjacent turns of one
+role are merged by array aggregation, and the blocks are concatenated. All of it needs one shuffle, by conversation. Where
+blocks begin is found by filtering positions, so that the aggregation is over whole slices and takes steps in proportion to
+the turns, never copying what has been put together so far.
 
 Template: ``<|start|>role<|text|>`` opens a block, ``<|next|>`` stands between merged turns of one role, ``<|end|>`` closes
 the block. Control strings inside roles and texts (``<|``, and those common in other templates) get a backslash after
@@ -11,10 +12,10 @@ their first sign, and backslashes are doubled, so everything comes back as it wa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blocklake.llm.common import table
+from blocklake.llm.common import let, table
 
 START, TEXT, NEXT, END = "<|start|>", "<|text|>", "<|next|>", "<|end|>"
 #: Where a control string has its first sign and its rest.
@@ -40,23 +41,47 @@ def format_conversations(turns: DataFrame, loss_roles: tuple[str, ...] = ("assis
     other columns are left out.
     """
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    differs = lambda other: F.coalesce(other.over(order) != F.col("role"), F.lit(True))
-    marked = rows.select("conv_id", "role", F.row_number().over(order).alias("n"), differs(F.lag("role")).alias("opens"), differs(F.lead("role")).alias("closes"), escape(F.col("text")).alias("text"), "turn", F.col("text").alias("plain"))
-    head = F.when(F.col("opens"), F.concat(F.lit(START), escape(F.col("role")), F.lit(TEXT))).otherwise(F.lit(NEXT))
-    sized = marked.select("conv_id", "role", "n", "opens", "text", F.length(head).alias("head"), (F.length(head) + F.length("text") + F.when(F.col("closes"), F.lit(len(END))).otherwise(F.lit(0))).alias("size"))
-    by_n = Window.partitionBy("conv_id").orderBy("n")
-    placed = sized.select(
-        "conv_id", "role", "n", "text",
-        F.sum(F.col("opens").cast("int")).over(by_n.rowsBetween(Window.unboundedPreceding, 0)).alias("block"),
-        (F.coalesce(F.sum("size").over(by_n.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("head")).cast("int").alias("start"),
-    )
-    turn = F.struct("n", "text", "start", F.length("text").alias("length"))
-    blocks = placed.groupBy("conv_id", "block").agg(F.first("role").alias("role"), F.sort_array(F.collect_list(turn)).alias("turns"))
-    spans = F.when(F.col("role").isin(*loss_roles), F.transform("turns", lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")))).otherwise(F.array().cast("array<struct<start:int,length:int>>"))
-    written = F.concat(F.lit(START), escape(F.col("role")), F.lit(TEXT), F.array_join(F.transform("turns", lambda t: t["text"]), NEXT), F.lit(END))
-    parts = blocks.select("conv_id", F.struct("block", written.alias("written"), spans.alias("spans")).alias("part")).groupBy("conv_id").agg(F.sort_array(F.collect_list("part")).alias("parts"))
-    return parts.select("conv_id", F.array_join(F.transform("parts", lambda p: p["written"]), "").alias("formatted"), F.flatten(F.transform("parts", lambda p: p["spans"])).alias("loss_spans"))
+    turn = F.struct("turn", "role", "text", escape(F.col("text")).alias("escaped"))
+    each = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+
+    def merged(ts: Column) -> Column:
+        """Blocks ``role, texts`` of the sorted turns: from each turn whose role is not that of the one before, up to the next such."""
+        same = lambda i: (i > 0) & (F.get(ts, i)["role"] == F.get(ts, i - 1)["role"])
+        opens = F.filter(F.sequence(F.lit(0), F.size(ts) - 1), lambda i: ~same(i))
+        block = lambda i, k, o: let(F.slice(ts, i + 1, F.coalesce(F.get(o, k + 1), F.size(ts)) - i), lambda own: F.struct(own[0]["role"].alias("role"), F.transform(own, lambda t: t["escaped"]).alias("texts")))
+        return let(opens, lambda o: F.transform(o, lambda i, k: block(i, k, o)))
+
+    def parts(bs: Column) -> Column:
+        """Of each turn, in order: its role, the lengths of what the string has before its text, of the text, and of what follows."""
+        head = lambda b: F.length(F.concat(F.lit(START), escape(b["role"]), F.lit(TEXT)))
+        return F.flatten(F.transform(bs, lambda b: F.transform(b["texts"], lambda t, k: F.struct(
+            b["role"].alias("role"), F.when(k == 0, head(b)).otherwise(F.lit(len(NEXT))).alias("before"), F.length(t).alias("length"), F.when(k == F.size(b["texts"]) - 1, F.lit(len(END))).otherwise(F.lit(0)).alias("after"),
+        ))))
+
+    def spans(ps: Column) -> Column:
+        starts = sums_before(F.transform(ps, lambda p: p["before"] + p["length"] + p["after"]))
+        placed = F.zip_with(ps, starts, lambda p, s: F.struct(p["role"].alias("role"), (s + p["before"]).cast("int").alias("start"), p["length"].alias("length")))
+        return F.transform(F.filter(placed, lambda p: p["role"].isin(*loss_roles)), lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length")))
+
+    blocks = each.select("conv_id", F.explode(F.array(merged(F.col("turns")))).alias("blocks"))
+    written = F.transform("blocks", lambda b: F.concat(F.lit(START), escape(b["role"]), F.lit(TEXT), F.array_join(b["texts"], NEXT), F.lit(END)))
+    return blocks.select("conv_id", F.array_join(written, "").alias("formatted"), let(parts(F.col("blocks")), spans).alias("loss_spans"))
+
+
+def sums_before(values: Column) -> Column:
+    """The sum ahead of each number of a list; in stretches of the square root of its length, since a list is copied as it grows."""
+    last = lambda s: F.coalesce(F.try_element_at(s, F.lit(-1)), F.lit(0))
+    total = lambda v: F.aggregate(v, F.lit(0), lambda s, x: s + x)
+    upto = lambda v: F.aggregate(v, F.array().cast("array<int>"), lambda s, x: F.concat(s, F.array(last(s) + x)))
+
+    def whole(v: Column) -> Column:
+        k = F.ceil(F.sqrt(F.size(v))).cast("int")
+        stretches = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / k).cast("int")), lambda i: F.slice(v, i * k + 1, k))
+        ahead = lambda own, base: F.zip_with(upto(own), own, lambda s, x: s - x + base)
+        each = lambda ss: F.flatten(F.zip_with(ss, upto(F.transform(ss, total)), lambda own, s: ahead(own, s - total(own))))
+        return let(stretches, each)
+
+    return F.when(F.size(values) == 0, values).otherwise(let(values, whole))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

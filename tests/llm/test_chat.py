@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from blocklake.llm.chat import format_conversations, read_back
+from blocklake.llm.chat import format_conversations, read_back, sums_before
 
 ROWS = "conv_id long, turn long, role string, text string, formatted string"
 
@@ -47,3 +47,17 @@ def test_query_digests(spark):
     assert row.n_turns == 2 and row.loss_chars == len(own)
     assert row.loss_sha256 == hashlib.sha256(own.encode()).hexdigest()
     assert row.turns_sha256 == hashlib.sha256(f"user\n{own}\nassistant\n{own}\n".encode()).hexdigest()
+
+
+def test_sums_before(spark):
+    r = random.Random(1)
+    lists = [[], [5], [1, 2], *[[r.randrange(9) for _ in range(n)] for n in (3, 4, 5, 16, 17, 1000)]]
+    got = [x.s for x in spark.createDataFrame([(x,) for x in lists], "v array<int>").select(sums_before(F.col("v")).alias("s")).collect()]
+    assert got == [[sum(x[:i]) for i in range(len(x))] for x in lists]
+
+
+def test_a_conversation_of_many_turns(spark):
+    roles = random.Random(2).choices(["user", "assistant", "tool"], k=5000)
+    rows = [(1, i, role, f"text {i}") for i, role in enumerate(roles)]
+    got = read_back(format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
+    assert [(t.role, t.text) for t in got.turns] == [(r, t) for _, _, r, t in rows] and got.loss_texts == [t for _, _, r, t in rows if r == "assistant"]
