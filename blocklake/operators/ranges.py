@@ -1,4 +1,4 @@
-"""Algebra of inclusive height ranges ``dataset, beg, end``. Windows are by dataset, never over all rows."""
+"""Algebra of inclusive height ranges ``dataset, beg, end``: a row a chunk or a gap, not a row a block. Windows are by dataset."""
 
 from __future__ import annotations
 

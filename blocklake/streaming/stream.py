@@ -21,10 +21,10 @@ def resume(stream: DataFrame, next_block: int, number: str = "number") -> DataFr
 
 def finalized(df: DataFrame, depth: int, chain: str | None = None, number: str = "number") -> DataFrame:
     """Rows at least ``depth`` heights below the tip of their chain (a batch; see finalized_stream)."""
-    groups = [chain] if chain else []
-    tips = df.groupBy(*groups).agg((F.max(number) - depth).alias("_tip"))  # a row a chain
-    met = df.join(F.broadcast(tips), chain) if chain and tips.count() <= 10_000 else df.join(tips, chain) if chain else df.crossJoin(F.broadcast(tips))
-    return met.where(F.col(number) <= F.col("_tip")).drop("_tip")
+    tip = (F.max(number) - depth).alias("_tip")
+    if not chain:
+        return df.where(F.col(number) <= df.agg(tip).scalar())
+    return df.join(df.groupBy(chain).agg(tip), chain).where(F.col(number) <= F.col("_tip")).drop("_tip")
 
 
 def finalized_stream(stream: DataFrame, depth: int, chain: str = "chain", number: str = "number") -> DataFrame:
