@@ -17,6 +17,7 @@ from blocklake.operators import relations as R
 from blocklake.plans.specs import TableSpec
 from blocklake.sources import layout, sinks
 from blocklake.sources.adapter import Lake, with_lake
+from blocklake.sources.shared import shared_dir
 from blocklake.streaming import stream as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -492,7 +493,7 @@ def chunk_ends(lake):
 @query("SELECT block_number, transaction_index, log_index, address FROM logs WHERE block_number BETWEEN 150 AND 1250", "logs")
 def lake_round_trip(lake):
     """All three tables written in the layout of a lake, and a range of one read back through its catalog."""
-    root = f"{lake.shared()}/lake-{uuid.uuid4().hex}"
+    root = f"{shared_dir(lake.spark)}/lake-{uuid.uuid4().hex}"
     chunks = lake.catalog().withColumn("last_hash", F.lower(F.hex("last_block")))
     by_height = lambda df, height: df.withColumn("chunk", F.floor(F.col(height) / 100).cast("long"))
     specs = {"logs": TableSpec("logs", ("transaction_index", "log_index"), {}, ("address",))}

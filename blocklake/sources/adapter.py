@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EPOCH = "1995-01-01"
-_own: dict[str, str] = {}
 
 
 class Lake:
@@ -20,15 +17,6 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def shared(self) -> str:
-        """A folder that all executors share, for tables that a query writes on its way."""
-        path = self.spark.conf.get("spark.checkpoint.dir", None)
-        if not path:
-            if not self.spark.sparkContext.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir is not set: tables need a folder that all executors share")
-            path = _own[self.spark.sparkContext.applicationId] = _own.get(self.spark.sparkContext.applicationId) or "file://" + tempfile.mkdtemp(prefix="blocklake-")
-        return path.rstrip("/")
-
     @staticmethod
     def _height():
         return F.datediff(F.to_date("o_orderdate"), F.lit(EPOCH).cast("date")).cast("long")
