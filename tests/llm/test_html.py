@@ -1,7 +1,11 @@
+import html as entities
+import os
 import random
+import re
 import time
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from blocklake.llm import html
@@ -177,3 +181,14 @@ def test_ids_of_other_types(spark):
     rows = spark.createDataFrame([(1, "u", "<p>a</p>"), (None, None, None)], "page_id int, url string, html string").withColumn("template", F.lit("clash")).withColumn("subtree", F.lit("clash"))
     assert {(x.page_id, x.text) for x in extract(rows).collect()} == {(1, "a"), (None, "")}
     assert [x.page_id for x in extract(rows.withColumn("page_id", F.lit("x"))).collect()] == ["x", "x"]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the given tables")
+def test_query_on_given_pages(spark):
+    """There an article is what stands between its tags; headings and paragraphs are its blocks."""
+    got = {r.page_id: (r.text, r.n_chars) for r in html.query(spark, "/root/testdata/sf0.001").collect()}
+    for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
+        article = re.search(r"<article>(.*?)(?:</article>|\Z)", r.html or "", re.S)
+        blocks = [" ".join(entities.unescape(re.sub(r"</?b>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:p|h1)>", article[1] if article else "")]
+        want = "\n\n".join(b for b in blocks if b)
+        assert got[r.page_id] == (want, len(want)), r.page_id
