@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from blocklake.llm.decontaminate import decontaminate, matches
 from tests.llm.fixtures import ALNUM, LOWER, corpus, docs
@@ -60,3 +61,14 @@ def test_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert matches(docs(spark, []), none).count() == 0
     assert matches(docs(spark), none).where("size(spans) > 0").count() == 0
+
+
+def test_clashing_columns_and_ids_of_other_types(spark):
+    rows = corpus()
+    table = docs(spark, rows).withColumn("_id", F.lit("own")).withColumn("_th", F.lit("too")).withColumn("doc_id", F.col("doc_id").cast("string"))
+    tests = spark.createDataFrame(items(rows), "item_id long, text string")
+    found = {(r.doc_id, r.th) for r in matches(table, tests).collect() if r.spans}
+    kept = decontaminate(table, tests).collect()
+    assert {(r["_id"], r["_th"]) for r in kept} == {("own", "too")} and found
+    clean = Counter((r.doc_id, r.text) for r in kept)
+    assert clean == Counter((r.doc_id, r.text) for r in table.withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))).collect() if (r.doc_id, r.h) not in found)

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from blocklake.llm import jaccard
 from blocklake.llm.components import connected_components
@@ -64,3 +65,19 @@ def test_components_of_paths_and_stars(spark):
     got = {r.v: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert len({got[i] for i in range(41)}) == 1 and len({got[i] for i in range(100, 130)}) == 1 and got[199] == got[200]
     assert len({got[0], got[100], got[199]}) == 3
+
+
+def test_ids_of_other_types_and_many_unlike_sets_of_one_list(spark):
+    """Ids as text; short sets of all sizes that share a run of words and little else."""
+    r = random.Random(9)
+    rows = [(i, " ".join(["one", "line", "they", "all", "have", *(f"u{i}x{k}" for k in range(i % 23))]), "en", "s", 0) for i in range(160)]
+    rows += [(500 + i, " ".join([*(f"v{k}" for k in range(30)), *(["end"] * (r.random() < 0.5)), f"w{i // 2}"]), "en", "s", 0) for i in range(40)]
+    table = docs(spark, rows).withColumn("doc_id", F.format_string("d%04d", "doc_id"))
+    got = jaccard.jaccard_components(table, n_words=2, percent=70).collect()
+    assert Counter((int(x.doc_id[1:]), x.n_shingles, int(x.component_id[1:])) for x in got) == brute(rows, 2, 70)
+
+
+def test_equal_sets_alone_link_at_a_hundred_percent(spark):
+    rows = [(1, "a b c d e", None, None, 0), (2, "a b c d e", None, None, 0), (3, "a b c d f", None, None, 0), (-(1 << 63), "x y z", None, None, 0), (None, "x y z", None, None, 0)]
+    got = jaccard.jaccard_components(docs(spark, rows), n_words=2, percent=100).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter([(1, 1), (2, 1), (3, 3), (-(1 << 63), -(1 << 63)), (None, -(1 << 63))])

@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from blocklake.llm.quality import quality_rules
 from tests.llm.fixtures import corpus, docs, spaced
 
@@ -36,3 +38,8 @@ def test_empty_table_and_no_python(spark):
     df = quality_rules(docs(spark, []))
     assert df.count() == 0
     assert "Python" not in df._jdf.queryExecution().toString() and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_column_with_our_own_name_stays(spark):
+    got = quality_rules(docs(spark).withColumn("_f", F.lit("own")).withColumn("_F_", F.lit("too")).withColumn("kept", F.lit("replaced"))).collect()
+    assert {(r["_f"], r["_F_"]) for r in got} == {("own", "too")} and all(isinstance(r.kept, bool) for r in got)
