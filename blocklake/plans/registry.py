@@ -14,6 +14,8 @@ from blocklake.operators import audit, predicates, ranges
 from blocklake.operators import budget as B
 from blocklake.operators import ingest as I
 from blocklake.operators import relations as R
+from blocklake.plans import query as build
+from blocklake.plans.chains.evm import MODEL as EVM
 from blocklake.plans.specs import TableSpec
 from blocklake.sources import layout, sinks
 from blocklake.sources.adapter import Lake, with_lake
@@ -280,6 +282,16 @@ def flagship(lake):
     return blocks.select("block_number", F.col("header.day").cast("string").alias("day"), F.array_join("logs", ",").alias("logs"), F.array_join("transactions", ",").alias("transactions"))
 
 
+@query(_FLAGSHIP.split("SELECT number AS block_number")[0] + "SELECT number AS block_number, (SELECT count(*) FROM hit WHERE block_number = number) AS n_logs, (SELECT count(*) FROM tx WHERE block_number = number) AS n_txs FROM shown", "blocks", "txs", "logs")
+def request_blocks(lake):
+    """The flagship as a request: what the builder makes of it, from the model of a chain."""
+    named = lambda df, height: df.withColumns({"hash": F.concat(F.lit("h"), height), "parent_hash": F.concat(F.lit("h"), height - 1)})
+    tables = {"blocks": named(lake.blocks(), F.col("number")), "logs": lake.logs(), "transactions": lake.transactions()}
+    request = {"fromBlock": 100, "toBlock": 2200, "logs": [{"address": [7], "transaction": True}], "fields": {"log": {"topics": True}, "transaction": {"type": True}}}
+    out = build.query(EVM, tables.__getitem__, request)
+    return out.select("block_number", F.size("logs").cast("long").alias("n_logs"), F.size("transactions").cast("long").alias("n_txs"))
+
+
 @query("SELECT number AS block_number, (SELECT count(*) FROM txs WHERE block_number = number AND type = '2-HIGH') AS n_txs, (SELECT count(*) FROM logs WHERE block_number = number AND address = 3) AS n_logs FROM blocks", "blocks", "txs", "logs")
 def assemble_blocks(lake):
     txs = A.collect_items(lake.transactions().where("type = '2-HIGH'"), TX, "transaction_index", "txs")
@@ -501,6 +513,14 @@ def lake_round_trip(lake):
     return layout.read_table(lake.spark, root, "logs", 150, 1250, ["block_number", "transaction_index", "log_index", "address"])
 
 
+@query("SELECT number, CAST(day AS VARCHAR) AS day FROM blocks WHERE number BETWEEN 150 AND 1250", "blocks")
+def raw_round_trip(lake):
+    """Blocks as gzip JSON lines, a folder for each megabyte or so, and a range of them read back."""
+    dest = f"{shared_dir(lake.spark)}/raw-{uuid.uuid4().hex}"
+    sinks.write_raw(lake.blocks().select("number", F.col("day").cast("string").alias("day")), dest, chunk_mb=1)
+    return sinks.read_raw_blocks(lake.spark, dest, "number long, day string", 150, 1250)
+
+
 # ingest and audits
 
 
@@ -551,6 +571,11 @@ def audit_log_links(lake):
     return audit.audit_log_links(lake.logs().withColumn("transaction_hash", F.col("transaction_index").cast("string")), txs).select("block_number", "key")
 
 
+@query("SELECT l.block_number, CAST(l.transaction_index AS VARCHAR) AS key FROM logs l WHERE NOT EXISTS (SELECT 1 FROM txs t WHERE t.status <> 'P' AND t.block_number = l.block_number AND t.transaction_index = l.transaction_index)", "logs", "txs")
+def audit_links(lake):
+    return audit.audit_links(lake.logs(), lake.transactions().where("status <> 'P'"), ["transaction_index"]).select("block_number", "key")
+
+
 @query("SELECT block_number, CAST(transaction_index AS VARCHAR) AS key FROM txs WHERE status = 'P'", "txs")
 def audit_missing_type(lake):
     return audit.audit_missing(lake.transactions().withColumn("type", F.when(F.col("status") != "P", F.col("type"))), "type", "transaction_index").select("block_number", "key")

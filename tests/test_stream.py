@@ -43,3 +43,10 @@ def test_repeats_resume_and_ingest(spark, tmp_path):
     assert sorted(r.number for r in drain(S.resume(stream, 3), "resumed", tmp_path)) == [3]
     S.ingest_stream(stream, f"{tmp_path}/ck", lambda df: ingest.flatten_blocks(df, {"transactions": "transactions"}), f"{tmp_path}/out").awaitTermination()
     assert sorted(r.hash for r in spark.read.parquet(f"{tmp_path}/out/transactions").collect()) == ["t1", "t2", "t2", "t3"]
+
+
+def test_finality_of_batches(spark):
+    df = spark.createDataFrame([("a", n) for n in range(8)] + [("b", n) for n in range(3)], "chain string, number long")
+    assert sorted(r.number for r in S.finalized(df.where("chain = 'a'"), 5).collect()) == [0, 1, 2]
+    assert sorted((r.chain, r.number) for r in S.finalized(df, 2, "chain").collect()) == [*[("a", n) for n in range(6)], ("b", 0)]
+    assert "Cartesian" not in S.finalized(df, 5)._jdf.queryExecution().executedPlan().toString()
