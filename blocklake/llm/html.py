@@ -1,7 +1,9 @@
 """HTML extraction with site template removal.
 
 Pass one hashes the block element subtrees of every page and Spark counts, per host, the different pages that have each: pages
-of the same text count once. Subtrees on many pages of their host are the site's template. Pass two reads each page again,
+of the same text count once. Subtrees on many pages of their host are the site's template, if they are built as one: most of their
+text in links, or paragraphs in a container. Headings, quotations, lists, tables and paragraphs that recur are an article's as well,
+so they go only where nothing but template stands before or after them, and never from an article. Pass two reads each page again,
 deletes those subtrees and what its markup names as no article (menus, headers, footers, adverts, forms, comments), and joins the
 blocks that are left. Where a page marks its article (``article``, ``main``), it is that part, unless most text stands elsewhere.
 
@@ -26,8 +28,8 @@ from pyspark.sql import types as T
 from blocklake.llm.common import stored, table
 
 #: A subtree is template if it is on at least so many different pages of its host, whatever the host's size: outside article
-#: and main elements, and within them (containers alone: a paragraph or heading there is never template). Within them, pages
-#: whose article begins alike are one page, so that near copies of a story do not make its parts template.
+#: and main elements, and within them. Within them, pages whose article begins alike are one page, so that near copies of a story
+#: do not make its parts template.
 MIN_PAGES, MIN_INSIDE = 4, 10
 #: Up to so many template subtrees (8 bytes each, and their host), of hosts or of pages, are sent to all tasks; more meet pages by a shuffle.
 MOST_SENT = 200_000
@@ -35,7 +37,12 @@ MOST_SENT = 200_000
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea noscript template iframe svg math canvas object video audio".split())
-CONTAINER = set("div section ul ol table aside figure dl details fieldset".split())
+CONTAINER = set("div section aside fieldset center".split())
+#: Elements whose text is as good as an article's own, unless most of it is links.
+OWN_PARTS = set("h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure details".split())
+SUBHEADING = set("h2 h3 h4 h5 h6".split())
+#: Where a template may take an element away: nowhere, at the end of a page, at its beginning or end, anywhere.
+NOWHERE, END, EDGE, ANYWHERE = range(4)
 #: Elements and roles that are never article text.
 NO_TEXT = set("nav footer aside button dialog menu head label select".split())
 NO_ROLE = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
@@ -101,13 +108,13 @@ def _digest(parts: Iterable[str]) -> int:
 
 
 class Element(NamedTuple):
-    """An element whose fate is open: blocks ``first`` to ``last`` (excluded), hash of tags and texts, verdict, whether a template may be it."""
+    """An element whose fate is open: blocks ``first`` to ``last`` (excluded), hash of tags and texts, verdict, where a template may be it."""
 
     first: int
     last: int
     subtree: int
     said: int
-    candidate: bool
+    where: int
 
 
 class Page(NamedTuple):
@@ -117,10 +124,20 @@ class Page(NamedTuple):
 
 
 class _Open:
-    __slots__ = ("first", "holds", "inside", "parts", "said", "skipped", "tag")
+    __slots__ = ("first", "holds", "inside", "links", "own", "parts", "said", "size", "skipped", "subheadings", "tag")
 
     def __init__(self, tag: str, skipped: bool, inside: bool, first: int, parts: list[str], said: int):
         self.tag, self.skipped, self.inside, self.first, self.parts, self.said, self.holds = tag, skipped, inside, first, parts, said, False
+        self.size = self.links = self.own = self.subheadings = 0  # characters in it, and those in such elements, itself included
+
+
+def _where(tag: str, inside: bool, size: int, links: int, own: int, subheadings: int) -> int:
+    """Where a template may be an element of ``size`` characters, of which so many stand in links, own parts, headings below the first."""
+    if 2 * links >= size or tag in CONTAINER and own < size:
+        return ANYWHERE
+    if inside:
+        return NOWHERE
+    return END if subheadings == size else EDGE
 
 
 def parse(page: str) -> Page:
@@ -152,15 +169,23 @@ def parse(page: str) -> Page:
         stack.pop()
         depth[top.tag].pop()
         up = stack[-1]
+        if top.tag == "a":
+            top.links = top.size
+        if top.tag in OWN_PARTS:
+            top.own = top.size
+        if top.tag in SUBHEADING:
+            top.subheadings = top.size
+        up.size, up.links, up.own, up.subheadings = up.size + top.size, up.links + top.links, up.own + top.own, up.subheadings + top.subheadings
         marked = top.tag in ("article", "main") and not top.skipped
         up.holds |= top.holds or marked and top.said == STAYS
         if top.tag in BLOCK and not top.skipped:
             subtree = _digest(top.parts)
             up.parts.append(f"<{subtree}>")
             if len(blocks) > top.first:
-                candidate = not top.holds and not marked and top.tag not in ("html", "body") and (not top.inside or top.tag in CONTAINER)
-                if candidate or top.said:
-                    elements.append(Element(top.first, len(blocks), ~subtree if top.inside else subtree, top.said, candidate))
+                whole = top.holds or marked or top.tag in ("html", "body")
+                where = NOWHERE if whole else _where(top.tag, top.inside, top.size, top.links, top.own, top.subheadings)
+                if where or top.said:
+                    elements.append(Element(top.first, len(blocks), ~subtree if top.inside else subtree, top.said, where))
 
     def close_to(k: int) -> None:
         while len(stack) > k:
@@ -173,6 +198,7 @@ def parse(page: str) -> Page:
             piece = " ".join(piece.split())
             if piece:
                 stack[-1].parts.append(piece)
+                stack[-1].size += len(piece)
 
     innermost = lambda tags: max((depth[t][-1] for t in tags if depth.get(t)), default=-1)
     at, size, quoted = 0, len(page), True
@@ -244,11 +270,24 @@ def main_text(page: Page, template: set[int] | frozenset[int] = frozenset()) ->
     n = len(page.blocks)
     upto = [0, *accumulate(map(len, page.blocks))]
     cover = [0] * (n + 1)
+    begins: dict[int, int] = {}
+    ends: dict[int, int] = {}
     for e in page.elements:
-        if e.candidate and e.subtree in template or e.said == GOES_UNLESS_MOST and 2 * (upto[e.last] - upto[e.first]) <= upto[n]:
+        recurs = e.where and e.subtree in template
+        if recurs and e.where == ANYWHERE or e.said == GOES_UNLESS_MOST and 2 * (upto[e.last] - upto[e.first]) <= upto[n]:
             cover[e.first] += 1
             cover[e.last] -= 1
-    left = [k for k, over in zip(range(n), accumulate(cover)) if not over]
+        elif recurs:
+            ends[e.last] = min(e.first, ends.get(e.last, n))
+            if e.where == EDGE:
+                begins[e.first] = max(e.last, begins.get(e.first, 0))
+    gone = [over > 0 for over in accumulate(cover)]
+    first, last = 0, n
+    while first < n and (gone[first] or first in begins):
+        first = first + 1 if gone[first] else begins[first]
+    while last > first and (gone[last - 1] or last in ends):
+        last = last - 1 if gone[last - 1] else ends[last]
+    left = [k for k in range(first, last) if not gone[k]]
     marked = [k for k in left if page.inside[k]]
     mass = lambda ks: sum(len(page.blocks[k]) for k in ks)
     # a teaser marked as article beside an unmarked story is not the article
@@ -264,7 +303,7 @@ def candidates(page: Page) -> set[tuple[int, int, bool]]:
     lead = next((k for k, x in enumerate(page.inside) if x), 0)
     out = set()
     for e in page.elements:
-        if e.candidate:
+        if e.where:
             if page.inside[e.first]:
                 k = lead if not e.first <= lead < e.last else e.last
                 out.add((e.subtree, _digest(page.blocks[k : k + 1]), True))

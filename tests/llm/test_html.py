@@ -1,3 +1,4 @@
+import copy
 import html as entities
 import os
 import random
@@ -77,6 +78,30 @@ def test_templates_do_not_depend_on_the_size_of_the_host(spark):
     assert text[2000] == "Story 2000\n\nBox inside articles" and all(text[3000 + i] == f"Story {3000 + i}" for i in range(240))
 
 
+def test_own_parts_that_recur_stay(spark):
+    quote = "<blockquote>A saying that the host likes to quote</blockquote>"
+    rows = [(i, "https://q.example/", f"<h1>Title {i}</h1><h2>Introduction</h2><p>Own paragraph {i}</p>{quote}<p>Own end {i}</p>", None) for i in range(5)]
+    rows += [(100 + i, "https://l.example/", f"<article><p>Story {i}</p><ul><li>Yes</li><li>No</li></ul>{'<p>End</p>' * (i % 2)}</article>", None) for i in range(12)]
+    rows += [(200 + i, "https://w.example/", f"<h2>Introduction</h2><p>Words {i}</p><div><h2>Results</h2></div><div><ul><li>Yes<li>No</ul></div><p>More {i}</p><h2>See also</h2>", None) for i in range(8)]
+    rows += [(300 + i, "https://t.example/", f"<h1>The site</h1><p>Hello</p><p>Text {i}</p><ul><li>One<li>Two</ul><table><tr><td>x</table><pre>y</pre><p>Tail {i}</p><ul><li>Imprint</ul><p>2024</p>", None) for i in range(8)]
+    text = {r.page_id: r.text.split("\n\n") for r in extract(spark.createDataFrame(rows, PAGE)).collect()}
+    for i in range(5):
+        assert text[i] == [f"Title {i}", "Introduction", f"Own paragraph {i}", "A saying that the host likes to quote", f"Own end {i}"]
+    for i in range(12):
+        assert text[100 + i] == [f"Story {i}", "Yes", "No", *["End"] * (i % 2)]
+    for i in range(8):
+        assert text[200 + i] == ["Introduction", f"Words {i}", "Results", "Yes", "No", f"More {i}"]
+        assert text[300 + i] == [f"Text {i}", "One", "Two", "x", "y", f"Tail {i}"]
+
+
+def test_links_and_boxes_that_recur_go(spark):
+    menu, box = '<ul><li><a href="/a">News</a><li><a href="/b">Sport</a> all</ul>', "<div><h3>Letter</h3><p>Get our letter</p></div>"
+    rows = [(i, "https://m.example/", f"{menu}<p>Text {i}</p>{box}<p>More {i}</p>{menu}<p>End {i}</p>", None) for i in range(4)]
+    rows += [(100 + i, "https://n.example/", f"<main><p>Story {i}</p>{menu}<p>Mid {i}</p>{box}<p>End {i}</p></main>", None) for i in range(10)]
+    text = {r.page_id: r.text.split("\n\n") for r in extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert all(text[i] == [f"Text {i}", f"More {i}", f"End {i}"] for i in range(4)) and all(text[100 + i] == [f"Story {i}", f"Mid {i}", f"End {i}"] for i in range(10))
+
+
 def test_empty(spark):
     assert extract(spark.createDataFrame([], PAGE)).select(F.col("text")).count() == 0
 
@@ -108,7 +133,7 @@ def tree(r, depth, shared):
     if depth == 0 or r.random() < 0.2:
         return ("p", "", [f"Own {r.randrange(10**6)} words {r.randrange(9)}"])
     tag, attributes = r.choice([("div", ""), ("section", ""), ("nav", ""), ("div", ' class="ad"'), ("ul", ""), ("div", ' class="share-links"'), ("aside", ""), ("div", ' id="x1"')])
-    children = [r.choice(shared) if r.random() < 0.35 else tree(r, depth - 1, shared) for _ in range(r.randrange(1, 4))]
+    children = [copy.deepcopy(r.choice(shared)) if r.random() < 0.35 else tree(r, depth - 1, shared) for _ in range(r.randrange(1, 4))]
     return (tag, attributes, children)
 
 
@@ -121,6 +146,22 @@ def shape(node):
     return (node[0], tuple(c if isinstance(c, str) else shape(c) for c in node[2]))
 
 
+OWN = {"h1", "ul"}
+
+
+def where(node, inside):
+    """The rule for trees without links and lower headings: containers anywhere if not all text is in own parts, the rest at edges outside."""
+    def size(x, own):
+        return sum((len(c) if own or x[0] in OWN or measure else 0) if isinstance(c, str) else size(c, own or x[0] in OWN) for c in x[2])
+
+    measure = True
+    whole = size(node, False)
+    measure = False
+    if node[0] in html.CONTAINER and size(node, False) < whole:
+        return html.ANYWHERE
+    return html.NOWHERE if inside else html.EDGE
+
+
 def walk(node, inside, dead, found):
     """Blocks ``text, inside, the elements around``, from the tree itself."""
     tag, attributes, children = node
@@ -153,7 +194,7 @@ def test_against_the_tree(spark):
         plain.append(blocks)
         for node, inside, dead in found:
             own = [i for i, b in enumerate(blocks) if any(x is node for x in b[2])]
-            if dead or not own or node[0] in ("body", "article") or holds_article(node) or inside and node[0] not in html.CONTAINER:
+            if dead or not own or node[0] in ("body", "article") or holds_article(node) or not where(node, inside):
                 continue
             lead = next((i for i, b in enumerate(blocks) if b[1]), 0)
             lead = lead if lead not in own else own[-1] + 1
@@ -163,12 +204,25 @@ def test_against_the_tree(spark):
     want, untouched = {}, 0
     for k, blocks in enumerate(plain):
         total = sum(len(b[0]) for b in blocks)
-        left = []
-        for text, inside, around in blocks:
-            gone = any((k % 3, in_article, shape(n)) in template for i, n in enumerate(around) for in_article in [any(x[0] == "article" for x in around[: i + 1])] if n[0] not in ("body", "article") and not holds_article(n) and (not in_article or n[0] in html.CONTAINER))
+        left, edges = [], set()
+        for at, (text, inside, around) in enumerate(blocks):
+            of = [(n, in_article) for i, n in enumerate(around) for in_article in [any(x[0] == "article" for x in around[: i + 1])] if n[0] not in ("body", "article") and not holds_article(n) and (k % 3, in_article, shape(n)) in template]
+            gone = any(where(n, i) == html.ANYWHERE for n, i in of)
             small = any("share" in n[1] and 2 * sum(len(b[0]) for b in blocks if any(x is n for x in b[2])) <= total for n in around)
-            if not gone and not small:
-                left.append((text, inside))
+            edges |= {tuple(j for j, b in enumerate(blocks) if any(x is n for x in b[2])) for n, i in of if where(n, i) == html.EDGE}
+            left.append(None if gone or small else (text, inside))
+        for step in (1, -1):  # from both ends, what recurs there
+            rest = list(range(len(blocks)))[::step]
+            while rest:
+                if left[rest[0]] is None:
+                    rest = rest[1:]
+                    continue
+                here = max((e for e in edges if (e[0] if step == 1 else e[-1]) == rest[0]), key=len, default=())
+                if not here:
+                    break
+                for j in here:
+                    left[j] = None
+        left = [x for x in left if x]
         marked = [t for t, i in left if i]
         whole = [t for t, _ in left]
         want[k] = "\n\n".join(marked if marked and 4 * sum(map(len, marked)) >= sum(map(len, whole)) else whole)
