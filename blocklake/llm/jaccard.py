@@ -7,6 +7,10 @@ common shingles within prefixes whose length follows from their sizes, so
 * light (small) sets enumerate the subsets of two shingles of their prefix, and meet sets with an equal subset;
 * heavy (large) sets are entered in inverted lists under each single shingle of their prefix, which are then scanned.
 
+Of two sets that link, the smaller one has those shingles within a prefix of half the length (its index prefix): it shares at
+least as many as two sets of its own size need. So a list's pairs are its members with those that stand in it by their index
+prefix, and a list without such members is none: texts that share a template but are just too unlike meet in no list.
+
 The size at the boundary is the one of the least estimated cost. Lists are never expanded into all pairs. First, each
 set is compared with the most central set of its lists (a star), which settles dense groups of copies in one step each;
 then, within a list, only sets of different components meet. Pairs are held against their prefixes, then compared in
@@ -87,11 +91,23 @@ def least_size(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
+def _identity(token: np.ndarray, bounds: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each set of tokens."""
+    out = []
+    for salt in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)):
+        sums = np.r_[np.uint64(0), np.cumsum(mixed(token + salt))]
+        out.append(mixed((sums[bounds[1:]] - sums[bounds[:-1]]) ^ (n.astype(np.uint64) << np.uint64(40))))
+    return out[0], out[1]
+
+
 def _sets(n_words: int, percent: int, sent, full: bool):
-    """``doc_id, id, th, sid, n, prefix`` of every text, or (full) ``sid, tokens`` of texts."""
+    """``doc_id, id, th, sid, other, n, prefix`` of every text, or (full) ``sid, tokens`` of texts.
+
+    ``sid`` tells sets apart, ``other`` is a second hash of the set; a ``sid`` that unlike sets are known to share is mixed with it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, level = sent.value
+        common, level, shared = sent.value
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             ids, ths = batch.column("id").to_numpy(), batch.column("th").to_numpy()
@@ -99,8 +115,10 @@ def _sets(n_words: int, percent: int, sent, full: bool):
                 text, h = shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], n_words)
                 token, bounds = _distinct(text, placed(h, common, level), b - a)
                 n = np.diff(bounds)
-                sums = np.r_[np.uint64(0), np.cumsum(mixed(token + np.uint64(0x9E3779B97F4A7C15)))]
-                sid = mixed((sums[bounds[1:]] - sums[bounds[:-1]]) ^ (n.astype(np.uint64) << np.uint64(40))).view(np.int64)
+                sid, other = _identity(token, bounds, n)
+                for again in shared:
+                    sid = np.where(np.isin(sid, again), mixed(sid + mixed(other.copy())), sid)
+                sid, other = sid.view(np.int64), other.view(np.int64)
                 if full:
                     lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(token.view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.array(sid), lists], ["sid", "tokens"])
@@ -110,7 +128,7 @@ def _sets(n_words: int, percent: int, sent, full: bool):
                 pick = np.arange(at[-1]) - np.repeat(at[:-1], length) + np.repeat(bounds[:-1], length)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(token[pick].view(np.int64)))
                 own = batch.column("doc_id").slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([own, pa.array(ids[a:b]), pa.array(ths[a:b]), pa.array(sid, mask=n == 0), pa.array(n.astype(np.int32)), lists], ["doc_id", "id", "th", "sid", "n", "prefix"])
+                yield pa.RecordBatch.from_arrays([own, pa.array(ids[a:b]), pa.array(ths[a:b]), pa.array(sid, mask=n == 0), pa.array(other), pa.array(n.astype(np.int32)), lists], ["doc_id", "id", "th", "sid", "other", "n", "prefix"])
 
     return run
 
@@ -139,14 +157,17 @@ def choose_boundary(sets: DataFrame, percent: int) -> int:
 
 
 def _keys(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """``key, sid, n, pos``: where a set meets others. ``pos`` is the place of the key's first shingle in the set."""
+    """``key, sid, n, pos, short``: where a set meets others. ``pos`` is the place of the key's first shingle in the set;
+    ``short`` says that all its shingles stand in the index prefix."""
     need = lambda n: F.ceil(n * percent / F.lit(100))
-    single = F.transform(F.slice("prefix", 1, (F.col("n") - need(F.col("n")) + 1).cast("int")), lambda t, i: F.struct(F.xxhash64(F.lit(1), t).alias("key"), i.alias("pos")))
-    pairs = F.flatten(F.transform("prefix", lambda t, i: F.transform(F.slice(F.col("prefix"), i + 2, F.size("prefix")), lambda u: F.struct(F.xxhash64(F.lit(2), t, u).alias("key"), i.alias("pos")))))
+    index = F.col("n") - shared_needed(F.col("n"), F.col("n"), percent) + 1  # a pair's second shingle may stand one further on
+    kinds = "array<struct<key:bigint,pos:int,short:boolean>>"
+    single = F.transform(F.slice("prefix", 1, (F.col("n") - need(F.col("n")) + 1).cast("int")), lambda t, i: F.struct(F.xxhash64(F.lit(1), t).alias("key"), i.alias("pos"), (i < index).alias("short")))
+    pairs = F.flatten(F.transform("prefix", lambda t, i: F.transform(F.slice(F.col("prefix"), i + 2, F.size("prefix")), lambda u, k: F.struct(F.xxhash64(F.lit(2), t, u).alias("key"), i.alias("pos"), (i + 1 + k <= index).alias("short")))))
     # sets just above the boundary also meet lighter ones, which only have subsets
-    light = F.when((F.col("n") > 1) & (F.col("n") <= F.floor(F.lit(boundary) * 100 / F.lit(percent))), pairs).otherwise(F.array().cast("array<struct<key:bigint,pos:int>>"))
-    heavy = F.when(F.col("n") > boundary, single).otherwise(F.array().cast("array<struct<key:bigint,pos:int>>"))
-    return sets.select("sid", "n", F.explode(F.concat(light, heavy)).alias("k")).select("k.key", "sid", "n", "k.pos")
+    light = F.when((F.col("n") > 1) & (F.col("n") <= F.floor(F.lit(boundary) * 100 / F.lit(percent))), pairs).otherwise(F.array().cast(kinds))
+    heavy = F.when(F.col("n") > boundary, single).otherwise(F.array().cast(kinds))
+    return sets.select("sid", "n", F.explode(F.concat(light, heavy)).alias("k")).select("k.key", "sid", "n", "k.pos", "k.short")
 
 
 def shared_needed(a: Column, b: Column, percent: int) -> Column:
@@ -176,15 +197,20 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
     common = counted.orderBy(F.desc("n"), "token").limit(MOST_COMMON).toArrow()  # of bounded size
     token, level = common["token"].to_numpy().view(np.uint64), (1 + np.log2(common["n"].to_numpy().astype(np.float64) + 1)).astype(np.uint8)
     order = np.argsort(token)
-    sent = spark.sparkContext.broadcast((token[order], level[order]))
-
-    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("id long, th long, sid long, n int, prefix array<long>").fields])
-    sets = stored(rows.mapInArrow(_sets(n_words, percent, sent, False), schema), "sets")
-    distinct = stored(sets.where("sid is not null").groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "distinct")
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("id long, th long, sid long, other long, n int, prefix array<long>").fields])
+    shared: list[np.ndarray] = []
+    while True:
+        sent = spark.sparkContext.broadcast((token[order], level[order], shared))
+        sets = stored(rows.mapInArrow(_sets(n_words, percent, sent, False), schema), "sets")
+        distinct = stored(sets.where("sid is not null").groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), (F.min("other") != F.max("other")).alias("unlike")), "distinct")
+        unlike = distinct.where("unlike").select("sid").orderBy("sid").toArrow()["sid"].to_numpy()  # a few at 10^10 sets, by chance
+        if not len(unlike):
+            break
+        shared.append(unlike.view(np.uint64))
     boundary = choose_boundary(distinct, percent)
     # the lists, without those of one set; a list that holds a great part of the rows is split among tasks
     keys = _keys(distinct, boundary, percent)
-    sizes = stored(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "list-sizes")
+    sizes = stored(keys.groupBy("key").agg(F.count("*").alias("size"), F.count_if("short").alias("shorts")).where("size > 1 and shorts > 0").drop("shorts"), "list-sizes")
     lists = stored(keys.join(sizes, "key"), "lists")
     prefixes = distinct.join(lists.select("sid").distinct(), "sid", "left_semi")
 
@@ -224,14 +250,17 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
     labelled = lists.join(roots.select(F.col("v").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     parts = labelled.groupBy("key", "root").agg(F.count("*").alias("m"))
     largest = parts.groupBy("key").agg(F.max(F.struct("m", "root"))["root"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_lists = stored(labelled.join(largest.select("key", "main"), "key").select("key", "sid", "n", "pos", "root", (F.col("root") == F.col("main")).alias("in_main")), "open")
+    open_lists = stored(labelled.join(largest.select("key", "main"), "key").select("key", "sid", "n", "pos", "short", "root", (F.col("root") == F.col("main")).alias("in_main")), "open")
     # sets that link have sizes of one class or of the next: a list is met in stretches of sizes, not whole
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / min(percent, 99))) + 1e-9)
-    near = F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("class")
-    x = open_lists.where(~F.col("in_main")).select(F.col("key").alias("k"), F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"), near)
-    y = open_lists.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"), "in_main", size_class.alias("of"))
-    meets = (F.col("k") == F.col("key")) & (F.col("class") == F.col("of")) & (F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _compatible(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)
-    pairs = x.join(y, meets).select("a", "b").distinct()
+    near = F.explode(F.array(size_class - 1, size_class)).alias("class")
+    # the larger set of a pair (of equals that of the greater number) meets what the smaller one has by its index prefix
+    x = open_lists.select(F.col("key").alias("k"), F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"), F.col("in_main").alias("main"), near)
+    y = open_lists.where("short").select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"), "in_main", size_class.alias("of"))
+    larger = (F.col("na") > F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") > F.col("b"))
+    meets = (F.col("k") == F.col("key")) & (F.col("class") == F.col("of")) & larger & (F.col("ra") != F.col("rb")) & _compatible(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)
+    # two members of the list's largest component never meet
+    pairs = x.where("not main").join(y, meets).select("a", "b").unionAll(x.where("main").join(y.where("not in_main"), meets).select("a", "b")).distinct()
     more = verified(pairs)
     roots = connected_components(links.unionByName(more))
 

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +82,27 @@ def test_equal_sets_alone_link_at_a_hundred_percent(spark):
     rows = [(1, "a b c d e", None, None, 0), (2, "a b c d e", None, None, 0), (3, "a b c d f", None, None, 0), (-(1 << 63), "x y z", None, None, 0), (None, "x y z", None, None, 0)]
     got = jaccard.jaccard_components(docs(spark, rows), n_words=2, percent=100).collect()
     assert Counter((r.doc_id, r.component_id) for r in got) == Counter([(1, 1), (2, 1), (3, 3), (-(1 << 63), -(1 << 63)), (None, -(1 << 63))])
+
+
+def test_unlike_sets_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    whole = jaccard._identity
+    monkeypatch.setattr(jaccard, "_identity", lambda *a: (whole(*a)[0] % np.uint64(7), whole(*a)[1]))
+    rows = [*corpus(), *near(3, 20, 40, 8)]
+    got = jaccard.jaccard_components(docs(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 4, 85)
+
+
+@pytest.mark.parametrize("boundary", [1, 10_000])
+def test_texts_of_one_template_that_are_just_too_unlike_meet_in_no_list(spark, monkeypatch, boundary):
+    """Similarity 0.81 throughout but for a few pairs: what the lists hold grows with the texts, not with their pairs."""
+    monkeypatch.setattr(jaccard, "choose_boundary", lambda *_: boundary)
+    monkeypatch.setattr(jaccard, "COMMON", 6)
+    template = [f"t{k}" for k in range(90)]
+    rows = [(i, " ".join(template + [f"o{i}x{k}" for k in range(10)]), None, None, 0) for i in range(150)]
+    rows += [(200 + i, " ".join(template + [f"o{i}x{k}" for k in range(8)] + ["y", "z"]), None, None, 0) for i in range(3)]
+    written = {}
+    keep = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: written.setdefault(name, keep(df, name)))
+    got = jaccard.jaccard_components(docs(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 4, 85)
+    assert written["lists"].count() < 1000 and written["near"].count() < 100
