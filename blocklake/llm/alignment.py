@@ -8,7 +8,7 @@ blocks by pair. The counts then go back along the same postings: every plane add
 block, so no text is encoded twice and no document's pairs are sent one by one.
 
 Encoding works on units: a text is cut at single spaces between signs that are no white space, where neither tokenizer can
-join what stands on both sides. Each different unit of a block is encoded and aligned once. Texts with a unit that does not
+join what stands on both sides. A task encodes and aligns a unit once. Texts with a unit that does not
 come back byte for byte are encoded whole, so that units decide cost only.
 """
 
@@ -19,7 +19,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -36,6 +36,8 @@ TOKENIZERS = "/opt/tokenizers"
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: A block's texts have about so many bytes (one longer text is a block), and it has at most so many documents (16-bit numbers).
 BLOCK_BYTES, BLOCK_DOCS = 4 << 20, 1 << 16
+#: Units whose alignment a task keeps from block to block.
+MOST_KNOWN = 500_000
 #: Units that are handed to the tokenizers at a time.
 AT_ONCE = 8192
 
@@ -129,16 +131,18 @@ def aligned_units(coder: Coder, units: list[str]) -> Units:
     n_a, n_b = np.where(ok, np.diff(at_a), 0), np.where(ok, np.diff(at_b), 0)
     a, b = a[np.repeat(ok, np.diff(at_a))], b[np.repeat(ok, np.diff(at_b))]
     end_a, end_b = np.cumsum(coder.size_a[a]), np.cumsum(coder.size_b[b])
-    ends = np.union1d(end_a, end_b)  # a link ends at each: the tokens that hold its last byte
+    line = np.sort(np.r_[end_a, end_b], kind="stable")
+    again = np.r_[False, line[1:] == line[:-1]]
+    ends, both = line[~again], line[again]  # a link ends at each end of either: the tokens that hold its last byte
     link_a, link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-    both = np.intersect1d(end_a, end_b)
     unit_end = np.r_[0, end_a][np.r_[0, np.cumsum(n_a)]]
     n_groups = np.diff(np.searchsorted(both, unit_end, "right"))
     link_at = np.searchsorted(ends, unit_end, "right")
     counts = np.stack([n_a, n_b, n_groups, np.diff(link_at)])
     # groups as text: A ids, then B ids of a group, each with the sign that follows
-    last_a, last_b = np.isin(end_a, both, assume_unique=True), np.isin(end_b, both, assume_unique=True)
-    order = np.argsort(np.r_[2 * np.searchsorted(both, end_a), 2 * np.searchsorted(both, end_b) + 1], kind="stable")
+    group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
+    last_a, last_b = both[group_a] == end_a, both[group_b] == end_b
+    order = np.argsort(np.r_[2 * group_a, 2 * group_b + 1], kind="stable")
     written = [*map(coder.text_a.__getitem__, (2 * a + last_a).tolist()), *map(coder.text_b.__getitem__, (2 * b + last_b).tolist())]
     written = [written[k] for k in order.tolist()]
     size = np.fromiter(map(len, written), np.int64, len(written))
@@ -168,19 +172,39 @@ def _summed(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return key[first], np.add.reduceat(value, first) if len(first) else value
 
 
-def aligned(coder: Coder, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+def _joined(x: Units, y: Units) -> Units:
+    return Units(np.r_[x.ok, y.ok], np.concatenate([x.counts, y.counts], axis=1), x.groups + y.groups, np.r_[x.pair, y.pair], np.r_[x.times, y.times], np.r_[x.bounds[:-1], y.bounds + x.bounds[-1]])
+
+
+class Known:
+    """Units that a task has aligned, up to MOST_KNOWN at the start of a block; then it begins anew."""
+
+    def __init__(self, coder: Coder):
+        self.coder, self.codes, self.units = coder, {}, None
+
+    def number(self, texts: list[str | None]) -> list[list[int]]:
+        """Units of each text, by number; those that are new are aligned."""
+        if len(self.codes) > MOST_KNOWN:
+            self.codes, self.units = {}, None
+        codes, before = self.codes, len(self.codes)
+        number = [[codes.setdefault(u, len(codes)) for u in self.coder.split(t)] if t else [] for t in texts]
+        fresh = aligned_units(self.coder, list(islice(codes, before, None)))
+        self.units = fresh if self.units is None else _joined(self.units, fresh)
+        return number
+
+
+def aligned(coder: Coder, texts: list[str | None], known: Known) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Of a block of texts: counts and digest of each, and its pairs as ``pair, doc, times`` in this order."""
-    codes: dict[str, int] = {}
-    number = [[codes.setdefault(u, len(codes)) for u in coder.split(t)] if t else [] for t in texts]
-    units = aligned_units(coder, list(codes))
+    number = known.number(texts)
+    units, n_units = known.units, len(known.codes)
     unit, bounds = _flat(number)
     doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
     bad = np.unique(doc[~units.ok[unit]])
     if len(bad):  # whole texts instead; where they do not come back either, the document has no tokens
         again = aligned_units(coder, [texts[d] for d in bad])
-        units = Units(np.r_[units.ok, again.ok], np.concatenate([units.counts, again.counts], axis=1), units.groups + again.groups, np.r_[units.pair, again.pair], np.r_[units.times, again.times], np.r_[units.bounds[:-1], again.bounds + units.bounds[-1]])
+        units = _joined(units, again)
         keep = ~np.isin(doc, bad)
-        unit, doc = np.r_[unit[keep], np.arange(len(bad))[again.ok] + len(codes)], np.r_[doc[keep], bad[again.ok]]
+        unit, doc = np.r_[unit[keep], np.arange(len(bad))[again.ok] + n_units], np.r_[doc[keep], bad[again.ok]]
         order = np.argsort(doc, kind="stable")
         unit, doc = unit[order], doc[order]
         bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -192,9 +216,8 @@ def aligned(coder: Coder, texts: list[str | None]) -> tuple[np.ndarray, list[str
     key, many = _summed(doc * len(units.ok) + unit, np.ones(len(unit), np.int64))
     doc, unit = key // len(units.ok) if len(key) else key, key % len(units.ok) if len(key) else key
     place, row = _spans(units.bounds, unit)
-    pairs, local = np.unique(units.pair, return_inverse=True)
-    key, times = _summed(local[place] * len(texts) + doc[row], units.times[place] * many[row])
-    return counts, digests, pairs[key // max(1, len(texts))] if len(key) else key, key % max(1, len(texts)), times
+    key, times = _summed(units.pair[place] * len(texts) + doc[row], units.times[place] * many[row])
+    return counts, digests, key // max(1, len(texts)), key % max(1, len(texts)), times
 
 
 def packed(row: np.ndarray, doc: np.ndarray, n_rows: int, size: int) -> pa.Array:
@@ -254,11 +277,11 @@ def _index(sent, schema: pa.Schema):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(*sent.value)
-        block, held, size = TaskContext.get().partitionId() << 32, [], 0
+        known, block, held, size = Known(coder), TaskContext.get().partitionId() << 32, [], 0
 
         def made() -> Iterator[pa.RecordBatch]:
             ids, texts = pa.concat_arrays([x[0] for x in held]), list(chain.from_iterable(x[1] for x in held))
-            counts, digests, pair, doc, times = aligned(coder, texts)
+            counts, digests, pair, doc, times = aligned(coder, texts, known)
             postings = planes(pair, doc, times, len(texts), len(coder.bytes_b))
             own = {"doc_id": ids, "ord": pa.array(np.arange(len(texts), dtype=np.int32)), "groups_sha256": pa.array(digests, pa.string())} | {c: pa.array(x) for c, x in zip(_COUNTS, counts, strict=True)}
             yield from rows(own, len(texts))

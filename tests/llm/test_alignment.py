@@ -72,6 +72,7 @@ def texts():
 def test_align_against_brute_force(spark, monkeypatch, coders, block_bytes, block_docs):
     monkeypatch.setattr(alignment, "BLOCK_BYTES", block_bytes)
     monkeypatch.setattr(alignment, "BLOCK_DOCS", block_docs)
+    monkeypatch.setattr(alignment, "MOST_KNOWN", 300)  # several beginnings anew in a task
     rows = [*[(r[0], r[1]) for r in corpus()], *[(1000 + i, t) for i, t in enumerate(texts())]]
     table = docs(spark, [(*r, None, None, None) for r in rows]).repartition(3).withColumn("block", F.lit("own")).withColumn("n", F.lit(1)).withColumn("docs", F.lit(1))
     got = alignment.align(table)
