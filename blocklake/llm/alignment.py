@@ -132,7 +132,8 @@ def aligned_units(coder: Coder, units: list[str]) -> Units:
     a, b = a[np.repeat(ok, np.diff(at_a))], b[np.repeat(ok, np.diff(at_b))]
     end_a, end_b = np.cumsum(coder.size_a[a]), np.cumsum(coder.size_b[b])
     line = np.sort(np.r_[end_a, end_b], kind="stable")
-    again = np.r_[False, line[1:] == line[:-1]]
+    again = np.zeros(len(line), bool)
+    again[1:] = line[1:] == line[:-1]
     ends, both = line[~again], line[again]  # a link ends at each end of either: the tokens that hold its last byte
     link_a, link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
     unit_end = np.r_[0, end_a][np.r_[0, np.cumsum(n_a)]]
