@@ -5,8 +5,9 @@ binary-searches every test suffix of the benchmark in it. Suffixes that cannot m
 whose run of words known to the benchmark is shorter than any window that starts with their first word. Matches are
 extended to the longest verbatim length, mapped to word spans, and affected documents are removed or reported.
 
-Documents are never shuffled; the benchmark goes to them in blocks of bounded bytes (one, for most benchmarks), and what
-several blocks find in a document is merged by its key.
+Documents are never shuffled and their texts are read once: the benchmark goes to them in blocks of bounded bytes (one, for
+most benchmarks), and every slice of documents is searched for all blocks in turn. Items are numbered; their ids, of any
+type, come back by a join of what was found.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blocklake.llm.common import keyed, slices, spare, table, text_buffers
+from blocklake.llm.common import keyed, slices, spare, stored, table, text_buffers
 from blocklake.llm.tokens import ALNUM, LOWER, prefix_sums, span_hash, words
 
 WINDOW = 10
-#: Bytes of benchmark text that tasks get at a time.
-BLOCK_BYTES = 16 << 20
+#: Bytes of benchmark text in a block, and how many blocks a pass over the documents takes along.
+BLOCK_BYTES, BLOCKS = 16 << 20, 8
 
 HITS = "th long, n_words long, spans array<struct<start:int,end:int>>, items array<long>, longest int"
 
@@ -45,7 +46,7 @@ def _keys(ids: np.ndarray, at: np.ndarray, length: np.ndarray, width: int) -> np
 
 
 def prepare(item_ids: list[int], texts: list[str], window: int = WINDOW) -> dict:
-    """The test suffixes of a block of items that can be windows, in word order, with the items they stand in."""
+    """The test suffixes of a block of items that can be windows, in word order, with the numbers of the items they stand in."""
     data, offsets = text_buffers(pa.array([t or "" for t in texts], pa.string()))
     h, bounds = _word_hashes(data, offsets)
     vocabulary = np.unique(h)
@@ -116,22 +117,28 @@ def search(shard: tuple[np.ndarray, np.ndarray], test: dict) -> tuple[np.ndarray
     return start, window, longest
 
 
-def _find(texts: tuple[np.ndarray, np.ndarray], test: dict) -> tuple[np.ndarray, list, list, np.ndarray]:
-    """For each text: its words, the spans of hit words, the items found, the longest match."""
+def _find(texts: tuple[np.ndarray, np.ndarray], tests: list[dict]) -> tuple[np.ndarray, list, list, np.ndarray]:
+    """For each text: its words, the spans of hit words, the items found, the longest match; every slice meets all blocks."""
     data, offsets = texts
     n = len(offsets) - 1
     count, spans, items, longest = np.zeros(n, np.int64), [[] for _ in range(n)], [[] for _ in range(n)], np.zeros(n, np.int64)
     for a, b in slices(offsets):
         h, bounds = _word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         count[a:b] = np.diff(bounds)
-        start, window, size = search((h, bounds), test)
-        if not len(start):
-            continue
-        doc = np.searchsorted(bounds, start, "right") - 1
-        np.maximum.at(longest, a + doc, size)
         cover = np.zeros(len(h) + 1, np.int64)
-        np.add.at(cover, start, 1)
-        np.add.at(cover, start + test["length"][window], -1)
+        for test in tests:
+            start, window, size = search((h, bounds), test)
+            if not len(start):
+                continue
+            doc = np.searchsorted(bounds, start, "right") - 1
+            np.maximum.at(longest, a + doc, size)
+            np.add.at(cover, start, 1)
+            np.add.at(cover, start + test["length"][window], -1)
+            pairs = np.unique(np.stack([doc, window]), axis=1)
+            for d, w in pairs.T:
+                items[a + int(d)].append(test["item"][test["first"][w] : test["first"][w + 1]])
+        if not cover.any():
+            continue
         hit = np.r_[False, np.cumsum(cover[:-1]) > 0, False]
         hit_text = np.r_[-1, np.searchsorted(bounds, np.arange(len(h)), "right") - 1, -1]
         edge = (hit[1:] != hit[:-1]) | (hit[1:] & hit[:-1] & (hit_text[1:] != hit_text[:-1]))
@@ -140,9 +147,6 @@ def _find(texts: tuple[np.ndarray, np.ndarray], test: dict) -> tuple[np.ndarray,
             if hit[s + 1]:
                 d = int(hit_text[s + 1])
                 spans[a + d].append({"start": int(s - bounds[d]), "end": int(e - bounds[d])})
-        pairs = np.unique(np.stack([doc, window]), axis=1)
-        for d, w in pairs.T:
-            items[a + int(d)].append(test["item"][test["first"][w] : test["first"][w + 1]])
     return count, spans, [np.unique(np.concatenate(x)).tolist() if x else [] for x in items], longest
 
 
@@ -153,33 +157,49 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str =
     consecutive words of an item, or all words of a shorter one; ``spans`` are maximal runs of document words (end excluded)
     inside occurrences of windows; ``items`` the ids of items with a window there, in order; ``longest`` the most words
     that match verbatim. Null or wordless texts and items have no windows; items that repeat count once by id; an item
-    without an id is left out; rows of ``docs`` that repeat are reported each; other columns are left out.
+    without an id is left out; rows of ``docs`` that repeat are reported each; other columns are left out. Ids of documents and
+    of items may be of any type that sorts; ``items`` holds the latter (whole numbers as longs).
     """
     rows = keyed(docs, text)
     known = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text")
     total = known.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0  # one number
     blocks = max(1, -(-total // block_bytes))
-    parts = []
+    kind = known.schema["item_id"].dataType
+    numbered = isinstance(kind, T.IntegralType)
+    if not numbered:  # a number for each id, the same in every run
+        known = stored(known.withColumn("number", F.xxhash64("item_id")), "items")
+        shared = known.groupBy("number").agg(F.count_distinct("item_id").alias("n")).where("n > 1")
+        if not shared.isEmpty():  # by chance, at some 10^9 items
+            raise ValueError("two item ids share a 64-bit hash: give items whole numbers as ids")
+    number = F.col("item_id").cast("long") if numbered else F.col("number")
+    sent = []
     for block in range(blocks):
         # a block holds about block_bytes, whatever the size of the benchmark
-        mine = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        sent = docs.sparkSession.sparkContext.broadcast(prepare([r["item_id"] for r in mine], [r["text"] for r in mine], window))
+        mine = known.select(number.alias("number"), "text").where(F.pmod(F.xxhash64("number", "text"), F.lit(blocks)) == block).orderBy("number", "text").collect()
+        sent.append(docs.sparkSession.sparkContext.broadcast(prepare([r["number"] for r in mine], [r["text"] for r in mine], window)))
+    parts = []
+    for first in range(0, blocks, BLOCKS):
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent[first : first + BLOCKS]) -> Iterator[pa.RecordBatch]:
+            tests = [x.value for x in sent]
             for batch in batches:
-                count, spans, found, longest = _find(text_buffers(batch.column("text")), sent.value)
-                kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-                columns = [batch.column("doc_id"), batch.column("th"), pa.array(count), pa.array(spans, kind), pa.array(found, pa.list_(pa.int64())), pa.array(longest, pa.int32())]
+                count, spans, found, longest = _find(text_buffers(batch.column("text")), tests)
+                pair = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+                columns = [batch.column("doc_id"), batch.column("th"), pa.array(count), pa.array(spans, pair), pa.array(found, pa.list_(pa.int64())), pa.array(longest, pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "th", "n_words", "spans", "items", "longest"])
 
         parts.append(rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(HITS).fields])))
-    if len(parts) == 1:
-        return parts[0]
+    found = parts[0] if len(parts) == 1 else _merged(parts)
+    return found if numbered else _with_ids(found, known)
+
+
+def _merged(parts: list[DataFrame]) -> DataFrame:
+    """What several passes found, as if one had."""
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
     # rows alike in id and text have alike results; each is kept as often as it stands in docs
-    merged = every.groupBy("doc_id", "th").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("all"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("longest").alias("longest"), (F.count("*") / blocks).cast("int").alias("times"))
+    merged = every.groupBy("doc_id", "th").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("all"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("longest").alias("longest"), (F.count("*") / len(parts)).cast("int").alias("times"))
     empty = F.array().cast("array<struct<start:int,end:int>>")
 
     def join(s, x):
@@ -191,6 +211,14 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str =
     return merged.withColumn("spans", spans).withColumn("_", F.explode(F.sequence(F.lit(1), "times"))).select("doc_id", "th", "n_words", "spans", "items", "longest")
 
 
+def _with_ids(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Item ids, in order, for the numbers of items: sets of items meet the ids, not documents one by one."""
+    sets = found.where(F.size("items") > 0).select("items").distinct()
+    names = sets.select("items", F.explode("items").alias("number")).join(known.select("number", "item_id").distinct(), "number").groupBy("items").agg(F.array_sort(F.collect_list("item_id")).alias("ids"))
+    none = F.array().cast(names.schema["ids"].dataType)
+    return found.join(names, "items", "left").select("doc_id", "th", "n_words", "spans", F.coalesce("ids", none).alias("items"), "longest")
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) whose text has no window of any item; see :func:`matches` for words and windows."""
     own_id, own_th = spare(docs.columns, "_id", "_th")

@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from blocklake.llm import decontaminate as decontaminate_module
 from blocklake.llm.decontaminate import decontaminate, matches
 from tests.llm.fixtures import ALNUM, LOWER, corpus, docs
 
@@ -34,8 +35,9 @@ def brute(rows, tests, n):
     return out
 
 
-@pytest.mark.parametrize(("window", "block_bytes"), [(10, 1 << 24), (10, 400), (3, 1 << 24)])
-def test_hits_against_brute_force(spark, window, block_bytes):
+@pytest.mark.parametrize(("window", "block_bytes", "blocks"), [(10, 1 << 24, 8), (10, 400, 8), (10, 400, 1), (3, 1 << 24, 8)])
+def test_hits_against_brute_force(spark, monkeypatch, window, block_bytes, blocks):
+    monkeypatch.setattr(decontaminate_module, "BLOCKS", blocks)
     rows = corpus()
     tests = items(rows)
     table = spark.createDataFrame(tests, "item_id long, text string")
@@ -72,3 +74,26 @@ def test_clashing_columns_and_ids_of_other_types(spark):
     assert {(r["_id"], r["_th"]) for r in kept} == {("own", "too")} and found
     clean = Counter((r.doc_id, r.text) for r in kept)
     assert clean == Counter((r.doc_id, r.text) for r in table.withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))).collect() if (r.doc_id, r.h) not in found)
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "decimal(20,0)", "date"])
+def test_item_ids_of_any_type(spark, kind):
+    rows, tests = corpus(), items(corpus())
+    table = spark.createDataFrame(tests, "item_id long, text string")
+    typed = table.withColumn("item_id", typed_column(kind)).withColumn("number", F.lit("own"))
+    ids = {r.item_id: r.typed for r in table.withColumn("typed", typed_column(kind)).collect()}
+    got = matches(docs(spark), typed, block_bytes=400)
+    want = Counter({(i, w, h, tuple(sorted(ids[x] for x in found))): n for (i, w, h, found), n in brute(rows, tests, 10).items()})
+    assert Counter((r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), tuple(r.items)) for r in got.collect()) == want
+    assert decontaminate(docs(spark), typed).count() == sum(n for (_, _, h, _), n in want.items() if not h)
+    assert matches(docs(spark), typed.limit(0)).where("size(items) > 0").count() == 0
+
+
+def typed_column(kind):
+    return F.date_add(F.lit("2020-01-01").cast("date"), F.col("item_id").cast("int")) if kind == "date" else F.col("item_id").cast(kind)
+
+
+def test_many_blocks_are_one_pass(spark):
+    table = spark.createDataFrame([(i, f"words of item {i} that fill some bytes of a block") for i in range(40)], "item_id long, text string")
+    plan = matches(docs(spark), table, block_bytes=800)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan
