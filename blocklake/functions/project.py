@@ -71,6 +71,11 @@ def version_or_legacy(c: Column) -> Column:
     return F.when(c < 0, F.lit("legacy")).otherwise(c.cast("string"))
 
 
+def version_json(c: Column) -> Column:
+    """A version as JSON: its number, or the text ``legacy`` if it is negative."""
+    return embedded_json(F.when(c < 0, F.lit('"legacy"')).otherwise(c.cast("string")))
+
+
 def struct_of(columns: dict[str, Column]) -> Column:
     """A struct of several columns; members may be null, the struct is always there."""
     return F.struct(*[c.alias(k) for k, c in columns.items()])

@@ -91,8 +91,11 @@ def discriminators(df: DataFrame, data: str = "data") -> DataFrame:
 
 
 #: Frame types of each kind of trace.
-FRAME_KINDS = {"CALL": "call", "CALLCODE": "call", "STATICCALL": "call", "DELEGATECALL": "call", "INVALID": "call", "CREATE": "create", "CREATE2": "create", "SELFDESTRUCT": "suicide"}
-FRAMES = "trace_address array<int>, subtraces int, type string, call_type string, `from` string, `to` string, value string, gas string, gas_used string, input string, output string, error string"
+FRAME_KINDS = {
+    "CALL": "call", "CALLCODE": "call", "STATICCALL": "call", "DELEGATECALL": "call", "delegateCall": "call", "INVALID": "call", "Call": "call", "call": "call",
+    "CREATE": "create", "CREATE2": "create", "Create": "create", "create": "create", "SELFDESTRUCT": "suicide",
+}
+FRAMES = "trace_address array<int>, subtraces int, type string, call_type string, `from` string, `to` string, value string, gas string, gas_used string, input string, output string, error string, revert_reason string"
 
 
 def walk_frames(frame: dict) -> Iterator[tuple]:
@@ -105,7 +108,7 @@ def walk_frames(frame: dict) -> Iterator[tuple]:
         if kind != "STOP":
             if kind not in FRAME_KINDS:
                 raise ValueError(f"unknown frame type {kind}")
-            yield (at, len(children), FRAME_KINDS[kind], kind.lower() if FRAME_KINDS[kind] == "call" else None, f.get("from"), f.get("to"), f.get("value"), f.get("gas"), f.get("gasUsed"), f.get("input"), f.get("output"), f.get("error"))
+            yield (at, len(children), FRAME_KINDS[kind], kind.lower() if FRAME_KINDS[kind] == "call" else None, f.get("from"), f.get("to"), f.get("value"), f.get("gas"), f.get("gasUsed"), f.get("input"), f.get("output"), f.get("error"), f.get("revertReason"))
         stack += [([*at, i], c) for i, c in reversed(list(enumerate(children)))]
 
 

@@ -36,6 +36,7 @@ MODEL = Model(
         "input": tuple("type index transactionIndex coinUtxoId coinOwner coinAmount coinAssetId coinTxPointer coinWitnessIndex coinPredicateGasUsed coinPredicate coinPredicateData contractUtxoId contractBalanceRoot contractStateRoot contractTxPointer contractContractId messageSender messageRecipient messageAmount messageNonce messageWitnessIndex messagePredicateGasUsed messageData messagePredicate messagePredicateData".split()),
         "output": tuple("type index transactionIndex coinTo coinAmount coinAssetId contractInputIndex contractBalanceRoot contractStateRoot changeTo changeAmount changeAssetId variableTo variableAmount variableAssetId contractCreatedContract contractCreatedStateRoot".split()),
     },
+    renamed={"height": "number"},
     projections={
         "block": {"time": "text", "height": "text", "daHeight": "text", "transactionsCount": "text", "messageReceiptCount": "text"},
         "transaction": {

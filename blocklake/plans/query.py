@@ -192,7 +192,7 @@ def fields_of(model: Model, entity: str, wanted: list[str], df: DataFrame) -> di
             out[f] = P.rekeyed(F.col(name), {c: inner.removesuffix(":text") for c, inner in rule.items()}, tuple(c for c, inner in rule.items() if inner.endswith(":text")))
         else:
             c = F.col(name)
-            apply = {"text": P.as_text, "json": P.embedded_json, "seconds": lambda c, k=types.get(name, ""): P.epoch_seconds(c, k), "millis": lambda c, k=types.get(name, ""): P.epoch_millis(c, k), "safe_integer": P.safe_integer, "legacy": P.version_or_legacy}
+            apply = {"text": P.as_text, "json": P.embedded_json, "seconds": lambda c, k=types.get(name, ""): P.epoch_seconds(c, k), "millis": lambda c, k=types.get(name, ""): P.epoch_millis(c, k), "safe_integer": P.safe_integer, "legacy": P.version_json}
             out[f] = apply[rule](c) if rule else c
     return out
 

@@ -16,7 +16,10 @@ from blocklake.operators import ingest as I
 from blocklake.operators import relations as R
 from blocklake.plans import query as build
 from blocklake.plans.chains.evm import MODEL as EVM
+from blocklake.plans.chains.raw import RAW
 from blocklake.plans.specs import TableSpec
+from blocklake.plans.tables import ingest as tables_of_chain
+from blocklake.plans.tables import raw_schema
 from blocklake.sources import layout, sinks
 from blocklake.sources.adapter import Lake, with_lake
 from blocklake.sources.shared import shared_dir
@@ -62,9 +65,10 @@ def scan_in_many(lake):
     return predicates.scan(lake.logs(), [both], LOG)
 
 
-@query("SELECT block_number, transaction_index, log_index FROM logs WHERE false", "logs")
+@query("SELECT block_number, transaction_index, log_index FROM logs WHERE topic0 = 'R'", "logs")
 def scan_in_empty(lake):
-    return predicates.scan(lake.logs(), [predicates.field_in("address", [])], LOG)
+    """An empty list matches nothing, but the request beside it does."""
+    return predicates.scan(lake.logs(), [predicates.field_in("address", []), predicates.field_in("topic0", ["R"])], LOG)
 
 
 @query("SELECT block_number, transaction_index FROM txs WHERE nonce BETWEEN 100 AND 400 AND block_number BETWEEN 50 AND 1500", "txs")
@@ -393,6 +397,12 @@ def version_or_legacy(lake):
     return lake.table("orders").select(F.col("o_orderkey").alias("id"), P.version_or_legacy(F.when(F.col("o_orderkey") % 5 == 0, -1).otherwise(F.col("o_orderkey"))).alias("v"))
 
 
+@query("SELECT o_orderkey AS id, '{\"v\":' || CASE WHEN o_orderkey % 5 = 0 THEN '\"legacy\"' ELSE CAST(o_orderkey AS VARCHAR) END || '}' AS j FROM orders")
+def version_json(lake):
+    version = P.version_json(F.when(F.col("o_orderkey") % 5 == 0, -1).otherwise(F.col("o_orderkey")))
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), F.to_json(F.struct(version.alias("v"))).alias("j"))
+
+
 @query("SELECT event_id AS id, CASE event_type WHEN 'click' THEN '{\"user\":' || user_id || '}' WHEN 'view' THEN '{\"of\":\"' || user_id || '\"}' END AS v FROM events")
 def tagged_union(lake):
     v = P.tagged(F.col("event_type"), {"click": {"user": F.col("user_id")}, "view": {"of": P.as_text(F.col("user_id"))}})
@@ -595,13 +605,14 @@ _STATE = "SELECT o_orderkey AS t, CASE WHEN o_custkey % 2 = 0 THEN 'balance' ELS
 
 
 @query(f"""SELECT coalesce(a.t, b.t) AS transaction_index, coalesce(a.k, b.k) AS "key", CASE WHEN a.v IS NULL THEN '+' WHEN b.v IS NULL THEN '-' ELSE '*' END AS kind, a.v AS prev, b.v AS next
-FROM ({_STATE.format(value="o_orderstatus", test="o_orderkey % 2 = 1")}) a FULL JOIN ({_STATE.format(value="CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus ELSE 'Z' END", test="o_orderkey % 3 <> 0")}) b ON a.t = b.t AND a.k = b.k
+FROM ({_STATE.format(value="o_orderstatus", test="o_orderstatus <> 'P' OR o_custkey % 2 = 1")}) a FULL JOIN ({_STATE.format(value="CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus ELSE 'Z' END", test="o_orderstatus <> 'F'")}) b ON a.t = b.t AND a.k = b.k
 WHERE NOT (coalesce(a.k, b.k) = 'balance' AND b.v IS NULL) AND a.v IS DISTINCT FROM b.v""")
 def prestate_diff(lake):
     own = F.when(F.col("o_custkey") % 2 == 0, "balance").otherwise("slot")
     state = lambda test, value: lake.table("orders").where(test).select(F.lit(0).alias("block_number"), F.col("o_orderkey").alias("transaction_index"), F.lit("a").alias("address"), own.alias("key"), value.alias("value"))
     after = F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderstatus")).otherwise("Z")
-    out = I.prestate_diff(state("o_orderkey % 2 = 1", F.col("o_orderstatus")), state("o_orderkey % 3 <> 0", after))
+    # orders of status F are there before alone, some of status P afterwards alone, all others before and after
+    out = I.prestate_diff(state("o_orderstatus <> 'P' OR o_custkey % 2 = 1", F.col("o_orderstatus")), state("o_orderstatus <> 'F'", after))
     return out.select("transaction_index", "key", "kind", "prev", "next")
 
 
@@ -812,6 +823,58 @@ def page_digests(lake):
     return sinks.page_digests(pages)
 
 
+# chain ingest: nested rows made of the given tables, by the rules of a chain's tables
+
+
+def _hex(c):
+    return F.concat(F.lit("0x"), F.lower(F.hex(c)))
+
+
+def _raw_orders(lake):
+    """Blocks of orders as nodes deliver them: quantities in hex, receipts with their logs inside."""
+    log = F.struct(_hex("block_number").alias("blockNumber"), _hex("log_index").alias("logIndex"), _hex("transaction_index").alias("transactionIndex"), F.lit(None).cast("string").alias("transactionHash"), F.concat(F.lit("0xA"), F.col("address")).alias("address"), F.col("data_size").cast("string").alias("data"), F.array("topic0", "topic1").alias("topics"))
+    logs = lake.logs().groupBy("block_number", "transaction_index").agg(F.collect_list(log).alias("logs"))
+    receipt = F.struct(F.when(F.col("status") == "P", "0x0").otherwise("0x1").alias("status"), F.lit("0x5208").alias("gasUsed"), "logs")
+    tx = F.struct(_hex("transaction_index").alias("transactionIndex"), _hex("nonce").alias("nonce"), _hex("from").alias("from"), F.col("type").alias("input"), receipt.alias("receipt_"))
+    rows = lake.transactions().join(logs, ["block_number", "transaction_index"], "left")
+    return rows.groupBy("block_number").agg(F.collect_list(tx).alias("transactions")).select(_hex("block_number").alias("number"), _hex("block_number").alias("hash"), "transactions")
+
+
+def _ingested(lake):
+    """The tables, from the JSON text of the blocks."""
+    blocks = _raw_orders(lake)
+    lines = blocks.select(F.to_json(F.struct("number", "hash", "transactions")).alias("value"))
+    return tables_of_chain(RAW["eth"], lines.select(F.from_json("value", raw_schema(RAW["eth"])).alias("b")).select("b.*"))
+
+
+@query("SELECT block_number, transaction_index, '0x' || lower(to_hex(\"from\")) AS \"from\", nonce, CASE WHEN length(type) >= 10 THEN substr(type, 1, 10) END AS sighash, CASE status WHEN 'P' THEN 0 ELSE 1 END AS status, '0x5208' AS gas_used FROM txs", "txs")
+def ingest_transactions(lake):
+    return _ingested(lake)["transactions"].select(F.col("block_number").cast("long"), F.col("transaction_index").cast("long"), "from", "nonce", "sighash", F.col("status").cast("int"), "gas_used")
+
+
+@query("SELECT block_number, transaction_index, log_index, '0xa' || address AS address, CAST(data_size AS VARCHAR) AS data, topic0, topic1 FROM logs", "logs")
+def ingest_logs(lake):
+    return _ingested(lake)["logs"].select(F.col("block_number").cast("long"), F.col("transaction_index").cast("long"), F.col("log_index").cast("long"), "address", "data", "topic0", "topic1")
+
+
+@query("""SELECT block_number, extrinsic_index, array_to_string(address, '.') AS address, name, '{"n":' || len(address) || '}' AS args, CASE WHEN name = 'region' THEN CAST(extrinsic_index AS VARCHAR) END AS _ethereum_transact_to FROM calls""", "calls")
+def ingest_calls(lake):
+    """Calls of a tagged chain, with arguments as JSON and a hidden index column."""
+    call = F.struct(F.col("extrinsic_index").alias("extrinsicIndex"), "address", "name", F.struct(F.size("address").alias("n")).alias("args"), F.when(F.col("name") == "region", F.col("extrinsic_index").cast("string")).alias("_ethereumTransactTo"))
+    blocks = lake.calls().groupBy("block_number").agg(F.collect_list(call).alias("calls")).select(F.struct(F.col("block_number").alias("height")).alias("header"), "calls")
+    lines = blocks.select(F.to_json(F.struct("header", "calls")).alias("value"))
+    raw = RAW["substrate"]
+    found = tables_of_chain(raw, lines.select(F.from_json("value", raw_schema(raw)).alias("b")).select("b.*"))["calls"]
+    return found.select(F.col("block_number").cast("long"), F.col("extrinsic_index").cast("long"), text("address").alias("address"), "name", "args", "_ethereum_transact_to")
+
+
+@query("""SELECT id, '0x' || substr(h, 1, 2) AS d1, '0x' || substr(h, 1, 4) AS d2, '0x' || substr(h, 1, 8) AS d4, '0x' || substr(h, 1, 16) AS d8 FROM (
+SELECT id, CASE WHEN length(x) % 2 = 1 THEN '0' ELSE '' END || x AS h FROM (SELECT o_orderkey AS id, lower(to_hex(list_reduce(list_transform(list_prepend('1', string_split('zq' || translate(CAST(o_orderkey * 7919 + o_custkey AS VARCHAR), '0', 'X'), '')), lambda c: CAST(instr('123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz', c) - 1 AS HUGEINT)), lambda a, b: a * 58 + b))) AS x FROM orders))""")
+def discriminators(lake):
+    data = F.concat(F.lit("zq"), F.translate((F.col("o_orderkey") * 7919 + F.col("o_custkey")).cast("string"), "0", "X"))
+    return I.discriminators(lake.table("orders").select(F.col("o_orderkey").alias("id"), data.alias("data"))).drop("data")
+
+
 # streams, as batches
 
 

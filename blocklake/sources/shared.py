@@ -1,10 +1,11 @@
-"""The folder that all executors share."""
+"""The folder that all executors share, and tables in it."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -18,3 +19,10 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir is not set: tables need a folder that all executors share")
         path = _own[context.applicationId] = _own.get(context.applicationId) or "file://" + tempfile.mkdtemp(prefix="blocklake-")
     return path.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: cuts its lineage, survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

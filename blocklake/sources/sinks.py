@@ -7,8 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blocklake.functions.project import byte_size
 from blocklake.operators.assemble import sort_for_storage
 from blocklake.operators.budget import assign_chunks
+from blocklake.operators.ingest import add_sizes
 from blocklake.plans.specs import TableSpec
 
 
@@ -19,35 +21,67 @@ def read_raw_blocks(spark: SparkSession, root: str, schema, first: int | None =
     return df if last is None else df.where(F.col(number) <= last)
 
 
-def write_tables(tables: dict[str, DataFrame], specs: dict[str, TableSpec], dest: str, chunk: str = "chunk") -> None:
-    """Each table below ``dest``, a folder a chunk, rows in storage order so that statistics prune, zstd, dictionaries."""
+def file_options(columns: list[str], rows: int | None = None, dictionary: list[str] | None = None, statistics: list[str] | None = None) -> dict[str, str]:
+    """Options of the Parquet writer: rows of a row group, columns with a dictionary (all if None), and with statistics."""
+    out = {"compression": "zstd", "parquet.page.size": str(128 << 10), "parquet.dictionary.page.size": str(128 << 10)}
+    if rows:
+        out["parquet.block.row.count.limit"] = str(rows)
+    if dictionary is not None:
+        out |= {"parquet.enable.dictionary": "false"} | {f"parquet.enable.dictionary#{c}": "true" for c in dictionary if c in columns}
+    if statistics is not None:
+        out |= {f"parquet.column.statistics.enabled#{c}": "true" if c in statistics else "false" for c in columns}
+    return out
+
+
+def write_tables(tables: dict[str, DataFrame], specs: dict[str, TableSpec], dest: str, chunk: str = "chunk", rules: dict | None = None) -> None:
+    """Each table below ``dest``, a folder a chunk, rows in storage order so that statistics prune, zstd.
+
+    ``rules``: by table what a :class:`blocklake.plans.tables.TableRule` says of its files: rows of a row group, columns with a
+    dictionary and with statistics, columns whose bytes are measured (``<column>_size``); tables but that of blocks also get ``_idx``, a
+    row's place in its file.
+    """
     for name, df in tables.items():
-        spec = specs.get(name, TableSpec(name))
+        spec, rule = specs.get(name, TableSpec(name)), (rules or {}).get(name)
         height = ["block_number"] if "block_number" in df.columns else ["number"]
-        keys = [k for k in [*spec.sort, *height, *spec.key] if k in df.columns]
+        keys = [k for k in dict.fromkeys([*spec.sort, *height, *spec.key]) if k in df.columns]
+        options = file_options(df.columns)
+        if rule is not None:
+            df = df.withColumns({f"{c}_size": byte_size(F.col(c)) for c in rule.sizes.split()})
+            if name != "blocks":
+                df = add_sizes(df, [], keys, chunk)
+            options = file_options(df.columns, rule.rows, rule.dictionary.split(), rule.statistics.split())
         ordered = sort_for_storage(df.repartition(chunk), [chunk, *keys])
-        ordered.write.partitionBy(chunk).option("compression", "zstd").option("parquet.page.size", str(128 << 10)).parquet(f"{dest}/{name}")
+        ordered.write.partitionBy(chunk).options(**options).parquet(f"{dest}/{name}")
 
 
-def write_lake(tables: dict[str, DataFrame], specs: dict[str, TableSpec], chunks: DataFrame, root: str, last_table: str = "blocks") -> None:
+def write_lake(tables: dict[str, DataFrame], specs: dict[str, TableSpec], chunks: DataFrame, root: str, last_table: str = "blocks", rules: dict | None = None) -> None:
     """Tables in the layout that :func:`layout.read_table` reads, a folder for each of ``chunks``.
 
-    ``chunks``: rows ``chunk, top, first_block, last_block, last_hash``; each table has a ``chunk`` column. Tables are written aside and
-    then moved to their folders, a rename for each chunk and table; ``last_table`` comes last and makes a chunk complete.
+    ``chunks``: rows ``chunk, top, first_block, last_block, last_hash``; each table has a ``chunk`` column. Everything is written aside
+    first, with an empty file for a chunk that has no rows of a table; then each chunk's folder is put together there and
+    moved to its place by one rename, so that a chunk is there whole or not at all. A chunk that is there already stays.
     """
     spark = chunks.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     aside = f"{root}/_new-{uuid.uuid4().hex}"
-    write_tables(tables, specs, aside)
-    for name in sorted(tables, key=lambda n: n == last_table):
-        for r in chunks.select("chunk", "top", "first_block", "last_block", "last_hash").toLocalIterator():  # names
-            source, folder = path(f"{aside}/{name}/chunk={r.chunk}"), f"{root}/{r.top:010d}/{r.first_block:010d}-{r.last_block:010d}-{r.last_hash}"
-            fs.mkdirs(path(folder))
+    write_tables(tables, specs, aside, rules=rules)
+    for name, df in tables.items():  # one small job a table: the schema with no rows
+        df.drop("chunk").limit(0).coalesce(1).write.parquet(f"{aside}/_none/{name}")
+    util, conf = spark._jvm.org.apache.hadoop.fs.FileUtil, spark._jsc.hadoopConfiguration()
+    for r in chunks.select("chunk", "top", "first_block", "last_block", "last_hash").toLocalIterator():  # names
+        whole, folder = path(f"{aside}/_whole/{r.chunk}"), path(f"{root}/{r.top:010d}/{r.first_block:010d}-{r.last_block:010d}-{r.last_hash}")
+        if fs.exists(folder):
+            continue
+        fs.mkdirs(whole)
+        for name in sorted(tables, key=lambda n: n == last_table):
+            source = path(f"{aside}/{name}/chunk={r.chunk}")
             if fs.exists(source):
-                fs.rename(source, path(f"{folder}/{name}.parquet"))
-            else:  # a chunk without rows of the table has an empty one
-                tables[name].drop("chunk").limit(0).write.parquet(f"{folder}/{name}.parquet")
+                fs.rename(source, path(f"{whole}/{name}.parquet"))
+            else:
+                util.copy(fs, path(f"{aside}/_none/{name}"), fs, path(f"{whole}/{name}.parquet"), False, conf)
+        fs.mkdirs(folder.getParent())
+        fs.rename(whole, folder)
     fs.delete(path(aside), True)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
 
@@ -96,17 +97,40 @@ def test_projection_functions(spark):
 
 
 def test_codecs():
-    assert codecs.keccak256(b"").hex() == "c5d2460186f7233c927e7db2dcc703c0e500b653ca82273b7bfad8045d85a470"
-    assert codecs.keccak256(b"abc").hex() == "4e03657aea45a94fc7d47ba826c8d667c0d1e6e33a64a036ec44f58fa12d6c45"
-    assert codecs.keccak256(b"a" * 136) != codecs.keccak256(b"a" * 137)
-    assert codecs.base58_decode("2NEpo7TZRRrLZSi2U") == b"Hello World!" and codecs.base58_decode("11") == b"\0\0" and codecs.base58_decode("") == b""
+    assert [h.hex() for h in codecs.keccak256([b"", b"abc"])] == ["c5d2460186f7233c927e7db2dcc703c0e500b653ca82273b7bfad8045d85a470", "4e03657aea45a94fc7d47ba826c8d667c0d1e6e33a64a036ec44f58fa12d6c45"]
+    assert codecs.base58_decode(["2NEpo7TZRRrLZSi2U", "11", "", None]) == [b"Hello World!", b"\0\0", b"", None]
+
+
+def test_hashes_of_all_lengths_at_once():
+    """The permutation and its padding against the standard library's SHA3, which differs in one byte of padding."""
+    r = random.Random(2)
+    values = [r.randbytes(n) for n in [*range(301), 1000, 5000]] + [None, bytes(136), bytes(135)]
+    r.shuffle(values)
+    assert codecs.keccak256(values, 0x06) == [None if v is None else hashlib.sha3_256(v).digest() for v in values]
+
+
+def encoded(data):
+    n, out = int.from_bytes(data, "big"), ""
+    while n:
+        n, d = divmod(n, 58)
+        out = codecs.BASE58[d] + out
+    return "1" * (len(data) - len(data.lstrip(b"\0"))) + out
+
+
+def test_base58_against_whole_numbers():
+    """Leading zeros, all lengths mixed in a batch, texts with signs that are none (null)."""
+    r = random.Random(3)
+    values = [v for n in range(90) for v in (r.randbytes(n), bytes(n // 2) + r.randbytes(n - n // 2), bytes(n), b"\xff" * n)] + [r.randbytes(700)]
+    r.shuffle(values)
+    assert codecs.base58_decode([encoded(v) for v in values]) == values
+    assert codecs.base58_decode(["0", "I", "l", "O", "é", "1 1", "zz\n", "2", "z" * 20 + "0"]) == [None] * 7 + [b"\1", None]
 
 
 def test_logs_bloom_has_three_bits_an_entry(spark):
     entry = "0x" + "ab" * 20
     logs = spark.createDataFrame([(1, entry, None, None, None, None)] * 2, "block_number long, address string, topic0 string, topic1 string, topic2 string, topic3 string")
     want = 0
-    h = codecs.keccak256(bytes.fromhex(entry[2:]))
+    h = codecs.keccak256([bytes.fromhex(entry[2:])])[0]
     for i in (0, 2, 4):
         want |= 1 << (int.from_bytes(h[i : i + 2], "big") & 2047)
     bloom = audit.logs_bloom(logs).first().bloom
