@@ -9,7 +9,7 @@ common shingles within prefixes whose length follows from their sizes, so
 
 Of two sets that link, the smaller one has those shingles within a prefix of half the length (its index prefix): it shares at
 least as many as two sets of its own size need. So a list's pairs are its members with those that stand in it by their index
-prefix, and a list without such members is none: texts that share a template but are just too unlike meet in no list.
+prefix, and a list without such members has none: texts that share a template but are just too unlike are in no pair.
 
 The size at the boundary is the one of the least estimated cost. Lists are never expanded into all pairs. First, each
 set is compared with the most central set of its lists (a star), which settles dense groups of copies in one step each;
@@ -210,8 +210,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
     boundary = choose_boundary(distinct, percent)
     # the lists, without those of one set; a list that holds a great part of the rows is split among tasks
     keys = _keys(distinct, boundary, percent)
-    sizes = stored(keys.groupBy("key").agg(F.count("*").alias("size"), F.count_if("short").alias("shorts")).where("size > 1 and shorts > 0").drop("shorts"), "list-sizes")
-    lists = stored(keys.join(sizes, "key"), "lists")
+    sizes = stored(keys.groupBy("key").agg(F.count("*").alias("size"), F.count_if("short").alias("shorts")).where("size > 1"), "list-sizes")
+    lists = stored(keys.join(sizes, "key"), "lists")  # a list without members by their index prefix has no pairs, but tells who is central
     prefixes = distinct.join(lists.select("sid").distinct(), "sid", "left_semi")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -247,7 +247,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
     roots = connected_components(links)
 
     # what is left: sets of different components in one list, without the pairs inside the list's largest component
-    labelled = lists.join(roots.select(F.col("v").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    labelled = lists.where("shorts > 0").join(roots.select(F.col("v").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     parts = labelled.groupBy("key", "root").agg(F.count("*").alias("m"))
     largest = parts.groupBy("key").agg(F.max(F.struct("m", "root"))["root"].alias("main"), F.count("*").alias("parts")).where("parts > 1")
     open_lists = stored(labelled.join(largest.select("key", "main"), "key").select("key", "sid", "n", "pos", "short", "root", (F.col("root") == F.col("main")).alias("in_main")), "open")
