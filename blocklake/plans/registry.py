@@ -888,6 +888,39 @@ def finalized_blocks(lake):
     return S.finalized(lake.table("events").withColumnRenamed("event_id", "number"), 10, "event_type").select(F.col("number").alias("event_id"), "event_type")
 
 
+def _streamed(lake, path: str, rows: DataFrame) -> tuple[DataFrame, str]:
+    """A table as a stream of files in the shared folder: written once, then read as they come."""
+    source = f"{shared_dir(lake.spark)}/{path}-{uuid.uuid4().hex}"
+    rows.write.parquet(source)
+    return lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source), source
+
+
+def _event_blocks(lake) -> DataFrame:
+    """Events as blocks of the chain of their type; every third one comes twice."""
+    e = lake.table("events").select(F.col("event_type").alias("chain"), F.col("event_id").cast("long").alias("number"), F.col("event_id").cast("string").alias("hash"))
+    return e.unionAll(e.where("number % 3 = 0"))
+
+
+@query("SELECT event_type AS chain, event_id AS number, CAST(event_id AS VARCHAR) AS hash FROM (SELECT *, max(event_id) OVER (PARTITION BY event_type) AS tip FROM events) WHERE event_id <= tip - 10")
+def finalized_stream(lake):
+    """Events once they lie ten below the tip of their type, from a stream in several batches that brings some twice."""
+    stream, source = _streamed(lake, "finality", _event_blocks(lake).repartitionByRange(4, "number"))
+    return S.run_to_end(S.finalized_stream(stream, 10), f"{source}-out", f"{source}-state")
+
+
+@query("SELECT event_type AS chain, event_id AS number, expected, actual FROM (SELECT event_type, event_id, CAST(before AS VARCHAR) AS expected, CASE WHEN event_id % 50 = 0 THEN 'lost' ELSE CAST(before AS VARCHAR) END AS actual FROM (SELECT *, lag(n) OVER (PARTITION BY event_type ORDER BY event_id) AS before FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events))) WHERE expected IS NOT NULL AND actual <> expected")
+def continuity_stream(lake):
+    """Events chained by their place among those of their type, every fiftieth with another parent, in several batches out of order."""
+    nth = F.row_number().over(Window.partitionBy("event_type").orderBy("event_id"))
+    e = lake.table("events").withColumn("n", nth.cast("long"))
+    parent = F.when(F.col("event_id") % 50 == 0, "lost").otherwise((F.col("n") - 1).cast("string"))
+    rows = e.select(F.col("event_type").alias("chain"), F.col("n").alias("number"), F.col("n").cast("string").alias("hash"), parent.alias("parent_hash"), F.col("event_id").cast("long").alias("event_id"))
+    stream, source = _streamed(lake, "continuity", rows.drop("event_id").repartition(4, F.col("number") % 4))
+    seed = {r.chain: (0, "0") for r in rows.select("chain").distinct().collect()}  # a row a chain
+    found = S.run_to_end(S.continuity_stream(stream, seed=seed, patience=1 << 40), f"{source}-out", f"{source}-state").where("number > 1")
+    return found.join(rows.select("chain", "number", "event_id"), ["chain", "number"]).select("chain", F.col("event_id").alias("number"), "expected", "actual")
+
+
 @query("""SELECT event_type AS chain, strftime(w, '%Y-%m-%d %H:%M:%S') AS start, CAST(round((max(event_id) - min(event_id)) / 600.0 * 1000) AS BIGINT) AS milli_rate FROM (
 SELECT event_type, event_id, unnest([time_bucket(INTERVAL 300 SECONDS, ts), time_bucket(INTERVAL 300 SECONDS, ts) - INTERVAL 300 SECONDS]) AS w FROM events) GROUP BY 1, w""")
 def progress_rate(lake):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 
 def stream_raw_blocks(spark: SparkSession, path: str, schema, next_block: int = 0, number: str = "number") -> DataFrame:
@@ -27,38 +28,131 @@ def finalized(df: DataFrame, depth: int, chain: str | None = None, number: str =
     return df.join(df.groupBy(chain).agg(tip), chain).where(F.col(number) <= F.col("_tip")).drop("_tip")
 
 
+class _Finality(StatefulProcessor):
+    """Of one chain: blocks that wait by height, the tip, and the hashes of the last heights that were put out."""
+
+    def __init__(self, depth: int, chain: str, number: str):
+        self.depth, self.chain, self.number = depth, chain, number
+
+    def init(self, handle) -> None:
+        self.waiting = handle.getMapState("waiting", "number long", "hash string")
+        self.done = handle.getMapState("done", "number long", "hash string")
+        self.ends = handle.getValueState("ends", "tip long, final long")
+
+    def handleInputRows(self, key, rows, timers):  # noqa: N802
+        tip, final = self.ends.get() if self.ends.exists() else (None, None)
+        out = []
+        for pdf in rows:
+            for n, own in zip(pdf[self.number].tolist(), pdf["hash"].tolist(), strict=True):
+                at = (int(n),)
+                if final is not None and n <= final:  # put out already: the same block again is nothing new
+                    if self.done.containsKey(at):
+                        if (known := self.done.getValue(at)[0]) != own:
+                            out.append((key[0], int(n), known, "conflict", own))
+                    elif n >= final - self.depth:
+                        out.append((key[0], int(n), own, "late", None))
+                        self.done.updateValue(at, (own,))
+                    continue
+                if self.waiting.containsKey(at) and self.waiting.getValue(at)[0] != own:
+                    out.append((key[0], int(n), own, "replaced", self.waiting.getValue(at)[0]))
+                self.waiting.updateValue(at, (own,))
+                tip = int(n) if tip is None else max(tip, int(n))
+        if tip is not None:
+            for n, own in sorted((k[0], v[0]) for k, v in self.waiting.iterator() if k[0] <= tip - self.depth):
+                out.append((key[0], n, own, "final", None))
+                self.waiting.removeKey((n,))
+                self.done.updateValue((n,), (own,))
+                final = n if final is None else max(final, n)
+            for n in [k[0] for k in self.done.keys() if final is not None and k[0] < final - self.depth]:
+                self.done.removeKey((n,))
+            self.ends.update((tip, final))
+        yield pd.DataFrame(out, columns=[self.chain, self.number, "hash", "kind", "other"])
+
+
+def finality_stream(stream: DataFrame, depth: int, chain: str = "chain", number: str = "number") -> DataFrame:
+    """``chain, number, hash, kind, other`` of a stream of ``chain, number, hash``.
+
+    ``final``: a block that lies ``depth`` or more below its chain's tip, once, in order of height within a batch. ``replaced``: a
+    block took the place of one that still waited (``other``). ``conflict``: a block (``other``) came at a height that was put
+    out with another hash. ``late``: a height below the last final one came for the first time. Hashes are remembered ``depth``
+    heights below the last final one; what comes at a height below that, and a block that comes again, waiting or put out, is
+    nothing new. State is a row a waiting height, so a batch rewrites only what it touches.
+    """
+    schema = f"{chain} string, {number} long, hash string, kind string, other string"
+    return stream.groupBy(chain).transformWithStateInPandas(_Finality(depth, chain, number), schema, "Append", "None")
+
+
 def finalized_stream(stream: DataFrame, depth: int, chain: str = "chain", number: str = "number") -> DataFrame:
-    """``chain, number, hash`` once a block lies ``depth`` below its chain's tip; state holds those that do not yet."""
-
-    def bury(key, frames, state):
-        held = dict(zip(*state.get, strict=True)) if state.exists else {}
-        for pdf in frames:
-            held.update(zip(pdf[number].tolist(), pdf["hash"].tolist(), strict=True))
-        tip = max(held, default=0)
-        done = sorted(n for n in held if n <= tip - depth)
-        out = pd.DataFrame({chain: key[0], number: done, "hash": [held.pop(n) for n in done]})
-        state.update((list(held), list(held.values())))
-        yield out
-
-    return stream.groupBy(chain).applyInPandasWithState(bury, f"{chain} string, {number} long, hash string", "numbers array<long>, hashes array<string>", "append", "NoTimeout")
-
-
-def continuity_stream(stream: DataFrame, chain: str = "chain", number: str = "number", seed: dict[str, str] | None = None) -> DataFrame:
-    """``chain, number, expected, actual`` for blocks whose parent hash is not the last hash seen; ``seed``: hashes stored before."""
-    seed = seed or {}
-
-    def follow(key, frames, state):
-        last = state.get[0] if state.exists else seed.get(key[0])
-        rows = pd.concat(list(frames)).sort_values(number)
-        bad = []
-        for n, own, parent in zip(rows[number], rows["hash"], rows["parent_hash"], strict=True):
-            if last is not None and parent != last:
-                bad.append((key[0], int(n), last, parent))
-            last = own
-        state.update((last,))
-        yield pd.DataFrame(bad, columns=[chain, number, "expected", "actual"])
-
-    return stream.groupBy(chain).applyInPandasWithState(follow, f"{chain} string, {number} long, expected string, actual string", "hash string", "append", "NoTimeout")
+    """``chain, number, hash`` of each block once it lies ``depth`` below its chain's tip; see :func:`finality_stream`."""
+    return finality_stream(stream, depth, chain, number).where("kind = 'final'").select(chain, number, "hash")
+
+
+class _Continuity(StatefulProcessor):
+    """Of one chain: the last block that all before it have come to, and those above it that wait for a height."""
+
+    def __init__(self, chain: str, number: str, seed: dict[str, tuple[int, str]], patience: int):
+        self.chain, self.number, self.seed, self.patience = chain, number, seed, patience
+
+    def init(self, handle) -> None:
+        self.waiting = handle.getMapState("waiting", "number long", "hash string, parent string")
+        self.last = handle.getValueState("last", "number long, hash string")
+
+    def handleInputRows(self, key, rows, timers):  # noqa: N802
+        at, last = self.last.get() if self.last.exists() else self.seed.get(key[0], (None, None))
+        out = []
+        for pdf in rows:
+            for n, own, parent in zip(pdf[self.number].tolist(), pdf["hash"].tolist(), pdf["parent_hash"].tolist(), strict=True):
+                if at is not None and n <= at:
+                    if n == at and own != last:
+                        out.append((key[0], int(n), last, own, "fork"))
+                    continue
+                k = (int(n),)
+                if self.waiting.containsKey(k) and self.waiting.getValue(k)[0] != own:
+                    out.append((key[0], int(n), self.waiting.getValue(k)[0], own, "fork"))
+                self.waiting.updateValue(k, (own, parent))
+        heights = sorted(k[0] for k in self.waiting.keys())
+        for i, n in enumerate(heights):
+            if at is not None and n > at + 1:
+                if heights[-1] - at <= self.patience:
+                    break  # what is missing may still come
+                out.append((key[0], n, str(at + 1), str(n), "gap"))
+            own, parent = self.waiting.getValue((n,))
+            if last is not None and n == at + 1 and parent != last:
+                out.append((key[0], n, last, parent, "broken"))
+            self.waiting.removeKey((n,))
+            at, last = n, own
+        if at is not None:
+            self.last.update((at, last))
+        yield pd.DataFrame(out, columns=[self.chain, self.number, "expected", "actual", "kind"])
+
+
+def continuity_stream(stream: DataFrame, chain: str = "chain", number: str = "number", seed: dict[str, tuple[int, str]] | None = None, patience: int = 100) -> DataFrame:
+    """``chain, number, expected, actual, kind`` of what is wrong in a stream of ``chain, number, hash, parent_hash``.
+
+    ``broken``: a block's parent is not the block below it. ``fork``: a height came with two hashes, the last one reached or one that
+    waits (the later one then counts). ``gap``: heights from ``expected`` up to ``actual`` did not come although the stream went
+    ``patience`` heights beyond the last one reached; it goes on from there. Heights may come in any order within that patience, over
+    any number of batches; what comes again is nothing new. ``seed``: height and hash stored before, by chain; without one
+    a chain begins with the least height of its first batch.
+    """
+    schema = f"{chain} string, {number} long, expected string, actual string, kind string"
+    return stream.groupBy(chain).transformWithStateInPandas(_Continuity(chain, number, seed or {}, patience), schema, "Append", "None")
+
+
+#: The state store that map states need.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def run_to_end(stream: DataFrame, dest: str, checkpoint: str) -> DataFrame:
+    """Writes all that a stream has so far to Parquet files and reads them: begun again with the same folders it goes on where it was."""
+    spark = stream.sparkSession
+    before = spark.conf.get(STATE_STORE[0], None)
+    spark.conf.set(*STATE_STORE)
+    try:
+        stream.writeStream.format("parquet").option("path", dest).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset(STATE_STORE[0]) if before is None else spark.conf.set(STATE_STORE[0], before)
+    return spark.read.schema(stream.schema).parquet(dest)
 
 
 def dedupe_blocks(stream: DataFrame, ts: str = "ts", delay: str = "1 hour", key: tuple[str, ...] = ("chain", "number")) -> DataFrame:

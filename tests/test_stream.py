@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 
 from blocklake.operators import ingest
 from blocklake.streaming import stream as S
@@ -17,6 +18,7 @@ def feed(spark, path, rows):
 
 
 def drain(df, name, tmp_path, mode="append"):
+    df.sparkSession.conf.set(*S.STATE_STORE)
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True).start()
     q.awaitTermination()
     return df.sparkSession.table(name).collect()
@@ -30,8 +32,8 @@ def test_finality_and_continuity(spark, tmp_path):
     stream = feed(spark, tmp_path / "in", [block(n) for n in (1, 2, 3)] + [block(4, "bad"), block(5), block(1, chain="d")])
     got = drain(S.finalized_stream(stream, 2), "final", tmp_path)
     assert sorted((r.chain, r.number, r.hash) for r in got) == [("c", 1, "h1"), ("c", 2, "h2"), ("c", 3, "h3")]
-    bad = drain(S.continuity_stream(stream, seed={"c": "h0"}), "bad", tmp_path)
-    assert [(r.number, r.expected, r.actual) for r in bad] == [(4, "h3", "bad")]
+    bad = drain(S.continuity_stream(stream, seed={"c": (0, "h0")}), "bad", tmp_path)
+    assert [(r.number, r.expected, r.actual, r.kind) for r in bad] == [(4, "h3", "bad", "broken")]
     # the state goes on with files that come later
     feed(spark, tmp_path / "in", [block(6), block(7)])
     assert sorted(r.number for r in drain(S.finalized_stream(stream, 2), "final2", tmp_path)) == [1, 2, 3, 4, 5]
@@ -50,3 +52,50 @@ def test_finality_of_batches(spark):
     assert sorted(r.number for r in S.finalized(df.where("chain = 'a'"), 5).collect()) == [0, 1, 2]
     assert sorted((r.chain, r.number) for r in S.finalized(df, 2, "chain").collect()) == [*[("a", n) for n in range(6)], ("b", 0)]
     assert "Cartesian" not in S.finalized(df, 5)._jdf.queryExecution().executedPlan().toString()
+
+
+def stepwise(spark, tmp_path, make, batches):
+    """Rows that each batch adds, the stream stopped and begun again after each."""
+    seen, out = Counter(), []
+    for batch in batches:
+        stream = feed(spark, tmp_path / "in", batch)
+        rows = Counter(tuple(r) for r in S.run_to_end(make(stream), f"{tmp_path}/out", f"{tmp_path}/ck").collect())
+        out.append(sorted((rows - seen).elements(), key=repr))
+        seen = rows
+    return out
+
+
+def test_finality_of_repeats_forks_and_late_heights(spark, tmp_path):
+    b = lambda n, h=None: ("c", n, h or f"h{n}", None, None, None)
+    got = stepwise(spark, tmp_path, lambda s: S.finality_stream(s, 2), [
+        [b(1), b(3), b(5)],  # 2 and 4 are missing
+        [b(1), b(3), b(5)],  # all again: nothing
+        [b(5, "x5"), b(2), b(6)],  # another tip, a late height, and one more
+        [b(5), b(3, "y3"), b(8), b(1)],  # the first tip again: it still waits; a conflict with what is put out
+        [b(5, "x5"), b(8), b(10)],
+    ])
+    kinds = [[(r[1], r[2], r[3], r[4]) for r in rows] for rows in got]
+    assert kinds == [
+        [(1, "h1", "final", None), (3, "h3", "final", None)], [], [(2, "h2", "late", None), (5, "x5", "replaced", "h5")],
+        [(3, "h3", "conflict", "y3"), (5, "h5", "final", None), (5, "h5", "replaced", "x5"), (6, "h6", "final", None)], [(5, "h5", "conflict", "x5"), (8, "h8", "final", None)],
+    ]
+
+
+def test_finality_without_depth(spark, tmp_path):
+    b = lambda n: ("c", n, f"h{n}", None, None, None)
+    got = stepwise(spark, tmp_path, lambda s: S.finalized_stream(s, 0), [[b(1), b(2)], [b(2), b(3)], [b(1), b(3)]])
+    assert [[r[1] for r in rows] for rows in got] == [[1, 2], [3], []]
+
+
+def test_continuity_over_batches_in_any_order(spark, tmp_path):
+    b = lambda n, h=None, p=None: ("c", n, h or f"h{n}", p or f"h{n - 1}", None, None)
+    got = stepwise(spark, tmp_path, lambda s: S.continuity_stream(s, seed={"c": (0, "h0")}, patience=4), [
+        [b(2), b(1), b(4)],  # 3 is still to come
+        [b(3), b(5), b(2)],  # there it is; 2 again
+        [b(7, p="bad"), b(7, "x7", "h6"), b(6)],  # a height with two hashes: the later one counts
+        [b(9, p="wrong"), b(7, "y7")],  # 8 is missing; the last one reached has another hash
+        [b(10), b(12)],  # the stream is patience heights beyond 7: a gap, and it goes on
+        [b(8), b(11), b(13, p="off")],
+    ])
+    kinds = [[(r[1], r[2], r[3], r[4]) for r in rows] for rows in got]
+    assert kinds == [[], [], [(7, "h7", "x7", "fork")], [(7, "x7", "y7", "fork")], [(9, "8", "9", "gap")], [(13, "h12", "off", "broken")]]
