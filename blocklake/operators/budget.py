@@ -121,12 +121,14 @@ def _greedy(df: DataFrame, limit: int, size: str, per: str, name: str, inclusive
     return df.groupBy(per).applyInPandas(roll, T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
 
 
-def assign_chunks(blocks: DataFrame, max_bytes: int, size: str = "size", per: str | None = None, bucket: int = 1_000_000) -> DataFrame:
+def assign_chunks(blocks: DataFrame, max_bytes: int, size: str = "size", per: str | None = None, bucket: int = 1_000_000, exact: bool = False) -> DataFrame:
     """``chunk`` numbers of blocks: a chunk rolls when its bytes exceed ``max_bytes``.
 
-    ``per`` given: exact, greedy within each group of that column. Else in bulk: the running sum before a block divided by
-    the limit, by buckets of heights whose sums are added up first.
+    ``per`` given: exact, greedy within each group of that column, a task a group. ``exact``: greedy over all blocks, see
+    :func:`roll`. Else in bulk: the running sum before a block divided by the limit, by buckets of heights whose sums are added up first.
     """
+    if exact and not per:
+        return roll(blocks, max_bytes, size, "chunk", bucket)
     if per:
         return _greedy(blocks, max_bytes, size, per, "chunk", inclusive=True)
     parts = blocks.withColumn("_bucket", F.floor(F.col("block_number") / bucket))
@@ -135,3 +137,48 @@ def assign_chunks(blocks: DataFrame, max_bytes: int, size: str = "size", per: st
     earlier = totals.select("_bucket", F.coalesce(F.sum("_t").over(Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_e"))
     before = F.coalesce(F.sum(size).over(own), F.lit(0))
     return parts.withColumn("_b", before).join(earlier, "_bucket").withColumn("chunk", F.floor((F.col("_b") + F.col("_e")) / max_bytes).cast("long")).drop("_b", "_e", "_bucket")
+
+
+def roll(blocks: DataFrame, limit: int, size: str = "size", name: str = "chunk", bucket: int = 1_000_000) -> DataFrame:
+    """``blocks`` with exact greedy numbers ``name`` over the whole table: a group ends with the block at which its bytes exceed ``limit``.
+
+    Where a group that begins at a block ends follows from running sums: the next one begins at the first block whose sum before it
+    is more than ``limit`` greater. That block is searched among those whose sums lie in the same stretch of ``limit`` bytes, or it
+    is the first of the stretches beyond. The beginnings that the first block leads to are found by doubling: a round knows
+    twice as many and jumps twice as far, so rounds grow with the log of the groups. Tasks hold a bucket of heights or a stretch of
+    bytes; what joins them has a row a bucket, stretch or group. Null sizes are 0, heights are unique, other columns stay.
+    """
+    from blocklake.sources.shared import stored
+
+    height = F.col("block_number")
+    own = Window.partitionBy("_bucket").orderBy("block_number")
+    joined = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
+    sized = blocks.withColumns({"_bucket": F.floor(height / bucket), "_size": F.coalesce(F.col(size), F.lit(0)).cast("long")})
+    before = F.coalesce(F.sum("_size").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inner = sized.withColumns({"_i": F.row_number().over(own).cast("long") - 1, "_p": before})
+    zero = lambda c: F.coalesce(F.sum(c).over(joined), F.lit(0)).cast("long")
+    ahead = sized.groupBy("_bucket").agg(F.count("*").alias("_n"), F.sum("_size").alias("_t")).select("_bucket", zero("_n").alias("_i0"), zero("_t").alias("_p0"))
+    rows = stored(inner.join(ahead, "_bucket").withColumns({"_i": F.col("_i") + F.col("_i0"), "_p": (F.col("_p") + F.col("_p0")).cast("long")}).drop("_i0", "_p0", "_size"), "roll")
+
+    stretch = F.floor(F.col("_p") / limit).cast("long")
+    points = rows.select(stretch.alias("v"), F.col("_p").alias("at"), F.lit(1).alias("kind"), F.col("_i").alias("point"), F.lit(None).cast("long").alias("s"))
+    asked = rows.select((stretch + 1).alias("v"), (F.col("_p") + limit).alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("point"), F.col("_i").alias("s"))
+    larger = Window.partitionBy("v").orderBy(F.desc("at"), "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = points.unionByName(asked).withColumn("next", F.min("point").over(larger)).where("kind = 0")
+    beyond = Window.partitionBy(F.lit(0)).orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, -1)  # a row a stretch
+    firsts = points.unionByName(asked).groupBy("v").agg(F.min("point").alias("first")).select("v", F.min("first").over(beyond).alias("first"))
+    jump = stored(found.join(firsts, "v").select("s", F.coalesce("next", "first").alias("next")).where("next is not null"), "jumps")
+
+    starts = stored(rows.where("_i = 0").select(F.col("_i").alias("s")), "starts")
+    while True:
+        more = stored(starts.join(jump, "s").select(F.col("next").alias("s")), "starts")
+        if more.isEmpty():
+            break
+        starts = starts.unionAll(more)
+        then = jump.select(F.col("s").alias("next"), F.col("next").alias("then"))
+        jump = stored(jump.join(then, "next").select("s", F.col("then").alias("next")), "jumps")
+
+    marked = rows.join(starts.select(F.col("s").alias("_i"), F.lit(1).alias("_start")), "_i", "left")
+    counts = marked.groupBy("_bucket").agg(F.count("_start").alias("_n")).select("_bucket", zero("_n").alias("_g"))
+    nth = F.count("_start").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return marked.withColumn(name, nth).join(counts, "_bucket").withColumn(name, (F.col(name) + F.col("_g") - 1).cast("long")).select(*[F.col(f"`{c}`") for c in blocks.columns], name)

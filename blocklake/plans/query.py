@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from blocklake.functions import project as P
 from blocklake.operators import assemble, budget, predicates, ranges, relations
 from blocklake.plans.specs import ItemSpec, Model, RelSpec, ScanSpec
+from blocklake.sources.shared import stored
 
 MAX_REQUESTS = 100
 
@@ -245,6 +246,32 @@ def query(model: Model, tables: Callable[[str], DataFrame], request: dict, limit
     return assemble.assemble_blocks(shown, lists, header)
 
 
+def next_page(model: Model, tables: Callable[[str], DataFrame], request: dict, limit: int, chunks: DataFrame, page_bytes: int | None = None) -> tuple[DataFrame, int | None]:
+    """One page of a request, as ``block_number, value``, and its last height: the next page's ``fromBlock`` is one more; None at the end.
+
+    ``limit`` cuts blocks by weight within each chunk (see :func:`query`); the page ends where the first chunk is cut short, or, with
+    ``page_bytes``, with the block at which its bytes exceed that. Page after page gives what one request without limits gives,
+    but for the heights at ends of pages and chunks, which are always there. Two heights reach the driver.
+    """
+    found = stored(to_json(query(model, tables, request, limit, chunks=chunks)), "page")
+    first, last = request.get("fromBlock", 0), request.get("toBlock")
+    bounds = budget.chunk_ends(chunks, first, last).agg(F.max("block_number").alias("end")).first()["end"]
+    if bounds is None:
+        return found, None
+    # a chunk is whole if the last height of its part of the range is there; as in a cut, that is the first to go
+    parts = chunks.select(F.least("last_block", F.lit(last if last is not None else bounds)).cast("long").alias("e"), F.col("first_block").alias("b")).where(f"b <= {last if last is not None else bounds} AND e >= {first}")
+    reached = ranges.find_range(parts.select(F.lit("").alias("dataset"), F.col("b").alias("beg"), F.col("e").alias("end")), found.select(F.lit("").alias("dataset"), F.col("block_number").alias("n")))
+    ends = reached.groupBy("beg", "end").agg(F.max("n").alias("n"))
+    cut = ends.where(F.col("n") < F.col("end")).agg(F.min("n").alias("n")).first()["n"]
+    if page_bytes is not None:
+        pages = budget.roll(found.withColumn("size", F.octet_length("value")), page_bytes, name="page")
+        full = pages.where("page = 0").agg(F.max("block_number").alias("n")).first()["n"]
+        cut = full if cut is None else cut if full is None else min(cut, full)
+    if cut is None or cut >= bounds:
+        return found, None
+    return found.where(F.col("block_number") <= cut), cut
+
+
 def to_json(blocks: DataFrame) -> DataFrame:
     """Each block as one JSON text, nulls kept, in a column ``value``."""
     names = [c for c in blocks.columns if c != "block_number"]

@@ -875,6 +875,28 @@ def discriminators(lake):
     return I.discriminators(lake.table("orders").select(F.col("o_orderkey").alias("id"), data.alias("data"))).drop("data")
 
 
+_ROLL = """WITH RECURSIVE r AS (SELECT *, row_number() OVER (ORDER BY number) AS i FROM ({rows})), g AS (
+SELECT i, number, size, CAST(0 AS BIGINT) AS page, size AS total FROM r WHERE i = 1
+UNION ALL SELECT r.i, r.number, r.size, CASE WHEN g.total > {limit} THEN g.page + 1 ELSE g.page END, CASE WHEN g.total > {limit} THEN r.size ELSE g.total + r.size END FROM g JOIN r ON r.i = g.i + 1)"""
+_HEIGHTS = "SELECT datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS number, CAST(sum(o_orderkey % 1000) AS BIGINT) AS size FROM orders GROUP BY 1"
+
+
+def _height_sizes(lake):
+    return lake.transactions().groupBy("block_number").agg(F.sum(F.col("transaction_index") % 1000).cast("long").alias("size"))
+
+
+@query(_ROLL.format(rows=_HEIGHTS, limit=20_000) + " SELECT number AS block_number, page AS chunk FROM g")
+def assign_chunks_exact(lake):
+    """The greedy roll over all heights, exact without a task that holds them all."""
+    return B.assign_chunks(_height_sizes(lake), 20_000, exact=True, bucket=200).select("block_number", "chunk")
+
+
+@query(_ROLL.format(rows=_HEIGHTS, limit=20_000) + " SELECT page, min(number) AS first_block, max(number) AS last_block, count(*) AS blocks, '[' || string_agg(CAST(size AS VARCHAR), ',' ORDER BY number) || ']' AS body FROM g GROUP BY 1")
+def result_pages(lake):
+    values = _height_sizes(lake).select("block_number", F.col("size").cast("string").alias("value"), "size")
+    return sinks.result_pages(values, 20_000, size="size").drop("sha3")
+
+
 # streams, as batches
 
 

@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blocklake.functions.codecs import sha3_bytes
 from blocklake.functions.project import byte_size
 from blocklake.operators.assemble import sort_for_storage
-from blocklake.operators.budget import assign_chunks
+from blocklake.operators.budget import assign_chunks, roll
 from blocklake.operators.ingest import add_sizes
 from blocklake.plans.specs import TableSpec
 
@@ -103,3 +104,23 @@ def page_digests(pages: DataFrame) -> DataFrame:
     """``chunk, page, sha256`` of the JSON texts (``value``) of each page, joined in order of height; a page has bounded bytes."""
     ordered = F.array_sort(F.collect_list(F.struct("block_number", "value")))
     return pages.groupBy("chunk", "page").agg(ordered.alias("b")).select("chunk", "page", F.sha2(F.array_join(F.transform("b", lambda x: x["value"]), "\n"), 256).alias("sha256"))
+
+
+def result_pages(result: DataFrame, page_bytes: int, size: str | None = None) -> DataFrame:
+    """``page, first_block, last_block, blocks, body, sha3``: a result (``block_number, value``) as pages to be delivered.
+
+    A page ends with the block at which its bytes exceed ``page_bytes``; ``body`` is a JSON array of its blocks in order of height,
+    ``sha3`` the SHA3-256 of the body in hex, and ``last_block`` what the next request begins after. Exact over any number of blocks;
+    a page has bounded bytes but for its last block. No blocks give no pages.
+    """
+    sized = result.select("block_number", "value", (F.col(size) if size else F.octet_length("value")).cast("long").alias("size"))
+    paged = roll(sized, page_bytes, name="page")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("block_number", "value"))), lambda x: x["value"])
+    bodies = paged.groupBy("page").agg(F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"), F.count("*").alias("blocks"), F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]")).alias("body"))
+    return bodies.withColumn("sha3", F.lower(F.hex(sha3_bytes(F.encode("body", "UTF-8")))))
+
+
+def write_pages(pages: DataFrame, dest: str) -> None:
+    """Each page's body as gzip text in a folder ``page=<n>``, and the cursor table (all but the bodies) beside them in ``pages``."""
+    pages.select("page", "body").repartition("page").write.partitionBy("page").option("compression", "gzip").text(f"{dest}/bodies")
+    pages.drop("body").write.parquet(f"{dest}/pages")

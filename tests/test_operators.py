@@ -254,3 +254,33 @@ def test_top_folders_roll(spark):
     chunks = spark.createDataFrame([("a", 10 * i, 10 * i + 9) for i in range(7)], "dataset string, first_block long, last_block long")
     assert [r.top for r in budget.assign_tops(chunks, 3).orderBy("first_block").collect()] == [0, 0, 0, 30, 30, 30, 60]
     assert [r.top for r in budget.assign_tops(chunks, 3, last=69).orderBy("first_block").collect()] == [0, 0, 0, 30, 30, 30, 30]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_exact_roll_is_the_fold(spark, seed):
+    """Random sizes over many buckets: zeros, nulls, blocks beyond the limit, gaps between heights."""
+    r = random.Random(seed)
+    heights = sorted(r.sample(range(3000), 400))
+    rows = [(n, r.choice([0, 0, 1, 5, 30, 99, 100, 101, 700, None])) for n in heights]
+    want, total, at = {}, 0, 0
+    for n, size in rows:
+        want[n] = at
+        total += size or 0
+        if total > 100:
+            total, at = 0, at + 1
+    table = spark.createDataFrame(r.sample(rows, len(rows)), "block_number long, size long").withColumn("_mine", F.lit(1))
+    got = budget.roll(table, 100, bucket=50)
+    assert got.columns == ["block_number", "size", "_mine", "chunk"] and {x.block_number: x.chunk for x in got.collect()} == want
+    assert budget.roll(table.limit(0), 100).count() == 0
+
+
+def test_result_pages(spark, tmp_path):
+    values = [(n, json.dumps({"n": n, "é": "x" * (n % 40)})) for n in range(120)]
+    pages = sinks.result_pages(spark.createDataFrame(values[::-1], "block_number long, value string"), 300)
+    got = pages.orderBy("page").collect()
+    assert [b for p in got for b in json.loads(p.body)] == [json.loads(v) for _, v in values] and [p.page for p in got] == list(range(len(got)))
+    for p, after in zip(got, [*got[1:], None], strict=True):
+        assert p.sha3 == hashlib.sha3_256(p.body.encode()).hexdigest() and p.blocks == p.last_block - p.first_block + 1 and (after is None or after.first_block == p.last_block + 1)
+        assert after is None or len(p.body.encode()) > 300
+    sinks.write_pages(pages, str(tmp_path / "out"))
+    assert spark.read.text(str(tmp_path / "out" / "bodies")).count() == len(got) == spark.read.parquet(str(tmp_path / "out" / "pages")).count()

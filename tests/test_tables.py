@@ -10,7 +10,7 @@ from blocklake.functions import project as P
 from blocklake.functions.codecs import BASE58
 from blocklake.plans.chains import MODELS
 from blocklake.plans.chains.raw import RAW
-from blocklake.plans.query import query, to_json
+from blocklake.plans.query import next_page, query, to_json
 from blocklake.plans.tables import ingest, raw_schema
 from blocklake.sources import sinks
 from blocklake.sources.layout import read_table
@@ -239,3 +239,20 @@ def test_missing_members_and_no_blocks(spark, tmp_path):
 
 def test_base58_alphabet():
     assert len(set(BASE58)) == 58
+
+
+@pytest.mark.parametrize(("limit", "page_bytes"), [(3000, None), (1 << 40, 4000), (1, 1)])
+def test_page_after_page_is_the_whole(spark, lakes, limit, page_bytes):
+    model, (_, root) = MODELS["eth"], lakes["eth"]
+    tables = lambda t: read_table(spark, root, t)
+    request = {"logs": [{"topic0": ["0xt0"], "transaction": True}], "traces": [{"type": ["create"]}], "fields": {"transaction": {"input": True, "hash": True}, "log": {"data": True}, "trace": {"createFrom": True}}}
+    chunks = spark.createDataFrame([(100, 101), (102, 102)], "first_block long, last_block long")
+    whole = {r.block_number: r.value for r in to_json(query(model, tables, request | {"fromBlock": 0}, chunks=chunks)).collect()}
+    got, first, pages = {}, 0, 0
+    while first is not None:
+        page, end = next_page(model, tables, request | {"fromBlock": first}, limit, chunks, page_bytes)
+        rows = page.collect()
+        assert not got.keys() & {r.block_number for r in rows} and rows
+        got |= {r.block_number: r.value for r in rows}
+        first, pages = None if end is None else end + 1, pages + 1
+    assert got == whole and pages == (3 if limit == 1 or page_bytes == 1 else pages)
