@@ -85,29 +85,68 @@ def _related(items: DataFrame, keys: DataFrame, rel: RelSpec, item_key: list[str
     return found.select("block_number", *item_key)
 
 
-def selected(model: Model, item: ItemSpec, tables: Callable[[str], DataFrame], request: dict, limits: Column | None) -> DataFrame | None:
+class ScannedKeys:
+    """Keys that a request's scans find, by table: one pass over a table whatever number of scans and relations go by it.
+
+    A row's ``mask`` has a bit for each scan that selects it, and for each scan with a relation flag. A table that is asked for once is
+    scanned where it is needed; the keys of others are written to the shared folder when the plan is made, and read from there.
+    """
+
+    def __init__(self, model: Model, tables: Callable[[str], DataFrame], request: dict, limits: Column | None):
+        self.model, self.tables, self.limits = model, tables, limits
+        self.asked: dict[str, dict[tuple[str, str | None], Column | None]] = {}
+        self.columns: dict[str, dict[str, None]] = {}
+        self.made: dict[str, DataFrame] = {}
+        for item in model.items:
+            for name in item.scans:
+                self._ask(name, None, request.get(name) or [], list(model.tables[item.table].key))
+            for rel in item.relations:
+                self._ask(rel.scan, rel.flag, [r for r in request.get(rel.scan) or [] if r.get(rel.flag)], _scan_columns(rel))
+
+    def _ask(self, name: str, flag: str | None, requests: list[dict], columns: list[str]) -> None:
+        scan = self.model.scans[name]
+        if requests:  # all requests of one list are one filter
+            self.asked.setdefault(scan.table, {})[name, flag] = predicates.any_of([_condition(scan, r) for r in requests])
+            self.columns.setdefault(scan.table, {}).update(dict.fromkeys(columns))
+
+    def has(self, name: str, flag: str | None) -> bool:
+        return (name, flag) in self.asked.get(self.model.scans[name].table, {})
+
+    def of(self, name: str, flag: str | None, columns: list[str]) -> DataFrame:
+        """``block_number`` and columns of the rows that a scan finds, or those of its requests with a flag."""
+        table = self.model.scans[name].table
+        asked = self.asked[table]
+        if len(asked) == 1:
+            return predicates.scan(self.tables(table), [asked[name, flag]], columns, limits=self.limits)
+        if table not in self.made:
+            bits = [F.when(F.lit(True) if c is None else c, F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, c in enumerate(asked.values())]
+            rows = predicates.where(predicates.where(self.tables(table), self.limits), predicates.any_of(list(asked.values())))
+            self.made[table] = stored(rows.select("block_number", *self.columns[table], sum(bits[1:], bits[0]).alias("mask")), f"keys-{table}")
+        bit = 1 << list(asked).index((name, flag))
+        return self.made[table].where(F.col("mask").bitwiseAND(F.lit(bit).cast("long")) != 0).select("block_number", *columns)
+
+
+def _scan_columns(rel: RelSpec) -> list[str]:
+    """Columns of scanned rows that a relation goes by."""
+    return list(dict.fromkeys([b for _, b in rel.on] + ([rel.address[1]] if rel.address else [])))
+
+
+def selected(model: Model, item: ItemSpec, tables: Callable[[str], DataFrame], scanned: ScannedKeys, limits: Column | None) -> DataFrame | None:
     """The rows of an item table that a request asks for, or None if nothing in it does."""
-    asked_for = [s for s in item.scans if request.get(s)] or [r for rel in item.relations for r in request.get(rel.scan) or [] if r.get(rel.flag)]
-    if not asked_for:  # the table is not even opened
+    scans, flags = [n for n in item.scans if scanned.has(n, None)], [r for r in item.relations if scanned.has(r.scan, r.flag)]
+    if not scans and not flags:  # the table is not even opened
         return None
     key = list(model.tables[item.table].key)
     rows = predicates.where(tables(item.table), limits)
-    sources = []
-    for name in item.scans:
-        scan, asked = model.scans[name], request.get(name) or []
-        if asked:  # all requests of one list are one filter
-            sources.append(predicates.scan(tables(scan.table), [_condition(scan, r) for r in asked], key, limits=limits))
-    for rel in item.relations:
-        scan, asked = model.scans[rel.scan], [r for r in request.get(rel.scan) or [] if r.get(rel.flag)]
-        if asked:
-            extra = tuple(dict.fromkeys([b for _, b in rel.on] + ([rel.address[1]] if rel.address else [])))
-            keys = predicates.scan(tables(scan.table), [_condition(scan, r) for r in asked], [], extra, limits)
-            if rel.kind == "parent":
-                keys = relations.ref_parent(keys, [b for _, b in rel.on], [a for a, _ in rel.on])
-                own = [(a, a) for a, _ in rel.on]
-                sources.append(relations.join_children(rows, keys, own).select("block_number", *key) if {a for a, _ in own} != set(key) else keys.select("block_number", *key))
-            else:
-                sources.append(_related(rows, keys, rel, key))
+    sources = [scanned.of(name, None, key) for name in scans]
+    for rel in flags:
+        keys = scanned.of(rel.scan, rel.flag, _scan_columns(rel))
+        if rel.kind == "parent":
+            keys = relations.ref_parent(keys, [b for _, b in rel.on], [a for a, _ in rel.on])
+            own = [(a, a) for a, _ in rel.on]
+            sources.append(relations.join_children(rows, keys, own).select("block_number", *key) if {a for a, _ in own} != set(key) else keys.select("block_number", *key))
+        else:
+            sources.append(_related(rows, keys, rel, key))
     return relations.select_items(rows, sources, key)
 
 
@@ -209,7 +248,8 @@ def query(model: Model, tables: Callable[[str], DataFrame], request: dict, limit
     first, last = request.get("fromBlock", 0), request.get("toBlock")
     limits, asked = predicates.block_range(first, last), request.get("fields") or {}
     headers = predicates.where(tables("blocks"), predicates.block_range(first, last, "number"))
-    rows = {item: found for item in model.items if (found := selected(model, item, tables, request, limits)) is not None}
+    scanned = ScannedKeys(model, tables, request, limits)
+    rows = {item: found for item in model.items if (found := selected(model, item, tables, scanned, limits)) is not None}
     wanted = {item: P.selected_fields(item.mandatory, asked.get(item.entity, {})) for item in rows}
     header_fields = P.selected_fields(model.block_mandatory, asked.get("block", {}))
     if request.get("includeAllBlocks"):

@@ -811,6 +811,29 @@ def trace_members(lake):
     return lake.table("orders").select(F.col("o_orderkey").alias("id"), action.alias("action"))
 
 
+_KIND = "CASE o_orderstatus WHEN 'F' THEN 'call' WHEN 'O' THEN 'create' ELSE 'reward' END"
+
+
+@query(f"""SELECT o_orderkey AS id, '{{"transactionIndex":' || o_orderkey || ',"type":"' || {_KIND} || '"' || CASE {_KIND}
+WHEN 'call' THEN ',"action":{{"from":"' || o_custkey || '"}}' || CASE WHEN o_custkey % 2 = 0 THEN ',"result":{{"output":"' || o_orderpriority || '"}}' ELSE '' END
+WHEN 'create' THEN ',"action":' || CASE WHEN o_custkey % 2 = 0 THEN '{{"value":"' || o_custkey || '"}}' ELSE '{{}}' END ELSE '' END || '}}' AS j FROM orders""")
+def trace_json(lake):
+    """Traces as a request's result has them: members by the row's type inside action and result."""
+    kind = F.when(F.col("o_orderstatus") == "F", "call").when(F.col("o_orderstatus") == "O", "create").otherwise("reward")
+    even = lambda c: F.when(F.col("o_custkey") % 2 == 0, c)
+    rows = lake.table("orders").select(F.col("o_orderkey").alias("transaction_index"), kind.alias("type"), F.col("o_custkey").cast("string").alias("call_from"), even(F.col("o_orderpriority")).alias("call_result_output"), even(F.col("o_custkey").cast("string")).alias("create_value"))
+    return rows.select(F.col("transaction_index").alias("id"), build._trace(["transactionIndex", "type", "callFrom", "callResultOutput", "createValue"]).alias("j"))
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS type, CASE o_orderstatus WHEN 'F' THEN CAST(o_custkey AS VARCHAR) WHEN 'O' THEN CAST(o_custkey + 1 AS VARCHAR) END AS amount, CASE o_orderstatus WHEN 'F' THEN o_orderpriority WHEN 'P' THEN o_clerk END AS \"to\" FROM (SELECT *, o_orderpriority || '!' AS o_clerk FROM orders)")
+def variant_fields(lake):
+    """Members of a tagged union as a request's result has them: one name for those of all variants."""
+    of = lambda status, c: F.when(F.col("o_orderstatus") == status, c)
+    rows = lake.table("orders").select(F.col("o_orderkey").alias("index"), F.col("o_orderstatus").alias("type"), of("F", F.col("o_custkey")).alias("coin_amount"), of("O", F.col("o_custkey") + 1).alias("change_amount"), of("F", F.col("o_orderpriority")).alias("coin_to"), of("P", F.concat("o_orderpriority", F.lit("!"))).alias("variable_to"))
+    made = build._variant(["index", "type", "coinAmount", "changeAmount", "coinTo", "variableTo"])
+    return rows.select(made["index"].alias("id"), *[made[c].alias(c) for c in ("type", "amount", "to")])
+
+
 @query("SELECT doc_id AS id, CAST(length(replace(text, chr(10), '')) AS BIGINT) AS n FROM documents")
 def list_size(lake):
     return lake.table("documents").select(F.col("doc_id").alias("id"), P.list_size(F.split("text", "\n")).alias("n"))

@@ -1,6 +1,7 @@
 """Raw blocks of each chain to tables, to files of a lake, and back by a request."""
 
 import json
+from collections import Counter
 
 import pyarrow.parquet as pq
 import pytest
@@ -256,3 +257,22 @@ def test_page_after_page_is_the_whole(spark, lakes, limit, page_bytes):
         got |= {r.block_number: r.value for r in rows}
         first, pages = None if end is None else end + 1, pages + 1
     assert got == whole and pages == (3 if limit == 1 or page_bytes == 1 else pages)
+
+
+def test_many_scans_of_a_table_are_one_pass(spark, lakes):
+    """Six kinds of events with three relations each: one pass over events finds all keys, one more reads the items."""
+    model, (_, root) = MODELS["substrate"], lakes["substrate"]
+    opened = Counter()
+
+    def tables(name):
+        opened[name] += 1
+        return read_table(spark, root, name)
+
+    events = ("events", "evmLogs", "contractsEvents", "gearMessagesEnqueued", "gearUserMessagesSent", "reviveContractEmitted")
+    flags = {"call": True, "stack": True, "extrinsic": True}
+    request = {"fromBlock": 0, "fields": {"event": {"name": True}, "call": {"name": True}}} | {s: [flags] for s in events}
+    blocks = query(model, tables, request)
+    assert opened["events"] == 2
+    got = [json.loads(r.value) for r in to_json(blocks).orderBy("block_number").collect()]
+    assert [([e["name"] for e in b["events"]], [c["name"] for c in b["calls"]], len(b["extrinsics"])) for b in got] == [(["EVM.Log", "Balances.Transfer"], ["Utility.batch", "Ethereum.transact"], 1)] * 2
+    assert blocks._jdf.queryExecution().executedPlan().toString().count("events.parquet") <= 2
