@@ -22,7 +22,7 @@ def _listed(spark: SparkSession, pattern: str) -> list[str]:
 def tops_of(spark: SparkSession, root: str, first: int | None = None, last: int | None = None) -> list[str]:
     """Names of the top folders, in order, that may have heights of a range: a top reaches up to where the next one begins."""
     names = sorted(n for n in (p.rpartition("/")[2] for p in _listed(spark, f"{root}/*")) if len(n) == 10 and n.isdigit())
-    after = [*map(int, names[1:]), None]
+    after = [*map(int, names[1:]), None] if names else []  # a lake without chunks has no tops
     return [n for n, end in zip(names, after, strict=True) if (last is None or int(n) <= last) and (first is None or end is None or end >= first)]
 
 

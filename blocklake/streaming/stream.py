@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -186,3 +186,66 @@ def ingest_stream(stream: DataFrame, checkpoint: str, flatten: Callable[[DataFra
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def roll_chunks(spark: SparkSession, raw, root: str, work: str, schema, chunk_bytes: int, top_dir_size: int = 500, flush: bool = False) -> int:
+    """Moves whole chunks from the buffer below ``work`` to the lake below ``root``; how many. With ``flush`` the last one too, however small.
+
+    What the lake has decides where the next chunk begins, and chunks appear by one rename each, so a run that ended anywhere is
+    taken up by the next one, with the same bounds. A height that was buffered twice counts as it came last. Rows a chunk, not
+    blocks, reach the driver.
+    """
+    from blocklake.operators.budget import roll
+    from blocklake.plans.tables import KINDS, ingest
+    from blocklake.sources import layout, sinks
+    from blocklake.sources.shared import stored
+
+    known = layout.chunk_catalog(spark, root)
+    have = known.agg(F.count("*").alias("n"), F.max("last_block").alias("last"), F.max("top").alias("top")).first()
+    place, _, _ = raw.height.rpartition(".")
+    member = lambda name: F.col(f"{place}.{name}" if place else name)
+    height = KINDS[raw.height_kind][1](F.col(raw.height)).cast("long")
+    buffered = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, batch long").parquet(f"{work}/buffer").withColumn("block_number", height)
+    open_rows = buffered.where(F.col("block_number") > have["last"]) if have["last"] is not None else buffered
+    latest = Window.partitionBy("block_number").orderBy(F.desc("batch"))
+    blocks = open_rows.withColumn("_nth", F.row_number().over(latest)).where("_nth = 1").drop("_nth", "batch").withColumn("_bytes", F.octet_length(F.to_json(F.struct(*[f"`{f.name}`" for f in schema]))))
+    rolled = stored(roll(blocks, chunk_bytes, "_bytes", "chunk"), "rolled")
+    digits = F.right(member("hash"), F.lit(5))
+    ends = rolled.groupBy("chunk").agg(F.min("block_number").alias("first_block"), F.max("block_number").alias("last_block"), F.max_by(digits, "block_number").alias("last_hash"), F.sum("_bytes").alias("bytes")).orderBy("chunk").collect()
+    whole = [r for r in ends if flush or r["bytes"] > chunk_bytes]
+    if whole:
+        top, rows = have["top"], []
+        for k, r in enumerate(whole, have["n"]):
+            top = r["first_block"] if k % top_dir_size == 0 else top
+            rows.append((r["chunk"], top, r["first_block"], r["last_block"], r["last_hash"]))
+        chunks = spark.createDataFrame(rows, "chunk long, top long, first_block long, last_block long, last_hash string")
+        chunk_of = rolled.where(F.col("chunk") <= whole[-1]["chunk"]).select(F.col("block_number").cast("int").alias("_n"), "chunk")
+        own = ingest(raw, rolled.where(F.col("chunk") <= whole[-1]["chunk"]).select(*[f"`{f.name}`" for f in schema]), keep=False)
+        tables = {n: t.join(chunk_of, t["number" if n == "blocks" else "block_number"] == chunk_of["_n"]).drop("_n") for n, t in own.items()}
+        sinks.write_lake(tables, raw.model.tables | {"blocks": raw.model.block}, chunks, root, rules={r.table: r for r in raw.tables})
+    done = whole[-1]["last_block"] if whole else have["last"]
+    if done is not None:  # batches that are in the lake whole
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(work).getFileSystem(spark._jsc.hadoopConfiguration())
+        for r in buffered.groupBy("batch").agg(F.max("block_number").alias("n")).where(F.col("n") <= done).toLocalIterator():  # names
+            fs.delete(path(f"{work}/buffer/batch={r['batch']}"), True)
+    return len(whole)
+
+
+def rolling_ingest(stream: DataFrame, raw, root: str, work: str, chunk_bytes: int = 1 << 30, top_dir_size: int = 500, flush: bool = True) -> None:
+    """Raw blocks of a stream, to its end, as chunks of a lake that :func:`blocklake.sources.layout.read_table` reads.
+
+    Blocks wait in a buffer over batches until a chunk of ``chunk_bytes`` of JSON is full; what is left at the end is a chunk of its
+    own with ``flush``, or waits for the next run. A batch that is done again replaces itself in the buffer. Batches come in order of
+    height but for repeats: what comes at or below the last height of the lake is taken for one. ``work`` holds the buffer and the
+    stream's checkpoint and is to be used for this lake alone.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{work}/buffer/batch={batch_id}")
+        roll_chunks(spark, raw, root, work, schema, chunk_bytes, top_dir_size)
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    if flush:
+        roll_chunks(spark, raw, root, work, schema, chunk_bytes, top_dir_size, flush=True)

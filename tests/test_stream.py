@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import json
+import os
 from collections import Counter
 
 from blocklake.operators import ingest
+from blocklake.plans.chains.raw import RAW
+from blocklake.plans.tables import raw_schema
+from blocklake.sources import layout, sinks
+from blocklake.sources.layout import read_table
 from blocklake.streaming import stream as S
 
 SCHEMA = "chain string, number long, hash string, parent_hash string, ts timestamp, transactions array<struct<hash:string>>"
@@ -99,3 +104,40 @@ def test_continuity_over_batches_in_any_order(spark, tmp_path):
     ])
     kinds = [[(r[1], r[2], r[3], r[4]) for r in rows] for rows in got]
     assert kinds == [[], [], [(7, "h7", "x7", "fork")], [(7, "x7", "y7", "fork")], [(9, "8", "9", "gap")], [(13, "h12", "off", "broken")]]
+
+
+def test_rolling_ingest_survives_a_stop_anywhere(spark, tmp_path, monkeypatch):
+    """Blocks over several batches, one batch twice; stopped within a chunk, after a chunk's rename, and before the clean-up."""
+    raw = RAW["substrate"]
+    make = lambda n: {"header": {"height": n, "hash": f"0xh{n:05d}", "parentHash": f"0xh{n - 1:05d}"}, "events": [{"index": i, "name": "E" * (n % 7), "args": {"n": n}, "phase": "x"} for i in range(n % 4)]}
+    source, root, work = tmp_path / "in", str(tmp_path / "lake"), str(tmp_path / "work")
+    source.mkdir()
+    for k, heights in enumerate([range(0, 9), range(9, 20), range(15, 24), range(24, 30)]):
+        (source / f"{k}.json").write_text("".join(json.dumps(make(n)) + "\n" for n in heights))
+        os.utime(source / f"{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))  # files come in this order
+    stream = lambda: spark.readStream.schema(raw_schema(raw)).option("maxFilesPerTrigger", 1).json(str(source))
+    write, calls = sinks.write_lake, []
+
+    def stopped(tables, specs, chunks, *a, **k):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("stopped before any chunk")
+        write(tables, specs, chunks.orderBy("chunk").limit(1) if len(calls) == 2 else chunks, *a, **k)
+        if len(calls) in (2, 3):
+            raise RuntimeError("stopped after chunks were moved")
+
+    monkeypatch.setattr(sinks, "write_lake", stopped)
+    for _ in range(6):
+        try:
+            S.rolling_ingest(stream(), raw, root, work, chunk_bytes=700, top_dir_size=2)
+            break
+        except Exception as e:  # noqa: BLE001
+            assert "stopped" in str(e)
+    assert len(calls) > 3
+    assert sorted(r.number for r in read_table(spark, root, "blocks").collect()) == list(range(30))
+    assert Counter(r.block_number for r in read_table(spark, root, "events").collect()) == Counter({n: n % 4 for n in range(30) if n % 4})
+    found = layout.chunk_catalog(spark, root).orderBy("first_block").collect()
+    assert len(found) > 3 and all(a.last_block + 1 == b.first_block for a, b in zip(found, found[1:], strict=False)) and layout.validate_layout(layout.chunk_catalog(spark, root)).count() == 0
+    assert [r.top for r in found] == [found[k // 2 * 2].first_block for k in range(len(found))] and all(r.last_hash == f"{r.last_block:05d}" for r in found)
+    S.rolling_ingest(stream(), raw, root, work, chunk_bytes=700, top_dir_size=2)  # nothing new
+    assert layout.chunk_catalog(spark, root).count() == len(found)
