@@ -933,10 +933,12 @@ def finalized_blocks(lake):
     return S.finalized(lake.table("events").withColumnRenamed("event_id", "number"), 10, "event_type").select(F.col("number").alias("event_id"), "event_type")
 
 
-def _streamed(lake, path: str, rows: DataFrame) -> tuple[DataFrame, str]:
-    """A table as a stream of files in the shared folder: written once, then read as they come."""
+def _streamed(lake, path: str, rows: DataFrame, parts: int = 1) -> tuple[DataFrame, str]:
+    """A table as a stream of files in the shared folder: written in as many parts by height, one after the other, then read as they came."""
     source = f"{shared_dir(lake.spark)}/{path}-{uuid.uuid4().hex}"
-    rows.write.parquet(source)
+    stretch = F.floor(F.col("number") * parts / F.lit((rows.agg(F.max("number")).first()[0] or 0) + 1)) if parts > 1 else F.lit(0)
+    for k in range(parts):
+        (rows.where(stretch == k).coalesce(1) if parts > 1 else rows).write.mode("append").parquet(source)
     return lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source), source
 
 
@@ -949,7 +951,7 @@ def _event_blocks(lake) -> DataFrame:
 @query("SELECT event_type AS chain, event_id AS number, CAST(event_id AS VARCHAR) AS hash FROM (SELECT *, max(event_id) OVER (PARTITION BY event_type) AS tip FROM events) WHERE event_id <= tip - 10")
 def finalized_stream(lake):
     """Events once they lie ten below the tip of their type, from a stream in several batches that brings some twice."""
-    stream, source = _streamed(lake, "finality", _event_blocks(lake).repartitionByRange(4, "number"))
+    stream, source = _streamed(lake, "finality", _event_blocks(lake), parts=4)
     return S.run_to_end(S.finalized_stream(stream, 10), f"{source}-out", f"{source}-state")
 
 
