@@ -20,7 +20,7 @@ from blocklake.plans.chains.raw import RAW
 from blocklake.plans.specs import TableSpec
 from blocklake.plans.tables import ingest as tables_of_chain
 from blocklake.plans.tables import raw_schema
-from blocklake.sources import layout, sinks
+from blocklake.sources import footers, layout, sinks
 from blocklake.sources.adapter import Lake, with_lake
 from blocklake.sources.shared import shared_dir
 from blocklake.streaming import stream as S
@@ -523,6 +523,44 @@ def lake_round_trip(lake):
     return layout.read_table(lake.spark, root, "logs", 150, 1250, ["block_number", "transaction_index", "log_index", "address"])
 
 
+def _logs_lake(lake) -> str:
+    """The logs as a lake of their own."""
+    root = f"{shared_dir(lake.spark)}/lake-{uuid.uuid4().hex}"
+    rows = lake.logs().withColumn("chunk", F.floor(F.col("block_number") / 100).cast("long"))
+    specs = {"logs": TableSpec("logs", ("transaction_index", "log_index"), {}, ("address",))}
+    sinks.write_lake({"logs": rows}, specs, lake.catalog().withColumn("last_hash", F.lower(F.hex("last_block"))), root)
+    return root
+
+
+_FOOTERS = {"address": "bigint", "data_size": "bigint", "topic0": "string", "topic2": "string"}
+
+
+@query(
+    "SELECT first_block, c.* FROM catalog JOIN (" + " UNION ALL ".join(
+        f"SELECT block_number // 100 AS chunk, '{c}' AS \"column\", '{kind}' AS type, count(*) AS rows, count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high FROM (SELECT *, CAST(NULL AS VARCHAR) AS topic2 FROM logs) GROUP BY 1"
+        for c, kind in _FOOTERS.items()
+    ) + ") c USING (chunk)", "catalog", "logs",
+)
+def footer_catalog(lake):
+    """What the footers of a lake's logs tell of each chunk's columns."""
+    told = footers.columns_of_chunks(footers.footers(lake.spark, _logs_lake(lake), "logs")).where(F.col("column").isin(list(_FOOTERS)))
+    place = F.regexp_extract("path", f"/{layout.CHUNK}$", 2).cast("long")
+    end = lambda side: F.coalesce(F.col(f"{side}_long").cast("string"), F.col(f"{side}_text")).alias(side)
+    return told.select(place.alias("first_block"), (F.floor(place / 100)).cast("long").alias("chunk"), "column", "type", "rows", "nulls", end("low"), end("high"))
+
+
+@query(" UNION ALL ".join(f"SELECT 'logs' AS \"table\", '{c}' AS \"column\", '{kind}' AS type, count(*) > count({c}) AS nullable, count(*) - count({c}) AS nulls FROM (SELECT *, CAST(NULL AS VARCHAR) AS topic2 FROM logs)" for c, kind in _FOOTERS.items()), "logs")
+def footer_metadata(lake):
+    """Types and nulls of the logs' columns, from footers alone."""
+    return footers.metadata({"logs": footers.footers(lake.spark, _logs_lake(lake), "logs")}).where(F.col("column").isin(list(_FOOTERS)))
+
+
+@query("SELECT block_number, transaction_index, log_index, address FROM logs WHERE transaction_index BETWEEN 100 AND 160 AND topic0 >= 'N'", "logs")
+def skip_by_footers(lake):
+    """Logs of some transactions, from the chunks that may have them."""
+    return layout.read_table(lake.spark, _logs_lake(lake), "logs", columns=["block_number", "transaction_index", "log_index", "address"], within={"transaction_index": (100, 160), "topic0": ("N", None)})
+
+
 @query("SELECT number, CAST(day AS VARCHAR) AS day FROM blocks WHERE number BETWEEN 150 AND 1250", "blocks")
 def raw_round_trip(lake):
     """Blocks as gzip JSON lines, a folder for each megabyte or so, and a range of them read back."""
@@ -975,6 +1013,17 @@ def progress_rate(lake):
     return rate.select("chain", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), F.round(F.col("rate") * 1000).cast("long").alias("milli_rate"))
 
 
+@query("""SELECT t.event_type AS chain, t.number, least(t.k, 11) AS samples, CAST(round(coalesce((t.number - f.number) / nullif(t.sec - f.sec, 0), 0) * 1000000) AS BIGINT) AS micro_rate FROM last t JOIN heights f ON f.event_type = t.event_type AND f.k = greatest(t.k - 10, 1)""", "last")
+def sample_rate(lake):
+    """Events a second of each type over its last ten intervals of over an hour, from a stream in four batches."""
+    nth = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
+    rows = lake.table("events").select(F.col("event_type").alias("chain"), nth.cast("long").alias("number"), F.col("ts").cast("timestamp").alias("ts"))
+    stream, source = _streamed(lake, "samples", rows, parts=4)
+    out = S.run_to_end(S.sample_rate_stream(stream, "number", "ts", "chain", samples=10, gap=3600), f"{source}-out", f"{source}-state")
+    last = out.groupBy("chain").agg(F.max_by(F.struct("number", "samples", "rate"), "number").alias("r"))
+    return last.select("chain", "r.number", F.col("r.samples").cast("long").alias("samples"), F.round(F.col("r.rate") * 1_000_000).cast("long").alias("micro_rate"))
+
+
 @query("SELECT event_type AS chain, max(event_id) AS latest, CAST(max(value * 1000) AS BIGINT) AS worst FROM events GROUP BY 1")
 def delivery_delay(lake):
     e = lake.table("events").withColumn("seen", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.round(F.col("value") * 1_000_000).cast("long")))

@@ -71,8 +71,13 @@ SQL = {
     "catalog": "SELECT 'orders' AS dataset, (chunk // 5) * 500 AS top, min(number) AS first_block, max(number) AS last_block, chunk FROM blocks GROUP BY chunk",
     "ra": "SELECT c_mktsegment AS dataset, c_custkey * 11 AS beg, c_custkey * 11 + c_nationkey * 3 % 50 AS \"end\" FROM customer",
     "rb": "SELECT c_mktsegment AS dataset, c_custkey * 11 + 7 AS beg, c_custkey * 11 + 7 + c_nationkey * 7 % 40 AS \"end\" FROM customer",
+    # samples of the events of a type that lie over an hour apart (the second one at any time after the first), and how many events each saw
+    "seen": "SELECT event_type, epoch_us(CAST(ts AS TIMESTAMP)) / 1000000 AS sec FROM events",
+    "sample": "SELECT event_type, min(sec) AS sec, CAST(1 AS BIGINT) AS k FROM seen GROUP BY 1 UNION ALL SELECT s.event_type, min(e.sec), s.k + 1 FROM sample s JOIN seen e ON e.event_type = s.event_type AND e.sec > s.sec + CASE WHEN s.k = 1 THEN 0 ELSE 3600 END GROUP BY s.event_type, s.k",
+    "heights": "SELECT event_type, k, sec, (SELECT count(*) FROM seen e WHERE e.event_type = s.event_type AND (s.next IS NULL OR e.sec < s.next)) AS number FROM (SELECT *, lead(sec) OVER (PARTITION BY event_type ORDER BY k) AS next FROM sample) s",
+    "last": "SELECT * FROM heights QUALIFY k = max(k) OVER (PARTITION BY event_type)",
 }
-NEEDS = {"catalog": ("blocks",)}
+NEEDS = {"catalog": ("blocks",), "last": ("seen", "sample", "heights")}
 
 
 def with_lake(sql: str, *names: str) -> str:

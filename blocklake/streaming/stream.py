@@ -168,6 +168,48 @@ def progress_rate(df: DataFrame, number: str, ts: str, chain: str, window: str =
     return rows.groupBy(F.col(chain).alias("chain"), F.window(ts, window, slide)).agg(((F.max(number) - F.min(number)) / seconds).alias("rate")).select("chain", F.col("window.start").alias("start"), "rate")
 
 
+class _Samples(StatefulProcessor):
+    """Of one chain: the last samples of its progress, oldest first."""
+
+    def __init__(self, chain: str, keep: int, gap: float):
+        self.chain, self.keep, self.gap = chain, keep, gap
+
+    def init(self, handle) -> None:
+        self.ring = handle.getListState("ring", "number long, at double")
+
+    def handleInputRows(self, key, rows, timers):  # noqa: N802
+        ring = [[r[0], r[1]] for r in self.ring.get()] if self.ring.exists() else []
+        seen = pd.concat([pdf[["number", "at"]] for pdf in rows]).dropna().sort_values(["at", "number"])
+        for n, at in zip(seen["number"].tolist(), seen["at"].tolist(), strict=True):
+            if not ring:
+                ring.append([int(n), at])
+                continue
+            last = ring[-1]
+            n = max(int(n), last[0])
+            if at <= last[1] + (self.gap if len(ring) > 1 else 0):
+                last[0] = n
+            else:
+                ring = [*ring, [n, at]][-self.keep :]
+        if ring:
+            self.ring.put([tuple(r) for r in ring])
+            (n0, t0), (n1, t1) = ring[0], ring[-1]
+            yield pd.DataFrame([(key[0], n1, t1, len(ring), (n1 - n0) / (t1 - t0) if len(ring) > 1 else 0.0)], columns=[self.chain, "number", "at", "samples", "rate"])
+
+
+def sample_rate_stream(stream: DataFrame, number: str, ts: str, chain: str, samples: int = 10, gap: float = 1.0) -> DataFrame:
+    """``chain, number, at, samples, rate`` after each batch: heights a second over the last ``samples`` intervals between samples.
+
+    A report (a height and when it was seen) makes a new sample if it comes more than ``gap`` seconds after the last one, else it only
+    raises the last one's height; the second sample may come at any time after the first. So times without reports count in full, and
+    heights never fall. A batch's reports count in order of time; what comes later with an earlier time raises the last sample. ``at`` is
+    the last sample's time in seconds; one sample has the rate 0; reports with a null are no reports. State is ``samples + 1`` pairs a chain.
+    """
+    seen = F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000
+    reports = stream.select(F.col(chain).cast("string").alias("chain"), F.col(number).cast("long").alias("number"), seen.alias("at"))
+    schema = "chain string, number long, at double, samples int, rate double"
+    return reports.groupBy("chain").transformWithStateInPandas(_Samples("chain", samples + 1, gap), schema, "Append", "None")
+
+
 def delivery_delay(df: DataFrame, number: str, made: str, seen: str, chain: str) -> DataFrame:
     """``chain, latest, latest_seconds, worst_seconds``: how long after they were made blocks were seen."""
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))

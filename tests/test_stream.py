@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 from collections import Counter
 
 from blocklake.operators import ingest
@@ -141,3 +142,40 @@ def test_rolling_ingest_survives_a_stop_anywhere(spark, tmp_path, monkeypatch):
     assert [r.top for r in found] == [found[k // 2 * 2].first_block for k in range(len(found))] and all(r.last_hash == f"{r.last_block:05d}" for r in found)
     S.rolling_ingest(stream(), raw, root, work, chunk_bytes=700, top_dir_size=2)  # nothing new
     assert layout.chunk_catalog(spark, root).count() == len(found)
+
+
+def test_sample_rates_are_those_of_a_fold(spark, tmp_path):
+    """Irregular and idle times, repeats, heights that fall, reports too late."""
+    rng = random.Random(5)
+    at, batches = 0, []
+    for _ in range(5):
+        rows = []
+        for _ in range(40):
+            at += rng.choice([0, 100, 300, 900, 1000, 1001, 2500, 60_000])
+            rows.append((rng.choice("ab"), at // 300 + rng.randrange(-3, 4), at - rng.choice([0, 0, 0, 5000])))
+        batches.append(rows)
+    batches[1].append((None, 3, 10)), batches[2].append(("a", None, at)), batches[3].append(("only", 7, 3))
+    want = []
+    rings = {}
+    for rows in batches:
+        for c in sorted({r[0] for r in rows}, key=str):
+            ring = rings.setdefault(c, [])
+            for t, n in sorted((t, n) for k, n, t in rows if k == c and n is not None):
+                if ring and (n := max(n, ring[-1][0])) is not None and t <= ring[-1][1] + (1000 if len(ring) > 1 else 0):
+                    ring[-1] = (n, ring[-1][1])
+                else:
+                    ring.append((n, t))
+            last = ring[-11:]
+            want.append((c, last[-1][0], last[-1][1] * 1000, len(last), round((last[-1][0] - last[0][0]) / max(1, last[-1][1] - last[0][1]) * 1e9)))
+    schema, seen = "chain string, number long, ts timestamp", Counter()
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "chain string, number long, ms long").selectExpr("chain", "number", "timestamp_millis(ms) AS ts").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        out = S.run_to_end(S.sample_rate_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), "number", "ts", "chain"), f"{tmp_path}/out", f"{tmp_path}/ck")
+        seen = Counter((r.chain, r.number, round(r.at * 1_000_000), r.samples, round(r.rate * 1_000_000)) for r in out.collect())
+    assert seen == Counter(want)
+
+
+def test_sample_rates_of_nothing(spark, tmp_path):
+    spark.createDataFrame([], "chain string, number long, ts timestamp").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("chain string, number long, ts timestamp").parquet(f"{tmp_path}/in")
+    assert S.run_to_end(S.sample_rate_stream(stream, "number", "ts", "chain"), f"{tmp_path}/out", f"{tmp_path}/ck").count() == 0
