@@ -22,13 +22,16 @@ BOILERPLATE = (
 )
 #: Ends of a sentence; a line of one to three words without one is taken for navigation.
 SENTENCE_END = r"[.!?…:;。！？][\"'”’»)\]]*\s*$"
+#: What a link has, marks of which a tenth makes a line symbols, and bars between links.
+LINKS = ("http://", "https://", "www.")
+MARKS, BARS = "#*$%&|<>{}\\^~=", "|»›•·"
 #: A notice or a link has at most so many characters.
 SHORT_LINE = 240
 
 
 def words_of(text: Column) -> Column:
-    """All words: the six white space characters become blanks, and a split at one blank needs no regular expression."""
-    return F.filter(F.split(F.translate(text, "\t\n\x0b\x0c\r", "     "), " "), lambda w: w != "")
+    """All words: the text split at runs of the six white space characters, without what an end of the text leaves empty."""
+    return F.array_remove(F.split(text, f"[{SPACE}]+"), "")
 
 
 def repeated_words(words: Column) -> Column:
@@ -38,10 +41,8 @@ def repeated_words(words: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.size(hashes) - 3), lambda i: F.xxhash64(hashes[i], hashes[i + 1], hashes[i + 2]))
 
     def starts(ordered: Column) -> Column:
-        near = lambda i: F.get(ordered, i)["h"]
-        same = lambda i, j: F.coalesce(near(i) == near(j), F.lit(False))
-        twice = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: same(i, i - 1) | same(i, i + 1))
-        return F.sort_array(F.transform(twice, lambda i: ordered[i]["p"]))
+        twice = F.filter(ordered, lambda x, i: (x["h"] == F.get(ordered, i - 1)["h"]) | (x["h"] == F.get(ordered, i + 1)["h"]))  # null beyond the ends
+        return F.sort_array(F.transform(twice, lambda x: x["p"]))
 
     def covered(at: Column) -> Column:
         start = F.struct(F.lit(0).cast("int").alias("end"), F.lit(0).cast("long").alias("n"))
@@ -57,21 +58,39 @@ def repeated_words(words: Column) -> Column:
 
 
 def count_of(text: Column, signs: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, signs, ""))
-
-
-def line_fails(line: Column) -> Column:
-    """A line that is symbols, a row of links, a notice, or one to three words with no end of a sentence."""
-    symbols = count_of(line, "#*$%&|<>{}\\^~=") * 10 >= F.length(line)
-    bars = count_of(line, "|»›•·")
-    lower = F.lower(line)
-    notice = lower.contains(BOILERPLATE[0])
-    for phrase in BOILERPLATE[1:]:
-        notice = notice | lower.contains(phrase)
-    link = lower.contains("http://") | lower.contains("https://") | lower.contains("www.")
+    """How many characters are one of ``signs``; texts without any are told by one search."""
+    return F.when(text.rlike(_any(signs)), F.length(text) - F.length(F.translate(text, signs, ""))).otherwise(F.lit(0))
+
+
+def _any(signs: str) -> str:
+    return "[" + "".join(f"\\{c}" for c in signs) + "]"
+
+
+def with_phrase(text: Column) -> Column:
+    """Whether a notice's phrase or a link is in the text, in lower case: if not, none is in any of its lines."""
+    found = text.contains(LINKS[0])
+    for phrase in (*LINKS[1:], *BOILERPLATE):
+        found = found | text.contains(phrase)
+    return found
+
+
+def line_fails(line: Column, phrased: Column) -> Column:
+    """A line that is symbols, a row of links, a notice, or one to three words with no end of a sentence.
+
+    ``phrased``: whether its text has a phrase or link at all. Cheap tests come first, so that most lines meet no other.
+    """
     n_words = F.regexp_count(line, F.lit(f"[^{SPACE}]+"))
-    short = ((link & (n_words <= 6)) | notice | (bars >= 1) & (n_words <= 12)) | ((n_words < 4) & ~line.rlike(SENTENCE_END))
-    return symbols | (bars >= 3) | ((F.length(line) <= SHORT_LINE) & short)
+
+    def notice(lower: Column) -> Column:
+        found = (lower.contains(LINKS[0]) | lower.contains(LINKS[1]) | lower.contains(LINKS[2])) & (n_words <= 6)
+        for phrase in BOILERPLATE:
+            found = found | lower.contains(phrase)
+        return found
+
+    symbols = line.rlike(_any(MARKS)) & (count_of(line, MARKS) * 10 >= F.length(line))
+    barred = line.rlike(_any(BARS)) & ((count_of(line, BARS) >= 3) | ((F.length(line) <= SHORT_LINE) & (n_words <= 12)))
+    short = (phrased & let(F.lower(line), notice)) | (~line.rlike(SENTENCE_END) & (n_words < 4))
+    return symbols | barred | ((F.length(line) <= SHORT_LINE) & short)
 
 
 def quality_rules(docs: DataFrame, text: str = "text", max_lost_percent: int = 50) -> DataFrame:
@@ -83,11 +102,11 @@ def quality_rules(docs: DataFrame, text: str = "text", max_lost_percent: int = 5
     """
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(f"[^{SPACE}]"))
+    judged = lambda x, phrased: F.transform(x, lambda line: F.struct(line.alias("line"), line_fails(line, phrased).alias("bad")))
     figures = F.struct(
-        F.length(F.translate(body, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         count_of(body, SYMBOLS).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup"), F.transform(x, lambda line: F.struct(line.alias("line"), line_fails(line).alias("bad"))).alias("each"))).alias("lines"),
-        let(words_of(body), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("repeated"))).alias("w"),
+        let(let(F.lower(body), with_phrase), lambda phrased: let(lines, lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup"), judged(x, phrased).alias("each")))).alias("lines"),
+        let(words_of(body), lambda w: F.struct(F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"), repeated_words(w).alias("repeated"))).alias("w"),
     )
     own = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_words", "base_failed", "kept", "clean_text"}
     rest = [c for c in docs.columns if c not in own]
@@ -98,7 +117,7 @@ def quality_rules(docs: DataFrame, text: str = "text", max_lost_percent: int = 5
     lost = F.aggregate(F.filter(each, lambda x: x["bad"]), F.lit(0).cast("long"), lambda s, x: s + F.regexp_count(x["line"], F.lit(f"[^{SPACE}]+")))
     failed = (n < MIN_WORDS) | (repeated * 100 > n * MAX_REPEAT_PERCENT)
     return one.select(
-        *[F.col(f"`{c}`") for c in rest], n.alias("n_words"), F.col(f"{f}.word_chars").alias("word_chars"), F.col(f"{f}.n_symbols").alias("n_symbols"), F.col(f"{f}.lines.n_dup").alias("n_dup_lines"),
+        *[F.col(f"`{c}`") for c in rest], n.alias("n_words"), F.col(f"{f}.w.chars").alias("word_chars"), F.col(f"{f}.n_symbols").alias("n_symbols"), F.col(f"{f}.lines.n_dup").alias("n_dup_lines"),
         repeated.alias("n_repeat_words"), lost.alias("lost_words"), failed.alias("base_failed"), (~failed & (lost * 100 <= n * max_lost_percent)).alias("kept"),
         F.array_join(F.transform(F.filter(each, lambda x: ~x["bad"]), lambda x: x["line"]), "\n").alias("clean_text"),
     )
