@@ -130,14 +130,15 @@ def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
     return node.select("shard", F.explode("qs").alias("x")).where("x.q > 0").select(F.col("x.source").alias("source"), "shard", F.col("x.q").alias("n"))
 
 
-def lined_up(df: DataFrame, key: str, stretch: Column, order: list, name: str, size: str | None = None) -> DataFrame:
+def lined_up(df: DataFrame, key: str, stretch: Column, order: list, name: str | None = None, size: str | None = None) -> DataFrame:
     """``df`` with ``rank``, each row's place from 0 among those of its ``key``, and ``before``, the sum of ``size`` of the rows ahead.
 
     ``stretch`` is a number that does not fall as ``order`` goes on, with few rows of each: a task orders rows of one stretch,
-    and their sums, a row each, put the stretches together.
+    and their sums, a row each, put the stretches together. ``df`` is stored under ``name`` if there is one; else it is read twice.
     """
     inner, value = Window.partitionBy(key, "stretch"), F.col(size) if size else F.lit(0).cast("long")
-    cut = stored(df.withColumn("stretch", stretch), f"mix-{name}")
+    cut = df.withColumn("stretch", stretch)
+    cut = stored(cut, f"mix-{name}") if name else cut
     ahead = Window.partitionBy(key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     sums = cut.groupBy(key, "stretch").agg(F.count("*").alias("rows"), F.sum(value).alias("sizes"))
@@ -159,7 +160,7 @@ def _fill(placed: DataFrame, blocks: DataFrame, small) -> DataFrame:
     zero = F.lit(0).cast("long")
     full_size = F.sum(F.when(F.col("full"), F.col("block_size")).otherwise(zero))
     state = blocks.groupBy("sk").agg((F.first("extra") - full_size).cast("double").alias("room"), F.sum(F.when(F.col("full"), zero + 1).otherwise(zero)).alias("from"))
-    state = stored(state.where("room > 0"), "mix-room")
+    state = state.where("room > 0")
     taken, ended = placed.select("sk", "block", "r").where(F.lit(False)), state.select("sk", "room").where(F.lit(False))
     while not state.isEmpty():
         fitting = opened.join(small(state), "sk").where((F.col("rank") >= F.col("from")) & (F.col("size") <= F.col("room")))
@@ -175,10 +176,11 @@ def _fill(placed: DataFrame, blocks: DataFrame, small) -> DataFrame:
         taken = taken.unionByName(stored(whole.unionByName(crossing.select("sk", "block", F.explode("end.rs").alias("r"))), "mix-taken"))
         # a source that no block crosses has taken all that fits
         used = sums.groupBy("sk").agg(F.sum("n").alias("used"))
-        over = state.join(crossing.select("sk"), "sk", "left_anti").join(used, "sk", "left").select("sk", (F.col("room") - F.coalesce("used", zero)).alias("room"))
-        after = crossing.select("sk", F.col("end.room").alias("room"), (F.col("rank") + 1).cast("long").alias("from"))
-        ended = ended.unionByName(stored(over.unionByName(after.where("room <= 0").select("sk", "room")), "mix-ended"))
-        state = stored(after.where("room > 0"), "mix-room")
+        over = state.join(crossing.select("sk"), "sk", "left_anti").join(used, "sk", "left").select("sk", (F.col("room") - F.coalesce("used", zero)).alias("room"), zero.alias("from"), F.lit(True).alias("over"))
+        after = crossing.select("sk", F.col("end.room").alias("room"), (F.col("rank") + 1).cast("long").alias("from"), (F.col("end.room") <= 0).alias("over"))
+        left = stored(over.unionByName(after), "mix-room")
+        ended = ended.unionByName(left.where("over").select("sk", "room"))
+        state = left.where(~F.col("over")).select("sk", "room", "from")
     near = opened.join(small(ended), "sk").where((F.col("size") > F.col("room")) & (F.col("size") < 2 * F.col("room"))).join(taken, ["sk", "block", "r"], "left_anti")
     last = near.groupBy("sk").agg(F.min(F.struct("size", "rank", "h", "block", "r")).alias("k")).select("sk", "k.block", "k.r")
     return taken.unionByName(last)
@@ -227,9 +229,9 @@ def mix(docs: DataFrame, size: Column | None = None, cycle: tuple[int, ...] = (1
     # what a source owes the mix: its blocks, pass by pass; each such item has a seat that the tree gives to a shard
     items = blocks.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes")))).where((F.col("copy") < F.col("passes")) | F.col("full") | F.col("part"))
     items = items.select("sk", "block", "copy", "blocks", ((F.col("copy") == F.col("passes")) & ~F.col("full")).alias("partly"), _unit(F.lit(seed + 1), F.col("sk"), F.col("block"), F.col("copy")).alias("order"))
-    items = stored(lined_up(items, "sk", stretches, ["order", "block", "copy"], "items").withColumnRenamed("rank", "seat"), "mix-seats")
+    items = stored(lined_up(items, "sk", stretches, ["order", "block", "copy"]).withColumnRenamed("rank", "seat"), "mix-seats")
     shards = stored(split_quotas(items.groupBy("sk").agg(F.count("*").alias("quota")).select(F.col("sk").alias("source"), "quota"), depth, seed), "mix-tree")
-    starts = lined_up(shards, "source", F.floor(F.col("shard") / STRETCH), ["shard"], "leaves", "n")
+    starts = lined_up(shards, "source", F.floor(F.col("shard") / STRETCH), ["shard"], size="n")
     seats = starts.select(F.col("source").alias("sk"), "shard", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("seat"))
     dealt = items.join(seats, ["sk", "seat"]).select("sk", "block", "copy", "shard", "partly")
 
