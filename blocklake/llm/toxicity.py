@@ -34,6 +34,8 @@ BATCH_WORDS = 10_000
 NEVER = np.float32(-1e9)
 #: How counts become the first number of an embedding, and about how many steps few rows are trained for.
 SURE, LEAST, SCALE, FEW, STEPS = 1.645, 1.5, 0.45, 500, 300
+#: Passes over the rows without a lower loss on those kept out, after which training ends.
+PATIENCE = 6
 OFFSETS = [(w, o) for w in WIDTHS for o in range(w)]
 
 
@@ -142,7 +144,8 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, langs: list[st
 
     With few rows (in the order of ``FEW``) the first number of each embedding starts as what counts tell of its bucket, and the first
     filter of width one reads it, so that some hundred rows suffice to know the words that toxic rows share; all of it is trained
-    on. Few rows are gone through more often, for about ``STEPS`` steps.
+    on. Few rows are gone through more often, for about ``STEPS`` steps. The best model so far is kept, and training ends once
+    ``PATIENCE`` passes have brought no better one.
     """
     rng = np.random.default_rng(seed)
     model = Model(rng.normal(0, 0.1, (len(PREFIXES) * BUCKETS, DIM)).astype(np.float32), rng.normal(0, 0.25, (DIM, len(OFFSETS) * FILTERS)).astype(np.float32), np.zeros((len(WIDTHS), FILTERS), np.float32), rng.normal(0, 0.1, len(WIDTHS) * TOP * FILTERS + 1).astype(np.float32), 0.0)
@@ -163,7 +166,7 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, langs: list[st
     model.top[: TOP * FILTERS : FILTERS] += part * (1 - model.top[: TOP * FILTERS : FILTERS])
     epochs = max(epochs, min(8 * epochs, STEPS * batch // max(1, len(train))))
     sq = {"e": np.full(len(model.embeddings), 1e-6, np.float32), "f": np.full_like(model.filters, 1e-6), "b": np.full_like(model.bias, 1e-6), "t": np.full_like(model.top, 1e-6), "s": 1e-6}
-    best, best_loss = None, np.inf
+    best, best_loss, since = None, np.inf, 0
     copy = lambda: (model.embeddings.copy(), model.filters.copy(), model.bias.copy(), model.top.copy(), model.shift)
 
     def portions(rows: np.ndarray) -> list[np.ndarray]:
@@ -245,8 +248,11 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, langs: list[st
             sq["s"] += gs * gs
             model.shift -= rate * gs / np.sqrt(sq["s"])
         now = loss(held) if len(held) else 0.0
+        since += 1
         if now < best_loss:
-            best_loss, best = now, copy()
+            best_loss, best, since = now, copy(), 0
+        elif since == PATIENCE:
+            break
     if best:
         model.embeddings, model.filters, model.bias, model.top, model.shift = best
     rows = held if len(held) >= 20 else kept
