@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from blocklake.plans.chains.evm import MODEL as EVM
 from blocklake.plans.chains.raw import RAW
 from blocklake.plans.specs import TableSpec
 from blocklake.plans.tables import ingest as tables_of_chain
-from blocklake.plans.tables import raw_schema
+from blocklake.plans.tables import raw_schema, rule_of
 from blocklake.sources import footers, layout, sinks
 from blocklake.sources.adapter import Lake, with_lake
 from blocklake.sources.shared import shared_dir
@@ -891,31 +892,37 @@ def _hex(c):
     return F.concat(F.lit("0x"), F.lower(F.hex(c)))
 
 
+#: Keys of orders that a raw line has at most: with all orders of a day in one line, lines would grow with the table.
+LINE_KEYS = 1 << 14
+
+
 def _raw_orders(lake):
-    """Blocks of orders as nodes deliver them: quantities in hex, receipts with their logs inside."""
+    """Blocks of orders as nodes deliver them: quantities in hex, receipts with their logs inside; a line a height and stretch of keys."""
     log = F.struct(_hex("block_number").alias("blockNumber"), _hex("log_index").alias("logIndex"), _hex("transaction_index").alias("transactionIndex"), F.lit(None).cast("string").alias("transactionHash"), F.concat(F.lit("0xA"), F.col("address")).alias("address"), F.col("data_size").cast("string").alias("data"), F.array("topic0", "topic1").alias("topics"))
     logs = lake.logs().groupBy("block_number", "transaction_index").agg(F.collect_list(log).alias("logs"))
     receipt = F.struct(F.when(F.col("status") == "P", "0x0").otherwise("0x1").alias("status"), F.lit("0x5208").alias("gasUsed"), "logs")
     tx = F.struct(_hex("transaction_index").alias("transactionIndex"), _hex("nonce").alias("nonce"), _hex("from").alias("from"), F.col("type").alias("input"), receipt.alias("receipt_"))
-    rows = lake.transactions().join(logs, ["block_number", "transaction_index"], "left")
-    return rows.groupBy("block_number").agg(F.collect_list(tx).alias("transactions")).select(_hex("block_number").alias("number"), _hex("block_number").alias("hash"), "transactions")
+    txs, logs = lake.transactions(), logs.select(F.col("block_number").alias("_n"), F.col("transaction_index").alias("_i"), "logs")
+    rows = txs.join(logs, (txs["transaction_index"] == logs["_i"]) & (txs["block_number"] - logs["_n"] == 0), "left")  # met by their key alone, as logs are dealt by it
+    return rows.groupBy("block_number", F.floor(F.col("transaction_index") / LINE_KEYS)).agg(F.collect_list(tx).alias("transactions")).select(_hex("block_number").alias("number"), _hex("block_number").alias("hash"), "transactions")
 
 
-def _ingested(lake):
-    """The tables, from the JSON text of the blocks."""
-    blocks = _raw_orders(lake)
-    lines = blocks.select(F.to_json(F.struct("number", "hash", "transactions")).alias("value"))
-    return tables_of_chain(RAW["eth"], lines.select(F.from_json("value", raw_schema(RAW["eth"])).alias("b")).select("b.*"))
+def _ingested(lake, table: str):
+    """A table, from the JSON text of the blocks: as no other is wanted, parsed blocks are not stored, and of a rule's table only its members are parsed."""
+    raw, rule = RAW["eth"], rule_of(RAW["eth"], table)
+    own = replace(raw, tables=(rule,), more=None, more_schema="") if rule else raw
+    lines = _raw_orders(lake).select(F.to_json(F.struct("number", "hash", "transactions")).alias("value"))
+    return tables_of_chain(own, lines.select(F.inline(F.array(F.from_json("value", raw_schema(own))))), keep=False)[table]  # parsed once, not once a member
 
 
 @query("SELECT block_number, transaction_index, '0x' || lower(to_hex(\"from\")) AS \"from\", nonce, CASE WHEN length(type) >= 10 THEN substr(type, 1, 10) END AS sighash, CASE status WHEN 'P' THEN 0 ELSE 1 END AS status, '0x5208' AS gas_used FROM txs", "txs")
 def ingest_transactions(lake):
-    return _ingested(lake)["transactions"].select(F.col("block_number").cast("long"), F.col("transaction_index").cast("long"), "from", "nonce", "sighash", F.col("status").cast("int"), "gas_used")
+    return _ingested(lake, "transactions").select(F.col("block_number").cast("long"), F.col("transaction_index").cast("long"), "from", "nonce", "sighash", F.col("status").cast("int"), "gas_used")
 
 
 @query("SELECT block_number, transaction_index, log_index, '0xa' || address AS address, CAST(data_size AS VARCHAR) AS data, topic0, topic1 FROM logs", "logs")
 def ingest_logs(lake):
-    return _ingested(lake)["logs"].select(F.col("block_number").cast("long"), F.col("transaction_index").cast("long"), F.col("log_index").cast("long"), "address", "data", "topic0", "topic1")
+    return _ingested(lake, "logs").select(F.col("block_number").cast("long"), F.col("transaction_index").cast("long"), F.col("log_index").cast("long"), "address", "data", "topic0", "topic1")
 
 
 @query("""SELECT block_number, extrinsic_index, array_to_string(address, '.') AS address, name, '{"n":' || len(address) || '}' AS args, CASE WHEN name = 'region' THEN CAST(extrinsic_index AS VARCHAR) END AS _ethereum_transact_to FROM calls""", "calls")
