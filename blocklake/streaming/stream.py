@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections import deque
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +31,70 @@ def finalized(df: DataFrame, depth: int, chain: str | None = None, number: str =
     return df.join(df.groupBy(chain).agg(tip), chain).where(F.col(number) <= F.col("_tip")).drop("_tip")
 
 
+#: Heights whose rows are one value of a map state: a call to the state costs some hundred times as much as a row in memory.
+STRETCH = 2048
+#: Rows that are put in order at once, rows of the state that are held in memory, and rows that are put out at once.
+HELD = 200_000
+
+
+class _Stretches:
+    """Rows by height in a map state, a stretch of heights a value; those in use are held in memory and written at the end."""
+
+    def __init__(self, state):
+        self.state, self.rows, self.changed, self.held = state, {}, set(), 0
+        self.stored = {k[0] for k in state.keys()}
+
+    def at(self, stretch: int, change: bool = True) -> dict[int, list]:
+        """The rows of a stretch by height, to be used until the next call."""
+        if (found := self.rows.get(stretch)) is None:
+            if self.held > HELD:
+                self.write()
+            found = {n: row for n, *row in json.loads(self.state.getValue((stretch,))[0])} if stretch in self.stored else {}
+            self.rows[stretch] = found
+            self.held += len(found)
+        if change:
+            self.changed.add(stretch)
+        return found
+
+    def stretches(self) -> list[int]:
+        """All that may have rows, in order."""
+        return sorted(self.stored | self.rows.keys())
+
+    def write(self) -> None:
+        for k in self.changed:
+            if rows := self.rows[k]:
+                self.state.updateValue((k,), (json.dumps([[n, *row] for n, row in rows.items()]),))
+                self.stored.add(k)
+            elif k in self.stored:
+                self.state.removeKey((k,))
+                self.stored.discard(k)
+        self.rows, self.changed, self.held = {}, set(), 0
+
+
+def _by_stretch(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows of a stretch of heights after the other, those of one in order of arrival; a batch beyond HELD rows comes part after part."""
+
+    def parts():
+        held, n = [], 0
+        for pdf in frames:
+            held.append(pdf[columns])
+            n += len(pdf)
+            if n >= HELD:
+                yield pd.concat(held)
+                held, n = [], 0
+        if n:
+            yield pd.concat(held)
+
+    for pdf in parts():
+        at = pdf[columns[0]].to_numpy() // STRETCH
+        order = np.argsort(at, kind="stable")
+        at, pdf = at[order], pdf.iloc[order]
+        cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
+        values = [pdf[c].tolist() for c in columns]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield int(at[a]), list(zip(*(v[a:b] for v in values), strict=True))
+
+
 class _Finality(StatefulProcessor):
     """Of one chain: blocks that wait by height, the tip, and the hashes of the last heights that were put out."""
 
@@ -35,38 +102,64 @@ class _Finality(StatefulProcessor):
         self.depth, self.chain, self.number = depth, chain, number
 
     def init(self, handle) -> None:
-        self.waiting = handle.getMapState("waiting", "number long", "hash string")
-        self.done = handle.getMapState("done", "number long", "hash string")
+        self.waiting = handle.getMapState("waiting", "stretch long", "rows string")
+        self.done = handle.getMapState("done", "stretch long", "rows string")
         self.ends = handle.getValueState("ends", "tip long, final long")
 
     def handleInputRows(self, key, rows, timers):  # noqa: N802
         tip, final = self.ends.get() if self.ends.exists() else (None, None)
-        out = []
-        for pdf in rows:
-            for n, own in zip(pdf[self.number].tolist(), pdf["hash"].tolist(), strict=True):
-                at = (int(n),)
+        waiting, done, out = _Stretches(self.waiting), _Stretches(self.done), []
+        frame = lambda: pd.DataFrame(out, columns=[self.chain, self.number, "hash", "kind", "other"])
+        for stretch, part in _by_stretch(rows, [self.number, "hash"]):
+            wait = waiting.at(stretch)
+            known = done.at(stretch) if final is not None and stretch * STRETCH <= final else None
+            before = len(wait)
+            for n, own in part:
+                n = int(n)
                 if final is not None and n <= final:  # put out already: the same block again is nothing new
-                    if self.done.containsKey(at):
-                        if (known := self.done.getValue(at)[0]) != own:
-                            out.append((key[0], int(n), known, "conflict", own))
+                    if n in known:
+                        if known[n][0] != own:
+                            out.append((key[0], n, known[n][0], "conflict", own))
                     elif n >= final - self.depth:
-                        out.append((key[0], int(n), own, "late", None))
-                        self.done.updateValue(at, (own,))
+                        out.append((key[0], n, own, "late", None))
+                        known[n] = [own]
                     continue
-                if self.waiting.containsKey(at) and self.waiting.getValue(at)[0] != own:
-                    out.append((key[0], int(n), own, "replaced", self.waiting.getValue(at)[0]))
-                self.waiting.updateValue(at, (own,))
-                tip = int(n) if tip is None else max(tip, int(n))
+                if n in wait and wait[n][0] != own:
+                    out.append((key[0], n, own, "replaced", wait[n][0]))
+                wait[n] = [own]
+                tip = n if tip is None else max(tip, n)
+            waiting.held += len(wait) - before
+            if len(out) >= HELD:
+                yield frame()
+                out.clear()
         if tip is not None:
-            for n, own in sorted((k[0], v[0]) for k, v in self.waiting.iterator() if k[0] <= tip - self.depth):
-                out.append((key[0], n, own, "final", None))
-                self.waiting.removeKey((n,))
-                self.done.updateValue((n,), (own,))
-                final = n if final is None else max(final, n)
-            for n in [k[0] for k in self.done.keys() if final is not None and k[0] < final - self.depth]:
-                self.done.removeKey((n,))
+            last = deque()  # what is put out now, as far as it is to be remembered
+            for stretch in waiting.stretches():
+                if stretch * STRETCH > tip - self.depth:
+                    break
+                wait = waiting.at(stretch)
+                for n in sorted(x for x in wait if x <= tip - self.depth):
+                    (own,) = wait.pop(n)
+                    out.append((key[0], n, own, "final", None))
+                    last.append((n, own))
+                    while last[0][0] < n - self.depth:
+                        last.popleft()
+                    final = n if final is None else max(final, n)
+                if len(out) >= HELD:
+                    yield frame()
+                    out.clear()
+            for n, own in last:
+                done.at(n // STRETCH)[n] = [own]
+            for stretch in done.stretches():
+                if final is None or stretch * STRETCH >= final - self.depth:
+                    break
+                known = done.at(stretch)
+                for n in [x for x in known if x < final - self.depth]:
+                    del known[n]
             self.ends.update((tip, final))
-        yield pd.DataFrame(out, columns=[self.chain, self.number, "hash", "kind", "other"])
+        waiting.write()
+        done.write()
+        yield frame()
 
 
 def finality_stream(stream: DataFrame, depth: int, chain: str = "chain", number: str = "number") -> DataFrame:
@@ -76,7 +169,7 @@ def finality_stream(stream: DataFrame, depth: int, chain: str = "chain", number:
     block took the place of one that still waited (``other``). ``conflict``: a block (``other``) came at a height that was put
     out with another hash. ``late``: a height below the last final one came for the first time. Hashes are remembered ``depth``
     heights below the last final one; what comes at a height below that, and a block that comes again, waiting or put out, is
-    nothing new. State is a row a waiting height, so a batch rewrites only what it touches.
+    nothing new. State is a value a stretch of STRETCH heights that has rows, so a batch rewrites only the stretches it touches.
     """
     schema = f"{chain} string, {number} long, hash string, kind string, other string"
     return stream.groupBy(chain).transformWithStateInPandas(_Finality(depth, chain, number), schema, "Append", "None")
@@ -94,36 +187,53 @@ class _Continuity(StatefulProcessor):
         self.chain, self.number, self.seed, self.patience = chain, number, seed, patience
 
     def init(self, handle) -> None:
-        self.waiting = handle.getMapState("waiting", "number long", "hash string, parent string")
+        self.waiting = handle.getMapState("waiting", "stretch long", "rows string")
         self.last = handle.getValueState("last", "number long, hash string")
 
     def handleInputRows(self, key, rows, timers):  # noqa: N802
         at, last = self.last.get() if self.last.exists() else self.seed.get(key[0], (None, None))
-        out = []
-        for pdf in rows:
-            for n, own, parent in zip(pdf[self.number].tolist(), pdf["hash"].tolist(), pdf["parent_hash"].tolist(), strict=True):
+        waiting, out = _Stretches(self.waiting), []
+        frame = lambda: pd.DataFrame(out, columns=[self.chain, self.number, "expected", "actual", "kind"])
+        for stretch, part in _by_stretch(rows, [self.number, "hash", "parent_hash"]):
+            wait = waiting.at(stretch)
+            before = len(wait)
+            for n, own, parent in part:
+                n = int(n)
                 if at is not None and n <= at:
                     if n == at and own != last:
-                        out.append((key[0], int(n), last, own, "fork"))
+                        out.append((key[0], n, last, own, "fork"))
                     continue
-                k = (int(n),)
-                if self.waiting.containsKey(k) and self.waiting.getValue(k)[0] != own:
-                    out.append((key[0], int(n), self.waiting.getValue(k)[0], own, "fork"))
-                self.waiting.updateValue(k, (own, parent))
-        heights = sorted(k[0] for k in self.waiting.keys())
-        for i, n in enumerate(heights):
-            if at is not None and n > at + 1:
-                if heights[-1] - at <= self.patience:
-                    break  # what is missing may still come
-                out.append((key[0], n, str(at + 1), str(n), "gap"))
-            own, parent = self.waiting.getValue((n,))
-            if last is not None and n == at + 1 and parent != last:
-                out.append((key[0], n, last, parent, "broken"))
-            self.waiting.removeKey((n,))
-            at, last = n, own
+                if n in wait and wait[n][0] != own:
+                    out.append((key[0], n, wait[n][0], own, "fork"))
+                wait[n] = [own, parent]
+            waiting.held += len(wait) - before
+            if len(out) >= HELD:
+                yield frame()
+                out.clear()
+        stretches = waiting.stretches()
+        top = next((max(wait) for k in reversed(stretches) if (wait := waiting.at(k, change=False))), None)
+        missing = False
+        for stretch in stretches:
+            wait = waiting.at(stretch, change=False)
+            for n in sorted(wait):
+                if at is not None and n > at + 1:
+                    if missing := top - at <= self.patience:
+                        break  # what is missing may still come
+                    out.append((key[0], n, str(at + 1), str(n), "gap"))
+                own, parent = wait.pop(n)
+                waiting.changed.add(stretch)
+                if last is not None and n == at + 1 and parent != last:
+                    out.append((key[0], n, last, parent, "broken"))
+                at, last = n, own
+            if missing:
+                break
+            if len(out) >= HELD:
+                yield frame()
+                out.clear()
         if at is not None:
             self.last.update((at, last))
-        yield pd.DataFrame(out, columns=[self.chain, self.number, "expected", "actual", "kind"])
+        waiting.write()
+        yield frame()
 
 
 def continuity_stream(stream: DataFrame, chain: str = "chain", number: str = "number", seed: dict[str, tuple[int, str]] | None = None, patience: int = 100) -> DataFrame:
