@@ -841,7 +841,7 @@ def rekeyed_struct(lake):
 
 @query("SELECT o_orderkey AS id, '{\"v\":' || CASE WHEN o_orderkey * 9007199254740 <= 9007199254740991 THEN CAST(o_orderkey * 9007199254740 AS VARCHAR) ELSE '\"' || (o_orderkey * 9007199254740) || '\"' END || '}' AS j FROM orders")
 def safe_integer(lake):
-    return lake.table("orders").select(F.col("o_orderkey").alias("id"), F.to_json(F.struct(P.safe_integer(F.col("o_orderkey") * F.lit(9007199254740)).alias("v"))).alias("j"))
+    return lake.table("orders").select(F.col("o_orderkey").alias("id"), F.to_json(F.struct(P.safe_integer(F.col("o_orderkey").cast("decimal(19,0)") * F.lit(9007199254740).cast("decimal(13,0)")).alias("v"))).alias("j"))
 
 
 @query("SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN '{\"from\":' || o_custkey || '}' WHEN 'O' THEN '{\"address\":\"' || o_orderpriority || '\"}' END AS action FROM orders")

@@ -25,3 +25,8 @@ def test_raw_lines_do_not_grow_with_the_orders_of_a_day(spark, tmp_path):
     got = registry.QUERIES["ingest_transactions"](spark, path).collect()
     assert sorted(r.transaction_index for r in got) == keys and {r.block_number for r in got} == {59}
     assert sorted((r.transaction_index, r.log_index) for r in registry.QUERIES["ingest_logs"](spark, path).collect()) == [(k, i) for k in keys for i in range(2)]
+
+
+def test_safe_integer_beyond_63_bits(spark, tmp_path):
+    got = registry.QUERIES["safe_integer"](spark, orders(spark, tmp_path, [1, 1000, 2_000_000])).orderBy("id").collect()
+    assert [r.j for r in got] == ['{"v":9007199254740}', '{"v":9007199254740000}', '{"v":"18014398509480000000"}']
