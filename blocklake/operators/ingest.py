@@ -55,8 +55,9 @@ def text_to_int(c: Column) -> Column:
     return F.try_to_number(c, F.lit("S9999999999999999999")).cast("long")
 
 
-def convert_quantities(df: DataFrame, hexes: list[str] = (), texts: list[str] = ()) -> DataFrame:
-    return df.withColumns({**{c: hex_to_int(F.col(c)) for c in hexes}, **{c: text_to_int(F.col(c)) for c in texts}})
+def convert_quantities(df: DataFrame, hexes: list[str] = (), texts: list[str] = (), wide: list[str] = ()) -> DataFrame:
+    """``hexes`` and ``texts`` become longs; ``wide``: 0x quantities that may have more than 63 bits, as ``decimal(38,0)``."""
+    return df.withColumns({**{c: hex_to_int(F.col(c)) for c in hexes}, **{c: text_to_int(F.col(c)) for c in texts}, **{c: hex_to_decimal(F.col(c)) for c in wide}})
 
 
 def sighash(data: Column, length: int = 10) -> Column:

@@ -30,3 +30,10 @@ def test_raw_lines_do_not_grow_with_the_orders_of_a_day(spark, tmp_path):
 def test_safe_integer_beyond_63_bits(spark, tmp_path):
     got = registry.QUERIES["safe_integer"](spark, orders(spark, tmp_path, [1, 1000, 2_000_000])).orderBy("id").collect()
     assert [r.j for r in got] == ['{"v":9007199254740}', '{"v":9007199254740000}', '{"v":"18014398509480000000"}']
+
+
+def test_quantities_beyond_63_bits(spark, tmp_path):
+    small = registry.QUERIES["convert_quantities"](spark, orders(spark, tmp_path / "small", [0, 3, (1 << 23) - 1]))
+    assert dict(small.dtypes)["v"] == "bigint" and sorted(r.v for r in small.collect()) == [0, 3 << 40, ((1 << 23) - 1) << 40]
+    large = registry.QUERIES["convert_quantities"](spark, orders(spark, tmp_path / "large", [0, 3, 1 << 23, 54_000_000])).orderBy("id").collect()
+    assert [(int(r.v), int(r.d)) for r in large] == [(k << 40, k << 60) for k in (0, 3, 1 << 23, 54_000_000)]
