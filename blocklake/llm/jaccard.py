@@ -262,7 +262,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
     # two members of the list's largest component never meet
     pairs = x.where("not main").join(y, meets).select("a", "b").unionAll(x.where("main").join(y.where("not in_main"), meets).select("a", "b")).distinct()
     more = verified(pairs)
-    roots = connected_components(links.unionByName(more))
+    if not more.isEmpty():  # links between components found so far: the graph of these is smaller, and mostly there is none
+        of = lambda x: roots.select(F.col("v").alias(x), F.col("root").alias(f"r{x}"))
+        between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+        merged = connected_components(between).select(F.col("v").alias("old"), F.col("root").alias("new"))
+        # a set that no star links is a component of its own
+        alone = more.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(roots, "v", "left_anti").select("v", F.col("v").alias("root"))
+        roots = roots.unionByName(alone).join(merged, F.col("root") == F.col("old"), "left").select("v", F.coalesce("new", "root").alias("root"))
 
     # the least id of each component, summed up by set before components meet
     of_set = stored(sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least")).join(roots.select(F.col("v").alias("sid"), "root"), "sid", "left").select("sid", "least", F.coalesce("root", "sid").alias("root")), "set-roots")
