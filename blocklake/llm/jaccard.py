@@ -203,7 +203,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
         sent = spark.sparkContext.broadcast((token[order], level[order], shared))
         sets = stored(rows.mapInArrow(_sets(n_words, percent, sent, False), schema), "sets")
         distinct = stored(sets.where("sid is not null").groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), (F.min("other") != F.max("other")).alias("unlike")), "distinct")
-        unlike = distinct.where("unlike").select("sid").orderBy("sid").toArrow()["sid"].to_numpy()  # a few at 10^10 sets, by chance
+        unlike = distinct.where("unlike").select("sid").toArrow()["sid"].to_numpy()  # a few at 10^10 sets, by chance
         if not len(unlike):
             break
         shared.append(unlike.view(np.uint64))
@@ -212,7 +212,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
     keys = _keys(distinct, boundary, percent)
     sizes = stored(keys.groupBy("key").agg(F.count("*").alias("size"), F.count_if("short").alias("shorts")).where("size > 1"), "list-sizes")
     lists = stored(keys.join(sizes, "key"), "lists")  # a list without members by their index prefix has no pairs, but tells who is central
-    prefixes = distinct.join(lists.select("sid").distinct(), "sid", "left_semi")
+    central = stored(lists.groupBy("sid").agg(F.sum("size").alias("weight")), "weights")  # a row for each set that is in a list
+    prefixes = stored(distinct.select("sid", "n", "prefix").join(central, "sid", "left_semi"), "prefixes")  # both sides of both searches read it
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Of pairs ``a, b`` of sets those that link: first by their prefixes, then by all their shingles."""
@@ -224,11 +225,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
         most = F.size(F.array_intersect("ka", "kb")) + F.least(F.col("na") - F.size("ka"), F.col("nb") - F.size("kb"))
         near = both.withColumn("reach", reach).withColumn("ka", ka).withColumn("kb", kb).where(most >= shared_needed(F.col("na"), F.col("nb"), percent))
         near = stored(near.select("a", "b"), "near")
-        if near.isEmpty():
+        n = near.count()
+        if not n:
             return near
         wanted = near.select(F.col("a").alias("sid")).unionByName(near.select(F.col("b").alias("sid"))).distinct()
-        firsts = stored(sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("id", "th")).alias("row")).select("row.id", "row.th"), "firsts")
-        side = F.broadcast(firsts) if firsts.count() <= MOST_SENT else firsts
+        firsts = sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("id", "th")).alias("row")).select("row.id", "row.th")
+        side = F.broadcast(firsts) if 2 * n <= MOST_SENT else firsts  # two sets a pair at most
         own = rows.join(side, ["id", "th"]).mapInArrow(_sets(n_words, percent, sent, True), "sid long, tokens array<long>").dropDuplicates(["sid"])
         tokens = stored(own, "tokens")
         a, b = (tokens.select(F.col("sid").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
@@ -236,7 +238,6 @@ def jaccard_components(docs: DataFrame, text: str = "text", n_words: int = WORDS
         return stored(full.where(F.col("shared") * 100 >= (F.size("ta") + F.size("tb") - F.col("shared")) * percent).select("a", "b"), "links")
 
     # stars: each set with the set that is in the most and longest lists, of those it shares most lists with
-    central = stored(lists.groupBy("sid").agg(F.sum("size").alias("weight")), "weights")
     weighed = lists.join(central, "sid")
     pivots = weighed.groupBy("key").agg(F.max(F.struct("weight", "sid", "n", "pos")).alias("p"))
     to_pivot = lists.join(pivots.select("key", F.col("p.sid").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.pos").alias("pp")), "key")

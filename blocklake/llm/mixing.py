@@ -14,6 +14,8 @@ Spark functions alone; reruns agree, as every draw comes from a hash of the seed
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -153,7 +155,8 @@ def _fill(placed: DataFrame, blocks: DataFrame, small) -> DataFrame:
 
     Blocks follow each other in permuted order, documents in a block too, and each that fits the room left is taken. A round
     looks at documents that fit at its start: blocks of them go by a running sum, the first that crosses is gone through
-    one by one, and the next round starts behind it with less room than a document that was left out.
+    one by one, and the next round starts behind it with less room than a document that was left out. Each plan takes the
+    driver's memory, so what the rounds took is gathered once, at the end.
     """
     opened = placed.where("size > 0").join(blocks.where(~F.col("full")).select("sk", "block", "rank"), ["sk", "block"]).select("sk", "block", "rank", "h", "r", "size")
     opened = stored(opened, "mix-open")
@@ -161,19 +164,22 @@ def _fill(placed: DataFrame, blocks: DataFrame, small) -> DataFrame:
     full_size = F.sum(F.when(F.col("full"), F.col("block_size")).otherwise(zero))
     state = blocks.groupBy("sk").agg((F.first("extra") - full_size).cast("double").alias("room"), F.sum(F.when(F.col("full"), zero + 1).otherwise(zero)).alias("from"))
     state = state.where("room > 0")
-    taken, ended = placed.select("sk", "block", "r").where(F.lit(False)), state.select("sk", "room").where(F.lit(False))
-    while not state.isEmpty():
+    ended, wholes, parts = state.select("sk", "room").where(F.lit(False)), [], []
+    while True:
         fitting = opened.join(small(state), "sk").where((F.col("rank") >= F.col("from")) & (F.col("size") <= F.col("room")))
+        if fitting.isEmpty():  # so the last look costs one plan, not a round of them
+            ended = ended.unionByName(state.select("sk", "room"))
+            break
         sums = fitting.groupBy("sk", "block", "rank").agg(F.sum("size").alias("n"), F.first("room").alias("room")).withColumnRenamed("rank", "place")
         sums = lined_up(sums, "sk", F.floor(F.col("place") / STRETCH), ["place"], "round", "n").withColumn("left", F.col("room") - F.col("before"))
-        sums = stored(sums.where("left > 0").select("sk", "block", F.col("place").alias("rank"), "n", "left"), "mix-sums")
-        whole = fitting.join(sums.where("n <= left").select("sk", "block"), ["sk", "block"]).select("sk", "block", "r")
+        sums = stored(sums.where("left > 0").select("sk", "block", F.col("place").alias("rank"), "n", "left", "room"), "mix-sums")
+        wholes.append(sums.where("n <= left").select("sk", "block", "room"))
         # a block has few words, so this is a short list
         start = F.struct(F.first("left").cast("double").alias("room"), F.array().cast("array<int>").alias("rs"))
         fits = lambda s, x: F.when(x["size"] <= s["room"], F.struct((s["room"] - x["size"]).cast("double").alias("room"), F.concat(s["rs"], F.array(x["r"])).alias("rs"))).otherwise(s)
         crossing = fitting.join(small(sums.where("n > left").select("sk", "block", "left")), ["sk", "block"]).groupBy("sk", "block", "rank").agg(F.sort_array(F.collect_list(F.struct("h", "r", "size"))).alias("docs"), start.alias("start"))
         crossing = stored(crossing.select("sk", "block", "rank", F.aggregate("docs", F.col("start"), fits).alias("end")), "mix-crossing")
-        taken = taken.unionByName(stored(whole.unionByName(crossing.select("sk", "block", F.explode("end.rs").alias("r"))), "mix-taken"))
+        parts.append(crossing.select("sk", "block", F.explode("end.rs").alias("r")))
         # a source that no block crosses has taken all that fits
         used = sums.groupBy("sk").agg(F.sum("n").alias("used"))
         over = state.join(crossing.select("sk"), "sk", "left_anti").join(used, "sk", "left").select("sk", (F.col("room") - F.coalesce("used", zero)).alias("room"), zero.alias("from"), F.lit(True).alias("over"))
@@ -181,6 +187,10 @@ def _fill(placed: DataFrame, blocks: DataFrame, small) -> DataFrame:
         left = stored(over.unionByName(after), "mix-room")
         ended = ended.unionByName(left.where("over").select("sk", "room"))
         state = left.where(~F.col("over")).select("sk", "room", "from")
+    taken = placed.select("sk", "block", "r").where(F.lit(False))
+    if wholes:  # a block is of one round at most
+        whole = opened.join(reduce(DataFrame.unionByName, wholes), ["sk", "block"]).where(F.col("size") <= F.col("room")).select("sk", "block", "r")
+        taken = stored(reduce(DataFrame.unionByName, [whole, *parts]), "mix-taken")
     near = opened.join(small(ended), "sk").where((F.col("size") > F.col("room")) & (F.col("size") < 2 * F.col("room"))).join(taken, ["sk", "block", "r"], "left_anti")
     last = near.groupBy("sk").agg(F.min(F.struct("size", "rank", "h", "block", "r")).alias("k")).select("sk", "k.block", "k.r")
     return taken.unionByName(last)
